@@ -82,3 +82,102 @@ FROM l JOIN o ON l.pos = o.pos"""
 
 ORACLE["take_first"] = f"""
 SELECT event_id, user_id, value FROM events ORDER BY {_EV_ORDER} LIMIT 100"""
+
+# ------------------------------------------------------------------ vectors
+_EMB_PAIRS = """(SELECT a.vec_id, a.embedding, b.embedding AS other FROM embeddings a
+                 JOIN embeddings b ON b.vec_id = a.vec_id + 1)"""
+ORACLE["vec_get"] = """
+SELECT vec_id, coalesce(embedding[4]::DOUBLE, 0.0) AS v3,
+       coalesce(embedding[65]::DOUBLE, 0.0) AS v64 FROM embeddings"""
+ORACLE["vec_dot"] = f"""
+SELECT vec_id, round(list_sum(list_transform(embedding, lambda x, i: x::DOUBLE
+                 * coalesce(other[i]::DOUBLE, 0.0))), 6) AS dot FROM {_EMB_PAIRS}"""
+ORACLE["vec_add"] = f"""
+SELECT vec_id, list_transform(embedding, lambda x, i: x::DOUBLE + coalesce(other[i]::DOUBLE, 0.0))
+       AS vec_sum FROM {_EMB_PAIRS}"""
+ORACLE["vec_hadamard"] = f"""
+SELECT vec_id, list_transform(embedding, lambda x, i: x::DOUBLE * coalesce(other[i]::DOUBLE, 0.0))
+       AS vec_prod FROM {_EMB_PAIRS}"""
+ORACLE["vec_distance"] = f"""
+SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x, i:
+       pow(x::DOUBLE - coalesce(other[i]::DOUBLE, 0.0), 2)))), 6) AS distance FROM {_EMB_PAIRS}"""
+ORACLE["vec_set"] = """
+SELECT vec_id,
+       list_transform(embedding, lambda x, i: CASE WHEN i = 1 THEN label::DOUBLE ELSE x::DOUBLE END)
+         AS vec_first_set,
+       list_append(list_transform(embedding, lambda x: x::DOUBLE), 1.0) AS vec_bias
+FROM embeddings"""
+ORACLE["vec_map"] = """
+SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE * 2.0 + 1.0) AS vec_mapped FROM embeddings"""
+ORACLE["vec_reduce"] = """
+SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)), 6) AS sum_sq
+FROM embeddings"""
+ORACLE["vec_entries"] = """
+SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS index,
+       unnest(embedding)::DOUBLE AS value FROM embeddings"""
+ORACLE["vec_argmax"] = """
+SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS argmax
+FROM embeddings"""
+
+ORACLE["sparse_vec_ops"] = f"""
+WITH p AS {_EMB_PAIRS},
+e AS (SELECT vec_id, 'a' AS side, generate_subscripts(embedding, 1) - 1 AS k,
+             unnest(embedding)::DOUBLE AS v FROM p
+      UNION ALL
+      SELECT vec_id, 'b', generate_subscripts(other, 1) - 1, unnest(other)::DOUBLE FROM p),
+nz AS (SELECT * FROM e WHERE abs(v) >= 0.5),
+j AS (SELECT coalesce(a.vec_id, b.vec_id) AS vec_id, coalesce(a.k, b.k) AS k,
+             coalesce(a.v, 0.0) AS av, coalesce(b.v, 0.0) AS bv
+      FROM (SELECT * FROM nz WHERE side = 'a') a
+      FULL OUTER JOIN (SELECT * FROM nz WHERE side = 'b') b ON a.vec_id = b.vec_id AND a.k = b.k)
+SELECT p.vec_id,
+       round(coalesce(sum(av * bv), 0.0), 6) AS dot,
+       round(sqrt(coalesce(sum(pow(av - bv, 2)), 0.0)), 6) AS distance,
+       coalesce(max(CASE WHEN k = 5 THEN av END), 0.0) AS a5,
+       CAST(count(CASE WHEN av + bv <> 0 THEN 1 END) AS INTEGER) AS n_add,
+       CAST(count(CASE WHEN av * bv <> 0 THEN 1 END) AS INTEGER) AS n_prod,
+       round(coalesce(sum(abs(av)), 0.0), 6) AS l1
+FROM p LEFT JOIN j ON p.vec_id = j.vec_id
+GROUP BY p.vec_id"""
+
+_DOC_TF = """(SELECT doc_id, w AS word, CAST(count(*) AS DOUBLE) AS n
+   FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents) t
+   WHERE w <> '' GROUP BY doc_id, w)"""
+_DOC_PAIRS = """(SELECT DISTINCT a.doc_id FROM (SELECT DISTINCT doc_id FROM tf) a
+                 JOIN (SELECT DISTINCT doc_id FROM tf) b ON b.doc_id = a.doc_id + 1)"""
+ORACLE["text_vec_dot"] = f"""
+WITH tf AS {_DOC_TF}, pairs AS {_DOC_PAIRS},
+a AS (SELECT tf.* FROM tf JOIN pairs USING (doc_id)),
+b AS (SELECT tf.doc_id - 1 AS doc_id, word, n FROM tf JOIN pairs ON pairs.doc_id = tf.doc_id - 1),
+j AS (SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, coalesce(a.word, b.word) AS word,
+             coalesce(a.n, 0.0) AS an, coalesce(b.n, 0.0) AS bn
+      FROM a FULL OUTER JOIN b ON a.doc_id = b.doc_id AND a.word = b.word)
+SELECT doc_id, sum(an * bn) AS dot, round(sqrt(sum(pow(an - bn, 2))), 6) AS distance,
+       coalesce(max(CASE WHEN word = 'the' THEN an END), 0.0) AS n_the
+FROM j GROUP BY doc_id"""
+ORACLE["text_vec_add"] = f"""
+WITH tf AS {_DOC_TF}, pairs AS {_DOC_PAIRS},
+a AS (SELECT tf.* FROM tf JOIN pairs USING (doc_id)),
+b AS (SELECT tf.doc_id - 1 AS doc_id, word, n FROM tf JOIN pairs ON pairs.doc_id = tf.doc_id - 1)
+SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, coalesce(a.word, b.word) AS word,
+       coalesce(a.n, 0.0) + coalesce(b.n, 0.0) AS value
+FROM a FULL OUTER JOIN b ON a.doc_id = b.doc_id AND a.word = b.word"""
+ORACLE["text_vec_hadamard"] = f"""
+WITH tf AS {_DOC_TF}
+SELECT a.doc_id, a.word, a.n * b.n AS value
+FROM tf a JOIN tf b ON b.doc_id = a.doc_id + 1 AND b.word = a.word"""
+
+# ------------------------------------------------------------------ branch tests
+ORACLE["numeric_test"] = f"""
+SELECT {_LI_ORDER}, CASE WHEN l_quantity < 25.0 THEN 0 ELSE 1 END AS branch_lt,
+       CASE WHEN l_quantity = 25.0 THEN 0 ELSE 1 END AS branch_eq FROM lineitem"""
+ORACLE["nominal_test"] = f"""
+SELECT {_LI_ORDER}, CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS branch FROM lineitem"""
+ORACLE["multiway_test"] = f"""
+SELECT {_LI_ORDER}, CAST(l_linenumber - 1 AS INTEGER) AS branch FROM lineitem"""
+ORACLE["rule_predicate"] = f"""
+SELECT {_LI_ORDER},
+       CASE WHEN l_discount = 0.05 THEN 0 ELSE 1 END AS branch_op0,
+       CASE WHEN l_discount <= 0.05 THEN 0 ELSE 1 END AS branch_op1,
+       CASE WHEN l_discount < 0.05 THEN 0 ELSE 1 END AS branch_op2,
+       CASE WHEN l_discount = 0.05 THEN 0 ELSE 1 END AS branch_op3 FROM lineitem"""

@@ -114,3 +114,159 @@ def q_zip_by_position(spark, sf_dir):
 def q_take_first(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     return ordered.take_first(ev, 100, EVENT_ORDER).select("event_id", "user_id", "value")
+
+
+# ------------------------------------------------------------------ vectors
+
+from driftwood.functions import conditions as cond  # noqa: E402
+from driftwood.functions import vectors as vec  # noqa: E402
+
+
+def _emb_pairs(spark, sf_dir) -> DataFrame:
+    """Each embedding with the next one (``vec_id + 1``); equi-join on id."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    nxt = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other"))
+    return e.join(nxt, on="vec_id", how="inner")
+
+
+@register("vec_get")
+def q_vec_get(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", vec.vec_get("embedding", 3).alias("v3"),
+                    vec.vec_get("embedding", 64).alias("v64"))
+
+
+@register("vec_dot")
+def q_vec_dot(spark, sf_dir):
+    p = _emb_pairs(spark, sf_dir)
+    return p.select("vec_id", F.round(vec.vec_dot("embedding", "other"), 6).alias("dot"))
+
+
+@register("vec_add")
+def q_vec_add(spark, sf_dir):
+    p = _emb_pairs(spark, sf_dir)
+    return p.select("vec_id", vec.vec_add("embedding", "other").alias("vec_sum"))
+
+
+@register("vec_hadamard")
+def q_vec_hadamard(spark, sf_dir):
+    p = _emb_pairs(spark, sf_dir)
+    return p.select("vec_id", vec.vec_hadamard("embedding", "other").alias("vec_prod"))
+
+
+@register("vec_distance")
+def q_vec_distance(spark, sf_dir):
+    p = _emb_pairs(spark, sf_dir)
+    return p.select("vec_id", F.round(vec.vec_distance("embedding", "other"), 6).alias("distance"))
+
+
+@register("vec_set")
+def q_vec_set(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", vec.vec_set("embedding", 0, F.col("label")).alias("vec_first_set"),
+                    vec.append_bias("embedding").alias("vec_bias"))
+
+
+@register("vec_map")
+def q_vec_map(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", vec.vec_map("embedding", lambda x: x * 2.0 + 1.0).alias("vec_mapped"))
+
+
+@register("vec_reduce")
+def q_vec_reduce(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    sq = vec.vec_reduce("embedding", lambda acc, x: acc + x * x)
+    return e.select("vec_id", F.round(sq, 6).alias("sum_sq"))
+
+
+@register("vec_entries")
+def q_vec_entries(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return vec.vec_entries(e, "embedding", keep=["vec_id"])
+
+
+@register("vec_argmax")
+def q_vec_argmax(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", vec.vec_argmax("embedding").alias("argmax"))
+
+
+def _sparse_pairs(spark, sf_dir) -> DataFrame:
+    """Sparse (map) vectors: the embedding entries with |x| >= 0.5."""
+    p = _emb_pairs(spark, sf_dir)
+
+    def sp(c):
+        return vec.dense_to_map(F.transform(c, lambda x: F.when(F.abs(x) >= 0.5, x.cast("double"))
+                                            .otherwise(F.lit(0.0))))
+
+    return p.select("vec_id", sp(F.col("embedding")).alias("a"), sp(F.col("other")).alias("b"))
+
+
+@register("sparse_vec_ops")
+def q_sparse_vec_ops(spark, sf_dir):
+    p = _sparse_pairs(spark, sf_dir)
+    return p.select("vec_id",
+                    F.round(vec.map_dot("a", "b"), 6).alias("dot"),
+                    F.round(vec.map_distance("a", "b"), 6).alias("distance"),
+                    vec.map_get("a", 5).alias("a5"),
+                    F.size(vec.map_add("a", "b")).alias("n_add"),
+                    F.size(vec.map_hadamard("a", "b")).alias("n_prod"),
+                    F.round(vec.map_reduce(vec.map_map("a", F.abs), lambda acc, x: acc + x), 6)
+                    .alias("l1"))
+
+
+def _doc_tf_pairs(spark, sf_dir) -> DataFrame:
+    tf = vec.word_counts(table(spark, sf_dir, "documents"), "doc_id", "text", "tf")
+    nxt = tf.select((F.col("doc_id") - 1).alias("doc_id"), F.col("tf").alias("tf2"))
+    return tf.join(nxt, on="doc_id", how="inner")
+
+
+@register("text_vec_dot")
+def q_text_vec_dot(spark, sf_dir):
+    p = _doc_tf_pairs(spark, sf_dir)
+    return p.select("doc_id", vec.map_dot("tf", "tf2").alias("dot"),
+                    F.round(vec.map_distance("tf", "tf2"), 6).alias("distance"),
+                    vec.map_get("tf", "the").alias("n_the"))
+
+
+@register("text_vec_add")
+def q_text_vec_add(spark, sf_dir):
+    p = _doc_tf_pairs(spark, sf_dir)
+    s = p.select("doc_id", vec.map_add("tf", "tf2").alias("s"))
+    return s.select("doc_id", F.explode("s").alias("word", "value"))
+
+
+@register("text_vec_hadamard")
+def q_text_vec_hadamard(spark, sf_dir):
+    p = _doc_tf_pairs(spark, sf_dir)
+    s = p.select("doc_id", vec.map_hadamard("tf", "tf2").alias("s"))
+    return s.select("doc_id", F.explode("s").alias("word", "value"))
+
+
+# ------------------------------------------------------------------ branch tests
+
+@register("numeric_test")
+def q_numeric_test(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(*LINE_ORDER, cond.numeric_test("l_quantity", 25.0).alias("branch_lt"),
+                     cond.numeric_test("l_quantity", 25.0, equal_test=True).alias("branch_eq"))
+
+
+@register("nominal_test")
+def q_nominal_test(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(*LINE_ORDER, cond.nominal_test("l_returnflag", "R").alias("branch"))
+
+
+@register("multiway_test")
+def q_multiway_test(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(*LINE_ORDER, cond.multiway_test(F.col("l_linenumber") - 1).alias("branch"))
+
+
+@register("rule_predicate")
+def q_rule_predicate(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(*LINE_ORDER, *[cond.rule_predicate("l_discount", 0.05, op).alias(f"branch_op{op}")
+                                    for op in (0, 1, 2, 3)])
