@@ -181,3 +181,201 @@ SELECT {_LI_ORDER},
        CASE WHEN l_discount <= 0.05 THEN 0 ELSE 1 END AS branch_op1,
        CASE WHEN l_discount < 0.05 THEN 0 ELSE 1 END AS branch_op2,
        CASE WHEN l_discount = 0.05 THEN 0 ELSE 1 END AS branch_op3 FROM lineitem"""
+
+# ------------------------------------------------------------------ learners' statistics
+from driftwood.functions.stats import ERFC_COEFFS  # noqa: E402
+
+
+def _phi_sql(z: str) -> str:
+    """Normal CDF with the same erfc fit as the Spark Column."""
+    x = f"(-({z}) / sqrt(2.0))"
+    t = f"(1.0 / (1.0 + 0.5 * abs({x})))"
+    poly = f"{ERFC_COEFFS[-1]}"
+    for c in reversed(ERFC_COEFFS[:-1]):
+        poly = f"({c} + {t} * {poly})"
+    ans = f"({t} * exp(-abs({x}) * abs({x}) + {poly}))"
+    return f"(0.5 * CASE WHEN {x} >= 0 THEN {ans} ELSE 2.0 - {ans} END)"
+
+
+_EX = f"""ex AS (SELECT {_LI_ORDER}, l_linestatus,
+    l_quantity AS f_qty, l_extendedprice / 1000.0 AS f_price, l_discount * 100.0 AS f_disc,
+    l_tax * 100.0 AS f_tax,
+    CASE l_linestatus WHEN 'F' THEN 0.0 WHEN 'O' THEN 1.0 END AS f_status,
+    CAST(l_linenumber - 1 AS DOUBLE) AS f_line,
+    CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 WHEN 'R' THEN 2 END AS label
+  FROM lineitem)"""
+_NUMLONG = f"""numlong AS (
+  SELECT {_LI_ORDER}, l_linestatus, label, 1.0 AS weight, 0 AS feature, f_qty AS value FROM ex
+  UNION ALL SELECT {_LI_ORDER}, l_linestatus, label, 1.0, 1, f_price FROM ex
+  UNION ALL SELECT {_LI_ORDER}, l_linestatus, label, 1.0, 2, f_disc FROM ex
+  UNION ALL SELECT {_LI_ORDER}, l_linestatus, label, 1.0, 3, f_tax FROM ex)"""
+_NOMLONG = f"""nomlong AS (
+  SELECT {_LI_ORDER}, label, 1.0 AS weight, 0 AS feature, f_status AS value FROM ex
+  UNION ALL SELECT {_LI_ORDER}, label, 1.0, 1, f_line FROM ex)"""
+
+
+def _gstats_sql(leaf: bool = False) -> str:
+    k = "l_linestatus, " if leaf else ""
+    return f"""gstats AS (SELECT {k}feature, label, sum(weight) AS n, avg(value) AS mean,
+    CASE WHEN count(*) <= 1 THEN 0.0 ELSE var_samp(value) END AS var,
+    min(value) AS min, max(value) AS max FROM numlong GROUP BY {k}feature, label)"""
+
+
+def _points_sql(leaf: bool = False) -> str:
+    k = "l_linestatus, " if leaf else ""
+    kj = "l_linestatus, feature" if leaf else "feature"
+    return f"""mm AS (SELECT {k}feature, min(min) AS lo, max(max) AS hi FROM gstats GROUP BY {kj}),
+pts0 AS (SELECT DISTINCT {k}feature, (hi - lo) * i / 10.0 + lo AS point
+         FROM mm, (SELECT range AS i FROM range(1, 11)) r),
+pts AS (SELECT {k}feature, point,
+               CAST(dense_rank() OVER (PARTITION BY {kj} ORDER BY point) - 1 AS INTEGER) AS point_idx
+        FROM pts0 WHERE point > (SELECT lo FROM mm WHERE {' AND '.join(f'mm.{c} = pts0.{c}' for c in kj.split(', '))})
+                    AND point < (SELECT hi FROM mm WHERE {' AND '.join(f'mm.{c} = pts0.{c}' for c in kj.split(', '))}))"""
+
+
+def _gpost_sql(leaf: bool = False) -> str:
+    k = "g.l_linestatus, " if leaf else ""
+    on = "g.l_linestatus = p.l_linestatus AND g.feature = p.feature" if leaf else "g.feature = p.feature"
+    sd = "sqrt(g.var)"
+    phi = _phi_sql(f"(p.point - g.mean) / {sd}")
+    left = f"""CASE WHEN p.point < g.min THEN 0.0 WHEN p.point >= g.max THEN g.n
+                    ELSE g.n * CASE WHEN {sd} > 0 THEN {phi}
+                                    WHEN p.point < g.mean THEN 0.0 ELSE 1.0 END END"""
+    return f"""gl AS (SELECT {k}g.feature, p.point, p.point_idx, g.label, g.n, {left} AS lw
+       FROM gstats g JOIN pts p ON {on}),
+gpost AS (SELECT {k.replace('g.', '')}feature, point, point_idx, 0 AS branch, label, lw AS w FROM gl
+          UNION ALL
+          SELECT {k.replace('g.', '')}feature, point, point_idx, 1, label, n - lw FROM gl)"""
+
+
+_NSTATS = """nstats AS (SELECT feature, label, value, sum(weight) AS w FROM nomlong
+                        GROUP BY feature, label, value)"""
+_NBIN = """pcls AS (SELECT feature, label, sum(w) AS tot FROM nstats GROUP BY feature, label),
+vals AS (SELECT DISTINCT feature, value AS split_value FROM nstats),
+nbin0 AS (SELECT v.feature, v.split_value, c.label, c.tot, coalesce(s.w, 0.0) AS win
+          FROM vals v JOIN pcls c ON c.feature = v.feature
+          LEFT JOIN nstats s ON s.feature = v.feature AND s.value = v.split_value AND s.label = c.label),
+nbin AS (SELECT feature, split_value, 0 AS branch, label, win AS w FROM nbin0
+         UNION ALL SELECT feature, split_value, 1, label, tot - win FROM nbin0)"""
+
+ORACLE["gaussian_stats"] = f"""
+WITH {_EX}, {_NUMLONG}, {_gstats_sql()}
+SELECT feature, label, n, round(mean, 6) AS mean, round(var, 6) AS variance, min, max FROM gstats"""
+ORACLE["merge_gaussian_stats"] = ORACLE["gaussian_stats"]
+ORACLE["gaussian_density"] = f"""
+WITH {_EX}, {_NUMLONG}, {_gstats_sql()}
+SELECT {_LI_ORDER}, l.feature,
+       round(CASE WHEN g.n = 0 THEN 0.0
+                  WHEN sqrt(g.var) > 0 THEN exp(-pow((l.value - g.mean) / sqrt(g.var), 2) / 2)
+                                            / (sqrt(2 * pi()) * sqrt(g.var))
+                  WHEN l.value = g.mean THEN 1.0 ELSE 0.0 END, 9) AS density
+FROM numlong l JOIN gstats g ON g.feature = l.feature AND g.label = l.label"""
+ORACLE["nominal_stats"] = f"""
+WITH {_EX}, {_NOMLONG}, {_NSTATS} SELECT feature, label, value, w FROM nstats"""
+ORACLE["merge_nominal_stats"] = ORACLE["nominal_stats"]
+ORACLE["nominal_probability"] = f"""
+WITH {_EX}, {_NOMLONG}, {_NSTATS}
+SELECT feature, label, value,
+       round(CASE WHEN sum(w) OVER (PARTITION BY feature, label) = 0 THEN 0.0
+                  ELSE (w + 1.0) / (sum(w) OVER (PARTITION BY feature, label)
+                                    + CASE feature WHEN 0 THEN 2.0 WHEN 1 THEN 7.0 ELSE 1.0 END)
+             END, 9) AS probability
+FROM nstats"""
+ORACLE["split_points"] = f"""
+WITH {_EX}, {_NUMLONG}, {_gstats_sql()}, {_points_sql()}
+SELECT feature, point_idx, round(point, 6) AS point FROM pts"""
+ORACLE["gaussian_split_weights"] = f"""
+WITH {_EX}, {_NUMLONG}, {_gstats_sql()}, {_points_sql()}, {_gpost_sql()}
+SELECT feature, point_idx, branch, label, round(w, 6) AS w FROM gpost"""
+ORACLE["nominal_binary_splits"] = f"""
+WITH {_EX}, {_NOMLONG}, {_NSTATS}, {_NBIN}
+SELECT feature, split_value, branch, label, w FROM nbin"""
+ORACLE["nominal_multiway_split"] = f"""
+WITH {_EX}, {_NOMLONG}, {_NSTATS}
+SELECT feature, CAST(value AS INTEGER) AS branch, label, w FROM nstats"""
+
+_CANDS = f"""{_EX}, {_NUMLONG}, {_gstats_sql()}, {_points_sql()}, {_gpost_sql()},
+{_NOMLONG}, {_NSTATS}, {_NBIN},
+post AS (SELECT feature, point_idx AS cand, branch, label, w FROM gpost
+         UNION ALL
+         SELECT feature + 4, CAST(split_value AS INTEGER), branch, label, w FROM nbin)"""
+
+
+def _info_gain_sql(cand: str, post: str = "post") -> str:
+    on = " AND ".join(f"b.{c} = pre.{c}" for c in cand.split(", "))
+    return f"""ib AS (SELECT {cand}, branch, sum(w) AS sb,
+                 sum(CASE WHEN w > 0 THEN w * log2(w) ELSE 0.0 END) AS wl
+          FROM {post} GROUP BY {cand}, branch),
+ic AS (SELECT {cand}, label, sum(w) AS pc FROM {post} GROUP BY {cand}, label),
+pre AS (SELECT {cand}, sum(pc) AS S, sum(CASE WHEN pc > 0 THEN pc * log2(pc) ELSE 0.0 END) AS pl
+        FROM ic GROUP BY {cand}),
+pa AS (SELECT {', '.join('b.' + c for c in cand.split(', '))},
+              sum(CASE WHEN sb > 0 THEN sb * log2(sb) ELSE 0.0 END) AS sl, sum(wl) AS wl,
+              sum(CASE WHEN sb > S * 0.01 THEN 1 ELSE 0 END) AS ngt
+       FROM ib b JOIN pre ON {on} GROUP BY {', '.join('b.' + c for c in cand.split(', '))}),
+merits AS (SELECT {', '.join('pre.' + c for c in cand.split(', '))},
+                  CASE WHEN ngt < 2 THEN '-inf'::DOUBLE
+                       ELSE (CASE WHEN S > 0 THEN log2(S) - pl / S ELSE 0.0 END)
+                            - (CASE WHEN S > 0 THEN (sl - wl) / S ELSE 0.0 END) END AS merit
+           FROM pre JOIN pa ON {on.replace('b.', 'pa.')})"""
+
+
+ORACLE["info_gain"] = f"""
+WITH {_CANDS}, {_info_gain_sql('feature, cand')}
+SELECT feature, cand, round(merit, 6) AS merit FROM merits"""
+ORACLE["gini_merit"] = f"""
+WITH {_CANDS},
+gb AS (SELECT feature, cand, branch, sum(w) AS sb, sum(w * w) AS sq FROM post GROUP BY ALL),
+gg AS (SELECT feature, cand, CASE WHEN sb > 0 THEN (1.0 - sq / (sb * sb)) * sb
+                                   / sum(sb) OVER (PARTITION BY feature, cand) ELSE 0.0 END AS g FROM gb)
+SELECT feature, cand, round(1.0 - sum(g), 6) AS merit FROM gg GROUP BY feature, cand"""
+ORACLE["variance_reduction"] = f"""
+WITH {_EX}, {_NUMLONG}, {_gstats_sql()}, {_points_sql()},
+mom AS (SELECT p.point_idx, CASE WHEN e.f_qty < p.point THEN 0 ELSE 1 END AS branch,
+               CAST(count(*) AS DOUBLE) AS n, sum(e.f_price) AS s, sum(e.f_price * e.f_price) AS q
+        FROM ex e JOIN pts p ON p.feature = 0 GROUP BY ALL),
+tot AS (SELECT point_idx, sum(n) AS N, sum(s) AS SS, sum(q) AS QQ, min(n) AS nmin FROM mom GROUP BY ALL),
+wv AS (SELECT m.point_idx, sum(m.n / t.N * ((m.q - m.s * m.s / floor(m.n)) / floor(m.n))) AS wv
+       FROM mom m JOIN tot t USING (point_idx) GROUP BY ALL)
+SELECT point_idx, round(CASE WHEN nmin < 5 THEN 0.0
+                             ELSE (QQ - SS * SS / floor(N)) / floor(N) - wv END, 4) AS merit
+FROM tot JOIN wv USING (point_idx)"""
+ORACLE["best_split_per_feature"] = f"""
+WITH {_CANDS}, {_info_gain_sql('feature, cand')},
+r AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY round(merit, 12) DESC, cand) AS rn
+      FROM merits)
+SELECT feature, cand, round(merit, 6) AS merit FROM r WHERE rn = 1"""
+
+_LEAF = f"""{_EX}, {_NUMLONG}, {_gstats_sql(True)}, {_points_sql(True)}, {_gpost_sql(True)},
+lpost AS (SELECT l_linestatus, feature, point_idx AS cand, branch, label, w FROM gpost),
+{_info_gain_sql('l_linestatus, feature, cand', 'lpost')},
+bestf AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_linestatus, feature
+                                                     ORDER BY round(merit, 12) DESC, cand) AS rn
+                         FROM merits) WHERE rn = 1),
+leaves AS (SELECT l_linestatus, sum(n) AS weight FROM gstats WHERE feature = 0 GROUP BY l_linestatus),
+cands AS (SELECT l_linestatus, feature, merit, feature AS ord FROM bestf
+          UNION ALL SELECT l_linestatus, -1, '-inf'::DOUBLE, 1073741824 FROM leaves),
+ranked AS (SELECT l_linestatus, feature, merit,
+                  row_number() OVER (PARTITION BY l_linestatus ORDER BY round(merit, 12) DESC, ord DESC)
+                    AS rank FROM cands),
+bounds AS (SELECT l_linestatus, weight,
+                  sqrt(log2(3) * log2(3) * ln(1.0 / 1e-7) / (2.0 * weight)) AS bound FROM leaves)"""
+ORACLE["rank_split_suggestions"] = f"""
+WITH {_LEAF} SELECT l_linestatus, feature, CAST(rank AS INTEGER) AS rank, round(merit, 6) AS merit
+FROM ranked"""
+ORACLE["hoeffding_bound"] = f"""
+WITH {_LEAF} SELECT l_linestatus, weight, round(bound, 9) AS bound FROM bounds"""
+ORACLE["should_split"] = f"""
+WITH {_LEAF},
+top AS (SELECT l_linestatus, max(CASE WHEN rank = 1 THEN feature END) AS best_feature,
+               max(CASE WHEN rank = 1 THEN merit END) AS bm, max(CASE WHEN rank = 2 THEN merit END) AS sm,
+               count(*) AS k FROM ranked WHERE rank <= 2 GROUP BY l_linestatus)
+SELECT t.l_linestatus, t.best_feature,
+       CASE WHEN k < 2 THEN k > 0 ELSE (b.bound < 0.05) OR coalesce((bm - sm) > b.bound, false) END
+         AS split
+FROM top t JOIN bounds b USING (l_linestatus)"""
+ORACLE["poor_features"] = f"""
+WITH {_LEAF},
+best AS (SELECT l_linestatus, merit AS bm FROM ranked WHERE rank = 1)
+SELECT r.l_linestatus, r.feature FROM ranked r JOIN best USING (l_linestatus)
+JOIN bounds b USING (l_linestatus) WHERE r.feature >= 0 AND bm - r.merit > b.bound"""

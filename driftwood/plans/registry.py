@@ -270,3 +270,207 @@ def q_rule_predicate(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     return li.select(*LINE_ORDER, *[cond.rule_predicate("l_discount", 0.05, op).alias(f"branch_op{op}")
                                     for op in (0, 1, 2, 3)])
+
+
+# ------------------------------------------------------------------ learners' statistics
+
+from driftwood.functions import stats as ST  # noqa: E402
+from driftwood.operators import bayes, observers, splits  # noqa: E402
+from driftwood.operators.examples import code_nominal, to_long  # noqa: E402
+
+# Class and nominal domains of the lineitem examples.
+RETURNFLAG_DOMAIN = ["A", "N", "R"]
+LINESTATUS_DOMAIN = ["F", "O"]
+NUMERIC_FEATURES = ["f_qty", "f_price", "f_disc", "f_tax"]
+NOMINAL_FEATURES = ["f_status", "f_line"]
+NOMINAL_SIZES = {0: 2, 1: 7}
+
+
+def _line_examples(spark, sf_dir) -> DataFrame:
+    """lineitem as examples: 4 numeric features, 2 nominal, class = return flag."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        *LINE_ORDER, "l_linestatus",
+        F.col("l_quantity").alias("f_qty"),
+        (F.col("l_extendedprice") / 1000.0).alias("f_price"),
+        (F.col("l_discount") * 100.0).alias("f_disc"),
+        (F.col("l_tax") * 100.0).alias("f_tax"),
+        code_nominal("l_linestatus", LINESTATUS_DOMAIN).alias("f_status"),
+        (F.col("l_linenumber") - 1).cast("double").alias("f_line"),
+        code_nominal("l_returnflag", RETURNFLAG_DOMAIN).cast("int").alias("label"))
+
+
+def _numeric_long(ex: DataFrame, extra=()) -> DataFrame:
+    return to_long(ex, [*LINE_ORDER, *extra], NUMERIC_FEATURES, label="label")
+
+
+def _nominal_long(ex: DataFrame, extra=()) -> DataFrame:
+    return to_long(ex, [*LINE_ORDER, *extra], NOMINAL_FEATURES, label="label")
+
+
+def _round_stats(g: DataFrame, keys) -> DataFrame:
+    return g.select(*keys, "n", F.round("mean", 6).alias("mean"),
+                    F.round(ST.gaussian_variance("n", "m2"), 6).alias("variance"),
+                    "min", "max")
+
+
+@register("gaussian_stats")
+def q_gaussian_stats(spark, sf_dir):
+    g = observers.gaussian_stats(_numeric_long(_line_examples(spark, sf_dir)))
+    return _round_stats(g, ["feature", "label"])
+
+
+@register("merge_gaussian_stats")
+def q_merge_gaussian_stats(spark, sf_dir):
+    ex = _line_examples(spark, sf_dir)
+    a = observers.gaussian_stats(_numeric_long(ex.filter(F.col("l_linestatus") == "F")))
+    b = observers.gaussian_stats(_numeric_long(ex.filter(F.col("l_linestatus") != "F")))
+    return _round_stats(observers.merge_gaussian_stats(a, b), ["feature", "label"])
+
+
+@register("gaussian_density")
+def q_gaussian_density(spark, sf_dir):
+    ex = _line_examples(spark, sf_dir)
+    lg = _numeric_long(ex)
+    g = observers.gaussian_stats(lg)
+    j = lg.join(F.broadcast(g.select("feature", "label", "n", "mean", "m2")), ["feature", "label"])
+    return j.select(*LINE_ORDER, "feature",
+                    F.round(ST.gaussian_density("value", "n", "mean", "m2"), 9).alias("density"))
+
+
+def _nominal_stats(spark, sf_dir, ex=None) -> DataFrame:
+    ex = ex if ex is not None else _line_examples(spark, sf_dir)
+    return observers.nominal_stats(_nominal_long(ex))
+
+
+@register("nominal_stats")
+def q_nominal_stats(spark, sf_dir):
+    return _nominal_stats(spark, sf_dir)
+
+
+@register("merge_nominal_stats")
+def q_merge_nominal_stats(spark, sf_dir):
+    ex = _line_examples(spark, sf_dir)
+    a = _nominal_stats(spark, sf_dir, ex.filter(F.col("f_qty") < 25))
+    b = _nominal_stats(spark, sf_dir, ex.filter(F.col("f_qty") >= 25))
+    return observers.merge_nominal_stats(a, b)
+
+
+@register("nominal_probability")
+def q_nominal_probability(spark, sf_dir):
+    p = observers.nominal_probability(_nominal_stats(spark, sf_dir), NOMINAL_SIZES)
+    return p.select("feature", "label", "value", F.round("probability", 9).alias("probability"))
+
+
+def _gstats(spark, sf_dir, leaf=False) -> DataFrame:
+    ex = _line_examples(spark, sf_dir)
+    keys = ["l_linestatus"] if leaf else []
+    lg = _numeric_long(ex, keys)
+    return observers.gaussian_stats(lg, [*keys, "feature", "label"])
+
+
+@register("split_points")
+def q_split_points(spark, sf_dir):
+    p = observers.split_points(_gstats(spark, sf_dir))
+    return p.select("feature", "point_idx", F.round("point", 6).alias("point"))
+
+
+def _gauss_post(spark, sf_dir) -> DataFrame:
+    g = _gstats(spark, sf_dir)
+    return observers.gaussian_split_weights(g, observers.split_points(g))
+
+
+@register("gaussian_split_weights")
+def q_gaussian_split_weights(spark, sf_dir):
+    p = _gauss_post(spark, sf_dir)
+    return p.select("feature", "point_idx", "branch", "label", F.round("w", 6).alias("w"))
+
+
+@register("nominal_binary_splits")
+def q_nominal_binary_splits(spark, sf_dir):
+    return observers.nominal_binary_splits(_nominal_stats(spark, sf_dir))
+
+
+@register("nominal_multiway_split")
+def q_nominal_multiway_split(spark, sf_dir):
+    return observers.nominal_multiway_split(_nominal_stats(spark, sf_dir))
+
+
+def _all_candidates(spark, sf_dir) -> DataFrame:
+    """Numeric cut candidates and nominal binary candidates as one post table."""
+    num = _gauss_post(spark, sf_dir).select(
+        "feature", F.col("point_idx").alias("cand"), "branch", "label", "w")
+    nom = observers.nominal_binary_splits(_nominal_stats(spark, sf_dir)).select(
+        (F.col("feature") + 4).alias("feature"), F.col("split_value").cast("int").alias("cand"),
+        "branch", "label", "w")
+    return num.unionByName(nom)
+
+
+@register("info_gain")
+def q_info_gain(spark, sf_dir):
+    m = splits.info_gain(_all_candidates(spark, sf_dir), ["feature", "cand"])
+    return m.select("feature", "cand", F.round("merit", 6).alias("merit"))
+
+
+@register("gini_merit")
+def q_gini_merit(spark, sf_dir):
+    m = splits.gini_merit(_all_candidates(spark, sf_dir), ["feature", "cand"])
+    return m.select("feature", "cand", F.round("merit", 6).alias("merit"))
+
+
+@register("variance_reduction")
+def q_variance_reduction(spark, sf_dir):
+    """Regression target f_price, split candidates = the G7 cut points of f_qty."""
+    ex = _line_examples(spark, sf_dir)
+    pts = observers.split_points(_gstats(spark, sf_dir)).filter("feature = 0")
+    cuts = [r.point for r in pts.orderBy("point_idx").collect()]  # at most `bins` values
+    mom = splits.cut_moments(ex, "f_qty", "f_price", cuts)
+    m = splits.variance_reduction(mom, ["point_idx"])
+    return m.select("point_idx", F.round("merit", 4).alias("merit"))
+
+
+@register("best_split_per_feature")
+def q_best_split_per_feature(spark, sf_dir):
+    m = splits.info_gain(_all_candidates(spark, sf_dir), ["feature", "cand"])
+    b = splits.best_split_per_feature(m, ["feature"], ["cand"])
+    return b.select("feature", "cand", F.round("merit", 6).alias("merit"))
+
+
+def _leaf_suggestions(spark, sf_dir):
+    """Per leaf (= line status), the best info-gain cut of each numeric feature."""
+    g = _gstats(spark, sf_dir, leaf=True)
+    pts = observers.split_points(g, group_cols=["l_linestatus", "feature"])
+    post = observers.gaussian_split_weights(g, pts, group_cols=["l_linestatus", "feature"])
+    m = splits.info_gain(post.withColumnRenamed("point_idx", "cand"),
+                         ["l_linestatus", "feature", "cand"])
+    best = splits.best_split_per_feature(m, ["l_linestatus", "feature"], ["cand"])
+    leaves = g.filter("feature = 0").groupBy("l_linestatus").agg(F.sum("n").alias("weight"))
+    no_split = leaves.select("l_linestatus", F.lit(float("-inf")).alias("merit"))
+    ranked = splits.rank_split_suggestions(best, ["l_linestatus"], no_split)
+    bounds = splits.hoeffding_bound(leaves, "weight", "info_gain", 3)
+    return ranked, bounds
+
+
+@register("rank_split_suggestions")
+def q_rank_split_suggestions(spark, sf_dir):
+    ranked, _ = _leaf_suggestions(spark, sf_dir)
+    return ranked.select("l_linestatus", "feature", "rank", F.round("merit", 6).alias("merit"))
+
+
+@register("hoeffding_bound")
+def q_hoeffding_bound(spark, sf_dir):
+    _, bounds = _leaf_suggestions(spark, sf_dir)
+    return bounds.select("l_linestatus", "weight", F.round("bound", 9).alias("bound"))
+
+
+@register("should_split")
+def q_should_split(spark, sf_dir):
+    ranked, bounds = _leaf_suggestions(spark, sf_dir)
+    d = splits.should_split(ranked, bounds, ["l_linestatus"])
+    return d.select("l_linestatus", "best_feature", "split")
+
+
+@register("poor_features")
+def q_poor_features(spark, sf_dir):
+    ranked, bounds = _leaf_suggestions(spark, sf_dir)
+    return splits.poor_features(ranked, bounds, ["l_linestatus"])
