@@ -71,3 +71,83 @@ def uniform_from_hash(*cols, seed: int = 0) -> Column:
     """A uniform in (0, 1) from a 64-bit hash of the given columns."""
     h = F.xxhash64(*[_c(c) for c in cols], F.lit(seed))
     return (F.shiftrightunsigned(h, 11).cast("double") + F.lit(0.5)) / F.lit(float(2 ** 53))
+
+
+def lgamma(z, shift: int = 8) -> Column:
+    """ln Gamma(z) for z > 0: Stirling series after shifting z up by ``shift``."""
+    z = _c(z).cast("double")
+    w = z + F.lit(float(shift))
+    stirling = ((w - 0.5) * F.log(w) - w + F.lit(0.5 * math.log(2 * math.pi))
+                + F.lit(1.0) / (F.lit(12.0) * w) - F.lit(1.0) / (F.lit(360.0) * F.pow(w, 3.0))
+                + F.lit(1.0) / (F.lit(1260.0) * F.pow(w, 5.0)))
+    prod = F.lit(0.0)
+    for i in range(shift):
+        prod = prod + F.log(z + F.lit(float(i)))
+    return stirling - prod
+
+
+def _betacf(a: Column, b: Column, x: Column, iters: int) -> Column:
+    """Continued fraction of the incomplete beta (modified Lentz), fixed length."""
+    tiny = F.lit(1e-300)
+
+    def clamp(v):
+        return F.when(F.abs(v) < tiny, tiny).otherwise(v)
+
+    qab, qap, qam = a + b, a + 1.0, a - 1.0
+    d0 = F.lit(1.0) / clamp(F.lit(1.0) - qab * x / qap)
+    init = F.struct(d0.alias("d"), F.lit(1.0).alias("c"), d0.alias("h"))
+
+    def step(st, m):
+        m = m.cast("double")
+        m2 = m * 2.0
+        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
+        d1 = F.lit(1.0) / clamp(F.lit(1.0) + aa * st["d"])
+        c1 = clamp(F.lit(1.0) + aa / st["c"])
+        h1 = st["h"] * d1 * c1
+        aa2 = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
+        d2 = F.lit(1.0) / clamp(F.lit(1.0) + aa2 * d1)
+        c2 = clamp(F.lit(1.0) + aa2 / c1)
+        return F.struct(d2.alias("d"), c2.alias("c"), (h1 * d2 * c2).alias("h"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(iters)), init, step)["h"]
+
+
+def incomplete_beta(x, a, b, iters: int = 300) -> Column:
+    """Regularized incomplete beta I_x(a, b) (Column; a, b > 0, 0 <= x <= 1)."""
+    x, a, b = _c(x).cast("double"), _c(a).cast("double"), _c(b).cast("double")
+    lbeta = lgamma(a + b) - lgamma(a) - lgamma(b)
+    front = F.exp(lbeta + a * F.log(x) + b * F.log(F.lit(1.0) - x))
+    direct = front * _betacf(a, b, x, iters) / a
+    mirror = F.lit(1.0) - front * _betacf(b, a, F.lit(1.0) - x, iters) / b
+    return (F.when(x <= 0, F.lit(0.0)).when(x >= 1, F.lit(1.0))
+            .when(x < (a + 1.0) / (a + b + 2.0), direct).otherwise(mirror))
+
+
+def f_test_pvalue(f, df1, df2) -> Column:
+    """Upper tail P(F > f) of the F distribution."""
+    f, df1, df2 = _c(f).cast("double"), _c(df1).cast("double"), _c(df2).cast("double")
+    x = df2 / (df2 + df1 * f)
+    return F.when(f <= 0, F.lit(1.0)).otherwise(incomplete_beta(x, df2 / 2.0, df1 / 2.0))
+
+
+def chi2_pvalue(x, dof) -> Column:
+    """Upper tail of chi-square with integer ``dof`` (closed forms of Q(k/2, x/2))."""
+    x, k = _c(x).cast("double"), _c(dof).cast("int")
+    h = x / 2.0
+    m_even = k / 2
+    even = F.exp(-h) * F.aggregate(
+        F.sequence(F.lit(0), F.greatest(m_even.cast("int") - 1, F.lit(0))),
+        F.struct(F.lit(0.0).alias("s"), F.lit(1.0).alias("t")),
+        lambda st, i: F.struct((st["s"] + st["t"]).alias("s"),
+                               (st["t"] * h / (i + 1).cast("double")).alias("t")))["s"]
+    m_odd = ((k - 1) / 2).cast("int")
+    # sum_{i=1..m} h^(i-1/2) / Gamma(i+1/2), terms t_1 = h^(1/2)/Gamma(3/2), t_{i+1} = t_i * h/(i+1/2)
+    t1 = F.sqrt(h) / F.lit(math.gamma(1.5))
+    odd_sum = F.aggregate(
+        F.sequence(F.lit(1), F.greatest(m_odd, F.lit(1))),
+        F.struct(F.lit(0.0).alias("s"), t1.alias("t")),
+        lambda st, i: F.struct((st["s"] + st["t"]).alias("s"),
+                               (st["t"] * h / (i.cast("double") + 0.5)).alias("t")))["s"]
+    odd = erfc(F.sqrt(h)) + F.exp(-h) * F.when(m_odd >= 1, odd_sum).otherwise(F.lit(0.0))
+    return (F.when(x <= 0, F.lit(1.0)).when(k <= 0, F.lit(float("nan")))
+            .when(k % 2 == 0, even).otherwise(odd))

@@ -379,3 +379,189 @@ WITH {_LEAF},
 best AS (SELECT l_linestatus, merit AS bm FROM ranked WHERE rank = 1)
 SELECT r.l_linestatus, r.feature FROM ranked r JOIN best USING (l_linestatus)
 JOIN bounds b USING (l_linestatus) WHERE r.feature >= 0 AND bm - r.merit > b.bound"""
+
+# ------------------------------------------------------------------ naive Bayes
+_NB_TF = f"""tf AS {_DOC_TF},
+ltf AS (SELECT tf.doc_id, tf.word, tf.n, l.quality AS label FROM tf JOIN labels l USING (doc_id)),
+cc AS (SELECT label, CAST(count(DISTINCT doc_id) AS DOUBLE) AS n FROM ltf GROUP BY label),
+fs AS (SELECT label, word AS feature, sum(n) AS mass FROM ltf GROUP BY label, word)"""
+ORACLE["nb_train"] = f"""
+WITH {_NB_TF}
+SELECT label, feature, mass FROM fs UNION ALL SELECT label, NULL, n FROM cc"""
+ORACLE["nb_merge"] = ORACLE["nb_train"]
+_NB_PARAMS = f"""{_NB_TF},
+scal AS (SELECT sum(mass) AS total, CAST(count(DISTINCT feature) AS DOUBLE) AS nf,
+                (SELECT CAST(count(*) AS DOUBLE) FROM cc) AS nc FROM fs),
+cm AS (SELECT label, sum(mass) AS class_mass FROM fs GROUP BY label),
+pri AS (SELECT cc.label, ln(cc.n + 1.0) - ln(scal.total + scal.nc) AS log_prior,
+               ln(1.0) - ln(coalesce(cm.class_mass, 0.0) + scal.nf) AS log_default
+        FROM cc LEFT JOIN cm USING (label), scal),
+cond AS (SELECT fs.label, fs.feature, ln(fs.mass + 1.0) - ln(cm.class_mass + scal.nf) AS log_cond
+         FROM fs JOIN cm USING (label), scal)"""
+ORACLE["nb_params"] = f"""
+WITH {_NB_PARAMS}
+SELECT label, feature, round(log_cond, 9) AS log_p FROM cond
+UNION ALL SELECT label, NULL, round(log_prior, 9) FROM pri"""
+ORACLE["nb_predict"] = f"""
+WITH {_NB_PARAMS},
+vocab AS (SELECT DISTINCT feature FROM fs),
+ent AS (SELECT t.doc_id, t.word, t.n FROM tf t JOIN vocab v ON v.feature = t.word),
+sc AS (SELECT d.doc_id, p.label,
+              p.log_prior + coalesce(sum(e.n * coalesce(c.log_cond, p.log_default)), 0.0) AS score
+       FROM (SELECT DISTINCT doc_id FROM tf) d CROSS JOIN pri p
+       LEFT JOIN ent e ON e.doc_id = d.doc_id
+       LEFT JOIN cond c ON c.label = p.label AND c.feature = e.word
+       GROUP BY d.doc_id, p.label, p.log_prior),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS rn FROM sc)
+SELECT doc_id, label AS prediction FROM r WHERE rn = 1"""
+
+_PREQ_ORDER = f"l_shipdate, {_LI_ORDER}"
+_PREQ_SUMS = []
+for _c in range(3):
+    _hit = f"(cmd = 'EXAMPLE' AND label = {_c})"
+    _PREQ_SUMS.append(f"coalesce(sum(CASE WHEN {_hit} THEN 1.0 ELSE 0.0 END) OVER w, 0.0) AS n{_c}")
+    for _j, _f in enumerate("abc"):
+        _PREQ_SUMS.append(
+            f"coalesce(sum(CASE WHEN {_hit} THEN {_f} ELSE 0.0 END) OVER w, 0.0) AS f{_c}_{_j}")
+_PREQ_SCORE = []
+for _c in range(3):
+    _mass = f"(f{_c}_0 + f{_c}_1 + f{_c}_2)"
+    _tot = "(f0_0 + f0_1 + f0_2 + f1_0 + f1_1 + f1_2 + f2_0 + f2_1 + f2_2)"
+    _terms = " + ".join(f"(ln(f{_c}_{_j} + 1.0) - ln({_mass} + 3.0)) * {_f}" for _j, _f in enumerate("abc"))
+    _PREQ_SCORE.append(f"SELECT {_LI_ORDER}, {_c} AS label, ln(n{_c} + 1.0) - ln({_tot} + 3.0) + {_terms} AS score FROM s WHERE cmd = 'QUERY'")
+ORACLE["nb_prequential"] = f"""
+WITH st AS (SELECT {_LI_ORDER}, l_shipdate,
+                   CASE WHEN l_linestatus = 'F' THEN 'EXAMPLE' ELSE 'QUERY' END AS cmd,
+                   l_quantity AS a, round(l_discount * 100) AS b, round(l_tax * 100) AS c,
+                   CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 WHEN 'R' THEN 2 END AS label
+            FROM lineitem),
+s AS (SELECT *, {', '.join(_PREQ_SUMS)} FROM st
+      WINDOW w AS (ORDER BY {_PREQ_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+sc AS ({' UNION ALL '.join(_PREQ_SCORE)}),
+r AS (SELECT *, row_number() OVER (PARTITION BY {_LI_ORDER} ORDER BY score DESC, label) AS rn FROM sc)
+SELECT {_LI_ORDER}, label AS prediction FROM r WHERE rn = 1"""
+
+_VOTES = f"""{_EX}, {_NUMLONG}, {_gstats_sql()}, {_NOMLONG}, {_NSTATS},
+cw AS (SELECT label, CAST(count(*) AS DOUBLE) AS w FROM ex GROUP BY label),
+prior AS (SELECT label, w / sum(w) OVER () AS prior FROM cw),
+np AS (SELECT {', '.join('l.' + c for c in _LI_ORDER.split(', '))}, g.label,
+              CASE WHEN g.n = 0 THEN 0.0
+                   WHEN sqrt(g.var) > 0 THEN exp(-pow((l.value - g.mean) / sqrt(g.var), 2) / 2)
+                                             / (sqrt(2 * pi()) * sqrt(g.var))
+                   WHEN l.value = g.mean THEN 1.0 ELSE 0.0 END AS p
+       FROM numlong l JOIN gstats g ON g.feature = l.feature),
+tot AS (SELECT feature, label, sum(w) AS tot FROM nstats GROUP BY feature, label),
+grid AS (SELECT f.feature, c.label, coalesce(t.tot, 0.0) AS tot,
+                CASE f.feature WHEN 0 THEN 2.0 ELSE 7.0 END AS vsize
+         FROM (SELECT DISTINCT feature FROM nomlong) f CROSS JOIN cw c
+         LEFT JOIN tot t ON t.feature = f.feature AND t.label = c.label),
+pp AS (SELECT {', '.join('l.' + c for c in _LI_ORDER.split(', '))}, gr.label,
+              CASE WHEN gr.tot = 0 THEN 0.0 ELSE (coalesce(s.w, 0.0) + 1.0) / (gr.tot + gr.vsize) END AS p
+       FROM nomlong l JOIN grid gr ON gr.feature = l.feature
+       LEFT JOIN nstats s ON s.feature = l.feature AND s.label = gr.label AND s.value = l.value),
+allp AS (SELECT * FROM np UNION ALL SELECT * FROM pp),
+agg AS (SELECT {_LI_ORDER}, label, sum(CASE WHEN p > 0 THEN log10(p) ELSE 0.0 END) AS lg,
+               sum(CASE WHEN p <= 0 THEN 1 ELSE 0 END) AS zeros FROM allp GROUP BY ALL),
+lv AS (SELECT a.*, CASE WHEN zeros > 0 THEN '-inf'::DOUBLE ELSE log10(pr.prior) + lg END AS log_vote
+       FROM agg a JOIN prior pr USING (label))"""
+ORACLE["observer_nb_log_votes"] = f"""
+WITH {_VOTES} SELECT {_LI_ORDER}, label, round(log_vote, 6) AS log_vote FROM lv"""
+ORACLE["observer_nb_votes"] = f"""
+WITH {_VOTES},
+v AS (SELECT {_LI_ORDER}, label, CASE WHEN zeros > 0 THEN 0.0 ELSE pow(10.0, log_vote) END AS vote FROM lv)
+SELECT {_LI_ORDER}, label, round(vote / sum(vote) OVER (PARTITION BY {_LI_ORDER}), 6) AS posterior FROM v"""
+
+# ------------------------------------------------------------------ ensemble / table helpers
+from driftwood.operators.ensemble import poisson_cdf_table  # noqa: E402
+
+ORACLE["majority_vote"] = f"""
+WITH {_EX},
+c AS (SELECT l_orderkey, label AS vote, count(*) AS n FROM ex GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY n DESC, vote) AS rn FROM c)
+SELECT l_orderkey, vote FROM r WHERE rn = 1"""
+_U = ("((l_orderkey * 2654435761 + l_linenumber * 40503 + l_partkey * 97 + 17) % 4294967296"
+      " + 0.5) / 4294967296.0")
+ORACLE["poisson_weights"] = f"""
+SELECT {_LI_ORDER}, CAST(len(list_filter([{', '.join(repr(c) for c in poisson_cdf_table(1.0))}],
+                                        lambda c: c < {_U})) AS INTEGER) AS weight
+FROM lineitem"""
+ORACLE["normalize_counts"] = """
+WITH c AS (SELECT l_suppkey, l_returnflag, CAST(count(*) AS DOUBLE) AS n FROM lineitem GROUP BY ALL)
+SELECT l_suppkey, l_returnflag, round(n / sum(n) OVER (PARTITION BY l_suppkey), 9) AS fraction FROM c"""
+ORACLE["crosstab"] = """
+SELECT l_returnflag, sum(CASE WHEN l_linestatus = 'F' THEN 1.0 ELSE 0.0 END) AS "F",
+       sum(CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END) AS "O"
+FROM lineitem GROUP BY l_returnflag"""
+ORACLE["crosstab_transpose"] = """
+SELECT l_linestatus, sum(CASE WHEN l_returnflag = 'A' THEN 1.0 ELSE 0.0 END) AS "A",
+       sum(CASE WHEN l_returnflag = 'N' THEN 1.0 ELSE 0.0 END) AS "N",
+       sum(CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END) AS "R"
+FROM lineitem GROUP BY l_linestatus"""
+ORACLE["one_vs_rest"] = """
+WITH d AS (SELECT l_linestatus, l_returnflag, CAST(count(*) AS DOUBLE) AS w FROM lineitem GROUP BY ALL),
+t AS (SELECT l_returnflag, sum(w) AS tot FROM d GROUP BY l_returnflag),
+v AS (SELECT DISTINCT l_linestatus AS split_value FROM d)
+SELECT v.split_value, t.l_returnflag, coalesce(d.w, 0.0) AS w_in, t.tot - coalesce(d.w, 0.0) AS w_rest
+FROM v CROSS JOIN t LEFT JOIN d ON d.l_linestatus = v.split_value AND d.l_returnflag = t.l_returnflag"""
+ORACLE["save_load_model"] = ORACLE["nb_train"]
+ORACLE["add_arrays"] = """
+WITH e AS (SELECT label, len(embedding) AS n, generate_subscripts(embedding, 1) - 1 AS pos,
+                  unnest(embedding)::DOUBLE AS v FROM embeddings),
+s AS (SELECT label, pos, sum(v) AS s FROM e GROUP BY label, pos),
+m AS (SELECT label, min(n) AS mn FROM e GROUP BY label)
+SELECT s.label, list(round(s.s, 6) ORDER BY s.pos) AS vec_sum
+FROM s JOIN m USING (label) WHERE s.pos < m.mn GROUP BY s.label"""
+
+# ------------------------------------------------------------------ statistics
+_NB_PRED = ORACLE["nb_predict"].strip()
+ORACLE["accuracy_with_error"] = f"""
+WITH pred AS ({_NB_PRED}),
+j AS (SELECT p.doc_id, p.prediction, l.quality, d.lang FROM pred p JOIN labels l USING (doc_id)
+      JOIN documents d USING (doc_id)),
+a AS (SELECT lang, avg(CASE WHEN prediction = quality THEN 1.0 ELSE 0.0 END) AS accuracy,
+             count(*) AS n FROM j GROUP BY lang)
+SELECT lang, round(accuracy, 9) AS accuracy, n,
+       round(CASE WHEN n > 0 THEN sqrt(accuracy * (1.0 - accuracy) / n) ELSE 0.0 END, 9) AS std_error
+FROM a"""
+ORACLE["gaussian_tail"] = f"""
+WITH m AS (SELECT event_type, avg(value) AS mean, stddev_samp(value) AS sd FROM events GROUP BY ALL),
+z AS (SELECT e.event_id, CASE WHEN m.sd > 0 THEN (e.value - m.mean) / m.sd END AS z
+      FROM events e JOIN m USING (event_type))
+SELECT event_id, round(z, 6) AS z, round({_phi_sql('z')}, 6) AS cdf FROM z"""
+
+
+def _chi2_sql(x: str, k: str) -> str:
+    h = f"({x} / 2.0)"
+    even = (f"exp(-{h}) * list_sum(list_transform(range(0, CAST({k} / 2 AS BIGINT)), "
+            f"lambda i: exp(i * ln({h}) - lgamma(i + 1.0))))")
+    erfc = f"(2.0 * {_phi_sql(f'-sqrt({h}) * sqrt(2.0)')})"
+    odd = (f"{erfc} + exp(-{h}) * coalesce(list_sum(list_transform(range(1, CAST(({k} - 1) / 2 AS BIGINT) + 1), "
+           f"lambda i: exp((i - 0.5) * ln({h}) - lgamma(i + 0.5)))), 0.0)")
+    return f"(CASE WHEN {x} <= 0 THEN 1.0 WHEN {k} % 2 = 0 THEN {even} ELSE {odd} END)"
+
+
+ORACLE["chi_square_test"] = f"""
+WITH {_EX}, {_NOMLONG},
+o AS (SELECT feature, value, label, CAST(count(*) AS DOUBLE) AS o FROM nomlong GROUP BY ALL),
+r AS (SELECT feature, value, sum(o) AS r FROM o GROUP BY ALL),
+c AS (SELECT feature, label, sum(o) AS c FROM o GROUP BY ALL),
+n AS (SELECT feature, sum(o) AS n FROM o GROUP BY ALL),
+cells AS (SELECT r.feature, r.value, c.label, r.r, c.c, n.n, coalesce(o.o, 0.0) AS o
+          FROM r JOIN c ON c.feature = r.feature JOIN n ON n.feature = r.feature
+          LEFT JOIN o ON o.feature = r.feature AND o.value = r.value AND o.label = c.label),
+s AS (SELECT feature, sum(pow(o - r * c / n, 2) / (r * c / n)) AS statistic,
+             CAST((count(DISTINCT value) - 1) * (count(DISTINCT label) - 1) AS INTEGER) AS dof
+      FROM cells GROUP BY feature)
+SELECT feature, round(statistic, 6) AS statistic, dof,
+       round({_chi2_sql('statistic', 'dof')}, 9) AS p_value FROM s"""
+ORACLE["anova_f_test"] = f"""
+WITH {_EX}, {_NUMLONG},
+cls AS (SELECT feature, label, CAST(count(*) AS DOUBLE) AS nc, avg(value) AS mc,
+               coalesce(var_pop(value), 0.0) * count(*) AS ssw FROM numlong GROUP BY ALL),
+tot AS (SELECT feature, sum(nc) AS n, sum(nc * mc) / sum(nc) AS m, count(*) AS k FROM cls GROUP BY ALL),
+a AS (SELECT t.feature, sum(c.nc * pow(c.mc - t.m, 2)) AS ssb, sum(c.ssw) AS ssw,
+             CAST(t.k - 1 AS INTEGER) AS df_between, CAST(t.n - t.k AS INTEGER) AS df_within
+      FROM cls c JOIN tot t USING (feature) GROUP BY t.feature, t.k, t.n),
+f AS (SELECT feature, (ssb / df_between) / (ssw / df_within) AS f_stat, df_between, df_within FROM a)
+SELECT feature, round(f_stat, 6) AS f_stat, df_between, df_within,
+       round(pow(df_within / (df_within + 2.0 * f_stat), df_within / 2.0), 9) AS p_value FROM f"""

@@ -474,3 +474,190 @@ def q_should_split(spark, sf_dir):
 def q_poor_features(spark, sf_dir):
     ranked, bounds = _leaf_suggestions(spark, sf_dir)
     return splits.poor_features(ranked, bounds, ["l_linestatus"])
+
+
+# ------------------------------------------------------------------ naive Bayes
+
+def _labelled_tf(spark, sf_dir, docs=None) -> DataFrame:
+    docs = docs if docs is not None else table(spark, sf_dir, "documents")
+    tf = vec.word_counts(docs, "doc_id", "text", "tf")
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return tf.join(lab, "doc_id")
+
+
+def _nb_table(model: bayes.NBModel) -> DataFrame:
+    counts = model.class_counts.select("label", F.lit(None).cast("string").alias("feature"),
+                                       F.col("n").alias("mass"))
+    return model.feature_sums.select("label", "feature", "mass").unionByName(counts)
+
+
+@register("nb_train")
+def q_nb_train(spark, sf_dir):
+    return _nb_table(bayes.nb_train(_labelled_tf(spark, sf_dir), "tf"))
+
+
+@register("nb_merge")
+def q_nb_merge(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    a = bayes.nb_train(_labelled_tf(spark, sf_dir, docs.filter(F.col("lang") == "en")), "tf")
+    b = bayes.nb_train(_labelled_tf(spark, sf_dir, docs.filter(F.col("lang") != "en")), "tf")
+    return _nb_table(bayes.nb_merge(a, b))
+
+
+@register("nb_params")
+def q_nb_params(spark, sf_dir):
+    pri, cond_t = bayes.nb_params(bayes.nb_train(_labelled_tf(spark, sf_dir), "tf"))
+    p = pri.select("label", F.lit(None).cast("string").alias("feature"),
+                   F.round("log_prior", 9).alias("log_p"))
+    c = cond_t.select("label", "feature", F.round("log_cond", 9).alias("log_p"))
+    return c.unionByName(p)
+
+
+@register("nb_predict")
+def q_nb_predict(spark, sf_dir):
+    model = bayes.nb_train(_labelled_tf(spark, sf_dir), "tf")
+    tf_all = vec.word_counts(table(spark, sf_dir, "documents"), "doc_id", "text", "tf")
+    return bayes.nb_predict(model, tf_all, ["doc_id"], "tf")
+
+
+@register("nb_prequential")
+def q_nb_prequential(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    st = li.select(*LINE_ORDER, "l_shipdate",
+                   F.when(F.col("l_linestatus") == "F", F.lit("EXAMPLE")).otherwise(F.lit("QUERY"))
+                   .alias("cmd"),
+                   F.col("l_quantity").alias("a"), F.round(F.col("l_discount") * 100).alias("b"),
+                   F.round(F.col("l_tax") * 100).alias("c"),
+                   code_nominal("l_returnflag", RETURNFLAG_DOMAIN).cast("int").alias("label"))
+    out = bayes.nb_prequential(st, ["a", "b", "c"], "label", "cmd", ["l_shipdate", *LINE_ORDER],
+                               classes=[0, 1, 2])
+    return out.filter(F.col("cmd") == "QUERY").select(*LINE_ORDER, "prediction")
+
+
+def _observer_votes(spark, sf_dir, log10: bool) -> DataFrame:
+    ex = _line_examples(spark, sf_dir)
+    g = observers.gaussian_stats(_numeric_long(ex))
+    nstat = observers.nominal_stats(_nominal_long(ex)).withColumn("feature", F.col("feature") + 4)
+    cw = ex.groupBy("label").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    sizes = {4 + k: v for k, v in NOMINAL_SIZES.items()}
+    return bayes.observer_nb_votes(ex, LINE_ORDER, g, nstat, cw, NUMERIC_FEATURES, NOMINAL_FEATURES,
+                                   log10=log10, nominal_sizes=sizes)
+
+
+@register("observer_nb_votes")
+def q_observer_nb_votes(spark, sf_dir):
+    from pyspark.sql import Window
+
+    v = _observer_votes(spark, sf_dir, False)
+    post = F.col("vote") / F.sum("vote").over(Window.partitionBy(*LINE_ORDER))
+    return v.select(*LINE_ORDER, "label", F.round(post, 6).alias("posterior"))
+
+
+@register("observer_nb_log_votes")
+def q_observer_nb_log_votes(spark, sf_dir):
+    v = _observer_votes(spark, sf_dir, True)
+    return v.select(*LINE_ORDER, "label", F.round("log_vote", 6).alias("log_vote"))
+
+
+# ------------------------------------------------------------------ ensemble / table helpers
+
+from driftwood.operators import ensemble, statistics  # noqa: E402
+
+
+@register("majority_vote")
+def q_majority_vote(spark, sf_dir):
+    ex = _line_examples(spark, sf_dir).select("l_orderkey", F.col("label").alias("vote"))
+    return ensemble.majority_vote(ex, ["l_orderkey"], "vote")
+
+
+def _line_uniform(seed: int = 17):
+    """A uniform in (0, 1) from integer arithmetic on the line key (reproducible anywhere)."""
+    h = F.pmod(F.col("l_orderkey") * F.lit(2654435761) + F.col("l_linenumber") * F.lit(40503)
+               + F.col("l_partkey") * F.lit(97) + F.lit(seed), F.lit(4294967296))
+    return (h.cast("double") + 0.5) / 4294967296.0
+
+
+@register("poisson_weights")
+def q_poisson_weights(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(*LINE_ORDER)
+    return li.select(*LINE_ORDER, ensemble.poisson_weight(_line_uniform(), 1.0).alias("weight"))
+
+
+@register("normalize_counts")
+def q_normalize_counts(spark, sf_dir):
+    ex = table(spark, sf_dir, "lineitem")
+    cnt = ex.groupBy("l_suppkey", "l_returnflag").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    out = ensemble.normalize_counts(cnt, "n", ["l_suppkey"])
+    return out.select("l_suppkey", "l_returnflag", F.round("fraction", 9).alias("fraction"))
+
+
+@register("crosstab")
+def q_crosstab(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return ensemble.crosstab(li, "l_returnflag", "l_linestatus", LINESTATUS_DOMAIN)
+
+
+@register("crosstab_transpose")
+def q_crosstab_transpose(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return ensemble.crosstab(li, "l_linestatus", "l_returnflag", RETURNFLAG_DOMAIN)
+
+
+@register("one_vs_rest")
+def q_one_vs_rest(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    dist = li.groupBy("l_linestatus", "l_returnflag").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    return ensemble.one_vs_rest(dist, "l_linestatus", "l_returnflag")
+
+
+@register("save_load_model")
+def q_save_load_model(spark, sf_dir):
+    from driftwood.session import scratch_path
+
+    model = bayes.nb_train(_labelled_tf(spark, sf_dir), "tf")
+    path = scratch_path(spark, "nb-model")
+    ensemble.save_model({"class_counts": model.class_counts, "feature_sums": model.feature_sums},
+                        path)
+    loaded = ensemble.load_model(spark, path, ["class_counts", "feature_sums"])
+    return _nb_table(bayes.NBModel(loaded["class_counts"], loaded["feature_sums"]))
+
+
+@register("add_arrays")
+def q_add_arrays(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    s = ensemble.add_arrays(e, "embedding", ["label"], "vec_sum")
+    return s.select("label", F.transform("vec_sum", lambda x: F.round(x, 6)).alias("vec_sum"))
+
+
+# ------------------------------------------------------------------ statistics (K1-K4)
+
+@register("accuracy_with_error")
+def q_accuracy_with_error(spark, sf_dir):
+    pred = q_nb_predict(spark, sf_dir)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    j = pred.join(lab, "doc_id").join(docs, "doc_id")
+    out = statistics.accuracy_with_error(j, "prediction", "quality", ["lang"])
+    return out.select("lang", F.round("accuracy", 9).alias("accuracy"), "n",
+                      F.round("std_error", 9).alias("std_error"))
+
+
+@register("gaussian_tail")
+def q_gaussian_tail(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    out = statistics.gaussian_tail(ev, "value", ["event_type"])
+    return out.select("event_id", F.round("z", 6).alias("z"), F.round("cdf", 6).alias("cdf"))
+
+
+@register("chi_square_test")
+def q_chi_square_test(spark, sf_dir):
+    out = statistics.chi_square_test(_nominal_long(_line_examples(spark, sf_dir)))
+    return out.select("feature", F.round("statistic", 6).alias("statistic"), "dof",
+                      F.round("p_value", 9).alias("p_value"))
+
+
+@register("anova_f_test")
+def q_anova_f_test(spark, sf_dir):
+    out = statistics.anova_f_test(_numeric_long(_line_examples(spark, sf_dir)))
+    return out.select("feature", F.round("f_stat", 6).alias("f_stat"), "df_between", "df_within",
+                      F.round("p_value", 9).alias("p_value"))
