@@ -661,3 +661,87 @@ def q_anova_f_test(spark, sf_dir):
     out = statistics.anova_f_test(_numeric_long(_line_examples(spark, sf_dir)))
     return out.select("feature", F.round("f_stat", 6).alias("f_stat"), "df_between", "df_within",
                       F.round("p_value", 9).alias("p_value"))
+
+
+# ------------------------------------------------------------------ Hoeffding tree
+
+from driftwood.operators.tree import HoeffdingTree  # noqa: E402
+
+TREE_FEATURES = NUMERIC_FEATURES + NOMINAL_FEATURES
+TREE_NOMINAL = {4: 2, 5: 7}
+TREE_BLOCK_ROWS = 20000
+_TREES: dict = {}
+
+
+def _trained_tree(spark, sf_dir, leaf_type="majority", split_all=False) -> HoeffdingTree:
+    """Train (once per process and options) on lineitem in line-key order."""
+    key = (sf_dir, leaf_type, split_all)
+    if key not in _TREES:
+        ht = HoeffdingTree(TREE_FEATURES, 3, nominal=TREE_NOMINAL, grace=200, leaf_type=leaf_type,
+                           split_all=split_all)
+        ht.fit(_line_examples(spark, sf_dir), LINE_ORDER, rows_per_block=TREE_BLOCK_ROWS,
+               id_cols=LINE_ORDER)
+        _TREES[key] = ht
+    return _TREES[key]
+
+
+def _nodes(ht: HoeffdingTree, spark) -> DataFrame:
+    n = ht.nodes_df(spark)
+    return n.select("node_id", "parent_id", "branch", "depth", "kind", "feature", "test",
+                    F.round("value", 6).alias("value"),
+                    F.transform("class_dist", lambda x: F.round(x, 6)).alias("class_dist"))
+
+
+@register("ht_route")
+def q_ht_route(spark, sf_dir):
+    ht = _trained_tree(spark, sf_dir)
+    return _line_examples(spark, sf_dir).select(*LINE_ORDER, ht.route().alias("leaf"))
+
+
+@register("ht_block_stats")
+def q_ht_block_stats(spark, sf_dir):
+    """H2 over the whole table routed through the trained tree."""
+    ht = _trained_tree(spark, sf_dir)
+    cd, g, n = ht.block_stats(_line_examples(spark, sf_dir))
+    return g.select("leaf", "feature", "label", "n", F.round("mean", 6).alias("mean"),
+                    F.round("m2", 3).alias("m2"), "min", "max")
+
+
+@register("ht_train")
+def q_ht_train(spark, sf_dir):
+    return _nodes(_trained_tree(spark, sf_dir), spark)
+
+
+@register("ht_attempt_split_all")
+def q_ht_attempt_split_all(spark, sf_dir):
+    return _nodes(_trained_tree(spark, sf_dir, split_all=True), spark)
+
+
+@register("ht_predict")
+def q_ht_predict(spark, sf_dir):
+    return _trained_tree(spark, sf_dir).predict(_line_examples(spark, sf_dir), LINE_ORDER)
+
+
+@register("ht_predict_nb")
+def q_ht_predict_nb(spark, sf_dir):
+    return _trained_tree(spark, sf_dir, "nb").predict(_line_examples(spark, sf_dir), LINE_ORDER)
+
+
+@register("ht_predict_adaptive")
+def q_ht_predict_adaptive(spark, sf_dir):
+    return _trained_tree(spark, sf_dir, "adaptive").predict(_line_examples(spark, sf_dir), LINE_ORDER)
+
+
+@register("ht_rules")
+def q_ht_rules(spark, sf_dir):
+    return _trained_tree(spark, sf_dir).rules(spark)
+
+
+@register("ht_shape")
+def q_ht_shape(spark, sf_dir):
+    return _trained_tree(spark, sf_dir).shape(spark)
+
+
+@register("ht_pure_leaves")
+def q_ht_pure_leaves(spark, sf_dir):
+    return _trained_tree(spark, sf_dir).pure_leaves(spark)
