@@ -565,3 +565,74 @@ a AS (SELECT t.feature, sum(c.nc * pow(c.mc - t.m, 2)) AS ssb, sum(c.ssw) AS ssw
 f AS (SELECT feature, (ssb / df_between) / (ssw / df_within) AS f_stat, df_between, df_within FROM a)
 SELECT feature, round(f_stat, 6) AS f_stat, df_between, df_within,
        round(pow(df_within / (df_within + 2.0 * f_stat), df_within / 2.0), 9) AS p_value FROM f"""
+
+# ------------------------------------------------------------------ linear models
+import math as _math  # noqa: E402
+
+_W0 = [_math.sin(i + 1) / 4.0 for i in range(64)] + [0.1]
+_W0_SQL = "[" + ", ".join(repr(x) for x in _W0) + "]::DOUBLE[]"
+_LIN = f"""e AS (SELECT vec_id, CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END AS y,
+                  list_append(list_transform(embedding, lambda x: x::DOUBLE), 1.0) AS xb FROM embeddings),
+d AS (SELECT *, list_sum(list_transform(xb, lambda x, i: x * ({_W0_SQL})[i])) AS dot FROM e)"""
+_PM = "CASE WHEN y = 0 THEN -1.0 ELSE 1.0 END"
+_LOSS = {
+    "squared": "0.5 * (dot - y) * (dot - y)",
+    "perceptron": "0.5 * (dot - y) * (dot - y)",
+    "hinge": f"greatest(0.0, 1.0 - {_PM} * dot)",
+    "logistic": f"ln(1.0 + exp(-{_PM} * dot))",
+}
+_GRAD = {
+    "squared": "dot - y",
+    "hinge": f"CASE WHEN {_PM} * dot < 1 THEN -{_PM} ELSE 0.0 END",
+    "logistic": f"-{_PM} * (1.0 - 1.0 / (1.0 + exp(-{_PM} * dot)))",
+    "perceptron": "y - CASE WHEN dot >= 0 THEN 1.0 ELSE 0.0 END",
+}
+ORACLE["linear_score"] = f"WITH {_LIN} SELECT vec_id, round(dot, 6) AS score FROM d"
+ORACLE["linear_predict"] = f"""WITH {_LIN}
+SELECT vec_id, CASE WHEN dot >= 0 THEN 1.0 ELSE 0.0 END AS pred_squared,
+       CASE WHEN 1.0 / (1.0 + exp(-dot)) > 0.5 THEN 1.0 ELSE 0.0 END AS pred_logistic FROM d"""
+ORACLE["linear_loss"] = f"""WITH {_LIN}
+SELECT vec_id, {', '.join(f'round({v}, 9) AS loss_{k}' for k, v in _LOSS.items())} FROM d"""
+ORACLE["linear_prob"] = f"""WITH {_LIN}, d1 AS (SELECT vec_id, 1.0 AS y, dot FROM d)
+SELECT vec_id, {', '.join(f'round({_LOSS[k]}, 9) AS prob_{k}' for k in ('squared', 'hinge', 'logistic'))}
+FROM d1"""
+
+
+def _grad_sql(k: str) -> str:
+    return f"""SELECT '{k}' AS loss, CAST(i - 1 AS INTEGER) AS index,
+       round(sum(x * -({_GRAD[k]})), 6) AS grad
+FROM (SELECT y, dot, unnest(xb) AS x, generate_subscripts(xb, 1) AS i FROM d) t GROUP BY i"""
+
+
+ORACLE["linear_gradient"] = f"""WITH {_LIN}
+{' UNION ALL '.join(_grad_sql(k) for k in ('squared', 'hinge', 'logistic', 'perceptron'))}"""
+_GRAD_SQ = f"""g AS (SELECT CAST(i - 1 AS INTEGER) AS index, sum(x * -({_GRAD['squared']})) AS grad,
+                        count(*) AS n
+             FROM (SELECT y, dot, unnest(xb) AS x, generate_subscripts(xb, 1) AS i FROM d) t GROUP BY i)"""
+ORACLE["regularize"] = f"""WITH {_LIN}, {_GRAD_SQ}
+SELECT index, round(-(CASE WHEN grad >= 0 THEN 1.0 ELSE -1.0 END), 6) AS reg_l1,
+       round(-grad, 6) AS reg_l2, round(0.0 * grad, 6) AS reg_zero FROM g"""
+ORACLE["linear_update"] = f"""WITH {_LIN}, {_GRAD_SQ},
+w AS (SELECT CAST(unnest(range(65)) AS INTEGER) AS index, unnest({_W0_SQL}) AS weight)
+SELECT w.index, round(w.weight + 0.01 * coalesce(g.grad, 0.0), 6) AS weight
+FROM w LEFT JOIN g USING (index)"""
+
+
+def _train_sql(steps: int = 3, lr: float = 0.1, reg: float = 0.01) -> str:
+    ctes = [f"""e AS (SELECT vec_id, CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END AS y,
+                  list_append(list_transform(embedding, lambda x: x::DOUBLE), 1.0) AS xb FROM embeddings)""",
+            """ex AS (SELECT vec_id, y, unnest(xb) AS x, CAST(generate_subscripts(xb, 1) - 1 AS INTEGER)
+                        AS index FROM e)""",
+            f"""w0 AS (SELECT CAST(unnest(range(65)) AS INTEGER) AS index, unnest({_W0_SQL}) AS weight)"""]
+    for s in range(steps):
+        ctes.append(f"""d{s} AS (SELECT ex.vec_id, any_value(ex.y) AS y, sum(ex.x * w{s}.weight) AS dot
+                        FROM ex JOIN w{s} USING (index) GROUP BY ex.vec_id)""")
+        ctes.append(f"""g{s} AS (SELECT ex.index, sum(ex.x * -(d{s}.dot - d{s}.y)) AS grad, count(*) AS n
+                        FROM ex JOIN d{s} USING (vec_id) GROUP BY ex.index)""")
+        ctes.append(f"""w{s + 1} AS (SELECT w{s}.index,
+                        w{s}.weight + {lr} * (g{s}.grad / g{s}.n + {reg} * (-w{s}.weight)) AS weight
+                        FROM w{s} JOIN g{s} USING (index))""")
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT index, round(weight, 6) AS weight FROM w{steps}"
+
+
+ORACLE["linear_train"] = _train_sql()

@@ -745,3 +745,86 @@ def q_ht_shape(spark, sf_dir):
 @register("ht_pure_leaves")
 def q_ht_pure_leaves(spark, sf_dir):
     return _trained_tree(spark, sf_dir).pure_leaves(spark)
+
+
+# ------------------------------------------------------------------ linear models
+
+import math as _math  # noqa: E402
+
+from driftwood.operators import linear  # noqa: E402
+
+# The parameter vector used by the linear-model queries
+# (64 feature weights sin(i+1)/4, bias 0.1 last).
+LINEAR_W0 = [_math.sin(i + 1) / 4.0 for i in range(64)] + [0.1]
+
+
+def _emb_binary(spark, sf_dir) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", "embedding",
+                    F.when(F.col("label") == 0, F.lit(1.0)).otherwise(F.lit(0.0)).alias("y"))
+
+
+def _dot(spark, sf_dir) -> DataFrame:
+    e = _emb_binary(spark, sf_dir)
+    return e.select("vec_id", "y", linear.linear_score("embedding", LINEAR_W0).alias("dot"))
+
+
+@register("linear_score")
+def q_linear_score(spark, sf_dir):
+    return _dot(spark, sf_dir).select("vec_id", F.round("dot", 6).alias("score"))
+
+
+@register("linear_predict")
+def q_linear_predict(spark, sf_dir):
+    d = _dot(spark, sf_dir)
+    return d.select("vec_id", linear.linear_predict("dot", "squared").alias("pred_squared"),
+                    linear.linear_predict("dot", "logistic").alias("pred_logistic"))
+
+
+@register("linear_loss")
+def q_linear_loss(spark, sf_dir):
+    d = _dot(spark, sf_dir)
+    return d.select("vec_id", *[F.round(linear.linear_loss("y", "dot", k), 9).alias(f"loss_{k}")
+                                for k in linear.LOSSES])
+
+
+@register("linear_prob")
+def q_linear_prob(spark, sf_dir):
+    d = _dot(spark, sf_dir)
+    return d.select("vec_id", *[F.round(linear.linear_prob("dot", k), 9).alias(f"prob_{k}")
+                                for k in ("squared", "hinge", "logistic")])
+
+
+@register("linear_gradient")
+def q_linear_gradient(spark, sf_dir):
+    e = _emb_binary(spark, sf_dir)
+    parts = [linear.linear_gradient(e, "embedding", "y", LINEAR_W0, k)
+             .select(F.lit(k).alias("loss"), "index", F.round("grad", 6).alias("grad"))
+             for k in linear.LOSSES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("regularize")
+def q_regularize(spark, sf_dir):
+    g = linear.linear_gradient(_emb_binary(spark, sf_dir), "embedding", "y", LINEAR_W0, "squared")
+    return g.select("index", *[F.round(linear.regularize("grad", k), 6).alias(f"reg_{k}")
+                               for k in ("l1", "l2", "zero")])
+
+
+@register("linear_update")
+def q_linear_update(spark, sf_dir):
+    g = linear.linear_gradient(_emb_binary(spark, sf_dir), "embedding", "y", LINEAR_W0, "squared")
+    w = spark.createDataFrame(list(enumerate(LINEAR_W0)), "index int, weight double")
+    out = linear.linear_update(w, g, scale=0.01)
+    return out.select("index", F.round("weight", 6).alias("weight"))
+
+
+@register("linear_train")
+def q_linear_train(spark, sf_dir):
+    w = linear.linear_train(_emb_binary(spark, sf_dir), "embedding", "y", 64, loss="squared",
+                            steps=3, learning_rate=0.1, reg="l2", reg_param=0.01, init=LINEAR_W0)
+    df = spark.createDataFrame(list(enumerate(w)), "index int, weight double")
+    return df.select("index", F.round("weight", 6).alias("weight"))
