@@ -636,3 +636,50 @@ def _train_sql(steps: int = 3, lr: float = 0.1, reg: float = 0.01) -> str:
 
 
 ORACLE["linear_train"] = _train_sql()
+
+# ------------------------------------------------------------------ membership and search
+from driftwood.operators.membership import HASH_A, HASH_B, PRIME, bloom_size  # noqa: E402
+
+_M, _K = bloom_size(1000, 0.01)
+
+
+def _positions_sql(col: str) -> str:
+    return ", ".join(f"(((({col} % {PRIME}) * {HASH_A[i]} + {HASH_B[i]}) % {PRIME}) % {_M})"
+                     for i in range(_K))
+
+
+_BITS = f"""bits AS (SELECT DISTINCT unnest([{_positions_sql('c_custkey')}]) AS pos
+                  FROM customer WHERE c_mktsegment = 'MACHINERY')"""
+_ANSWER = ("CASE WHEN {m} THEN 'MAYBE, filter probably contains x' "
+           "ELSE 'NO, filter definitely does not contain x' END")
+ORACLE["bloom_build"] = f"WITH {_BITS} SELECT pos FROM bits"
+ORACLE["bloom_probe"] = f"""
+WITH {_BITS},
+q AS (SELECT c_custkey, unnest([{_positions_sql('c_custkey')}]) AS pos FROM customer),
+a AS (SELECT q.c_custkey, count(DISTINCT CASE WHEN bits.pos IS NOT NULL THEN q.pos END)
+               = count(DISTINCT q.pos) AS maybe
+      FROM q LEFT JOIN bits ON bits.pos = q.pos GROUP BY q.c_custkey)
+SELECT c_custkey, maybe, {_ANSWER.format(m='maybe')} AS answer FROM a"""
+ORACLE["bloom_probe_asof"] = f"""
+WITH first AS (SELECT pos, min(o_orderkey) AS first_seq
+               FROM (SELECT o_orderkey, unnest([{_positions_sql('o_custkey')}]) AS pos FROM orders) t
+               GROUP BY pos),
+q AS (SELECT c_custkey, c_custkey * 40 AS qs, unnest([{_positions_sql('c_custkey')}]) AS pos
+      FROM customer),
+a AS (SELECT q.c_custkey, count(DISTINCT CASE WHEN f.first_seq < q.qs THEN q.pos END)
+               = count(DISTINCT q.pos) AS maybe
+      FROM q LEFT JOIN first f ON f.pos = q.pos GROUP BY q.c_custkey)
+SELECT c_custkey, maybe, {_ANSWER.format(m='maybe')} AS answer FROM a"""
+ORACLE["substring_index"] = """
+SELECT substring(text, p, 4) AS gram, item_id AS id, CAST(p AS INTEGER) AS pos
+FROM (SELECT item_id, text, unnest(range(1, length(text) - 2)) AS p FROM benchmark
+      WHERE length(text) >= 4) t"""
+ORACLE["substring_search"] = """
+SELECT DISTINCT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)"""
+ORACLE["substring_search_asof"] = """
+SELECT DISTINCT b.item_id, d.doc_id FROM benchmark b
+JOIN documents d ON contains(d.text, b.text) AND d.doc_id < b.item_id * 25"""
+ORACLE["substring_search_words"] = """
+WITH w AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM conversations),
+h AS (SELECT DISTINCT w.word, b.item_id FROM w JOIN benchmark b ON contains(b.text, w.word))
+SELECT word, list(item_id ORDER BY item_id) AS ids FROM h GROUP BY word"""

@@ -828,3 +828,79 @@ def q_linear_train(spark, sf_dir):
                             steps=3, learning_rate=0.1, reg="l2", reg_param=0.01, init=LINEAR_W0)
     df = spark.createDataFrame(list(enumerate(w)), "index int, weight double")
     return df.select("index", F.round("weight", 6).alias("weight"))
+
+
+# ------------------------------------------------------------------ membership and search
+
+from driftwood.operators import membership, substring  # noqa: E402
+
+BLOOM_N, BLOOM_FPP = 1000, 0.01
+
+
+def _machinery(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "MACHINERY")
+
+
+@register("bloom_build")
+def q_bloom_build(spark, sf_dir):
+    return membership.bloom_build(_machinery(spark, sf_dir), "c_custkey", BLOOM_N, BLOOM_FPP)
+
+
+@register("bloom_probe")
+def q_bloom_probe(spark, sf_dir):
+    bits = membership.bloom_build(_machinery(spark, sf_dir), "c_custkey", BLOOM_N, BLOOM_FPP)
+    cust = table(spark, sf_dir, "customer").select("c_custkey")
+    return membership.bloom_probe(bits, cust, "c_custkey", ["c_custkey"], BLOOM_N, BLOOM_FPP)
+
+
+@register("bloom_probe_asof")
+def q_bloom_probe_asof(spark, sf_dir):
+    """Data = order customers arriving in order-key order; query c arrives at 40 * c."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    cust = table(spark, sf_dir, "customer").select(
+        "c_custkey", (F.col("c_custkey") * 40).alias("q_seq"))
+    return membership.bloom_probe_asof(orders, "o_custkey", "o_orderkey", cust, "c_custkey",
+                                       "q_seq", ["c_custkey"], BLOOM_N, BLOOM_FPP)
+
+
+SUBSTRING_Q = 4
+
+
+@register("substring_index")
+def q_substring_index(spark, sf_dir):
+    bench = table(spark, sf_dir, "benchmark")
+    return substring.substring_index(bench, "item_id", "text", SUBSTRING_Q)
+
+
+@register("substring_search")
+def q_substring_search(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    idx = substring.substring_index(docs, "doc_id", "text", SUBSTRING_Q)
+    bench = table(spark, sf_dir, "benchmark")
+    hits = substring.substring_search(idx, docs, "doc_id", "text", bench, ["item_id"], "text",
+                                      SUBSTRING_Q)
+    return hits.select("item_id", F.col("id").alias("doc_id"))
+
+
+@register("substring_search_asof")
+def q_substring_search_asof(spark, sf_dir):
+    """A benchmark item arriving at 25 * item_id sees documents with a smaller doc_id."""
+    docs = table(spark, sf_dir, "documents")
+    idx = substring.substring_index(docs, "doc_id", "text", SUBSTRING_Q)
+    bench = table(spark, sf_dir, "benchmark").withColumn("q_seq", F.col("item_id") * 25)
+    hits = substring.substring_search(idx, docs, "doc_id", "text", bench, ["item_id"], "text",
+                                      SUBSTRING_Q, doc_seq="doc_id", query_seq="q_seq")
+    return hits.select("item_id", F.col("id").alias("doc_id"))
+
+
+@register("substring_search_words")
+def q_substring_search_words(spark, sf_dir):
+    """Word queries (every distinct word of the conversations' texts, short ones included)
+    against the benchmark texts, in the reference's list form."""
+    conv = table(spark, sf_dir, "conversations")
+    words = conv.select(F.explode(F.split("text", " ")).alias("word")).distinct()
+    bench = table(spark, sf_dir, "benchmark")
+    idx = substring.substring_index(bench, "item_id", "text", SUBSTRING_Q)
+    hits = substring.substring_search(idx, bench, "item_id", "text", words, ["word"], "word",
+                                      SUBSTRING_Q)
+    return substring.substring_search_lists(hits, ["word"])
