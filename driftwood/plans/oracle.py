@@ -683,3 +683,24 @@ ORACLE["substring_search_words"] = """
 WITH w AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM conversations),
 h AS (SELECT DISTINCT w.word, b.item_id FROM w JOIN benchmark b ON contains(b.text, w.word))
 SELECT word, list(item_id ORDER BY item_id) AS ids FROM h GROUP BY word"""
+
+# ------------------------------------------------------------------ formats
+ORACLE["read_arff"] = f"""
+WITH {_EX}
+SELECT CAST(l_orderkey AS DOUBLE) AS l_orderkey, CAST(l_linenumber AS DOUBLE) AS l_linenumber,
+       CAST(l_partkey AS DOUBLE) AS l_partkey, CAST(l_suppkey AS DOUBLE) AS l_suppkey,
+       f_qty, f_price, f_disc, f_tax, f_status, f_line, CAST(label AS DOUBLE) AS label FROM ex"""
+ORACLE["read_arff_sparse"] = "SELECT CAST(vec_id AS DOUBLE) AS vec_id, " + ", ".join(
+    f"CASE WHEN abs(embedding[{i + 1}]) >= 0.5 THEN embedding[{i + 1}]::DOUBLE ELSE 0.0 END AS e{i}"
+    for i in range(64)) + ", CAST(label AS DOUBLE) AS label FROM embeddings"
+ORACLE["read_examples"] = """
+SELECT CAST(label AS DOUBLE) AS label, list_transform(embedding, lambda x: x::DOUBLE) AS features,
+       1.0 AS weight FROM embeddings"""
+ORACLE["read_examples_sparse"] = """
+SELECT CAST(label AS DOUBLE) AS label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS index,
+       unnest(embedding)::DOUBLE AS value, 1.0 AS weight FROM embeddings"""
+ORACLE["read_examples_sparse"] = f"""
+SELECT * FROM ({ORACLE['read_examples_sparse']}) t WHERE value <> 0"""
+ORACLE["read_text_features"] = """
+SELECT event_type AS key, CAST(count(*) AS DOUBLE) AS value FROM events GROUP BY user_id, event_type
+UNION ALL SELECT 'user', CAST(user_id AS DOUBLE) FROM (SELECT DISTINCT user_id FROM events) u"""

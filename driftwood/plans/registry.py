@@ -904,3 +904,86 @@ def q_substring_search_words(spark, sf_dir):
     hits = substring.substring_search(idx, bench, "item_id", "text", words, ["word"], "word",
                                       SUBSTRING_Q)
     return substring.substring_search_lists(hits, ["word"])
+
+
+# ------------------------------------------------------------------ formats
+
+from driftwood.session import scratch_path  # noqa: E402
+from driftwood.sources import arff  # noqa: E402
+
+LINE_ARFF = arff.ArffSpec("lineitem", [
+    *[arff.Attribute(c) for c in LINE_ORDER + NUMERIC_FEATURES],
+    arff.Attribute("f_status", LINESTATUS_DOMAIN),
+    arff.Attribute("f_line", [str(i) for i in range(7)]),
+    arff.Attribute("class", RETURNFLAG_DOMAIN)])
+EMB_ARFF = arff.ArffSpec("embeddings", [arff.Attribute("vec_id"),
+                                        *[arff.Attribute(f"e{i}") for i in range(64)],
+                                        arff.Attribute("class", [str(i) for i in range(10)])])
+
+
+def _line_arff_path(spark, sf_dir) -> str:
+    ex = _line_examples(spark, sf_dir)
+    path = scratch_path(spark, "lineitem-arff")
+    arff.write_arff(ex, path, LINE_ARFF, [*LINE_ORDER, *NUMERIC_FEATURES, "f_status", "f_line", "label"])
+    return path
+
+
+@register("read_arff")
+def q_read_arff(spark, sf_dir):
+    return arff.read_arff(spark, _line_arff_path(spark, sf_dir))
+
+
+@register("write_arff")
+def q_write_arff(spark, sf_dir):
+    """The written lines (header file + data files) read back as text."""
+    path = _line_arff_path(spark, sf_dir)
+    return spark.read.text(f"{path}/header").unionByName(spark.read.text(f"{path}/data"))
+
+
+def _emb_sparse_wide(spark, sf_dir) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    cols = [F.when(F.abs(F.col("embedding")[i]) >= 0.5, F.col("embedding")[i].cast("double"))
+            .otherwise(F.lit(0.0)).alias(f"e{i}") for i in range(64)]
+    return e.select(F.col("vec_id").cast("double").alias("vec_id"), *cols,
+                    F.col("label").cast("double").alias("label"))
+
+
+@register("read_arff_sparse")
+def q_read_arff_sparse(spark, sf_dir):
+    path = scratch_path(spark, "emb-sparse-arff")
+    arff.write_arff(_emb_sparse_wide(spark, sf_dir), path, EMB_ARFF,
+                    ["vec_id", *[f"e{i}" for i in range(64)], "label"], sparse=True)
+    return arff.read_arff(spark, path)
+
+
+@register("read_examples")
+def q_read_examples(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    path = scratch_path(spark, "emb-examples")
+    e.select(arff.example_line(F.col("label"), F.col("embedding"), F.lit(1.0)).alias("value")) \
+        .write.text(path)
+    return arff.read_examples(spark, path)
+
+
+@register("read_examples_sparse")
+def q_read_examples_sparse(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    sp = vec.dense_to_map(F.col("embedding"))
+    path = scratch_path(spark, "emb-examples-sparse")
+    e.select(arff.example_line(F.col("label"), sp, kind="sparse").alias("value")).write.text(path)
+    r = arff.read_examples(spark, path, kind="sparse")
+    return r.select("label", F.explode("features").alias("index", "value"), "weight")
+
+
+@register("read_text_features")
+def q_read_text_features(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    cnt = ev.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    lines = cnt.groupBy("user_id").agg(F.concat_ws(",", F.collect_list(
+        F.concat("event_type", F.lit(":"), F.col("n").cast("string")))).alias("_l"))
+    lines = lines.select(F.concat(F.lit("user:"), F.col("user_id").cast("string"), F.lit(","),
+                                  "_l").alias("value"))
+    path = scratch_path(spark, "text-features")
+    lines.write.text(path)
+    r = arff.read_text_features(spark, path)
+    return r.select(F.explode("features").alias("key", "value"))
