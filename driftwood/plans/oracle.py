@@ -704,3 +704,8 @@ SELECT * FROM ({ORACLE['read_examples_sparse']}) t WHERE value <> 0"""
 ORACLE["read_text_features"] = """
 SELECT event_type AS key, CAST(count(*) AS DOUBLE) AS value FROM events GROUP BY user_id, event_type
 UNION ALL SELECT 'user', CAST(user_id AS DOUBLE) FROM (SELECT DISTINCT user_id FROM events) u"""
+
+# ------------------------------------------------------------------ streams (stream = batch)
+ORACLE["running_max_subarray_stream"] = ORACLE["running_max_subarray"]
+ORACLE["rls_stream"] = ORACLE["rls_weights"]
+ORACLE["follow_the_leader_stream"] = ORACLE["follow_the_leader"]

@@ -987,3 +987,41 @@ def q_read_text_features(spark, sf_dir):
     lines.write.text(path)
     r = arff.read_text_features(spark, path)
     return r.select(F.explode("features").alias("key", "value"))
+
+
+# ------------------------------------------------------------------ streams
+
+from driftwood.streaming import ordered as stream_ordered  # noqa: E402
+from driftwood.streaming import runner  # noqa: E402
+
+STREAM_FILES = 4
+
+
+def _stream_through(spark, df: DataFrame, order_cols, step, name: str) -> DataFrame:
+    """Stage ``df`` as files in order ranges, stream them one per micro-batch."""
+    path = runner.stage_files(df, order_cols, STREAM_FILES, name + "-src")
+    r = runner.StatefulBatches(spark, step, name)
+    return runner.run_file_stream(spark, path, df.schema, r)
+
+
+@register("running_max_subarray_stream")
+def q_running_max_subarray_stream(spark, sf_dir):
+    ev = _event_ints(spark, sf_dir)
+    out = _stream_through(spark, ev, EVENT_ORDER,
+                          stream_ordered.kadane_step("x", EVENT_ORDER, ["user_id"]), "kadane")
+    return out.select("user_id", "event_id", "x", "max_ending_here", "max_subarray")
+
+
+@register("rls_stream")
+def q_rls_stream(spark, sf_dir):
+    out = _stream_through(spark, _line_xy(spark, sf_dir), LINE_ORDER,
+                          stream_ordered.rls_step("x", "y", LINE_ORDER), "rls")
+    return out.select(*LINE_ORDER, "theta", F.round("weight", 6).alias("weight"),
+                      F.round("prediction", 6).alias("prediction"))
+
+
+@register("follow_the_leader_stream")
+def q_follow_the_leader_stream(spark, sf_dir):
+    out = _stream_through(spark, _line_ftl(spark, sf_dir), LINE_ORDER,
+                          stream_ordered.ftl_step("x", "y", LINE_ORDER), "ftl")
+    return out.select(*LINE_ORDER, "leader", "prediction")
