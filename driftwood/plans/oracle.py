@@ -709,3 +709,10 @@ UNION ALL SELECT 'user', CAST(user_id AS DOUBLE) FROM (SELECT DISTINCT user_id F
 ORACLE["running_max_subarray_stream"] = ORACLE["running_max_subarray"]
 ORACLE["rls_stream"] = ORACLE["rls_weights"]
 ORACLE["follow_the_leader_stream"] = ORACLE["follow_the_leader"]
+ORACLE["bloom_stream"] = ORACLE["bloom_probe_asof"]
+ORACLE["substring_search_stream"] = ORACLE["substring_search_asof"]
+ORACLE["dispatch_commands"] = """
+SELECT CASE o_orderstatus WHEN 'F' THEN 'EXAMPLE' WHEN 'O' THEN 'QUERY' ELSE 'OTHER' END AS route,
+       o_orderkey FROM orders"""
+ORACLE["weighted_examples"] = """
+SELECT vec_id, label / 10.0 AS weight, label + 1 AS label2, -1.0 AS f0 FROM embeddings"""

@@ -1025,3 +1025,93 @@ def q_follow_the_leader_stream(spark, sf_dir):
     out = _stream_through(spark, _line_ftl(spark, sf_dir), LINE_ORDER,
                           stream_ordered.ftl_step("x", "y", LINE_ORDER), "ftl")
     return out.select(*LINE_ORDER, "leader", "prediction")
+
+
+# ------------------------------------------------------------------ streams
+
+from driftwood.operators import dataflow  # noqa: E402
+from driftwood.sources import commands  # noqa: E402
+from driftwood.streaming import membership as stream_membership  # noqa: E402
+from driftwood.streaming import substring as stream_substring  # noqa: E402
+from driftwood.streaming import tree as stream_tree  # noqa: E402
+
+
+@register("bloom_stream")
+def q_bloom_stream(spark, sf_dir):
+    """Order customers (data, arriving by order key) and all customers (queries,
+    arriving at 40 * key) merged into one stream sharing one filter."""
+    data = table(spark, sf_dir, "orders").select(F.lit("data").alias("kind"),
+                                                 F.col("o_orderkey").alias("seq"),
+                                                 F.col("o_custkey").alias("value"))
+    qs = table(spark, sf_dir, "customer").select(F.lit("query").alias("kind"),
+                                                 (F.col("c_custkey") * 40).alias("seq"),
+                                                 F.col("c_custkey").alias("value"))
+    merged = dataflow.merge_streams(data, qs)
+    out = _stream_through(spark, merged, ["seq", "kind"], stream_membership.bloom_step(), "bloom")
+    return out.filter(F.col("kind") == "query").select(
+        F.col("value").alias("c_custkey"), "maybe", "answer")
+
+
+@register("substring_search_stream")
+def q_substring_search_stream(spark, sf_dir):
+    """Documents (strings, arriving by doc id) and benchmark items (queries,
+    arriving at 25 * item id) on one stream."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.lit("string").alias("kind"), F.col("doc_id").alias("seq"), F.col("doc_id").alias("id"),
+        "text")
+    qs = table(spark, sf_dir, "benchmark").select(
+        F.lit("query").alias("kind"), (F.col("item_id") * 25).alias("seq"),
+        F.col("item_id").alias("id"), "text")
+    merged = docs.unionByName(qs)
+    path = runner.stage_files(merged, ["seq", "kind"], STREAM_FILES, "substring-src")
+    r = runner.StatefulBatches(spark, stream_substring.substring_step(), "substring",
+                               append_state=True)
+    out = runner.run_file_stream(spark, path, merged.schema, r)
+    return out.select(F.col("q_id").alias("item_id"), F.col("id").alias("doc_id"))
+
+
+@register("ht_stream")
+def q_ht_stream(spark, sf_dir):
+    """Command lines (EXAMPLE for finished lines, QUERY for open ones) written as
+    files, read as a text stream (A6), dispatched (B5), answered then learned (H12)."""
+    ex = _line_examples(spark, sf_dir)
+    cmds = dataflow.tag_commands(ex, "EXAMPLE").withColumn(
+        "cmd", F.when(F.col("l_linestatus") == "F", F.lit("EXAMPLE")).otherwise(F.lit("QUERY")))
+    cols = [*LINE_ORDER, *NUMERIC_FEATURES, "f_status", "f_line", "label"]
+    lines = cmds.select(*LINE_ORDER, commands.command_line(
+        F.col("cmd"), arff.arff_dense_line(cmds, LINE_ARFF, cols)).alias("value"))
+    staged = runner.stage_files(lines, LINE_ORDER, STREAM_FILES, "ht-cmd-src")
+    text_dir = scratch_path(spark, "ht-cmd-text")
+    spark.read.parquet(staged).select("value").write.text(text_dir)
+    stream = commands.read_command_stream(spark, text_dir, LINE_ARFF, max_files_per_trigger=None)
+    ht = HoeffdingTree(TREE_FEATURES, 3, nominal=TREE_NOMINAL, grace=200)
+    r = runner.StatefulBatches(spark, stream_tree.tree_step(ht, LINE_ORDER, LINE_ORDER), "ht-stream")
+    q = (stream.writeStream.foreachBatch(r).option("checkpointLocation",
+                                                   scratch_path(spark, "ht-stream-ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return r.output().select(*LINE_ORDER, "prediction")
+
+
+@register("dispatch_commands")
+def q_dispatch_commands(spark, sf_dir):
+    """Tag orders by status, merge, dispatch; per route the row count."""
+    od = table(spark, sf_dir, "orders")
+    ex = dataflow.tag_commands(od.filter(F.col("o_orderstatus") == "F"), "EXAMPLE")
+    qu = dataflow.tag_commands(od.filter(F.col("o_orderstatus") == "O"), "QUERY")
+    other = dataflow.tag_commands(od.filter(~F.col("o_orderstatus").isin("F", "O")), "NOOP")
+    merged = dataflow.merge_streams(dataflow.merge_streams(ex, qu), other)
+    e, q, o = dataflow.dispatch_commands(merged)
+    return (e.select(F.lit("EXAMPLE").alias("route"), "o_orderkey")
+            .unionByName(q.select(F.lit("QUERY").alias("route"), "o_orderkey"))
+            .unionByName(o.select(F.lit("OTHER").alias("route"), "o_orderkey")))
+
+
+@register("weighted_examples")
+def q_weighted_examples(spark, sf_dir):
+    """weight = label / 10, a derived label column, feature 0 set to -1."""
+    e = table(spark, sf_dir, "embeddings")
+    w = dataflow.with_weight(e, F.col("label") / 10.0)
+    w = dataflow.with_feature(w, "embedding", 0, -1.0)
+    w = dataflow.with_label(w, F.col("label") + 1, "label2")
+    return w.select("vec_id", "weight", "label2", F.col("embedding")[0].alias("f0"))
