@@ -480,8 +480,10 @@ def q_poor_features(spark, sf_dir):
 
 def _labelled_tf(spark, sf_dir, docs=None) -> DataFrame:
     docs = docs if docs is not None else table(spark, sf_dir, "documents")
-    tf = vec.word_counts(docs, "doc_id", "text", "tf")
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    # only labelled documents are tokenized (semi-join before the word counts)
+    docs = docs.join(lab.select("doc_id"), "doc_id", "left_semi")
+    tf = vec.word_counts(docs, "doc_id", "text", "tf")
     return tf.join(lab, "doc_id")
 
 
