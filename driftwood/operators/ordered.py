@@ -129,13 +129,15 @@ def _ftl_unbounded(base, hyps, loss, order_cols, key_cols, bucket_opts):
     px = F.lag("_x", 1).over(wl)
     local = base.withColumn("_px", px)
     n = len(hyps)
-    local = local.select("*", *[F.sum(F.when(F.col("_px").isNull(), F.lit(0.0))
-                                      .otherwise(loss(h(F.col("_px")), F.col("_y")))).over(w)
-                                .alias(f"_l{i}") for i, h in enumerate(hyps)])
+    local = local.select("*", *[F.when(F.col("_px").isNull(), F.lit(0.0))
+                                .otherwise(loss(h(F.col("_px")), F.col("_y"))).alias(f"_e{i}")
+                                for i, h in enumerate(hyps)])
+    local = local.select("*", *[F.sum(f"_e{i}").over(w).alias(f"_l{i}") for i in range(n)])
     okey = F.struct(*[F.col(c) for c in order_cols])
+    # bucket totals are plain sums of the per-row losses (hash aggregate)
     summ = local.groupBy(*g).agg(
         F.min_by("_y", okey).alias("_fy"), F.max_by("_x", okey).alias("_lx"),
-        *[F.max_by(f"_l{i}", okey).alias(f"_T{i}") for i in range(n)])
+        *[F.sum(f"_e{i}").alias(f"_T{i}") for i in range(n)])
     wk = Window.partitionBy(*key_cols).orderBy(BUCKET)
     s = summ.withColumn("_plx", F.lag("_lx", 1, 0.0).over(wk))
     s = s.select(*g, *[(F.col(f"_T{i}") + loss(h(F.col("_plx")), F.col("_fy"))).alias(f"_B{i}")
