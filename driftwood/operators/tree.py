@@ -390,13 +390,14 @@ class HoeffdingTree:
         candidate as feature -1, ranked best first."""
         node, C = self.nodes[lid], self.num_classes
         out = []
+        mine_n: dict = {}
+        for (l2, f2, c, v), w in self.n.items():
+            if l2 == lid:
+                mine_n.setdefault(f2, {})[(c, v)] = w
         for f in range(len(self.feature_cols)):
             best = None
             if f in self.nominal:
-                cnt = {}
-                for (l2, f2, c, v), w in self.n.items():
-                    if l2 == lid and f2 == f:
-                        cnt[(c, v)] = cnt.get((c, v), 0.0) + w
+                cnt = mine_n.get(f, {})
                 if not cnt:
                     continue
                 tot = [sum(w for (c, _), w in cnt.items() if c == k) for k in range(C)]
