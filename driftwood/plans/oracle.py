@@ -682,7 +682,7 @@ JOIN documents d ON contains(d.text, b.text) AND d.doc_id < b.item_id * 25"""
 ORACLE["substring_search_words"] = """
 WITH w AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM conversations),
 h AS (SELECT DISTINCT w.word, b.item_id FROM w JOIN benchmark b ON contains(b.text, w.word))
-SELECT word, list(item_id ORDER BY item_id) AS ids FROM h GROUP BY word"""
+SELECT word, item_id FROM h"""
 
 # ------------------------------------------------------------------ formats
 ORACLE["read_arff"] = f"""

@@ -898,14 +898,14 @@ def q_substring_search_asof(spark, sf_dir):
 @register("substring_search_words")
 def q_substring_search_words(spark, sf_dir):
     """Word queries (every distinct word of the conversations' texts, short ones included)
-    against the benchmark texts, in the reference's list form."""
+    against the benchmark texts: (word, item_id) pairs."""
     conv = table(spark, sf_dir, "conversations")
     words = conv.select(F.explode(F.split("text", " ")).alias("word")).distinct()
     bench = table(spark, sf_dir, "benchmark")
     idx = substring.substring_index(bench, "item_id", "text", SUBSTRING_Q)
     hits = substring.substring_search(idx, bench, "item_id", "text", words, ["word"], "word",
                                       SUBSTRING_Q)
-    return substring.substring_search_lists(hits, ["word"])
+    return hits.select("word", F.col("id").alias("item_id"))
 
 
 # ------------------------------------------------------------------ formats
