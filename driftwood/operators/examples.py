@@ -13,14 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftwood.plans.parallelism import ensure_parallelism
-
 
 def to_long(df: DataFrame, id_cols: Sequence[str], features, label: str | None = None,
             weight: str | Column | None = None) -> DataFrame:
     """Wide -> long.  ``features`` is a list of numeric columns (feature index =
     list position) or the name of an array column (index = array position)."""
-    df = ensure_parallelism(df)
     keep = [F.col(c) for c in id_cols]
     if label is not None:
         keep.append(F.col(label).alias("label"))
