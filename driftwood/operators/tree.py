@@ -158,6 +158,23 @@ class HoeffdingTree:
         cond = (x < F.lit(node.value)) if node.test == "numeric" else (x == F.lit(node.value))
         return F.when(cond, child(0)).otherwise(child(1))
 
+    def route_values(self, values: Sequence) -> int:
+        """H1 on the driver for one example (same tests as the Column form)."""
+        node = self.nodes[0]
+        while node.kind == "split":
+            v = values[node.feature]
+            if node.test == "multiway":
+                b = int(v) if v is not None else -1
+            elif node.test == "numeric":
+                b = 0 if (v is not None and v < node.value) else 1
+            else:
+                b = 0 if (v is not None and v == node.value) else 1
+            cid = node.children.get(b)
+            if cid is None:
+                break
+            node = self.nodes[cid]
+        return node.id
+
     def route(self) -> Column:
         """H1: leaf id of each row (a split node id when its child is missing)."""
         return self._node_expr(self.nodes[0], lambda n: F.lit(n.id)).cast("int")
@@ -194,7 +211,8 @@ class HoeffdingTree:
                                         ["leaf", "feature", "label"]) if nom_idx else None
         return cd, g, nstat
 
-    def block_summary(self, block: DataFrame, order_cols: Sequence[str] | None = None):
+    def block_summary(self, block: DataFrame, order_cols: Sequence[str] | None = None,
+                      with_last: bool = True):
         """H2 in one job: every leaf statistic of the block plus the leaf of the
         block's last example, as one grouped aggregate with two grouping sets
         ``(leaf, feature, label, vkey)`` and ``()``.  Rows: feature -1 = class
@@ -218,6 +236,16 @@ class HoeffdingTree:
               & (F.col("weight") > 0))
         finite = F.col("x").isNotNull() & ~F.isnan("x") & (F.abs(F.col("x")) != F.lit(float("inf")))
         keys = ["leaf", "feature", "label", "vkey"]
+        if not with_last:  # plain hash aggregate
+            agg = long.groupBy(*keys).agg(
+                F.sum(F.when(F.col("x").isNull(), F.col("weight")).otherwise(
+                    F.when(ok, F.col("weight")))).alias("w"),
+                F.sum(F.when(ok, F.col("weight") * F.col("x"))).alias("s1"),
+                F.sum(F.when(ok, F.col("weight") * F.col("x") * F.col("x"))).alias("s2"),
+                F.min(F.when(finite, F.col("x"))).alias("mn"),
+                F.max(F.when(finite, F.col("x"))).alias("mx"),
+                F.lit(None).cast("int").alias("last_leaf"), F.lit(0).alias("gid"))
+            return agg.collect()
         agg = long.groupingSets([keys, []], *keys).agg(
             F.sum(F.when(F.col("x").isNull(), F.col("weight")).otherwise(
                 F.when(ok, F.col("weight")))).alias("w"),
@@ -514,12 +542,21 @@ class HoeffdingTree:
 
     # ------------------------------------------------------------------ H8 training
     def train_block(self, block: DataFrame, order_cols: Sequence[str] | None = None,
-                    id_cols: Sequence[str] | None = None) -> dict:
-        """One block: (adaptive tracking), stats, merge, split attempts."""
+                    id_cols: Sequence[str] | None = None, last_example: Sequence | None = None) -> dict:
+        """One block: (adaptive tracking), stats, merge, split attempts.
+
+        ``last_example`` (feature values of the block's last example, known
+        when the blocks were written) lets the driver route it, so the block
+        job is a plain hash aggregate."""
         if self.leaf_type == "adaptive" and id_cols:
             self._track_correct(block, id_cols)
         self._spark = block.sparkSession
-        cd, g, nrows, last = self._split_summary(self.block_summary(block, order_cols))
+        if last_example is not None:
+            last_leaf = self.route_values(last_example)  # routed before this block's splits
+            cd, g, nrows, _ = self._split_summary(self.block_summary(block, order_cols, False))
+            last = last_leaf
+        else:
+            cd, g, nrows, last = self._split_summary(self.block_summary(block, order_cols))
         touched = self.merge_block(cd, g, nrows)
         if self.split_all or not order_cols:
             targets = touched
@@ -541,9 +578,12 @@ class HoeffdingTree:
         path = scratch_path(spark, "ht-blocks")
         blocked.write.partitionBy(scan.BUCKET).parquet(path)
         stored = spark.read.parquet(path)
+        okey = F.struct(*[F.col(c) for c in order_cols])
+        lasts = {r[0]: tuple(r[1]) for r in stored.groupBy(scan.BUCKET).agg(
+            F.max_by(F.struct(*self.feature_cols), okey)).collect()}  # one row per block
         for b in range(nb):
             self.train_block(stored.filter(F.col(scan.BUCKET) == b), order_cols,
-                             id_cols or order_cols)
+                             id_cols or order_cols, last_example=lasts.get(b))
         return self
 
     # ------------------------------------------------------------------ H9-H11 prediction
