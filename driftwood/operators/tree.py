@@ -132,6 +132,7 @@ class HoeffdingTree:
         self.nodes: dict[int, Node] = {0: Node(0, None, None, 0, "active", [0.0] * self.num_classes)}
         self.next_id = 1
         self.split_engine = split_engine
+        self.max_when_nodes = 500  # above this, route by joins per level
         # leaf statistics, bounded by leaves x features x classes (x values):
         # {(leaf, feature, label): [n, mean, m2, min, max]} and
         # {(leaf, feature, label, value): w}
@@ -179,6 +180,44 @@ class HoeffdingTree:
         """H1: leaf id of each row (a split node id when its child is missing)."""
         return self._node_expr(self.nodes[0], lambda n: F.lit(n.id)).cast("int")
 
+    def route_join(self, df: DataFrame, name: str = "leaf") -> DataFrame:
+        """H1 for large trees: the node table (bounded by the model size) is
+        broadcast and every row descends one level per broadcast hash join,
+        for ``height`` joins; no shuffle and no giant expression."""
+        spark = df.sparkSession
+        rows = []
+        for n in self.nodes.values():
+            kids = {int(b): int(c) for b, c in n.children.items()}
+            rows.append((n.id, n.kind == "split", n.feature, n.test, n.value, kids))
+        nodes = F.broadcast(spark.createDataFrame(
+            rows, "_nid int, _split boolean, _f int, _test string, _val double, _kids map<int,int>"))
+        feats = F.array(*[F.col(c).cast("double") for c in self.feature_cols])
+        cur = df.withColumn("_feats", feats).withColumn("_nid", F.lit(0))
+        height = max(n.depth for n in self.nodes.values())
+        for _ in range(height):
+            j = cur.join(nodes, "_nid", "left")
+            v = F.element_at("_feats", F.col("_f") + 1)
+            branch = (F.when(F.col("_test") == "multiway", v.cast("int"))
+                      .when(F.col("_test") == "numeric", F.when(v < F.col("_val"), 0).otherwise(1))
+                      .otherwise(F.when(v == F.col("_val"), 0).otherwise(1)))
+            nxt = F.when(F.col("_split"), F.coalesce(F.try_element_at("_kids", branch), F.col("_nid"))) \
+                .otherwise(F.col("_nid"))
+            cur = j.select(*df.columns, "_feats", nxt.alias("_nid"))
+        return cur.select(*df.columns, F.col("_nid").cast("int").alias(name))
+
+    def with_leaf(self, df: DataFrame, name: str = "leaf") -> DataFrame:
+        """Append the leaf id: one ``when`` Column for small trees, joins per
+        level above ``max_when_nodes`` nodes."""
+        if len(self.nodes) > self.max_when_nodes:
+            return self.route_join(df, name)
+        return df.withColumn(name, self.route())
+
+    def majority_of(self, leaf: Column) -> Column:
+        """Majority class of a node id (a literal map bounded by the node count)."""
+        m = F.create_map(*[x for n in self.nodes.values()
+                           for x in (F.lit(n.id), F.lit(_argmax(n.dist)))])
+        return F.element_at(m, leaf).cast("int")
+
     def majority_column(self) -> Column:
         """H9: majority class of the reached node, compiled into the same tree."""
         return self._node_expr(self.nodes[0], lambda n: F.lit(_argmax(n.dist))).cast("int")
@@ -219,8 +258,9 @@ class HoeffdingTree:
         distribution, numeric features = Gaussian power sums, nominal features
         = counts per value (``vkey``)."""
         okey = (F.struct(*[F.col(c) for c in order_cols]) if order_cols else F.lit(0))
-        routed = block.select(self.route().alias("leaf"), F.col(self.label).cast("int").alias("label"),
-                              self._w().alias("weight"), okey.alias("_o"), *self.feature_cols)
+        routed = self.with_leaf(block.select(F.col(self.label).cast("int").alias("label"),
+                                             self._w().alias("weight"), okey.alias("_o"),
+                                             *self.feature_cols))
         items = [F.struct(F.lit(-1).alias("feature"), F.lit(None).cast("double").alias("x"),
                           F.lit(None).cast("double").alias("vkey"))]
         for i, c in enumerate(self.feature_cols):
@@ -640,9 +680,15 @@ class HoeffdingTree:
 
     def predict(self, df: DataFrame, id_cols: Sequence[str], name: str = "prediction") -> DataFrame:
         """H9 (majority), H10 (NB leaves) or H11 (adaptive) per ``leaf_type``."""
-        if self.leaf_type == "majority" or not self.g:
+        if len(self.nodes) > self.max_when_nodes:
+            routed = self.with_leaf(df.select(*id_cols, *self.feature_cols))
+            if self.leaf_type == "majority" or not self.g:
+                return routed.select(*id_cols, self.majority_of(F.col("leaf")).alias(name))
+            base = routed.select(*id_cols, "leaf", self.majority_of(F.col("leaf")).alias("mc"))
+        elif self.leaf_type == "majority" or not self.g:
             return df.select(*id_cols, self.majority_column().alias(name))
-        base = df.select(*id_cols, self.route().alias("leaf"), self.majority_column().alias("mc"))
+        else:
+            base = df.select(*id_cols, self.route().alias("leaf"), self.majority_column().alias("mc"))
         nbp = self._nb_argmax(df, id_cols)
         j = base.join(nbp, list(id_cols), "left")
         if self.leaf_type == "nb":

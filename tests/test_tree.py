@@ -76,3 +76,27 @@ def test_nb_and_adaptive_leaves_predict(spark):
 def test_merit_of_matches_definition():
     assert merit_of("info_gain", [[10.0, 0.0], [0.0, 10.0]]) == 1.0
     assert merit_of("info_gain", [[10.0, 10.0], [0.0, 0.0]]) == float("-inf")
+
+
+def test_route_join_matches_when_tree(spark):
+    df = _data(spark, 600)
+    ht = HoeffdingTree(["x", "z"], 2, nominal={1: 3}, grace=50, split_all=True)
+    ht.fit(df, ["seq"], rows_per_block=200)
+    a = df.select("seq", ht.route().alias("leaf"))
+    b = ht.route_join(df.select("seq", "x", "z")).select("seq", "leaf")
+    assert a.exceptAll(b).count() == 0 and b.count() == 600
+
+
+def test_large_tree_path_matches_small(spark):
+    df = _data(spark, 600)
+    ht = HoeffdingTree(["x", "z"], 2, nominal={1: 3}, grace=50, split_all=True)
+    ht.fit(df, ["seq"], rows_per_block=200)
+    small = ht.predict(df, ["seq"])
+    ht.max_when_nodes = 1  # force the join-per-level router
+    big = ht.predict(df, ["seq"])
+    assert small.exceptAll(big).count() == 0
+    ht2 = HoeffdingTree(["x", "z"], 2, nominal={1: 3}, grace=50, split_all=True)
+    ht2.max_when_nodes = 1
+    ht2.fit(df, ["seq"], rows_per_block=200)
+    assert {n.id: (n.kind, n.feature) for n in ht2.nodes.values()} == \
+        {n.id: (n.kind, n.feature) for n in ht.nodes.values()}
