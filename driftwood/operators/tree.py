@@ -285,7 +285,7 @@ class HoeffdingTree:
                 F.min(F.when(finite, F.col("x"))).alias("mn"),
                 F.max(F.when(finite, F.col("x"))).alias("mx"),
                 F.lit(None).cast("int").alias("last_leaf"), F.lit(0).alias("gid"))
-            return agg.collect()
+            return agg.collect()  # leaves x features x classes (x values) rows
         agg = long.groupingSets([keys, []], *keys).agg(
             F.sum(F.when(F.col("x").isNull(), F.col("weight")).otherwise(
                 F.when(ok, F.col("weight")))).alias("w"),
