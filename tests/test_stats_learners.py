@@ -95,3 +95,14 @@ def test_to_long(spark):
     df = spark.createDataFrame([(1, 2.0, 3.0, 0)], "id int, a double, b double, y int")
     got = sorted((r.feature, r.value) for r in to_long(df, ["id"], ["a", "b"], "y").collect())
     assert got == [(0, 2.0), (1, 3.0)]
+
+
+def test_gaussian_two_pass_is_stable(spark):
+    base = 1e9
+    rows = [(0, base + (i % 3) * 1e-3, 1.0) for i in range(3000)]
+    df = spark.createDataFrame(rows, "label int, value double, weight double").withColumn("feature", F.lit(0))
+    vals = [v for _, v, _ in rows]
+    mean = sum(vals) / len(vals)
+    m2 = sum((v - mean) ** 2 for v in vals)
+    got = observers.gaussian_stats(df, two_pass=True).first()
+    assert got.m2 == pytest.approx(m2, rel=1e-3)
