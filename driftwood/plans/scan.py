@@ -232,14 +232,14 @@ def with_lags(df: DataFrame, cols: Sequence[str], k: int, order_cols, key_cols=(
     base, _ = add_range_bucket(df, order_cols, **bucket_opts)
     g = [*key_cols, BUCKET]
     w = Window.partitionBy(*g).orderBy(*order_cols)
-    wrev = Window.partitionBy(*g).orderBy(*[F.col(c).desc() for c in order_cols])
+    wall = Window.partitionBy(*g)  # same partitioning and sort: no second sort
     local = base.select("*", (F.row_number().over(w) - 1).alias("_rn"),
-                        F.row_number().over(wrev).alias("_rrn"),
+                        F.count(F.lit(1)).over(wall).alias("_cnt"),
                         *[F.lag(c, i).over(w).alias(f"{prefix}{i}_{c}")
                           for i in range(1, k + 1) for c in cols])
     tail_struct = F.struct(*[F.col(c).alias(f"o{j}") for j, c in enumerate(order_cols)],
                            *[F.col(c).alias(f"v_{c}") for c in cols])
-    tails = (local.filter(F.col("_rrn") <= k)
+    tails = (local.filter(F.col("_cnt") - F.col("_rn") <= k)
              .groupBy(*g).agg(F.sort_array(F.collect_list(tail_struct)).alias("_tail")))
     wprev = Window.partitionBy(*key_cols).orderBy(BUCKET).rowsBetween(-k, -1)
     carry = tails.select(*g, F.flatten(F.collect_list("_tail").over(wprev)).alias("_prev"))
