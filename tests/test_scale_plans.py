@@ -49,3 +49,56 @@ def test_multi_column_order_with_ties_in_first_column(spark):
                                                                 rows_per_bucket=200)
            .orderBy("t", "id").collect()]
     assert got == _kadane([x for _, _, x in rows])
+
+
+def test_partition_count_invariance(spark):
+    rng = random.Random(9)
+    rows = [(i % 5, i, rng.randint(-20, 20), float(rng.randint(0, 9))) for i in range(1500)]
+    df = spark.createDataFrame(rows, "k long, seq long, x long, y double")
+    outs = []
+    for parts in (1, 8):
+        d = df.repartition(parts)
+        kad = ordered.running_max_subarray(d, "x", ["seq"], ["k"], min_buckets=4)
+        ftl = ordered.follow_the_leader(d, F.col("x").cast("double"), "y", ["seq"], min_buckets=4)
+        outs.append((sorted(tuple(r) for r in kad.select("seq", "max_subarray").collect()),
+                     sorted(tuple(r) for r in ftl.select("seq", "leader").collect())))
+    assert outs[0] == outs[1]
+
+
+def test_nb_and_nominal_merge_equal_whole(spark):
+    from driftwood.operators import bayes, observers
+
+    rows = [(i, i % 2, {"a": float(i % 3), "b": float(i % 5 + 1)}) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, label int, tf map<string,double>")
+    whole = bayes.nb_train(df, "tf")
+    merged = bayes.nb_merge(bayes.nb_train(df.filter("id < 77"), "tf"),
+                            bayes.nb_train(df.filter("id >= 77"), "tf"))
+    key = lambda t: sorted(tuple(r) for r in t.collect())
+    assert key(whole.feature_sums) == key(merged.feature_sums)
+    assert key(whole.class_counts) == key(merged.class_counts)
+    long = spark.createDataFrame([(0, i % 3, float(i % 4), 1.0) for i in range(120)],
+                                 "feature int, label int, value double, weight double")
+    a = observers.nominal_stats(long.filter("value < 2"))
+    b = observers.nominal_stats(long.filter("value >= 2"))
+    assert key(observers.merge_nominal_stats(a, b)) == key(observers.nominal_stats(long))
+
+
+def test_chi_square_matches_spark_ml(spark):
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.stat import ChiSquareTest
+
+    from driftwood.operators import statistics
+
+    rng = random.Random(4)
+    rows = []
+    for _ in range(400):
+        lab = rng.randint(0, 2)
+        v = min(3, max(0, lab + rng.randint(-1, 1)))
+        rows.append((float(lab), float(v)))
+    long = spark.createDataFrame([(0, v, int(lab)) for lab, v in rows], "feature int, value double, label int")
+    mine = statistics.chi_square_test(long).first()
+    vec = spark.createDataFrame([(lab, Vectors.dense([v])) for lab, v in rows], ["label", "features"])
+    ml = ChiSquareTest.test(vec, "features", "label").first()
+    assert abs(mine.statistic - ml.statistics[0]) < 1e-6
+    assert mine.dof == ml.degreesOfFreedom[0]
+    assert abs(mine.p_value - ml.pValues[0]) < 1e-6

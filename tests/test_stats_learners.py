@@ -106,3 +106,11 @@ def test_gaussian_two_pass_is_stable(spark):
     m2 = sum((v - mean) ** 2 for v in vals)
     got = observers.gaussian_stats(df, two_pass=True).first()
     assert got.m2 == pytest.approx(m2, rel=1e-3)
+
+
+def test_f_pvalue_closed_form(spark):
+    # df1 = 2: P(F > f) = (d2 / (d2 + 2 f)) ** (d2 / 2)
+    rows = [(f, d2) for f in (0.3, 1.0, 2.5, 6.0) for d2 in (5, 40, 3000)]
+    df = spark.createDataFrame(rows, "f double, d2 int")
+    for r in df.select("f", "d2", S.f_test_pvalue("f", F.lit(2), "d2").alias("p")).collect():
+        assert r.p == pytest.approx((r.d2 / (r.d2 + 2 * r.f)) ** (r.d2 / 2), rel=1e-8, abs=1e-12)
