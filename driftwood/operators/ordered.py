@@ -122,7 +122,7 @@ def follow_the_leader(df: DataFrame, x, y, order_cols, key_cols=(), *, hypothese
 def _ftl_unbounded(base, hyps, loss, order_cols, key_cols, bucket_opts):
     """One bucketed pass: local loss sums use the in-bucket previous x; the
     first row of each bucket is corrected with the previous bucket's last x."""
-    base, _ = scan.add_range_bucket(base, order_cols, **bucket_opts)
+    base, _ = scan.add_range_bucket(base, order_cols, key_cols=key_cols, **bucket_opts)
     g = [*key_cols, BUCKET]
     wl = Window.partitionBy(*g).orderBy(*order_cols)
     w = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -77,17 +77,36 @@ def choose_buckets(spark, n_rows: int, rows_per_bucket: int, max_buckets: int,
 
 def add_range_bucket(df: DataFrame, order_cols, *, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
                      max_buckets: int = DEFAULT_MAX_BUCKETS, min_buckets: int | None = None,
-                     oversample: int = DEFAULT_OVERSAMPLE, seed: int = 29) -> tuple[DataFrame, int]:
-    """Append ``_bucket``: a monotone range bucket of the order key."""
-    order_cols = _as_list(order_cols)
+                     oversample: int = DEFAULT_OVERSAMPLE, seed: int = 29,
+                     key_cols=()) -> tuple[DataFrame, int]:
+    """Append ``_bucket``: a monotone range bucket of the order key.
+
+    With ``key_cols`` only *hot* keys are split: a key holding more rows than
+    one bucket's worth (``max(rows_per_bucket, n / buckets)``) gets range
+    buckets, every other key stays in bucket 0, so the per-(key, bucket)
+    summary stays about one row per key.  At most ``n / threshold`` keys can
+    be hot, so the hot-key list is a proven-bounded broadcast.
+    """
+    order_cols, key_cols = _as_list(order_cols), _as_list(key_cols)
     n = df.count()
     nb = choose_buckets(df.sparkSession, n, rows_per_bucket, max_buckets, min_buckets)
     if nb <= 1:
         return df.withColumn(BUCKET, F.lit(0)), 1
+    hot = None
+    src = df
+    if key_cols:
+        threshold = max(int(rows_per_bucket), n // nb)
+        hot = (df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
+               .filter(F.col("_n") > threshold).select(*key_cols, F.lit(True).alias("_hot")))
+        if hot.limit(1).count() == 0:
+            return df.withColumn(BUCKET, F.lit(0)), 1
+        hot = F.broadcast(hot)  # at most n / threshold <= buckets rows
+        src = df.join(hot.select(*key_cols), key_cols, "left_semi")
+        n = max(1, src.count())
     want = nb * oversample
     frac = min(1.0, want / n)
     # Bounded sample: only boundary estimation, every row is still processed.
-    sample = (df.select(*order_cols).na.drop().sample(False, frac, seed)
+    sample = (src.select(*order_cols).na.drop().sample(False, frac, seed)
               .limit(2 * want).collect())
     keys = sorted(tuple(r) for r in sample)
     bounds = []
@@ -99,8 +118,12 @@ def add_range_bucket(df: DataFrame, order_cols, *, rows_per_bucket: int = DEFAUL
             bounds.append(k)
     if not bounds:
         return df.withColumn(BUCKET, F.lit(0)), 1
-    expr = _search_tree(_order_key(order_cols), bounds, order_cols, 0, len(bounds))
-    return df.withColumn(BUCKET, expr.cast("int")), len(bounds) + 1
+    expr = _search_tree(_order_key(order_cols), bounds, order_cols, 0, len(bounds)).cast("int")
+    if hot is not None:
+        j = df.join(hot, key_cols, "left")
+        return (j.withColumn(BUCKET, F.when(F.col("_hot"), expr).otherwise(F.lit(0))).drop("_hot"),
+                len(bounds) + 1)
+    return df.withColumn(BUCKET, expr), len(bounds) + 1
 
 
 def _carry_window(key_cols: list[str], exclusive: bool = True):
@@ -125,7 +148,7 @@ def running_sums(df: DataFrame, sums: Mapping[str, Column], order_cols, key_cols
     order_cols, key_cols = _as_list(order_cols), _as_list(key_cols)
     names = list(sums)
     base = df.select("*", *[sums[n].alias(f"_v_{n}") for n in names])
-    base, _ = add_range_bucket(base, order_cols, **bucket_opts)
+    base, _ = add_range_bucket(base, order_cols, key_cols=key_cols, **bucket_opts)
     g = [*key_cols, BUCKET]
     w = Window.partitionBy(*g).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding,
                                                                Window.currentRow)
@@ -155,7 +178,7 @@ def row_position(df: DataFrame, order_cols, key_cols=(), name: str = "pos",
 def _kadane_parts(df: DataFrame, x: Column, order_cols, key_cols, bucket_opts):
     order_cols, key_cols = _as_list(order_cols), _as_list(key_cols)
     base = df.select("*", x.cast("long").alias("_x"))
-    base, _ = add_range_bucket(base, order_cols, **bucket_opts)
+    base, _ = add_range_bucket(base, order_cols, key_cols=key_cols, **bucket_opts)
     g = [*key_cols, BUCKET]
     w = Window.partitionBy(*g).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding,
                                                                Window.currentRow)
@@ -229,7 +252,7 @@ def with_lags(df: DataFrame, cols: Sequence[str], k: int, order_cols, key_cols=(
     """
     order_cols, key_cols = _as_list(order_cols), _as_list(key_cols)
     cols = list(cols)
-    base, _ = add_range_bucket(df, order_cols, **bucket_opts)
+    base, _ = add_range_bucket(df, order_cols, key_cols=key_cols, **bucket_opts)
     g = [*key_cols, BUCKET]
     w = Window.partitionBy(*g).orderBy(*order_cols)
     wall = Window.partitionBy(*g)  # same partitioning and sort: no second sort

@@ -102,3 +102,26 @@ def test_chi_square_matches_spark_ml(spark):
     assert abs(mine.statistic - ml.statistics[0]) < 1e-6
     assert mine.dof == ml.degreesOfFreedom[0]
     assert abs(mine.p_value - ml.pValues[0]) < 1e-6
+
+
+def test_hot_key_ftl_and_rls(spark):
+    from tests.test_ordered import ftl_loop, rls_loop
+
+    rng = random.Random(8)
+    rows = [(1 if i % 2 == 0 else 2 + i % 37, i, float(i % 11), float(rng.randint(0, 60)))
+            for i in range(900)]
+    df = spark.createDataFrame(rows, "k long, seq long, x double, y double")
+    b, nb = scan.add_range_bucket(df, ["seq"], key_cols=["k"], min_buckets=6, rows_per_bucket=50)
+    per_key = {r.k: r.nb for r in b.groupBy("k").agg(F.countDistinct(scan.BUCKET).alias("nb")).collect()}
+    assert per_key[1] > 1 and all(v == 1 for k, v in per_key.items() if k != 1)
+    for window in (None, 4):
+        got = ordered.follow_the_leader(df, "x", "y", ["seq"], ["k"], window=window, min_buckets=6,
+                                        rows_per_bucket=50)
+        for key in (1, 3):
+            mine = [(r.leader, r.prediction) for r in got.filter(F.col("k") == key).orderBy("seq").collect()]
+            pairs = [(x, y) for k, _, x, y in rows if k == key]
+            assert mine == ftl_loop(pairs, list(range(31)), window)
+    rls = ordered.rls_weights(df, "x", "y", ["seq"], ["k"], min_buckets=6, rows_per_bucket=50)
+    mine = [r.weight for r in rls.filter("k = 1").orderBy("seq").collect()]
+    want = [w for _, w, _ in rls_loop([(x, y) for k, _, x, y in rows if k == 1], 1.0, 10.0)]
+    assert all(abs(a - b) <= 1e-7 * max(1.0, abs(b)) for a, b in zip(mine, want))
