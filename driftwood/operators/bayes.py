@@ -111,9 +111,13 @@ def nb_predict(model: NBModel, df: DataFrame, id_cols: Sequence[str], features,
     Features never seen in training are not part of the model and are
     ignored.  The class list is read from the (small) class table.
     """
+    # the model tables are small (classes, classes x features): materialize them once in the
+    # checkpoint folder so the scalar reads and the scoring plan do not re-run training
+    model = NBModel(model.class_counts.checkpoint(eager=True),
+                    model.feature_sums.checkpoint(eager=True))
     priors, conds = nb_params(model, smoothing, num_features)
-    classes = sorted(r.label for r in priors.select("label").collect())  # C rows
-    pr = {r.label: (r.log_prior, r.log_default) for r in priors.collect()}
+    pr = {r.label: (r.log_prior, r.log_default) for r in priors.collect()}  # C rows
+    classes = sorted(pr)
     delta = (conds.join(F.broadcast(priors.select("label", "log_default")), "label")
              .select("feature", F.struct("label", (F.col("log_cond") - F.col("log_default"))
                                          .alias("d")).alias("e"))
