@@ -136,11 +136,13 @@ def map_get(m, k) -> Column:
 
 
 def map_dot(a, b) -> Column:
-    """E2 sparse/text: sum over the keys of ``a`` of a_k * b_k."""
-    b = _c(b)
-    return F.aggregate(F.map_entries(_c(a)), _zero(),
-                       lambda acc, e: acc + e["value"] * F.coalesce(F.try_element_at(b, e["key"]),
-                                                                    _zero()))
+    """E2 sparse/text: sum over the common keys of a_k * b_k.
+
+    ``map_zip_with`` merges the two maps through a hash table (linear in
+    their sizes); a lookup per key would scan the other map every time.
+    """
+    z = F.map_zip_with(_c(a), _c(b), lambda k, x, y: F.coalesce(x * y, _zero()))
+    return F.aggregate(F.map_values(z), _zero(), lambda acc, v: acc + v)
 
 
 def map_add(a, b) -> Column:

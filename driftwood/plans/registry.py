@@ -217,7 +217,8 @@ def q_sparse_vec_ops(spark, sf_dir):
 
 
 def _doc_tf_pairs(spark, sf_dir) -> DataFrame:
-    tf = vec.word_counts(table(spark, sf_dir, "documents"), "doc_id", "text", "tf")
+    # both sides of the pair read one written word-count table (computed once)
+    tf = vec.word_counts(table(spark, sf_dir, "documents"), "doc_id", "text", "tf").checkpoint(eager=True)
     nxt = tf.select((F.col("doc_id") - 1).alias("doc_id"), F.col("tf").alias("tf2"))
     return tf.join(nxt, on="doc_id", how="inner")
 
