@@ -11,9 +11,22 @@ with brute-force versions.
 
 from __future__ import annotations
 
+from driftwood.llm import langid
 from driftwood.llm.common import documents, written
 from driftwood.llm.decontaminate import drop_contaminated
+from driftwood.llm.packing import pack
 from driftwood.llm.secret_scan import redact_secrets
+from driftwood.llm.simhash import drop_near_duplicates
+
+
+def language_stage(spark, docs, sf_dir):
+    """Drops the documents whose language the compression classifier rejects."""
+    return langid.keep_identified(docs, langid.train(docs))
+
+
+def near_duplicate_stage(spark, docs, sf_dir):
+    """Keeps one document (the least id) of each group of SimHash near-duplicates."""
+    return drop_near_duplicates(docs)
 
 
 def benchmark_stage(spark, docs, sf_dir):
@@ -26,7 +39,13 @@ def secret_stage(spark, docs, sf_dir):
     return redact_secrets(docs, length_col="n_chars")
 
 
-STAGES = [("benchmark_decontamination", benchmark_stage), ("secret_scan", secret_stage)]
+def packing_stage(spark, docs, sf_dir):
+    """The pieces of the packed token sequences, ids included."""
+    return pack(docs, with_ids=True)
+
+
+STAGES = [("language_id", language_stage), ("simhash_near_dedup", near_duplicate_stage),
+          ("benchmark_decontamination", benchmark_stage), ("secret_scan", secret_stage), ("packing", packing_stage)]
 
 ORACLE_SQL = None
 

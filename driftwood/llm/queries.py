@@ -2,17 +2,37 @@
 
 from __future__ import annotations
 
-from driftwood.llm import decontaminate, secret_scan
+from driftwood.llm import decontaminate, langid, packing, secret_scan, simhash, warc
 from driftwood.llm.common import documents
 
 
+def op2_simhash(spark, sf_dir):
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op4_packing(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir))
+
+
+def op7_warc(spark, sf_dir):
+    return warc.archive_report(documents(spark, sf_dir, "pages"))
+
+
 def op8_secret_scan(spark, sf_dir):
     return secret_scan.secret_report(documents(spark, sf_dir))
 
 
+def op9_language(spark, sf_dir):
+    docs = documents(spark, sf_dir).withColumn("held_out", langid.held_out("doc_id"))
+    learned = langid.train(docs.where("not held_out"))
+    return langid.identify(docs, learned, keep=("held_out",)).select(
+        "doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op10_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op8_secret_scan, op10_decontaminate)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_simhash, op4_packing, op7_warc, op8_secret_scan, op9_language,
+                                   op10_decontaminate)}
+ORACLE: dict[str, str] = {"op7_warc": warc.ORACLE}
