@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from driftwood.llm import decontaminate, langid, packing, secret_scan, simhash, warc
+from driftwood.llm import blocks, decontaminate, langid, packing, sampling, secret_scan, simhash, substrings, warc
 from driftwood.llm.common import documents
 
 
@@ -10,10 +10,23 @@ def op2_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op3_fingerprints(spark, sf_dir):
+    return sampling.fingerprint_edits(documents(spark, sf_dir))
+
+
 def op4_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir))
 
 
+def op5_main_text(spark, sf_dir):
+    pages = documents(spark, sf_dir, "pages")
+    return blocks.extract(pages, blocks.train(pages))
+
+
+def op6_repeats(spark, sf_dir):
+    return substrings.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op7_warc(spark, sf_dir):
     return warc.archive_report(documents(spark, sf_dir, "pages"))
 
@@ -33,6 +46,6 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op4_packing, op7_warc, op8_secret_scan, op9_language,
-                                   op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op2_simhash, op3_fingerprints, op4_packing, op5_main_text, op6_repeats, op7_warc,
+                                   op8_secret_scan, op9_language, op10_decontaminate)}
 ORACLE: dict[str, str] = {"op7_warc": warc.ORACLE}
