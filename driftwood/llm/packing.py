@@ -137,7 +137,6 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = bpe(paths).ids
-        end = np.array([end_id], dtype="<u4").tobytes()
         packer = Packer(capacity, max_open, TaskContext.get().partitionId() << 40)
 
         def batch() -> pa.RecordBatch:
@@ -149,7 +148,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity
 
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
-                packer.add(doc_id, np.frombuffer(encode(text.as_py()) + end, dtype="<u4"))
+                packer.add(doc_id, np.array(encode(text.as_py()) + [end_id], dtype="<u4"))
                 if len(packer.out) >= 10_000:
                     yield batch()
         packer.finish()

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from driftwood.llm import blocks, decontaminate, langid, packing, sampling, secret_scan, simhash, substrings, warc
+from driftwood.llm import blocks, decontaminate, langid, packing, sampling, secret_scan, simhash, substrings, training_order, warc
 from driftwood.llm.common import documents
 
 
+def op1_training_order(spark, sf_dir):
+    return training_order.order_report(documents(spark, sf_dir))
+
+
 def op2_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -46,6 +50,6 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op3_fingerprints, op4_packing, op5_main_text, op6_repeats, op7_warc,
+QUERIES = {f.__name__: f for f in (op1_training_order, op2_simhash, op3_fingerprints, op4_packing, op5_main_text, op6_repeats, op7_warc,
                                    op8_secret_scan, op9_language, op10_decontaminate)}
 ORACLE: dict[str, str] = {"op7_warc": warc.ORACLE}

@@ -1,27 +1,19 @@
 """Token ids of a byte-level BPE inside tasks.
 
-``Bpe(json_path, rank_path)`` gives, per text, the ids that the ``tokenizers`` library gives for
-``json_path`` with ``add_special_tokens=False`` (a special token's string in a
-text is that token).  The merges are done by ``tiktoken`` on the same
-vocabulary in rank form, which is several times faster; texts that hold a
-special token's string go through ``tokenizers`` itself.
-
-The pre-tokeniser never joins text across a space that precedes a visible
-character, so a text may be cut there and the parts' ids looked up in a
-bounded cache.
+``Bpe(json_path, rank_path)`` gives, per text, the ids that the ``tokenizers``
+library gives for ``json_path`` with ``add_special_tokens=False`` (a special
+token's string in a text is that token).  The merges are done by ``tiktoken``
+on the same vocabulary in rank form, several times faster; texts
+that hold a special token's string go through ``tokenizers`` itself.
 """
 
 from __future__ import annotations
 
 import base64
 import os
-import re
 
 import numpy as np
 
-_ODD_SPACE = re.compile(r" (?:\s|$)")
-_CUT = re.compile(r" (?=\S)")
-
 
 def default_paths() -> tuple[str, str]:
     import public_tokenizers as p
@@ -30,7 +22,7 @@ def default_paths() -> tuple[str, str]:
 
 
 class Bpe:
-    def __init__(self, json_path: str, rank_path: str, cache_entries: int = 300_000):
+    def __init__(self, json_path: str, rank_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers as p
         import tiktoken
@@ -38,34 +30,15 @@ class Bpe:
 
         with open(rank_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self._fast = tiktoken.Encoding("byte-bpe", pat_str=p.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._fast = tiktoken.Encoding("byte-bpe", pat_str=p.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self._exact = Tokenizer.from_file(json_path)
         self._special = [t.content for t in self._exact.get_added_tokens_decoder().values()]
-        self._cache: dict[str, bytes] = {}
-        self._room = cache_entries
-
-    def _part(self, part: str) -> bytes:
-        ids = np.array(self._fast.encode_ordinary(" " + part), dtype="<u4").tobytes()
-        if self._room > 0:
-            self._room -= 1
-            self._cache[part] = ids
-        return ids
+        self.size = self._exact.get_vocab_size()
 
-    def ids(self, text: str) -> bytes:
-        """The text's ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
+    def ids(self, text: str) -> list[int]:
         if any(s in text for s in self._special):
-            return np.array(self._exact.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        first, *parts = text.split(" ") if _ODD_SPACE.search(text) is None else _CUT.split(text)
-        got = list(map(self._cache.get, parts))
-        if None in got:
-            for i, ids in enumerate(got):
-                if ids is None:
-                    # asked again: the part may have come earlier in this text
-                    got[i] = self._cache.get(parts[i]) or self._part(parts[i])
-        head = np.array(self._fast.encode_ordinary(first), dtype="<u4").tobytes()
-        return head + b"".join(got)
+            return self._exact.encode(text, add_special_tokens=False).ids
+        return self._fast(text)
 
 
 _LOADED: dict[tuple[str, str], Bpe] = {}
