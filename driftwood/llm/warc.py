@@ -11,10 +11,9 @@ Of the records with equal payloads of at least ``revisit_bytes`` bytes, that wit
 largest id is the response and the others revisit it; records with smaller
 payloads are all responses.
 
-Grouping works on digests and ids, pre-aggregated before the shuffle; payloads
-move once to be written (only the responses', by digest, id and URL, so a payload
-that a third of all pages share is no hot key) and once to be joined again,
-each only once however many records it has.
+Grouping works on digests and ids, pre-aggregated before the shuffle, payloads too:
+a payload that a third of all pages share leaves each task once.  Reading shuffles
+payloads only if they are asked for, each once however many records it has.
 
 Defined results: a null payload is empty; null ids order before all others and
 a revisit of a record without id refers to null; of repeated rows that are the
@@ -91,10 +90,9 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
         "revisit", (F.col("bytes") >= revisit_bytes) & ~(at_top & (F.col("nth") == 1)))
     records.select("digest", _headers(date).cast("binary").alias("head")).write.parquet(f"{path}/records")
 
-    # one row per digest: the response's (a digest has one top, so this key is never hot)
-    stored = rows.join(top, (F.col("digest") == F.col("to_digest")) & at_top, "left_semi").dropDuplicates(
-        ["digest", "page_id", "url"])
-    stored.select("digest", "payload").write.option("compression", "zstd").parquet(f"{path}/payloads")
+    # equal payloads meet in the partial aggregate first: a task sends each digest once
+    stored = rows.groupBy("digest").agg(F.first("payload").alias("payload"))
+    stored.write.option("compression", "zstd").parquet(f"{path}/payloads")
 
 
 def field(head: Column, name: str) -> Column:
@@ -102,12 +100,12 @@ def field(head: Column, name: str) -> Column:
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """``page_id, record_type, refers_to, url, head, payload, record, payload_digest``; fails on a wrong digest.
+    """``page_id, record_type, refers_to, url, head, payload, payload_bytes, record, payload_digest``; fails on a wrong digest.
 
     ``payload`` is the full payload, of revisits too; ``record`` the record as it stands in a WARC file.
     """
     payloads = spark.read.schema("digest string, payload binary").parquet(f"{path}/payloads")
-    checked = payloads.select(F.col("digest").alias("_digest"), "payload", base32_sha1(F.col("payload")).alias("sha1"),
+    checked = payloads.select(F.col("digest").alias("_digest"), "payload", F.octet_length("payload").cast("bigint").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("sha1"),
                               (F.sha2("payload", 256) == F.col("digest")).alias("whole"))
     records = spark.read.schema("digest string, head binary").parquet(f"{path}/records")
     text = F.col("head").cast("string")
@@ -118,11 +116,13 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     joined = parsed.join(checked, F.col("digest") == F.col("_digest"), "left")
     right = F.coalesce(F.col("whole") & (F.concat(F.lit("sha1:"), "sha1") == F.col("stated")), F.lit(False))
     number = lambda c: F.nullif(F.regexp_extract(c, r"^<urn:page:(-?\d+):", 1), F.lit("")).cast("bigint")
+    wrong = F.raise_error(F.concat(F.lit("payload digest differs: "), "record_id"))
+    # figures are taken before the join: without the payload columns no payload moves
     return joined.select(
         number("record_id").alias("page_id"), "record_type", number("refers").alias("refers_to"), "url", "head",
-        F.when(right, F.col("payload")).otherwise(F.raise_error(F.concat(F.lit("payload digest differs: "), "record_id"))).alias("payload"),
+        F.when(right, F.col("payload")).otherwise(wrong).alias("payload"), "payload_bytes",
         F.concat("head", F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b"")),
-                 F.lit((EOL * 2).encode())).alias("record"), F.col("sha1").alias("payload_digest"))
+                 F.lit((EOL * 2).encode())).alias("record"), F.when(right, F.col("sha1")).otherwise(wrong).alias("payload_digest"))
 
 
 def archive_report(pages: DataFrame, path: str | None = None, **options) -> DataFrame:
@@ -131,7 +131,7 @@ def archive_report(pages: DataFrame, path: str | None = None, **options) -> Data
     path = path or scratch_path(spark, "warc")
     write_archive(pages, path, **options)
     return read_archive(spark, path).select(
-        "page_id", F.octet_length("payload").cast("bigint").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 ORACLE = """
