@@ -1,63 +1,66 @@
 """Bloom-filter membership (D1-D3) as table operators.
 
 A filter is the table of its set bit positions ``(pos)``: at most ``m``
-rows, where ``m = floor(-n ln p / ln^2 2)`` is fixed by the parameters (not
-by the data), so it is a proven-size broadcast up to ``BROADCAST_BITS``
-and a shuffle join beyond.  Partial filters combine by OR (union +
-distinct).  ``bloom_bitmap`` gives the compact sharded form
-``(shard, bits binary)`` built with Spark's bitmap aggregates.
-
-Hash family: integral values use ``k`` Carter-Wegman hashes
-``((a_i v + b_i) mod p) mod m`` with ``p = 2^31 - 1`` (exact bigint
-arithmetic); other types use ``xxhash64(value, i)``.  Guarantees: no false
-negatives; false-positive rate about ``fpp`` for ``n`` inserted values.
+rows, where ``m = floor(-n ln p / ln^2 2)`` is fixed by the parameters.
+Partial filters combine by OR (union + distinct).  ``bloom_bitmap`` gives the
+compact sharded form ``(shard, bits binary)`` built with Spark's bitmap aggregates.
+
+Positions come from double hashing with two 60-bit parts of the MD5 of the
+value's text, ``(h1 + i h2) mod m`` for i < k, so any type, any ``m`` below 2^57 and any ``k``
+work.  Guarantees: no false negatives; false-positive rate about ``fpp`` for ``n``
+distinct values.  ``distinct_values`` gives the ``n`` to size a filter for a table.
+
+Probing needs no shuffle while the filter is small: up to ``LITERAL_BITS`` bits
+(``LITERAL_FIRST`` first arrivals) go into the plan as one array literal and
+every row tests its bits in place.  Larger filters are joined by position.
+A null value is never inserted, and is answered NO.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-PRIME = 2147483647
-BROADCAST_BITS = 1 << 24
-
-# Multipliers and offsets of the integer hash family (k <= 16).
-HASH_A = (48271, 69621, 16807, 39373, 40692, 40014, 53668, 12211,
-          65539, 33614, 25214, 77003, 91193, 18043, 29573, 57203)
-HASH_B = (11, 101, 1009, 10007, 100003, 1000003, 10000019, 100000007,
-          7, 97, 997, 9973, 99991, 999983, 9999991, 99999989)
+#: Size bounds of the in-plan filters: 2 MB of bits, 2 MB of arrival numbers.
+LITERAL_BITS, LITERAL_FIRST = 1 << 24, 1 << 18
 
 
 def bloom_size(n: int = 1000, fpp: float = 0.01) -> tuple[int, int]:
     """(m bits, k hashes) for ``n`` expected insertions at false-positive rate ``fpp``."""
-    m = int(-n * math.log(fpp) / (math.log(2) ** 2))
-    k = max(1, int(round(m / n * math.log(2))))
-    return m, min(k, len(HASH_A))
+    m = max(1, int(-n * math.log(fpp) / (math.log(2) ** 2))) if n > 0 else 1
+    return m, max(1, int(round(m / max(1, n) * math.log(2))))
+
 
+def distinct_values(df: DataFrame, col: str) -> int:
+    """Number of distinct non-null values: what a filter of the column holds."""
+    return df.agg(F.countDistinct(col)).first()[0]
 
-def _is_integral(dt) -> bool:
-    return isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
+def bloom_positions(value: Column, m: int, k: int) -> Column:
+    """Array of the ``k`` bit positions of a value (null for null)."""
+    digest = F.md5(value.cast("string").cast("binary"))
 
-def bloom_positions(value: Column, m: int, k: int, integral: bool = True) -> Column:
-    """Array of the ``k`` bit positions of a value."""
-    if integral:
-        v = F.pmod(value.cast("long"), F.lit(PRIME))
-        return F.array(*[F.pmod(F.pmod(v * F.lit(HASH_A[i]) + F.lit(HASH_B[i]), F.lit(PRIME)), F.lit(m))
-                         for i in range(k)])
-    return F.array(*[F.pmod(F.xxhash64(value, F.lit(i)), F.lit(m)) for i in range(k)])
+    def part(at: int) -> Column:
+        return F.conv(F.substring(digest, at, 15), 16, 10).cast("bigint") % F.lit(m).cast("bigint")
+
+    # every step stays below 2 m, whatever k is
+    pair = F.struct(part(1).alias("a"), part(16).alias("b"))
+    walk = F.transform(F.array(pair), lambda p: F.aggregate(
+        F.sequence(F.lit(1), F.lit(k)), F.struct(p["a"].alias("at"), F.array().cast("array<bigint>").alias("out")),
+        lambda acc, _: F.struct(((acc["at"] + p["b"]) % F.lit(m).cast("bigint")).alias("at"),
+                                F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+        lambda acc: acc["out"]))
+    return F.when(value.isNotNull(), F.get(walk, 0))
 
 
 def bloom_build(df: DataFrame, col: str, n: int = 1000, fpp: float = 0.01) -> DataFrame:
     """Set bit positions ``(pos)`` of the filter holding ``df[col]``."""
     m, k = bloom_size(n, fpp)
-    integral = _is_integral(df.schema[col].dataType)
-    return (df.select(F.explode(bloom_positions(F.col(col), m, k, integral)).alias("pos"))
-            .distinct())
+    return df.select(F.explode(bloom_positions(F.col(col), m, k)).alias("pos")).distinct()
 
 
 def bloom_merge(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -72,49 +75,78 @@ def bloom_bitmap(bits: DataFrame) -> DataFrame:
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(p)).alias("bits")))
 
 
-def _bits_side(bits: DataFrame, m: int) -> DataFrame:
-    return F.broadcast(bits) if m <= BROADCAST_BITS else bits
+def _bit_words(bits: DataFrame, m: int) -> Column:
+    """The filter as an array literal of 62-bit words."""
+    words = [0] * (m // 62 + 1)
+    rows = bits.groupBy(F.expr("pos div 62").alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(pos % 62 as int))")).alias("b"))
+    for r in rows.collect():  # at most m / 62 rows
+        words[r["w"]] = r["b"]
+    return F.from_json(F.lit(json.dumps(words)), "array<bigint>")
+
+
+def answer(maybe: Column, value: Column) -> Column:
+    text = F.coalesce(value.cast("string"), F.lit("null"))
+    return F.when(maybe, F.concat(F.lit("MAYBE, filter probably contains "), text)).otherwise(
+        F.concat(F.lit("NO, filter definitely does not contain "), text))
+
+
+def _answered(df: DataFrame, id_cols: Sequence[str], col: str) -> DataFrame:
+    maybe = F.coalesce(F.col("_maybe"), F.lit(False))
+    return df.select(*id_cols, maybe.alias("maybe"), answer(maybe, F.col(col)).alias("answer"))
+
+
+def _joined(queries: DataFrame, positions: Column, table: DataFrame, hit: Column) -> DataFrame:
+    """``_maybe`` by a join on the positions, row by row (equal ids stay apart)."""
+    rows = queries.withColumn("_row", F.monotonically_increasing_id()).withColumn("_ps", positions)
+    each = rows.select("*", F.explode_outer("_ps").alias("pos")).join(table, "pos", "left")
+    back = [c for c in rows.columns if c != "_ps"]
+    return each.groupBy(*back).agg(F.min(F.coalesce(hit, F.lit(False))).alias("_maybe"))
 
 
 def bloom_probe(bits: DataFrame, queries: DataFrame, col: str, id_cols: Sequence[str],
                 n: int = 1000, fpp: float = 0.01) -> DataFrame:
-    """``(id..., maybe, answer)``; ``maybe`` is true iff all k bits are set."""
+    """``(id..., maybe, answer)`` per row; ``maybe`` is true iff all k bits are set."""
     m, k = bloom_size(n, fpp)
-    integral = _is_integral(queries.schema[col].dataType)
-    q = queries.select(*id_cols, F.explode(bloom_positions(F.col(col), m, k, integral)).alias("pos"))
-    hits = q.join(_bits_side(bits.select("pos", F.lit(1).alias("_hit")), m), "pos", "left")
-    agg = hits.groupBy(*id_cols).agg(F.countDistinct(F.when(F.col("_hit") == 1, F.col("pos")))
-                                     .alias("_set"), F.countDistinct("pos").alias("_need"))
-    maybe = F.col("_set") == F.col("_need")
-    return agg.select(*id_cols, maybe.alias("maybe"), answer(maybe).alias("answer"))
-
-
-def answer(maybe: Column) -> Column:
-    return F.when(maybe, F.lit("MAYBE, filter probably contains x")).otherwise(
-        F.lit("NO, filter definitely does not contain x"))
+    q = queries.select(*dict.fromkeys([*id_cols, col]))
+    positions = bloom_positions(F.col(col), m, k)
+    if m <= LITERAL_BITS:
+        words = _bit_words(bits, m)
+        found = q.withColumn("_ps", positions).withColumn("_maybe", F.forall("_ps", lambda p: F.call_function(
+            "shiftright", F.get(words, F.floor(p / 62).cast("int")), (p % 62).cast("int")).bitwiseAND(F.lit(1).cast("bigint")) == 1))
+    else:
+        found = _joined(q, positions, bits.select("pos", F.lit(True).alias("_hit")), F.col("_hit"))
+    return _answered(found, id_cols, col)
 
 
 def bloom_first_seen(df: DataFrame, col: str, seq: str, n: int = 1000, fpp: float = 0.01) -> DataFrame:
     """Per bit, the smallest arrival ``seq`` that set it: ``(pos, first_seq)``."""
     m, k = bloom_size(n, fpp)
-    integral = _is_integral(df.schema[col].dataType)
-    return (df.select(F.col(seq).alias("_s"), F.explode(bloom_positions(F.col(col), m, k, integral))
-                      .alias("pos"))
+    return (df.select(F.col(seq).alias("_s"), F.explode(bloom_positions(F.col(col), m, k)).alias("pos"))
             .groupBy("pos").agg(F.min("_s").alias("first_seq")))
 
 
+def probe_first_seen(first: DataFrame, queries: DataFrame, col: str, seq: str, id_cols: Sequence[str],
+                     n: int = 1000, fpp: float = 0.01) -> DataFrame:
+    """D3 against a table of first arrivals: all k bits were set before ``seq``."""
+    m, k = bloom_size(n, fpp)
+    q = queries.select(*dict.fromkeys([*id_cols, col]), F.col(seq).alias("_qs"))
+    positions = bloom_positions(F.col(col), m, k)
+    if m <= LITERAL_FIRST:
+        seen: list = [None] * m
+        for r in first.collect():  # at most m rows
+            seen[r["pos"]] = r["first_seq"]
+        array = F.from_json(F.lit(json.dumps(seen)), "array<bigint>")
+        found = q.withColumn("_ps", positions).withColumn("_maybe", F.forall("_ps", lambda p: F.coalesce(
+            F.get(array, p.cast("int")) < F.col("_qs"), F.lit(False))))
+    else:
+        found = _joined(q, positions, first, F.col("first_seq") < F.col("_qs"))
+    return _answered(found, id_cols, col)
+
+
 def bloom_probe_asof(data: DataFrame, data_col: str, data_seq: str, queries: DataFrame,
                      query_col: str, query_seq: str, id_cols: Sequence[str], n: int = 1000,
                      fpp: float = 0.01) -> DataFrame:
     """D3: a query sees only data that arrived before it (``first_seq < query seq``)."""
-    m, k = bloom_size(n, fpp)
-    first = bloom_first_seen(data, data_col, data_seq, n, fpp)
-    integral = _is_integral(queries.schema[query_col].dataType)
-    q = queries.select(*id_cols, F.col(query_seq).alias("_qs"),
-                       F.explode(bloom_positions(F.col(query_col), m, k, integral)).alias("pos"))
-    j = q.join(_bits_side(first, m), "pos", "left")
-    agg = j.groupBy(*id_cols).agg(
-        F.countDistinct(F.when(F.col("first_seq") < F.col("_qs"), F.col("pos"))).alias("_set"),
-        F.countDistinct("pos").alias("_need"))
-    maybe = F.col("_set") == F.col("_need")
-    return agg.select(*id_cols, maybe.alias("maybe"), answer(maybe).alias("answer"))
+    return probe_first_seen(bloom_first_seen(data, data_col, data_seq, n, fpp), queries, query_col, query_seq,
+                            id_cols, n, fpp)

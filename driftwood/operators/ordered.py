@@ -187,7 +187,7 @@ def zip_by_position(left: DataFrame, right: DataFrame, left_order, right_order,
     key_cols = _as_list(key_cols)
     lp = scan.row_position(left, left_order, key_cols, name="pos", **bucket_opts)
     rp = scan.row_position(right, right_order, key_cols, name="pos", **bucket_opts)
-    return lp.join(rp, on=[*key_cols, "pos"], how="inner")
+    return scan.null_safe_join(lp, rp, [*key_cols, "pos"])
 
 
 def take_first(df: DataFrame, n: int, order_cols) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftwood.functions import stats as S
+from driftwood.plans.scan import null_safe_join
 
 
 def accuracy_with_error(df: DataFrame, prediction: str, label: str,
@@ -25,7 +26,7 @@ def gaussian_tail(df: DataFrame, value: str, group_cols: Sequence[str]) -> DataF
     """K2: per group, z-score of each value against the group mean / sample sd
     and its normal CDF.  Group moments are a grouped aggregate joined back."""
     mom = df.groupBy(*group_cols).agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_sd"))
-    j = df.join(mom, list(group_cols))
+    j = null_safe_join(df, mom, group_cols)
     z = F.when(F.col("_sd") > 0, (F.col(value) - F.col("_mean")) / F.col("_sd"))
     return j.withColumn("z", z).withColumn("cdf", S.normal_cdf("z")).drop("_mean", "_sd")
 
@@ -47,7 +48,7 @@ def chi_square_test(long: DataFrame, feature: str = "feature", value: str = "val
     stat = cells.groupBy(feature).agg(
         F.sum(F.pow(F.col("o") - e, 2.0) / e).alias("statistic"),
         F.countDistinct(value).alias("_r"), F.countDistinct(label).alias("_c"))
-    dof = ((F.col("_r") - 1) * (F.col("_c") - 1)).cast("int")
+    dof = ((F.col("_r") - 1) * (F.col("_c") - 1)).cast("bigint")
     return stat.select(feature, "statistic", dof.alias("dof"),
                        S.chi2_pvalue(F.col("statistic"), dof).alias("p_value"))
 
@@ -71,8 +72,8 @@ def anova_f_test(long: DataFrame, feature: str = "feature", value: str = "value"
                                  F.first("k").alias("k"))
     between = F.col("_b") - F.col("s") * F.col("s") / F.col("n")
     within = F.col("q") - F.col("_b")
-    df1 = (F.col("k") - 1).cast("int")
-    df2 = (F.col("n") - F.col("k")).cast("int")
+    df1 = (F.col("k") - 1).cast("bigint")
+    df2 = (F.col("n") - F.col("k")).cast("bigint")
     f = (between / df1) / (within / df2)
     out = agg.select(feature, f.alias("f_stat"), df1.alias("df_between"), df2.alias("df_within"))
     return out.withColumn("p_value", S.f_test_pvalue("f_stat", "df_between", "df_within"))

@@ -638,38 +638,40 @@ def _train_sql(steps: int = 3, lr: float = 0.1, reg: float = 0.01) -> str:
 ORACLE["linear_train"] = _train_sql()
 
 # ------------------------------------------------------------------ membership and search
-from driftwood.operators.membership import HASH_A, HASH_B, PRIME, bloom_size  # noqa: E402
 
-_M, _K = bloom_size(1000, 0.01)
 
+def _bloom(members: str, col: str) -> str:
+    """CTEs: filter size ``z`` (m, k) and the set positions with their rows, ``f``."""
+    return f"""src AS ({members}),
+z0 AS (SELECT greatest(1, CAST(floor(-n * ln(0.01) / (ln(2) * ln(2))) AS BIGINT)) AS m, n
+       FROM (SELECT count(DISTINCT {col}) AS n FROM src)),
+z AS (SELECT m, greatest(1, CAST(round(m / greatest(1, n) * ln(2)) AS BIGINT)) AS k FROM z0)"""
 
-def _positions_sql(col: str) -> str:
-    return ", ".join(f"(((({col} % {PRIME}) * {HASH_A[i]} + {HASH_B[i]}) % {PRIME}) % {_M})"
-                     for i in range(_K))
 
+def _at(col: str) -> str:
+    h = [f"(CAST('0x' || substr(md5(CAST({col} AS VARCHAR)), {p}, 15) AS BIGINT) % m)" for p in (1, 16)]
+    return f"unnest(list_transform(range(0, k), lambda i: ({h[0]} + i * {h[1]}) % m))"
 
-_BITS = f"""bits AS (SELECT DISTINCT unnest([{_positions_sql('c_custkey')}]) AS pos
-                  FROM customer WHERE c_mktsegment = 'MACHINERY')"""
-_ANSWER = ("CASE WHEN {m} THEN 'MAYBE, filter probably contains x' "
-           "ELSE 'NO, filter definitely does not contain x' END")
-ORACLE["bloom_build"] = f"WITH {_BITS} SELECT pos FROM bits"
+
+_MACHINERY = "SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY'"
+_ANSWER = """CASE WHEN maybe THEN 'MAYBE, filter probably contains ' ELSE 'NO, filter definitely does not contain ' END
+  || CAST(c_custkey AS VARCHAR)"""
+ORACLE["bloom_build"] = f"""
+WITH {_bloom(_MACHINERY, 'c_custkey')} SELECT DISTINCT {_at('c_custkey')} AS pos FROM src, z"""
 ORACLE["bloom_probe"] = f"""
-WITH {_BITS},
-q AS (SELECT c_custkey, unnest([{_positions_sql('c_custkey')}]) AS pos FROM customer),
-a AS (SELECT q.c_custkey, count(DISTINCT CASE WHEN bits.pos IS NOT NULL THEN q.pos END)
-               = count(DISTINCT q.pos) AS maybe
+WITH {_bloom(_MACHINERY, 'c_custkey')}, bits AS (SELECT DISTINCT {_at('c_custkey')} AS pos FROM src, z),
+q AS (SELECT c_custkey, {_at('c_custkey')} AS pos FROM customer, z),
+a AS (SELECT q.c_custkey, bool_and(bits.pos IS NOT NULL) AS maybe
       FROM q LEFT JOIN bits ON bits.pos = q.pos GROUP BY q.c_custkey)
-SELECT c_custkey, maybe, {_ANSWER.format(m='maybe')} AS answer FROM a"""
+SELECT c_custkey, maybe, {_ANSWER} AS answer FROM a"""
 ORACLE["bloom_probe_asof"] = f"""
-WITH first AS (SELECT pos, min(o_orderkey) AS first_seq
-               FROM (SELECT o_orderkey, unnest([{_positions_sql('o_custkey')}]) AS pos FROM orders) t
-               GROUP BY pos),
-q AS (SELECT c_custkey, c_custkey * 40 AS qs, unnest([{_positions_sql('c_custkey')}]) AS pos
-      FROM customer),
-a AS (SELECT q.c_custkey, count(DISTINCT CASE WHEN f.first_seq < q.qs THEN q.pos END)
-               = count(DISTINCT q.pos) AS maybe
+WITH {_bloom('SELECT o_orderkey, o_custkey FROM orders', 'o_custkey')},
+first AS (SELECT pos, min(o_orderkey) AS first_seq FROM (SELECT o_orderkey, {_at('o_custkey')} AS pos FROM src, z) t
+          GROUP BY pos),
+q AS (SELECT c_custkey, c_custkey * 40 AS qs, {_at('c_custkey')} AS pos FROM customer, z),
+a AS (SELECT q.c_custkey, bool_and(coalesce(f.first_seq < q.qs, false)) AS maybe
       FROM q LEFT JOIN first f ON f.pos = q.pos GROUP BY q.c_custkey)
-SELECT c_custkey, maybe, {_ANSWER.format(m='maybe')} AS answer FROM a"""
+SELECT c_custkey, maybe, {_ANSWER} AS answer FROM a"""
 ORACLE["substring_index"] = """
 SELECT substring(text, p, 4) AS gram, item_id AS id, CAST(p AS INTEGER) AS pos
 FROM (SELECT item_id, text, unnest(range(1, length(text) - 2)) AS p FROM benchmark

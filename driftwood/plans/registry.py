@@ -837,7 +837,7 @@ def q_linear_train(spark, sf_dir):
 
 from driftwood.operators import membership, substring  # noqa: E402
 
-BLOOM_N, BLOOM_FPP = 1000, 0.01
+BLOOM_FPP = 0.01
 
 
 def _machinery(spark, sf_dir) -> DataFrame:
@@ -846,14 +846,17 @@ def _machinery(spark, sf_dir) -> DataFrame:
 
 @register("bloom_build")
 def q_bloom_build(spark, sf_dir):
-    return membership.bloom_build(_machinery(spark, sf_dir), "c_custkey", BLOOM_N, BLOOM_FPP)
+    members = _machinery(spark, sf_dir)
+    return membership.bloom_build(members, "c_custkey", membership.distinct_values(members, "c_custkey"), BLOOM_FPP)
 
 
 @register("bloom_probe")
 def q_bloom_probe(spark, sf_dir):
-    bits = membership.bloom_build(_machinery(spark, sf_dir), "c_custkey", BLOOM_N, BLOOM_FPP)
+    members = _machinery(spark, sf_dir)
+    n = membership.distinct_values(members, "c_custkey")
+    bits = membership.bloom_build(members, "c_custkey", n, BLOOM_FPP)
     cust = table(spark, sf_dir, "customer").select("c_custkey")
-    return membership.bloom_probe(bits, cust, "c_custkey", ["c_custkey"], BLOOM_N, BLOOM_FPP)
+    return membership.bloom_probe(bits, cust, "c_custkey", ["c_custkey"], n, BLOOM_FPP)
 
 
 @register("bloom_probe_asof")
@@ -862,8 +865,8 @@ def q_bloom_probe_asof(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = table(spark, sf_dir, "customer").select(
         "c_custkey", (F.col("c_custkey") * 40).alias("q_seq"))
-    return membership.bloom_probe_asof(orders, "o_custkey", "o_orderkey", cust, "c_custkey",
-                                       "q_seq", ["c_custkey"], BLOOM_N, BLOOM_FPP)
+    return membership.bloom_probe_asof(orders, "o_custkey", "o_orderkey", cust, "c_custkey", "q_seq",
+                                       ["c_custkey"], membership.distinct_values(orders, "o_custkey"), BLOOM_FPP)
 
 
 SUBSTRING_Q = 4
@@ -1050,7 +1053,8 @@ def q_bloom_stream(spark, sf_dir):
                                                  (F.col("c_custkey") * 40).alias("seq"),
                                                  F.col("c_custkey").alias("value"))
     merged = dataflow.merge_streams(data, qs)
-    out = _stream_through(spark, merged, ["seq", "kind"], stream_membership.bloom_step(), "bloom")
+    n = membership.distinct_values(table(spark, sf_dir, "orders"), "o_custkey")
+    out = _stream_through(spark, merged, ["seq", "kind"], stream_membership.bloom_step(n=n, fpp=BLOOM_FPP), "bloom")
     return out.filter(F.col("kind") == "query").select(
         F.col("value").alias("c_custkey"), "maybe", "answer")
 

@@ -5,11 +5,12 @@ to one task, and a keyed window sends a whole key to one task (a hot key
 holding a third of the rows would then be a third of the job in one task).
 Instead every running operator here is planned as:
 
-1. ``_bucket`` = range bucket of the (composite) order key.  Boundaries are
-   quantiles of a bounded sample of the order key (at most
-   ``max_buckets * oversample`` rows reach the driver) and the bucket is a
-   balanced binary-search ``when`` tree over struct comparisons, so it stays
-   JVM-side and costs ``log2(buckets)`` comparisons per row.  Any boundary
+1. ``_bucket`` = range bucket of the (composite) order key.  The number of
+   buckets grows with the rows (``rows_per_bucket`` each, no cap).  Boundaries are
+   quantiles of a sample of the order key: the row count comes from the files'
+   footers, so the sample is the one pass over the order columns.  The bucket is
+   found by a binary search over one array literal: ``log2(buckets)``
+   comparisons per row, and a plan whose size does not depend on their number.  Any boundary
    set gives correct results; boundaries only affect balance.
 2. Running aggregates inside ``partitionBy(*keys, _bucket)``: a single hash
    exchange of the rows, so a hot key is spread over all order buckets.
@@ -17,14 +18,17 @@ Instead every running operator here is planned as:
    the (small) summary table into a carry-in per group.
 4. The carry-in is joined back on ``(keys, _bucket)``.  The data side is
    already hash-partitioned on those columns, so only the summary side
-   moves; the global form broadcasts it (at most ``max_buckets`` rows).
+   moves; the global form broadcasts it (one row per bucket).
 
+Keys are compared null-safely everywhere: rows with a null key form one group.
 Order columns must form a unique, non-null key (ties are not broken
 otherwise); every caller passes a unique tie-breaker.
 """
 
 from __future__ import annotations
 
+import decimal
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,8 +37,9 @@ from pyspark.sql import functions as F
 BUCKET = "_bucket"
 
 DEFAULT_ROWS_PER_BUCKET = 1_000_000
-DEFAULT_MAX_BUCKETS = 4096
 DEFAULT_OVERSAMPLE = 24
+#: Sampled keys on the driver; with more buckets than that, one key a bucket.
+SAMPLE_KEYS = 200_000
 
 
 def _as_list(cols) -> list[str]:
@@ -45,40 +50,65 @@ def _as_list(cols) -> list[str]:
     return list(cols)
 
 
-def _order_key(order_cols: Sequence[str]) -> Column:
-    if len(order_cols) == 1:
-        return F.col(order_cols[0])
-    return F.struct(*[F.col(c) for c in order_cols])
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where null meets null; the result has the key columns once.
 
-
-def _lit_key(row, order_cols: Sequence[str]) -> Column:
-    if len(order_cols) == 1:
-        return F.lit(row[0])
-    return F.struct(*[F.lit(row[i]).alias(c) for i, c in enumerate(order_cols)])
-
-
-def _search_tree(key: Column, bounds: list, order_cols, lo: int, hi: int) -> Column:
-    """bucket = number of boundaries <= key, as a balanced ``when`` tree."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi + 1) // 2
-    return F.when(key >= _lit_key(bounds[mid - 1], order_cols),
-                  _search_tree(key, bounds, order_cols, mid, hi)).otherwise(
-        _search_tree(key, bounds, order_cols, lo, mid - 1))
-
-
-def choose_buckets(spark, n_rows: int, rows_per_bucket: int, max_buckets: int,
-                   min_buckets: int | None) -> int:
+    ``right`` may share no other column name with ``left``.
+    """
+    keys = list(keys)
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = None
+    for k in keys:
+        one = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        cond = one if cond is None else cond & one
+    out = left.join(renamed, cond, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"_r_{k}" for k in keys])
+
+
+def _plain(value):
+    """A boundary value as JSON."""
+    return str(value) if isinstance(value, decimal.Decimal) else value
+
+
+def _search_value(df: DataFrame, name: str) -> Column:
+    """An order column as searched: times as integers, which no time zone moves."""
+    kind = df.schema[name].dataType.simpleString()
+    if kind == "timestamp":
+        return F.unix_micros(F.col(name))
+    if kind == "date":
+        return F.unix_date(F.col(name))
+    return F.col(name).cast("string") if kind == "timestamp_ntz" else F.col(name)
+
+
+def search_bucket(key: Column, bounds: Sequence[tuple], schema: str) -> Column:
+    """Number of boundaries <= key, by binary search over one folded array literal."""
+    names = [f"k{i}" for i in range(len(bounds[0]))]
+    text = json.dumps([dict(zip(names, map(_plain, b))) for b in bounds])
+    array = F.from_json(F.lit(text), schema)
+
+    def halve(acc, _):
+        # the answer lies in lo .. hi
+        mid = F.floor((acc["lo"] + acc["hi"] + 1) / 2).cast("int")
+        open_ = acc["lo"] < acc["hi"]
+        below = open_ & (F.get(array, mid - 1) <= key)
+        return F.struct(F.when(below, mid).otherwise(acc["lo"]).alias("lo"),
+                        F.when(open_ & ~below, mid - 1).otherwise(acc["hi"]).alias("hi"))
+
+    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+    return F.aggregate(steps, start, halve, lambda acc: acc["lo"])
+
+
+def choose_buckets(spark, n_rows: int, rows_per_bucket: int, min_buckets: int | None) -> int:
     if min_buckets is None:
         min_buckets = spark.sparkContext.defaultParallelism
     nb = max(min_buckets, -(-n_rows // max(1, rows_per_bucket)))
-    return int(max(1, min(nb, max_buckets, n_rows)))
+    return int(max(1, min(nb, n_rows)))
 
 
 def add_range_bucket(df: DataFrame, order_cols, *, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-                     max_buckets: int = DEFAULT_MAX_BUCKETS, min_buckets: int | None = None,
-                     oversample: int = DEFAULT_OVERSAMPLE, seed: int = 29,
-                     key_cols=()) -> tuple[DataFrame, int]:
+                     min_buckets: int | None = None, oversample: int = DEFAULT_OVERSAMPLE,
+                     seed: int = 29, key_cols=()) -> tuple[DataFrame, int]:
     """Append ``_bucket``: a monotone range bucket of the order key.
 
     With ``key_cols`` only *hot* keys are split: a key holding more rows than
@@ -89,25 +119,25 @@ def add_range_bucket(df: DataFrame, order_cols, *, rows_per_bucket: int = DEFAUL
     """
     order_cols, key_cols = _as_list(order_cols), _as_list(key_cols)
     n = df.count()
-    nb = choose_buckets(df.sparkSession, n, rows_per_bucket, max_buckets, min_buckets)
+    nb = choose_buckets(df.sparkSession, n, rows_per_bucket, min_buckets)
     if nb <= 1:
         return df.withColumn(BUCKET, F.lit(0)), 1
     hot = None
     src = df
     if key_cols:
         threshold = max(int(rows_per_bucket), n // nb)
-        hot = (df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
-               .filter(F.col("_n") > threshold).select(*key_cols, F.lit(True).alias("_hot")))
-        if hot.limit(1).count() == 0:
+        counted = (df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
+                   .filter(F.col("_n") > threshold).withColumn("_hot", F.lit(True)).collect())
+        if not counted:  # at most n / threshold <= buckets rows
             return df.withColumn(BUCKET, F.lit(0)), 1
-        hot = F.broadcast(hot)  # at most n / threshold <= buckets rows
-        src = df.join(hot.select(*key_cols), key_cols, "left_semi")
-        n = max(1, src.count())
-    want = nb * oversample
-    frac = min(1.0, want / n)
-    # Bounded sample: only boundary estimation, every row is still processed.
-    sample = (src.select(*order_cols).na.drop().sample(False, frac, seed)
-              .limit(2 * want).collect())
+        n = sum(r["_n"] for r in counted)
+        hot = F.broadcast(df.sparkSession.createDataFrame(
+            counted, df.select(*key_cols, F.lit(0).cast("long").alias("_n"), F.lit(True).alias("_hot")).schema).drop("_n"))
+        src = null_safe_join(df, hot.select(*key_cols), key_cols, "left_semi")
+    want = nb * max(1, min(oversample, SAMPLE_KEYS // nb))
+    # Only boundaries are estimated from the sample, every row is processed.
+    searched = src.select(*[_search_value(df, c).alias(f"k{i}") for i, c in enumerate(order_cols)])
+    sample = searched.na.drop().sample(False, min(1.0, want / n), seed).collect()
     keys = sorted(tuple(r) for r in sample)
     bounds = []
     for i in range(1, nb):
@@ -118,9 +148,11 @@ def add_range_bucket(df: DataFrame, order_cols, *, rows_per_bucket: int = DEFAUL
             bounds.append(k)
     if not bounds:
         return df.withColumn(BUCKET, F.lit(0)), 1
-    expr = _search_tree(_order_key(order_cols), bounds, order_cols, 0, len(bounds)).cast("int")
+    schema = "array<" + searched.schema.simpleString() + ">"
+    key = F.struct(*[_search_value(df, c).alias(f"k{i}") for i, c in enumerate(order_cols)])
+    expr = search_bucket(key, bounds, schema)
     if hot is not None:
-        j = df.join(hot, key_cols, "left")
+        j = null_safe_join(df, hot, key_cols, "left")
         return (j.withColumn(BUCKET, F.when(F.col("_hot"), expr).otherwise(F.lit(0))).drop("_hot"),
                 len(bounds) + 1)
     return df.withColumn(BUCKET, expr), len(bounds) + 1
@@ -132,11 +164,10 @@ def _carry_window(key_cols: list[str], exclusive: bool = True):
 
 
 def _join_carry(local: DataFrame, carry: DataFrame, key_cols: list[str]) -> DataFrame:
-    g = [*key_cols, BUCKET]
     if not key_cols:
-        # Global form: one row per bucket, bounded by max_buckets.
+        # Global form: one row per bucket.
         carry = F.broadcast(carry)
-    return local.join(carry, on=g, how="inner")
+    return null_safe_join(local, carry, [*key_cols, BUCKET])
 
 
 def running_sums(df: DataFrame, sums: Mapping[str, Column], order_cols, key_cols=(), *,

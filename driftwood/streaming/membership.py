@@ -17,7 +17,6 @@ from driftwood.operators import membership as M
 def bloom_step(kind: str = "kind", value: str = "value", seq: str = "seq",
                n: int = 1000, fpp: float = 0.01):
     """Rows ``(kind in {'data','query'}, seq, value)`` -> data echo + query answers."""
-    m, k = M.bloom_size(n, fpp)
 
     def step(batch: DataFrame, state: DataFrame | None, epoch: int):
         data = batch.filter(F.col(kind) == "data")
@@ -25,16 +24,8 @@ def bloom_step(kind: str = "kind", value: str = "value", seq: str = "seq",
         first = M.bloom_first_seen(data, value, seq, n, fpp)
         if state is not None:
             first = first.unionByName(state).groupBy("pos").agg(F.min("first_seq").alias("first_seq"))
-        integral = M._is_integral(batch.schema[value].dataType)
-        q = queries.select(seq, value, F.explode(M.bloom_positions(F.col(value), m, k, integral))
-                           .alias("pos"))
-        j = q.join(M._bits_side(first, m), "pos", "left")
-        agg = j.groupBy(seq, value).agg(
-            F.countDistinct(F.when(F.col("first_seq") < F.col(seq), F.col("pos"))).alias("_set"),
-            F.countDistinct("pos").alias("_need"))
-        maybe = F.col("_set") == F.col("_need")
-        answers = agg.select(F.lit("query").alias(kind), seq, value, maybe.alias("maybe"),
-                             M.answer(maybe).alias("answer"))
+        answers = M.probe_first_seen(first, queries, value, seq, [seq, value], n, fpp)
+        answers = answers.select(F.lit("query").alias(kind), seq, value, "maybe", "answer")
         echo = data.select(kind, seq, value, F.lit(None).cast("boolean").alias("maybe"),
                            F.lit(None).cast("string").alias("answer"))
         return echo.unionByName(answers), first

@@ -35,11 +35,14 @@ def _last_per_key(df: DataFrame, key_cols, order_cols, cols) -> DataFrame:
 
 
 def _keep_old(state: DataFrame | None, new: DataFrame, key_cols) -> DataFrame:
+    """The batch's keys replace their old rows; a global state stays if the batch was empty."""
     if state is None:
         return new
     if not key_cols:
-        return new
-    return new.unionByName(state.join(new.select(*key_cols), list(key_cols), "left_anti"))
+        # the aggregate of an empty batch is one row of nulls
+        new = new.where(F.coalesce(*[F.col(c).isNotNull() for c in new.columns]))
+        return new.unionByName(state).limit(1) if new.isEmpty() else new
+    return new.unionByName(scan.null_safe_join(state, new.select(*key_cols), key_cols, "left_anti"))
 
 
 def _state_for_batch(state: DataFrame | None, batch: DataFrame, key_cols) -> DataFrame | None:
@@ -47,7 +50,7 @@ def _state_for_batch(state: DataFrame | None, batch: DataFrame, key_cols) -> Dat
         return None
     if not key_cols:
         return state
-    return state.join(batch.select(*key_cols).distinct(), list(key_cols), "left_semi")
+    return scan.null_safe_join(state, batch.select(*key_cols).distinct(), key_cols, "left_semi")
 
 
 def kadane_step(x: str, order_cols: Sequence[str], key_cols: Sequence[str] = (), **bucket_opts):
@@ -92,7 +95,7 @@ def rls_step(x: str, y: str, order_cols: Sequence[str], key_cols: Sequence[str]
                               order_cols, key_cols, **bucket_opts)
         st = _state_for_batch(state, batch, key_cols)
         if st is not None and key_cols:
-            s = s.join(st, key_cols, "left")
+            s = scan.null_safe_join(s, st, key_cols, "left")
         else:
             one = st.first() if st is not None else None  # global: a single state row
             s = (s.withColumn("sxx", F.lit(one.sxx if one else 0.0))
@@ -135,7 +138,7 @@ def ftl_step(x: str, y: str, order_cols: Sequence[str], key_cols: Sequence[str]
         if st is not None:
             if key_cols:
                 carry = st.select(*key_cols, *[F.col(f"S{i}").alias(f"_K{i}") for i in range(H)])
-                sums = sums.join(carry, key_cols, "left")
+                sums = scan.null_safe_join(sums, carry, key_cols, "left")
             else:  # global: a single state row
                 one = st.first()
                 sums = sums.select("*", *[F.lit(float(one[f"S{i}"])).alias(f"_K{i}") for i in range(H)])

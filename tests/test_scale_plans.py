@@ -125,3 +125,41 @@ def test_hot_key_ftl_and_rls(spark):
     mine = [r.weight for r in rls.filter("k = 1").orderBy("seq").collect()]
     want = [w for _, w, _ in rls_loop([(x, y) for k, _, x, y in rows if k == 1], 1.0, 10.0)]
     assert all(abs(a - b) <= 1e-7 * max(1.0, abs(b)) for a, b in zip(mine, want))
+
+
+def test_null_keys_give_one_row_each(spark):
+    from driftwood.operators import ensemble, statistics
+
+    rows = [(None if i % 4 == 0 else i % 3, i, i % 17 - 8, float(i % 5)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k long, seq long, x long, y double")
+    for opts in ({}, {"min_buckets": 8, "rows_per_bucket": 50}):  # with and without hot keys
+        got = ordered.running_max_subarray(df, "x", ["seq"], ["k"], **opts)
+        assert got.count() == 1000
+        nulls = [r.max_subarray for r in got.where("k is null").orderBy("seq").collect()]
+        assert nulls == _kadane([x for k, _, x, _ in rows if k is None])
+        assert ordered.rls_weights(df, "y", "x", ["seq"], ["k"], **opts).count() == 1000
+        assert ordered.follow_the_leader(df, "y", "x", ["seq"], ["k"], **opts).count() == 1000
+        assert ordered.zip_by_position(df, df.withColumnsRenamed({"seq": "s2", "x": "x2", "y": "y2"}), ["seq"], ["s2"],
+                                       key_cols=["k"], **opts).count() == 1000
+    assert ensemble.normalize_counts(df, "y", ["k"]).count() == 1000
+    assert statistics.gaussian_tail(df, "y", ["k"]).count() == 1000
+
+
+def test_many_buckets_plan_fast_and_small(spark):
+    import time
+
+    n = 10_000
+    df = spark.range(40_000).select(F.col("id").alias("a"), (F.col("id") * 7 % 1000).alias("b"),
+                                    F.timestamp_micros(F.col("id") * 1000).alias("t"))
+    bounds = [(4 * i, 0) for i in range(1, n)]
+    start = time.time()
+    bucket = scan.search_bucket(F.struct(F.col("a").alias("k0"), F.lit(0).cast("bigint").alias("k1")), bounds,
+                                "array<struct<k0:bigint,k1:bigint>>")
+    out = df.select("a", bucket.alias("bucket"))
+    plan = out._jdf.queryExecution().executedPlan()
+    assert time.time() - start < 3 and "WholeStageCodegen" in plan.toString() or "*(1)" in plan.toString()
+    assert out.where("bucket <> a div 4").count() == 0
+    got, nb = scan.add_range_bucket(df, ["t", "a"], min_buckets=50)
+    sizes = [r["count"] for r in got.groupBy(scan.BUCKET).count().collect()]
+    assert nb == 50 and len(sizes) == 50 and max(sizes) < 4000
+    assert got.groupBy(scan.BUCKET).agg(F.min("t").alias("lo"), F.max("t").alias("hi")).orderBy(scan.BUCKET).count() == 50

@@ -61,3 +61,26 @@ def test_generators(spark):
     assert ramp[0].y == -10.0
     steps = [b.y - a.y for a, b in zip(ramp, ramp[1:])]
     assert all(7.5 - 1e-9 <= s <= 12.5 + 1e-9 for s in steps)
+
+
+def test_empty_epoch_keeps_the_state(spark):
+    rows = [(i, float(i % 7 + 1), float((i * 5) % 30)) for i in range(60)]
+    df = spark.createDataFrame(rows, "seq long, x double, y double")
+    steps = {"rls": (SO.rls_step("x", "y", ["seq"]), ordered.rls_weights(df, "x", "y", ["seq"]), "prediction"),
+             "ftl": (SO.ftl_step("x", "y", ["seq"]), ordered.follow_the_leader(df, "x", "y", ["seq"]), "prediction"),
+             "kad": (SO.kadane_step("x", ["seq"]), ordered.running_max_subarray(df, "x", ["seq"]), "max_subarray")}
+    for name, (step, batch, col) in steps.items():
+        r = runner.StatefulBatches(spark, step, f"t-empty-{name}")
+        for epoch, part in enumerate((df.where("seq < 25"), df.where("seq < 0"), df.where("seq >= 25"))):
+            r(part, epoch)
+        got = {x.seq: round(x[col], 6) for x in r.output().collect()}
+        assert got == {x.seq: round(x[col], 6) for x in batch.collect()}
+
+
+def test_null_keys_stay_in_streams(spark):
+    rows = [(None if i % 3 == 0 else i % 2, i, float(i % 5), float(i % 11)) for i in range(90)]
+    df = spark.createDataFrame(rows, "k long, seq long, x double, y double")
+    out = _stream(spark, df, ["seq"], SO.rls_step("x", "y", ["seq"], ["k"]), "t-null")
+    want = ordered.rls_weights(df, "x", "y", ["seq"], ["k"])
+    assert {(r.k, r.seq): round(r.weight, 9) for r in out.collect()} == {
+        (r.k, r.seq): round(r.weight, 9) for r in want.collect()}
