@@ -15,7 +15,8 @@ that can hold a repeat, in collections of bounded size:
 2. A key with one fragment in the table cannot hold a repeat.  Fragments of one
    key and equal hash, two or more, are repeated whole.
 3. Only keys with several different fragments are left: one copy of each is
-   fetched and goes through the column-wise construction.  A window is repeated if its
+   fetched and cut at the anchors of longer grams in the same way; what still differs under
+   one key goes through the column-wise construction.  A window is repeated if its
    common prefix with a neighbour in the sorted order has ``length`` bytes.
    A key whose fragments exceed ``group_bytes`` (a frequent short line in
    many contexts) is not collected: its windows are counted by their 128-bit
@@ -121,19 +122,21 @@ def sorted_windows(strings: list[bytes], length: int) -> list[np.ndarray]:
     by_size = np.argsort(-sizes, kind="stable")
     ends, left = ends[by_size], sizes[by_size]
     bwt = np.where(left > 0, text[ends - 1], 0).astype(np.uint8)
-    lcp, name = np.zeros(m + 1, dtype=np.int32), np.full(m, -1, dtype=np.int64)
-    at = np.arange(m)
+    lcp, name = np.zeros(m + 1, dtype=np.int32), None
+    at, ended = np.arange(m), int(np.count_nonzero(left == 0))
     for j in range(1, int(left[0]) + 1 if m else 0):
         growing = int(np.searchsorted(-left, -j, side="right"))
         at = at[:growing]
         order = np.argsort(bwt, kind="stable")
-        place = np.empty(len(bwt), dtype=np.int64)
-        place[order] = np.arange(len(bwt))
-        ends_ = len(bwt) - np.count_nonzero(bwt)
-        rank = place[at]
+        place = np.empty(len(bwt), dtype=np.int32)
+        place[order] = np.arange(len(bwt), dtype=np.int32)
+        rank = place[at].astype(np.int64)
         # common prefixes of the new suffixes and of those right after them
-        check = np.unique(np.concatenate((rank, rank + 1)))
-        check = check[check < len(bwt)]
+        check = np.concatenate((rank, rank + 1))
+        check.sort()
+        check = check[np.append(check[:-1] != check[1:], True)]
+        if check[-1] == len(bwt):
+            check = check[:-1]
         here, before = order[check], order[check - 1]
         same = (check > 0) & (bwt[here] == bwt[before])
         common = np.zeros(len(check), dtype=np.int32)
@@ -146,25 +149,29 @@ def sorted_windows(strings: list[bytes], length: int) -> list[np.ndarray]:
             least = np.empty(len(lo), dtype=np.int32)
             least[by] = np.minimum.reduceat(lcp, pairs)[0::2]
             common[same] = least + 1
-        new_at = m + rank - ends_
+        new_at = m + rank - ended
         old = np.ones(len(bwt) + growing, dtype=bool)
         old[new_at] = False
-        grown = np.empty(len(old), dtype=np.uint8)
-        grown[old] = bwt
         more = left[:growing] > j
+        before_ended = ended
+        ended += growing - int(np.count_nonzero(more))
+        old = np.flatnonzero(old)
+        grown = np.empty(len(bwt) + growing, dtype=np.uint8)
+        grown[old] = bwt
         grown[new_at] = np.where(more, text[ends[:growing] - j - more], 0)
-        lcp_ = np.zeros(len(old) + 1, dtype=np.int32)
-        lcp_[:-1][old] = lcp[:-1]
-        lcp_[m + check - ends_] = common
-        bwt, lcp, at = grown, lcp_, new_at
+        lcp_ = np.zeros(len(grown) + 1, dtype=np.int32)
+        lcp_[old] = lcp[:-1]
+        lcp_[m + check - before_ended] = common
         if j >= length:
-            name_ = np.full(len(old), -1, dtype=np.int64)
-            name_[old] = name
+            name_ = np.full(len(grown), -1, dtype=np.int64)
+            if name is not None:
+                name_[old] = name
             # the suffix of length j is the window at (size - j)
             name_[new_at] = by_size[:growing] * (1 << 32) + (left[:growing] - j)
             name = name_
-        else:
-            name = np.full(len(old), -1, dtype=np.int64)
+        bwt, lcp, at = grown, lcp_, new_at
+    if name is None:
+        return [np.zeros(max(0, int(s) - length + 1), dtype=bool) for s in sizes]
     again = np.maximum(lcp[:-1], lcp[1:]) >= length
     hit = name[again & (name >= 0)]
     out = [np.zeros(max(0, int(s) - length + 1), dtype=bool) for s in sizes]
@@ -173,6 +180,69 @@ def sorted_windows(strings: list[bytes], length: int) -> list[np.ndarray]:
     return out
 
 
+def repeated_windows(strings: list[bytes], length: int, collection_bytes: int = 1 << 16) -> list[np.ndarray]:
+    """For each string, which of its windows occur again among ``strings``.
+
+    The strings are cut at anchors once more, with longer grams: only parts that
+    share such an anchor and differ go through the column-wise construction,
+    in collections of about ``collection_bytes`` (a key's parts stay together).
+    """
+    sizes = np.array([len(s) for s in strings], dtype=np.int64)
+    ends = np.cumsum(sizes)
+    out = [np.zeros(max(0, int(n) - length + 1), dtype=bool) for n in sizes]
+    text = b"".join(strings)
+    if len(text) < length:
+        return out
+    gram = length - max(1, length // 10) if length > 1 else 1
+    data = np.frombuffer(text, dtype=np.uint8)
+    hashes = Hashes(data)
+    grams = hashes.all(gram)
+    least = _sliding_min(grams, length - gram + 1)
+    at = np.arange(len(least))
+    owner = np.searchsorted(ends, at, side="right")
+    inside = at + length <= ends[owner]
+    new = np.ones(len(least), dtype=bool)
+    new[1:] = (least[1:] != least[:-1]) | (grams[:len(least) - 1] == least[:-1]) | (owner[1:] != owner[:-1]) | ~inside[:-1]
+    new &= inside
+    start = np.flatnonzero(new)
+    if not len(start):
+        return out
+    last = np.append(start[1:], len(least))
+    # windows that reach into the next string do not count
+    windows = np.minimum(last, ends[owner[start]] - length + 1) - start
+    key, digest = least[start], hashes.of(start, start + windows - 1 + length)
+    order = np.lexsort((digest, key))
+    new_key = np.ones(len(order), dtype=bool)
+    new_key[1:] = key[order][1:] != key[order][:-1]
+    new_kind = new_key.copy()
+    new_kind[1:] |= digest[order][1:] != digest[order][:-1]
+    kind = np.cumsum(new_kind) - 1
+    copies = np.bincount(kind)
+    first = order[new_kind]  # one part of each kind, in order of key
+    group = (np.cumsum(new_key) - 1)[new_kind]
+    mixed = np.bincount(group)[group] > 1
+
+    def mark(part: int, flags) -> None:
+        k = owner[start[part]]
+        begin = int(start[part] - (ends[k] - sizes[k]))
+        out[k][begin:begin + int(windows[part])] |= flags
+
+    for i in np.flatnonzero(copies[kind] > 1):
+        mark(order[i], True)
+    todo, size = [], 0
+    chosen = np.flatnonzero(mixed)
+    for n, i in enumerate(chosen):
+        part = first[i]
+        todo.append((i, text[start[part]:start[part] + windows[part] - 1 + length]))
+        size += len(todo[-1][1])
+        if n + 1 == len(chosen) or (size >= collection_bytes and group[chosen[n + 1]] != group[i]):
+            for (j, _), flags in zip(todo, sorted_windows([t for _, t in todo], length)):
+                if copies[j] == 1 and flags.any():
+                    mark(first[j], flags)
+            todo, size = [], 0
+    return out
+
+
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends (exclusive) of the runs of true values."""
     edge = np.diff(np.concatenate(([False], flags, [False])).astype(np.int8))
@@ -189,7 +259,7 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200,
-                   gram: int | None = None, group_bytes: int = 1 << 20, collection_bytes: int = 1 << 18) -> DataFrame:
+                   gram: int | None = None, group_bytes: int = 1 << 20, collection_bytes: int = 1 << 20) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of every row (``kept``: the remaining bytes)."""
     gram = gram or max(1, length // 2)
     if not 0 < gram <= length < 1 << 16:
@@ -247,7 +317,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         keys, digests, strings, size = [], [], [], 0
 
         def flush():
-            found = [(k, d, *_runs(flags)) for k, d, flags in zip(keys, digests, sorted_windows(strings, length))]
+            found = [(k, d, *_runs(flags)) for k, d, flags in zip(keys, digests, repeated_windows(strings, length))]
             found = [(k, d, s.tolist(), e.tolist()) for k, d, s, e in found if len(s)]
             return pa.RecordBatch.from_arrays(
                 [pa.array([f[i] for f in found], t) for i, t in enumerate(

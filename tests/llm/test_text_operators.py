@@ -202,6 +202,8 @@ def test_column_wise_construction():
         seen = Counter(s[i:i + length] for s in strings for i in range(len(s) - length + 1))
         expected = [[seen[s[i:i + length]] > 1 for i in range(len(s) - length + 1)] for s in strings]
         assert [x.tolist() for x in substrings.sorted_windows(strings, length)] == expected
+        for size in (1, 1 << 16):
+            assert [x.tolist() for x in substrings.repeated_windows(strings, length, size)] == expected
 
 
 @pytest.mark.parametrize("length,options", [(20, {}), (20, {"group_bytes": 1}), (20, {"collection_bytes": 1}), (7, {"gram": 7}), (12, {"gram": 1})])
