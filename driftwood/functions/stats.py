@@ -67,10 +67,14 @@ def log2(x) -> Column:
     return F.log(2.0, _c(x))
 
 
-def uniform_from_hash(*cols, seed: int = 0) -> Column:
-    """A uniform in (0, 1) from a 64-bit hash of the given columns."""
-    h = F.xxhash64(*[_c(c) for c in cols], F.lit(seed))
-    return (F.shiftrightunsigned(h, 11).cast("double") + F.lit(0.5)) / F.lit(float(2 ** 53))
+def uniform_from_text(*cols, seed: int = 0) -> Column:
+    """A uniform in (0, 1): 52 bits of the MD5 of the columns' texts and the seed.
+
+    It depends on the values alone, so a lost task draws the same again.
+    """
+    texts = [F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols]
+    digest = F.md5(F.concat_ws(":", *texts, F.lit(str(seed))).cast("binary"))
+    return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(2 ** 52))
 
 
 def lgamma(z, shift: int = 8) -> Column:
@@ -123,31 +127,65 @@ def incomplete_beta(x, a, b, iters: int = 300) -> Column:
             .when(x < (a + 1.0) / (a + b + 2.0), direct).otherwise(mirror))
 
 
+#: Degrees of freedom beyond which the tails use asymptotic forms.
+LARGE_DOF = 2000
+
+
 def f_test_pvalue(f, df1, df2) -> Column:
-    """Upper tail P(F > f) of the F distribution."""
+    """Upper tail P(F > f) of the F distribution, for degrees of freedom of any size.
+
+    Two numerator degrees have a closed form.  Small ones use the incomplete beta's
+    continued fraction; large ones the shrinking-factor chi-square
+    approximation (Li and Martin 2002), whose error falls with the square of the larger degree.
+    """
     f, df1, df2 = _c(f).cast("double"), _c(df1).cast("double"), _c(df2).cast("double")
     x = df2 / (df2 + df1 * f)
-    return F.when(f <= 0, F.lit(1.0)).otherwise(incomplete_beta(x, df2 / 2.0, df1 / 2.0))
+
+    def shrunk(g, m, n):  # P(F_{m,n} > g) for n >= m
+        factor = (2.0 * n + m * g / 3.0 + m - 2.0) / (2.0 * n + 4.0 * m * g / 3.0)
+        return chi2_pvalue(factor * m * g, m)
+
+    large = F.when(df2 >= df1, shrunk(f, df1, df2)).otherwise(F.lit(1.0) - shrunk(F.lit(1.0) / f, df2, df1))
+    return (F.when(f <= 0, F.lit(1.0))
+            .when(df1 == 2, F.exp(-df2 / 2.0 * F.log1p(2.0 * f / df2)))
+            .when(F.greatest(df1, df2) > LARGE_DOF, large)
+            .otherwise(incomplete_beta(x, df2 / 2.0, df1 / 2.0)))
+
+
+def _chi2_small(h: Column, k: Column) -> Column:
+    """Closed forms of Q(k/2, h); the terms are summed from their logarithms, so none overflows."""
+    lh = F.log(h)
+
+    def total(first: Column, n: Column, step: float) -> Column:
+        # terms exp(t_i), t_{i+1} = t_i + ln h - ln(i + step)
+        return F.when(n >= 1, F.aggregate(
+            F.sequence(F.lit(1), F.greatest(n, F.lit(1))), F.struct(F.lit(0.0).alias("s"), first.alias("t")),
+            lambda st, i: F.struct((st["s"] + F.exp(st["t"])).alias("s"),
+                                   (st["t"] + lh - F.log(i.cast("double") + F.lit(step))).alias("t")))["s"]).otherwise(F.lit(0.0))
+
+    even = total(-h, (k / 2).cast("int"), 0.0)
+    odd = erfc(F.sqrt(h)) + total(lh / 2.0 - F.lit(math.lgamma(1.5)) - h, ((k - 1) / 2).cast("int"), 0.5)
+    return F.when(k % 2 == 0, even).otherwise(odd)
+
+
+def _chi2_large(h: Column, a: Column) -> Column:
+    """Q(a, h) for large a by Temme's uniform expansion, two terms."""
+    mu = (h - a) / a
+    near = F.abs(mu) < 1e-2
+    # mu - ln(1 + mu); the series where the difference cancels
+    phi = F.when(near, mu * mu * (0.5 - mu / 3.0 + mu * mu / 4.0 - mu * mu * mu / 5.0)).otherwise(mu - F.log1p(mu))
+    eta = F.signum(mu) * F.sqrt(2.0 * phi)
+    c0 = F.when(near, F.lit(-1.0 / 3.0) + eta / 12.0 - eta * eta * (2.0 / 135.0)).otherwise(
+        F.lit(1.0) / F.when(near, F.lit(1.0)).otherwise(mu) - F.lit(1.0) / F.when(near, F.lit(1.0)).otherwise(eta))
+    c1 = F.lit(-1.0 / 540.0) - eta / 288.0
+    rest = F.exp(-a * phi) / F.sqrt(F.lit(2.0 * math.pi) * a) * (c0 + c1 / a)
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), 0.5 * erfc(eta * F.sqrt(a / 2.0)) + rest))
 
 
 def chi2_pvalue(x, dof) -> Column:
-    """Upper tail of chi-square with integer ``dof`` (closed forms of Q(k/2, x/2))."""
-    x, k = _c(x).cast("double"), _c(dof).cast("int")
-    h = x / 2.0
-    m_even = k / 2
-    even = F.exp(-h) * F.aggregate(
-        F.sequence(F.lit(0), F.greatest(m_even.cast("int") - 1, F.lit(0))),
-        F.struct(F.lit(0.0).alias("s"), F.lit(1.0).alias("t")),
-        lambda st, i: F.struct((st["s"] + st["t"]).alias("s"),
-                               (st["t"] * h / (i + 1).cast("double")).alias("t")))["s"]
-    m_odd = ((k - 1) / 2).cast("int")
-    # sum_{i=1..m} h^(i-1/2) / Gamma(i+1/2), terms t_1 = h^(1/2)/Gamma(3/2), t_{i+1} = t_i * h/(i+1/2)
-    t1 = F.sqrt(h) / F.lit(math.gamma(1.5))
-    odd_sum = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(m_odd, F.lit(1))),
-        F.struct(F.lit(0.0).alias("s"), t1.alias("t")),
-        lambda st, i: F.struct((st["s"] + st["t"]).alias("s"),
-                               (st["t"] * h / (i.cast("double") + 0.5)).alias("t")))["s"]
-    odd = erfc(F.sqrt(h)) + F.exp(-h) * F.when(m_odd >= 1, odd_sum).otherwise(F.lit(0.0))
+    """Upper tail of chi-square with integer ``dof`` of any size."""
+    x, k = _c(x).cast("double"), _c(dof).cast("bigint")
+    h, large = x / 2.0, k > LARGE_DOF
+    small = _chi2_small(h, F.when(large, F.lit(1).cast("bigint")).otherwise(k))
     return (F.when(x <= 0, F.lit(1.0)).when(k <= 0, F.lit(float("nan")))
-            .when(k % 2 == 0, even).otherwise(odd))
+            .when(large, _chi2_large(h, k.cast("double") / 2.0)).otherwise(small))

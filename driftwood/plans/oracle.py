@@ -479,8 +479,8 @@ WITH {_EX},
 c AS (SELECT l_orderkey, label AS vote, count(*) AS n FROM ex GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY n DESC, vote) AS rn FROM c)
 SELECT l_orderkey, vote FROM r WHERE rn = 1"""
-_U = ("((l_orderkey * 2654435761 + l_linenumber * 40503 + l_partkey * 97 + 17) % 4294967296"
-      " + 0.5) / 4294967296.0")
+_U = ("(CAST(CAST('0x' || substr(md5(concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, 1)), 1, 13) AS BIGINT)"
+      " AS DOUBLE) + 0.5) / 4503599627370496.0")
 ORACLE["poisson_weights"] = f"""
 SELECT {_LI_ORDER}, CAST(len(list_filter([{', '.join(repr(c) for c in poisson_cdf_table(1.0))}],
                                         lambda c: c < {_U})) AS INTEGER) AS weight
@@ -550,7 +550,7 @@ cells AS (SELECT r.feature, r.value, c.label, r.r, c.c, n.n, coalesce(o.o, 0.0)
           FROM r JOIN c ON c.feature = r.feature JOIN n ON n.feature = r.feature
           LEFT JOIN o ON o.feature = r.feature AND o.value = r.value AND o.label = c.label),
 s AS (SELECT feature, sum(pow(o - r * c / n, 2) / (r * c / n)) AS statistic,
-             CAST((count(DISTINCT value) - 1) * (count(DISTINCT label) - 1) AS INTEGER) AS dof
+             CAST((count(DISTINCT value) - 1) * (count(DISTINCT label) - 1) AS BIGINT) AS dof
       FROM cells GROUP BY feature)
 SELECT feature, round(statistic, 6) AS statistic, dof,
        round({_chi2_sql('statistic', 'dof')}, 9) AS p_value FROM s"""
@@ -560,7 +560,7 @@ cls AS (SELECT feature, label, CAST(count(*) AS DOUBLE) AS nc, avg(value) AS mc,
                coalesce(var_pop(value), 0.0) * count(*) AS ssw FROM numlong GROUP BY ALL),
 tot AS (SELECT feature, sum(nc) AS n, sum(nc * mc) / sum(nc) AS m, count(*) AS k FROM cls GROUP BY ALL),
 a AS (SELECT t.feature, sum(c.nc * pow(c.mc - t.m, 2)) AS ssb, sum(c.ssw) AS ssw,
-             CAST(t.k - 1 AS INTEGER) AS df_between, CAST(t.n - t.k AS INTEGER) AS df_within
+             CAST(t.k - 1 AS BIGINT) AS df_between, CAST(t.n - t.k AS BIGINT) AS df_within
       FROM cls c JOIN tot t USING (feature) GROUP BY t.feature, t.k, t.n),
 f AS (SELECT feature, (ssb / df_between) / (ssw / df_within) AS f_stat, df_between, df_within FROM a)
 SELECT feature, round(f_stat, 6) AS f_stat, df_between, df_within,
@@ -692,6 +692,16 @@ WITH {_EX}
 SELECT CAST(l_orderkey AS DOUBLE) AS l_orderkey, CAST(l_linenumber AS DOUBLE) AS l_linenumber,
        CAST(l_partkey AS DOUBLE) AS l_partkey, CAST(l_suppkey AS DOUBLE) AS l_suppkey,
        f_qty, f_price, f_disc, f_tax, f_status, f_line, CAST(label AS DOUBLE) AS label FROM ex"""
+ORACLE["read_arff_spec"] = ORACLE["read_arff"]
+_ARFF_HEADER = ["@relation lineitem", *[f"@attribute {c} numeric" for c in (
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "f_qty", "f_price", "f_disc", "f_tax")],
+    "@attribute f_status {F,O}", "@attribute f_line {0,1,2,3,4,5,6}", "@attribute class {A,N,R}", "@data"]
+ORACLE["write_arff"] = f"""
+WITH {_EX}
+SELECT concat_ws(',', {', '.join(f"CAST(CAST({c} AS DOUBLE) AS VARCHAR)" for c in (
+    'l_orderkey', 'l_linenumber', 'l_partkey', 'l_suppkey', 'f_qty', 'f_price', 'f_disc', 'f_tax'))},
+  ['F', 'O'][CAST(f_status AS INT) + 1], CAST(CAST(f_line AS INT) AS VARCHAR), ['A', 'N', 'R'][label + 1]) AS value FROM ex
+UNION ALL SELECT unnest([{', '.join(repr(h) for h in _ARFF_HEADER)}])"""
 ORACLE["read_arff_sparse"] = "SELECT CAST(vec_id AS DOUBLE) AS vec_id, " + ", ".join(
     f"CASE WHEN abs(embedding[{i + 1}]) >= 0.5 THEN embedding[{i + 1}]::DOUBLE ELSE 0.0 END AS e{i}"
     for i in range(64)) + ", CAST(label AS DOUBLE) AS label FROM embeddings"

@@ -573,17 +573,10 @@ def q_majority_vote(spark, sf_dir):
     return ensemble.majority_vote(ex, ["l_orderkey"], "vote")
 
 
-def _line_uniform(seed: int = 17):
-    """A uniform in (0, 1) from integer arithmetic on the line key (reproducible anywhere)."""
-    h = F.pmod(F.col("l_orderkey") * F.lit(2654435761) + F.col("l_linenumber") * F.lit(40503)
-               + F.col("l_partkey") * F.lit(97) + F.lit(seed), F.lit(4294967296))
-    return (h.cast("double") + 0.5) / 4294967296.0
-
-
 @register("poisson_weights")
 def q_poisson_weights(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(*LINE_ORDER)
-    return li.select(*LINE_ORDER, ensemble.poisson_weight(_line_uniform(), 1.0).alias("weight"))
+    return ensemble.poisson_weights(li, 1.0, LINE_ORDER, seed=1)
 
 
 @register("normalize_counts")
@@ -936,7 +929,14 @@ def _line_arff_path(spark, sf_dir) -> str:
 
 @register("read_arff")
 def q_read_arff(spark, sf_dir):
-    return arff.read_arff(spark, _line_arff_path(spark, sf_dir))
+    return arff.read_arff(spark, _line_arff_path(spark, sf_dir), nominal_class=True)
+
+
+@register("read_arff_spec")
+def q_read_arff_spec(spark, sf_dir):
+    """A2: the header given in memory, the data read without looking for one."""
+    spec = arff.parse_arff_header(arff.arff_header(LINE_ARFF), nominal_class=True)
+    return arff.read_arff(spark, _line_arff_path(spark, sf_dir), spec=spec)
 
 
 @register("write_arff")
