@@ -4,9 +4,9 @@ Layout of the work
 ------------------
 * The tree itself (node list: tests, class distributions, leaf state) is a
   small driver-side structure, bounded by the number of nodes.
-* Training data is written once, partitioned by block (a range bucket of
-  the order key), to the shared checkpoint folder; every block read is a
-  partition-pruned scan.
+* Blocks are exact runs of ``rows_per_block`` rows by position in the order.
+  Training data is written once, partitioned by block, to the shared checkpoint
+  folder; every block read is a partition-pruned scan.
 * Per block, Spark routes every row to its leaf (the tree compiled to one
   nested ``when`` Column: codegen, no join) and aggregates the leaf
   statistics (class distribution, Gaussian and nominal observers) with
@@ -20,10 +20,14 @@ Block semantics (corrected per-example quirk): a block is aggregated,
 merged once, then split attempts run.  Options follow the reference's
 option defaults except where noted: grace 200, tie 0.05, delta 1e-7,
 info gain, pre-pruning on, growth on.
+
+Nulls: rows without a label do not train; a null feature value adds nothing to
+the statistics and is routed to the last branch of a binary test.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -35,6 +39,7 @@ from driftwood.functions import stats as S
 from driftwood.operators import observers, splits
 from driftwood.operators.examples import to_long
 from driftwood.plans import scan
+from driftwood.session import checkpoint_dir, scratch_path
 
 MULTIWAY_CAND = 1 << 30
 
@@ -65,40 +70,6 @@ def _mx(a, b):
     return b if a is None else (a if b is None else max(a, b))
 
 
-def _phi(z: float) -> float:
-    """Normal CDF with the same erfc fit as ``driftwood.functions.stats``."""
-    x = -z / math.sqrt(2.0)
-    t = 1.0 / (1.0 + 0.5 * abs(x))
-    poly = S.ERFC_COEFFS[-1]
-    for c in reversed(S.ERFC_COEFFS[:-1]):
-        poly = c + t * poly
-    ans = t * math.exp(-abs(x) * abs(x) + poly)
-    return 0.5 * (ans if x >= 0 else 2.0 - ans)
-
-
-def _xlog2x(v: float) -> float:
-    return v * math.log2(v) if v > 0 else 0.0
-
-
-def merit_of(criterion: str, post: list, min_branch: float = 0.01) -> float:
-    """G11/G12 on one candidate: ``post`` = branches x classes weights."""
-    sb = [sum(b) for b in post]
-    tot = sum(sb)
-    if criterion == "gini":
-        g = 0.0
-        for b, s_b in zip(post, sb):
-            if s_b > 0:
-                g += (1.0 - sum(x * x for x in b) / (s_b * s_b)) * s_b / tot
-        return 1.0 - g
-    if sum(1 for s_b in sb if s_b > tot * min_branch) < 2:
-        return float("-inf")
-    pre = [sum(col) for col in zip(*post)]
-    ent_pre = (math.log2(tot) - sum(_xlog2x(x) for x in pre) / tot) if tot > 0 else 0.0
-    ent_post = ((sum(_xlog2x(s_b) for s_b in sb) - sum(_xlog2x(x) for b in post for x in b)) / tot
-                if tot > 0 else 0.0)
-    return ent_pre - ent_post
-
-
 def _argmax(xs) -> int:
     best, bi = None, 0
     for i, v in enumerate(xs):
@@ -119,7 +90,9 @@ class HoeffdingTree:
                  tie_threshold: float = 0.05, delta: float = 1e-7, criterion: str = "info_gain",
                  binary_only: bool = False, split_all: bool = False, leaf_type: str = "majority",
                  nb_threshold: float = 0.0, pre_prune: bool = True, bins: int = 10,
-                 grow: bool = True, split_engine: str = "driver"):
+                 grow: bool = True):
+        if criterion not in ("info_gain", "gini"):
+            raise ValueError(f"unknown split criterion {criterion!r}: info_gain or gini")
         self.feature_cols = list(feature_cols)
         self.num_classes = int(num_classes)
         self.label = label
@@ -131,7 +104,6 @@ class HoeffdingTree:
         self.pre_prune, self.bins, self.grow = pre_prune, int(bins), grow
         self.nodes: dict[int, Node] = {0: Node(0, None, None, 0, "active", [0.0] * self.num_classes)}
         self.next_id = 1
-        self.split_engine = split_engine
         self.max_when_nodes = 500  # above this, route by joins per level
         # leaf statistics, bounded by leaves x features x classes (x values):
         # {(leaf, feature, label): [n, mean, m2, min, max]} and
@@ -214,9 +186,8 @@ class HoeffdingTree:
 
     def majority_of(self, leaf: Column) -> Column:
         """Majority class of a node id (a literal map bounded by the node count)."""
-        m = F.create_map(*[x for n in self.nodes.values()
-                           for x in (F.lit(n.id), F.lit(_argmax(n.dist)))])
-        return F.element_at(m, leaf).cast("int")
+        best = [_argmax(self.nodes[i].dist) if i in self.nodes else None for i in range(self.next_id)]
+        return F.get(F.from_json(F.lit(json.dumps(best)), "array<int>"), leaf)
 
     def majority_column(self) -> Column:
         """H9: majority class of the reached node, compiled into the same tree."""
@@ -238,9 +209,9 @@ class HoeffdingTree:
     # ------------------------------------------------------------------ H2 block stats
     def block_stats(self, block: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """H2: (class dist, Gaussian stats, nominal stats) of the active leaves."""
-        routed = block.select(self.route().alias("leaf"), F.col(self.label).cast("int").alias("label"),
-                              self._w().alias("weight"), *self.feature_cols)
-        routed = routed.filter(F.col("leaf").isin(self._active_ids()))
+        routed = self.with_leaf(block.select(F.col(self.label).cast("int").alias("label"),
+                                             self._w().alias("weight"), *self.feature_cols))
+        routed = routed.filter(F.col("leaf").isin(self._active_ids()) & F.col("label").isNotNull())
         cd = routed.groupBy("leaf", "label").agg(F.sum("weight").alias("w"))
         long = to_long(routed, ["leaf"], self.feature_cols, label="label", weight="weight")
         g = observers.gaussian_stats(long.filter(F.col("feature").isin(self._num_idx())),
@@ -272,6 +243,12 @@ class HoeffdingTree:
                 items.append(F.struct(F.lit(i).alias("feature"), v.alias("x"),
                                       F.lit(None).cast("double").alias("vkey")))
         long = routed.select("leaf", "label", "weight", "_o", F.inline(F.array(*items)))
+        # a row without label counts for the last example only, a null value for nothing
+        known = F.col("label").isNotNull() & ((F.col("feature") == -1) | F.col("x").isNotNull() | F.col("vkey").isNotNull())
+        if with_last:
+            long = long.withColumn("weight", F.when(known, F.col("weight")))
+        else:
+            long = long.where(known)
         ok = (F.col("x").isNotNull() & ~F.isnan("x") & (F.abs(F.col("x")) != F.lit(float("inf")))
               & (F.col("weight") > 0))
         finite = F.col("x").isNotNull() & ~F.isnan("x") & (F.abs(F.col("x")) != F.lit(float("inf")))
@@ -304,6 +281,8 @@ class HoeffdingTree:
         for r in rows:
             if r.gid != 0:
                 last = r.last_leaf
+            elif r.label is None or (r.feature in self.nominal and r.vkey is None):
+                continue
             elif r.feature == -1:
                 cd.append(NS(leaf=r.leaf, label=r.label, w=r.w or 0.0))
             elif r.feature in self.nominal:
@@ -404,8 +383,7 @@ class HoeffdingTree:
             cands.append(lid)
         if not cands:
             return {}
-        if self.split_engine == "driver":
-            return self._attempt_split_driver(cands)
+        checkpoint_dir(self._spark)
         post = self._candidate_posts(self._spark, cands).checkpoint(eager=True)
         best = splits.best_split_per_feature(self._merits(post), ["leaf", "feature"], ["cand"])
         spark = post.sparkSession
@@ -452,95 +430,6 @@ class HoeffdingTree:
                 actions[lid] = "split"
         return actions
 
-    def leaf_suggestions(self, lid: int) -> list:
-        """G7-G16 for one leaf on the driver-held statistics:
-        ``[(feature, merit, cand, cut, post)]`` with the "do not split"
-        candidate as feature -1, ranked best first."""
-        node, C = self.nodes[lid], self.num_classes
-        out = []
-        mine_n: dict = {}
-        for (l2, f2, c, v), w in self.n.items():
-            if l2 == lid:
-                mine_n.setdefault(f2, {})[(c, v)] = w
-        for f in range(len(self.feature_cols)):
-            best = None
-            if f in self.nominal:
-                cnt = mine_n.get(f, {})
-                if not cnt:
-                    continue
-                tot = [sum(w for (c, _), w in cnt.items() if c == k) for k in range(C)]
-                for v in sorted({v for (_, v) in cnt}):
-                    left = [cnt.get((c, v), 0.0) for c in range(C)]
-                    post = [left, [tot[c] - left[c] for c in range(C)]]
-                    m = merit_of(self.criterion, post)
-                    if best is None or round(m, 12) > round(best[1], 12):
-                        best = (f, m, int(v), float(v), post)
-                if not self.binary_only:
-                    post = [[cnt.get((c, float(v)), 0.0) for c in range(C)]
-                            for v in range(self.nominal[f])]
-                    m = merit_of(self.criterion, post)
-                    if best is None or round(m, 12) > round(best[1], 12):
-                        best = (f, m, MULTIWAY_CAND, None, post)
-            else:
-                est = {c: self.g.get((lid, f, c)) for c in range(C)}
-                present = [e for e in est.values() if e is not None]
-                if not present:
-                    continue
-                lo = min(e[3] for e in present if e[3] is not None)
-                hi = max(e[4] for e in present if e[4] is not None)
-                pts = sorted({(hi - lo) * i / float(self.bins) + lo for i in range(1, self.bins + 1)})
-                pts = [p for p in pts if lo < p < hi]
-                for idx, p in enumerate(pts):
-                    left = [0.0] * C
-                    right = [0.0] * C
-                    for c, e in est.items():
-                        if e is None:
-                            continue
-                        n, mean, m2, mn, mx = e
-                        if p < mn:
-                            lw = 0.0
-                        elif p >= mx:
-                            lw = n
-                        else:
-                            sd = math.sqrt(m2 / (n - 1.0)) if n > 1.0 else 0.0
-                            lw = n * (_phi((p - mean) / sd) if sd > 0 else (0.0 if p < mean else 1.0))
-                        left[c], right[c] = lw, n - lw
-                    m = merit_of(self.criterion, [left, right])
-                    if best is None or round(m, 12) > round(best[1], 12):
-                        best = (f, m, idx, p, [left, right])
-            if best is not None:
-                out.append(best)
-        if self.pre_prune:
-            out.append((-1, splits.no_split_merit(self.criterion, node.dist), None, None, []))
-        # stable ascending sort, last wins ties: rank by (merit desc, input order desc)
-        order = {id(x): i for i, x in enumerate(out)}
-        return sorted(out, key=lambda x: (-round(x[1], 12), -order[id(x)]))
-
-    def _attempt_split_driver(self, cands: list[int]) -> dict:
-        actions = {}
-        r_merit = splits.range_merit(self.criterion, self.num_classes)
-        for lid in cands:
-            sug = self.leaf_suggestions(lid)
-            if not sug:
-                continue
-            n_w = sum(self.nodes[lid].dist)
-            bound = math.sqrt(r_merit * r_merit * math.log(1.0 / self.delta) / (2.0 * n_w))
-            if len(sug) < 2:
-                do = True
-            else:
-                gap = sug[0][1] - sug[1][1]
-                do = bound < self.tie or (not math.isnan(gap) and gap > bound)
-            if not do:
-                continue
-            f, _, cand, cut, post = sug[0]
-            if f < 0:
-                self.nodes[lid].kind = "inactive"  # H6
-                actions[lid] = "deactivate"
-            else:
-                self._make_split(lid, f, cand, cut, post)
-                actions[lid] = "split"
-        return actions
-
     def _make_split(self, lid: int, feature: int, cand, cut, post: list) -> None:
         node = self.nodes[lid]
         if feature in self.nominal and cand == MULTIWAY_CAND:
@@ -608,97 +497,92 @@ class HoeffdingTree:
     def fit(self, df: DataFrame, order_cols: Sequence[str], rows_per_block: int = 5000,
             id_cols: Sequence[str] | None = None) -> HoeffdingTree:
         """H8: train over blocks of ``rows_per_block`` consecutive rows (in order)."""
-        from driftwood.session import scratch_path
-
         spark = df.sparkSession
         cols = list(dict.fromkeys([*order_cols, *(id_cols or []), *self.feature_cols, self.label]
                                   + ([self.weight] if self.weight else [])))
-        blocked, nb = scan.add_range_bucket(df.select(*cols), list(order_cols),
-                                            rows_per_bucket=rows_per_block, min_buckets=1)
+        placed = scan.row_position(df.select(*cols), list(order_cols), name="_pos")
         path = scratch_path(spark, "ht-blocks")
-        blocked.write.partitionBy(scan.BUCKET).parquet(path)
+        placed.withColumn("_block", F.floor(F.col("_pos") / rows_per_block)).drop("_pos") \
+            .write.partitionBy("_block").parquet(path)
         stored = spark.read.parquet(path)
         okey = F.struct(*[F.col(c) for c in order_cols])
-        lasts = {r[0]: tuple(r[1]) for r in stored.groupBy(scan.BUCKET).agg(
+        lasts = {r[0]: tuple(r[1]) for r in stored.groupBy("_block").agg(
             F.max_by(F.struct(*self.feature_cols), okey)).collect()}  # one row per block
-        for b in range(nb):
-            self.train_block(stored.filter(F.col(scan.BUCKET) == b), order_cols,
-                             id_cols or order_cols, last_example=lasts.get(b))
+        for b in sorted(lasts):
+            self.train_block(stored.filter(F.col("_block") == b), order_cols,
+                             id_cols or order_cols, last_example=lasts[b])
         return self
 
     # ------------------------------------------------------------------ H9-H11 prediction
-    def _leaf_nb_logvotes(self, df: DataFrame, id_cols: Sequence[str]) -> DataFrame:
-        """Per (id, label) log10 NB votes at the row's leaf, from the leaf observers."""
-        routed = df.select(*id_cols, self.route().alias("leaf"), *self.feature_cols)
-        long = to_long(routed, [*id_cols, "leaf"], self.feature_cols)
-        spark = df.sparkSession
-        dist_rows = [(n.id, c, float(n.dist[c])) for n in self.leaves() for c in range(self.num_classes)]
-        prior = spark.createDataFrame(dist_rows, "leaf int, label int, w double")
-        tot = prior.groupBy("leaf").agg(F.sum("w").alias("_t"))
-        prior = prior.join(tot, "leaf").select("leaf", "label", F.when(
-            F.col("_t") > 0, F.col("w") / F.col("_t")).otherwise(F.lit(0.0)).alias("prior"))
-        parts = []
-        gstats, nstats = self.stats_frames(spark)
-        g = F.broadcast(gstats.select("leaf", "feature", "label", "n", "mean", "m2"))
-        num = long.filter(F.col("feature").isin(self._num_idx())).join(g, ["leaf", "feature"])
-        parts.append(num.select(*id_cols, "leaf", "label",
-                                S.gaussian_density("value", "n", "mean", "m2").alias("p")))
-        if nstats is not None:
-            sizes = F.create_map(*[x for k, v in self.nominal.items()
-                                   for x in (F.lit(k), F.lit(float(v)))])
-            ntot = nstats.groupBy("leaf", "feature", "label").agg(F.sum("w").alias("tot"))
-            cnts = nstats.select("leaf", "feature", "label", "value", F.col("w").alias("cnt"))
-            nom = (long.filter(F.col("feature").isin(list(self.nominal)))
-                   .join(F.broadcast(ntot), ["leaf", "feature"])
-                   .join(F.broadcast(cnts), ["leaf", "feature", "label", "value"], "left"))
-            size = F.coalesce(F.try_element_at(sizes, F.col("feature")), F.lit(1.0))
-            parts.append(nom.select(*id_cols, "leaf", "label", F.when(F.col("tot") == 0, F.lit(0.0))
-                                    .otherwise((F.coalesce("cnt", F.lit(0.0)) + 1.0)
-                                               / (F.col("tot") + size)).alias("p")))
-        allp = parts[0]
-        for p in parts[1:]:
-            allp = allp.unionByName(p)
-        agg = allp.groupBy(*id_cols, "leaf", "label").agg(
-            F.sum(F.when(F.col("p") > 0, F.log10("p")).otherwise(0.0)).alias("_lg"),
-            F.sum(F.when(F.col("p") <= 0, 1).otherwise(0)).alias("_z"))
-        agg = agg.join(F.broadcast(prior), ["leaf", "label"])
-        lv = F.when((F.col("_z") > 0) | (F.col("prior") <= 0), F.lit(float("-inf"))).otherwise(
-            F.log10("prior") + F.col("_lg"))
-        return agg.select(*id_cols, "leaf", "label", lv.alias("log_vote"))
-
-    def _nb_argmax(self, df: DataFrame, id_cols: Sequence[str]) -> DataFrame:
-        lv = self._leaf_nb_logvotes(df, id_cols)
-        best = F.max_by(F.col("label"), F.struct(F.col("log_vote"), -F.col("label")))
-        return lv.groupBy(*id_cols).agg(best.alias("nbp"))
+    def _leaf_statistics(self) -> Column:
+        """Statistics of every node id as one array literal, bounded by the model's size."""
+        C, num, nom = self.num_classes, self._num_idx(), sorted(self.nominal)
+        table: list = []
+        for i in range(self.next_id):
+            node = self.nodes.get(i)
+            if node is None or node.kind == "split":
+                table.append(None)
+                continue
+            total = sum(node.dist)
+            table.append({
+                "prior": [float(w) / total if total > 0 else 0.0 for w in node.dist],
+                "num": [[dict(zip(("n", "mean", "m2"), map(float, self.g[(i, f, c)][:3]))) if (i, f, c) in self.g else None
+                         for c in range(C)] for f in num],
+                "nom": [[None] * C for _ in nom]})
+        for (leaf, f, c, value), w in self.n.items():
+            if table[leaf] is not None and 0 <= value < self.nominal[f]:
+                row = table[leaf]["nom"][nom.index(f)]
+                row[c] = row[c] or [0.0] * self.nominal[f]
+                row[c][int(value)] += float(w)
+        return F.from_json(F.lit(json.dumps(table)), "array<struct<prior:array<double>,"
+                           "num:array<array<struct<n:double,mean:double,m2:double>>>,nom:array<array<array<double>>>>>")
+
+    def _with_nb(self, routed: DataFrame) -> DataFrame:
+        """Append ``nbp``, the naive Bayes class at the row's ``leaf`` (null without statistics).
+
+        Every row scores itself from the literal statistics: no join, no shuffle.
+        """
+        st = routed.withColumn("_st", F.get(self._leaf_statistics(), F.col("leaf")))
+        votes = []
+        for c in range(self.num_classes):
+            ps = []
+            for k, f in enumerate(self._num_idx()):
+                g = F.get(F.get(F.col("_st.num"), F.lit(k)), F.lit(c))
+                x = F.col(self.feature_cols[f]).cast("double")
+                ps.append(F.when(g.isNotNull(), S.gaussian_density(x, g["n"], g["mean"], g["m2"])))
+            for k, f in enumerate(sorted(self.nominal)):
+                counts = F.get(F.get(F.col("_st.nom"), F.lit(k)), F.lit(c))
+                total = F.aggregate(counts, F.lit(0.0), lambda a, w: a + w)
+                own = F.coalesce(F.get(counts, F.col(self.feature_cols[f]).cast("int")), F.lit(0.0))
+                ps.append(F.when(total > 0, (own + 1.0) / (total + F.lit(float(self.nominal[f]))))
+                          .when(counts.isNotNull(), F.lit(0.0)))
+            p = F.filter(F.array(F.get(F.col("_st.prior"), F.lit(c)), *ps), lambda v: v.isNotNull())
+            seen = F.coalesce(*ps).isNotNull()
+            logs = F.aggregate(p, F.lit(0.0), lambda a, v: a + F.when(v > 0, F.log10(v)).otherwise(F.lit(float("-inf"))))
+            votes.append(F.when(seen, F.struct(logs.alias("v"), F.lit(-c).alias("c"))))
+        best = F.array_max(F.filter(F.array(*votes), lambda v: v.isNotNull()))
+        return st.withColumn("nbp", -best["c"]).drop("_st")
 
     def _predict_both(self, df: DataFrame, id_cols: Sequence[str]) -> DataFrame:
-        base = df.select(*id_cols, self.route().alias("leaf"), self.majority_column().alias("mc"),
-                         F.col(self.label).cast("int").alias("label"), self._w().alias("weight"))
-        nbp = self._nb_argmax(df, id_cols)
-        return base.join(nbp, list(id_cols), "left").withColumn(
-            "nbp", F.coalesce(F.col("nbp"), F.col("mc")))
+        own = df.select(*id_cols, F.col(self.label).cast("int").alias("label"), self._w().alias("weight"), *self.feature_cols)
+        base = self._with_nb(self.with_leaf(own)).withColumn("mc", self.majority_of(F.col("leaf")))
+        return base.select(*id_cols, "leaf", "mc", "label", "weight", F.coalesce("nbp", "mc").alias("nbp"))
 
     def predict(self, df: DataFrame, id_cols: Sequence[str], name: str = "prediction") -> DataFrame:
         """H9 (majority), H10 (NB leaves) or H11 (adaptive) per ``leaf_type``."""
-        if len(self.nodes) > self.max_when_nodes:
-            routed = self.with_leaf(df.select(*id_cols, *self.feature_cols))
-            if self.leaf_type == "majority" or not self.g:
-                return routed.select(*id_cols, self.majority_of(F.col("leaf")).alias(name))
-            base = routed.select(*id_cols, "leaf", self.majority_of(F.col("leaf")).alias("mc"))
-        elif self.leaf_type == "majority" or not self.g:
-            return df.select(*id_cols, self.majority_column().alias(name))
-        else:
-            base = df.select(*id_cols, self.route().alias("leaf"), self.majority_column().alias("mc"))
-        nbp = self._nb_argmax(df, id_cols)
-        j = base.join(nbp, list(id_cols), "left")
+        routed = self.with_leaf(df.select(*id_cols, *[c for c in self.feature_cols if c not in id_cols]))
+        mc = self.majority_of(F.col("leaf"))
+        if self.leaf_type == "majority" or not (self.g or self.n):
+            return routed.select(*id_cols, mc.cast("int").alias(name))
+        scored = self._with_nb(routed)
         if self.leaf_type == "nb":
             heavy = [n.id for n in self.leaves() if sum(n.dist) > self.nb_threshold]
             use_nb = F.col("leaf").isin(heavy)
         else:  # adaptive: NB unless majority was right more often (tie -> NB)
             mc_wins = [n.id for n in self.leaves() if n.mc_correct > n.nb_correct]
             use_nb = ~F.col("leaf").isin(mc_wins)
-        pred = F.when(use_nb & F.col("nbp").isNotNull(), F.col("nbp")).otherwise(F.col("mc"))
-        return j.select(*id_cols, pred.cast("int").alias(name))
+        pred = F.when(use_nb & F.col("nbp").isNotNull(), F.col("nbp")).otherwise(mc)
+        return scored.select(*id_cols, pred.cast("int").alias(name))
 
     # ------------------------------------------------------------------ H13-H15 node table
     def nodes_df(self, spark) -> DataFrame:
@@ -726,7 +610,7 @@ class HoeffdingTree:
               .when(F.col("pt") == "nominal", F.lit(" != "))
               .otherwise(F.lit(" == ")))
         val = F.when(F.col("pt") == "multiway", F.col("branch").cast("string")).otherwise(
-            F.col("pv").cast("string"))
+            F.round("pv", 6).cast("string"))
         edge = edge.select("node_id", "parent_id",
                            F.concat(F.element_at(names, F.col("pf") + 1), op, val).alias("c"))
         leaves = nodes.filter(F.col("kind") != "split").select(

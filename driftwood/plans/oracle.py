@@ -566,6 +566,11 @@ f AS (SELECT feature, (ssb / df_between) / (ssw / df_within) AS f_stat, df_betwe
 SELECT feature, round(f_stat, 6) AS f_stat, df_between, df_within,
        round(pow(df_within / (df_within + 2.0 * f_stat), df_within / 2.0), 9) AS p_value FROM f"""
 
+# ------------------------------------------------------------------ Hoeffding tree
+from driftwood.plans.tree_oracle import tree_sql  # noqa: E402
+
+ORACLE.update(tree_sql(_EX, _phi_sql, _info_gain_sql))
+
 # ------------------------------------------------------------------ linear models
 import math as _math  # noqa: E402
 

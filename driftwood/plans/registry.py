@@ -665,20 +665,19 @@ from driftwood.operators.tree import HoeffdingTree  # noqa: E402
 
 TREE_FEATURES = NUMERIC_FEATURES + NOMINAL_FEATURES
 TREE_NOMINAL = {4: 2, 5: 7}
-TREE_BLOCK_ROWS = 20000
-_TREES: dict = {}
+#: Training blocks of the queries: the block size grows with the table.
+TREE_BLOCKS = 3
+
+
+def _tree(leaf_type="majority", split_all=False) -> HoeffdingTree:
+    return HoeffdingTree(TREE_FEATURES, 3, nominal=TREE_NOMINAL, grace=200, leaf_type=leaf_type, split_all=split_all)
 
 
 def _trained_tree(spark, sf_dir, leaf_type="majority", split_all=False) -> HoeffdingTree:
-    """Train (once per process and options) on lineitem in line-key order."""
-    key = (sf_dir, leaf_type, split_all)
-    if key not in _TREES:
-        ht = HoeffdingTree(TREE_FEATURES, 3, nominal=TREE_NOMINAL, grace=200, leaf_type=leaf_type,
-                           split_all=split_all)
-        ht.fit(_line_examples(spark, sf_dir), LINE_ORDER, rows_per_block=TREE_BLOCK_ROWS,
-               id_cols=LINE_ORDER)
-        _TREES[key] = ht
-    return _TREES[key]
+    """Train on lineitem in line-key order."""
+    ex = _line_examples(spark, sf_dir)
+    return _tree(leaf_type, split_all).fit(ex, LINE_ORDER, rows_per_block=max(1, -(-ex.count() // TREE_BLOCKS)),
+                                           id_cols=LINE_ORDER)
 
 
 def _nodes(ht: HoeffdingTree, spark) -> DataFrame:
@@ -691,7 +690,7 @@ def _nodes(ht: HoeffdingTree, spark) -> DataFrame:
 @register("ht_route")
 def q_ht_route(spark, sf_dir):
     ht = _trained_tree(spark, sf_dir)
-    return _line_examples(spark, sf_dir).select(*LINE_ORDER, ht.route().alias("leaf"))
+    return ht.with_leaf(_line_examples(spark, sf_dir)).select(*LINE_ORDER, "leaf")
 
 
 @register("ht_block_stats")
@@ -703,6 +702,30 @@ def q_ht_block_stats(spark, sf_dir):
                     F.round("m2", 3).alias("m2"), "min", "max")
 
 
+@register("ht_merge")
+def q_ht_merge(spark, sf_dir):
+    """H3: the root's statistics after merging the blocks one by one."""
+    ht = _trained_tree_without_growth(spark, sf_dir)
+    g, _ = ht.stats_frames(spark)
+    return g.select("feature", "label", "n", F.round("mean", 6).alias("mean"), F.round("m2", 3).alias("m2"), "min", "max")
+
+
+def _trained_tree_without_growth(spark, sf_dir) -> HoeffdingTree:
+    ht = _tree()
+    ht.grow = False
+    ex = _line_examples(spark, sf_dir)
+    return ht.fit(ex, LINE_ORDER, rows_per_block=max(1, -(-ex.count() // TREE_BLOCKS)), id_cols=LINE_ORDER)
+
+
+@register("ht_deactivate")
+def q_ht_deactivate(spark, sf_dir):
+    """H6: the only feature is constant, so "do not split" wins and the leaf is closed."""
+    ex = _line_examples(spark, sf_dir).where("l_linestatus = 'F'")
+    ht = HoeffdingTree(["f_status"], 3, nominal={0: 2}, grace=200)
+    ht.fit(ex, LINE_ORDER, rows_per_block=max(1, ex.count()), id_cols=LINE_ORDER)
+    return ht.nodes_df(spark).select("node_id", "kind", "class_dist")
+
+
 @register("ht_train")
 def q_ht_train(spark, sf_dir):
     return _nodes(_trained_tree(spark, sf_dir), spark)
@@ -1005,9 +1028,9 @@ STREAM_FILES = 4
 
 def _stream_through(spark, df: DataFrame, order_cols, step, name: str) -> DataFrame:
     """Stage ``df`` as files in order ranges, stream them one per micro-batch."""
-    path = runner.stage_files(df, order_cols, STREAM_FILES, name + "-src")
+    staged = runner.stage_files(df, order_cols, STREAM_FILES, name + "-src")
     r = runner.StatefulBatches(spark, step, name)
-    return runner.run_file_stream(spark, path, df.schema, r)
+    return runner.run_file_stream(spark, staged, df.schema, r)
 
 
 @register("running_max_subarray_stream")
@@ -1080,17 +1103,16 @@ def q_substring_search_stream(spark, sf_dir):
 @register("ht_stream")
 def q_ht_stream(spark, sf_dir):
     """Command lines (EXAMPLE for finished lines, QUERY for open ones) written as
-    files, read as a text stream (A6), dispatched (B5), answered then learned (H12)."""
+    files, read as a text stream (A6) in four epochs by position, dispatched (B5); each
+    epoch's queries are answered by the tree so far, then its examples are learned (H12)."""
     ex = _line_examples(spark, sf_dir)
     cmds = dataflow.tag_commands(ex, "EXAMPLE").withColumn(
         "cmd", F.when(F.col("l_linestatus") == "F", F.lit("EXAMPLE")).otherwise(F.lit("QUERY")))
     cols = [*LINE_ORDER, *NUMERIC_FEATURES, "f_status", "f_line", "label"]
     lines = cmds.select(*LINE_ORDER, commands.command_line(
         F.col("cmd"), arff.arff_dense_line(cmds, LINE_ARFF, cols)).alias("value"))
-    staged = runner.stage_files(lines, LINE_ORDER, STREAM_FILES, "ht-cmd-src")
-    text_dir = scratch_path(spark, "ht-cmd-text")
-    spark.read.parquet(staged).select("value").write.text(text_dir)
-    stream = commands.read_command_stream(spark, text_dir, LINE_ARFF, max_files_per_trigger=None)
+    staged, files = runner.stage_files(lines, LINE_ORDER, STREAM_FILES, "ht-cmd", text="value")
+    stream = commands.read_command_stream(spark, staged, LINE_ARFF, max_files_per_trigger=files)
     ht = HoeffdingTree(TREE_FEATURES, 3, nominal=TREE_NOMINAL, grace=200)
     r = runner.StatefulBatches(spark, stream_tree.tree_step(ht, LINE_ORDER, LINE_ORDER), "ht-stream")
     q = (stream.writeStream.foreachBatch(r).option("checkpointLocation",

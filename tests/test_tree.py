@@ -1,6 +1,8 @@
 from pyspark.sql import functions as F
 
-from driftwood.operators.tree import HoeffdingTree, merit_of
+import pytest
+
+from driftwood.operators.tree import HoeffdingTree
 
 
 def _data(spark, n=1200):
@@ -73,9 +75,35 @@ def test_nb_and_adaptive_leaves_predict(spark):
         assert acc > 0.8, lt  # Gaussian NB at the single leaf separates x < 5
 
 
-def test_merit_of_matches_definition():
-    assert merit_of("info_gain", [[10.0, 0.0], [0.0, 10.0]]) == 1.0
-    assert merit_of("info_gain", [[10.0, 10.0], [0.0, 0.0]]) == float("-inf")
+def test_nulls_and_unknown_criterion(spark):
+    rows = [(i, None if i % 10 == 0 else i % 100 / 10.0, None if i % 7 == 0 else float(i % 3),
+             None if i % 11 == 0 else int(i % 100 >= 50)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "seq long, x double, z double, label int")
+    for kind in ("majority", "nb", "adaptive"):
+        ht = HoeffdingTree(["x", "z"], 2, nominal={1: 3}, grace=50, split_all=True, leaf_type=kind)
+        ht.fit(df, ["seq"], rows_per_block=400)
+        assert len(ht.nodes) > 1 and ht.predict(df, ["seq"]).count() == 1200
+    with pytest.raises(ValueError):
+        HoeffdingTree(["x"], 2, criterion="variance_reduction")
+
+
+def test_blocks_are_exact_positions(spark):
+    df = _data(spark, 700)
+    trees = []
+    for parts in (1, 3, 8):
+        ht = HoeffdingTree(["x", "z"], 2, nominal={1: 3}, grace=50, split_all=True)
+        ht.fit(df.repartition(parts), ["seq"], rows_per_block=300)
+        assert ht.blocks_seen == 3
+        trees.append([(n.id, n.kind, n.feature, n.value, [round(v, 6) for v in n.dist]) for n in ht.nodes.values()])
+    assert trees[0] == trees[1] == trees[2]
+
+
+def test_scoring_has_no_exchange(spark):
+    df = _data(spark, 600)
+    ht = HoeffdingTree(["x", "z"], 2, nominal={1: 3}, grace=1e9, leaf_type="nb")
+    ht.fit(df, ["seq"], rows_per_block=300)
+    plan = ht.predict(spark.range(10).selectExpr("id as seq", "1.0D as x", "2.0D as z"), ["seq"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
 
 
 def test_route_join_matches_when_tree(spark):
