@@ -186,12 +186,10 @@ def word_counts(df: DataFrame, id_col: str, text_col: str, name: str = "tf") ->
 
     One shuffle on the id: rows are hash-partitioned by id, tokens are
     exploded after the shuffle and both groupings reuse that partitioning.
-    Whole texts are used.
+    Whole texts are used; an empty or null text has an empty map.
     """
-    toks = (df.select(id_col, text_col).repartition(id_col)
-            .select(id_col, F.explode(F.split(F.col(text_col), " ")).alias("_w"))
-            .filter(F.col("_w") != ""))
+    words = F.filter(F.split(F.col(text_col), " "), lambda w: w != "")
+    toks = df.select(id_col, text_col).repartition(id_col).select(id_col, F.explode_outer(words).alias("_w"))
     counts = toks.groupBy(id_col, "_w").agg(F.count(F.lit(1)).cast("double").alias("_n"))
-    return counts.groupBy(id_col).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("_w").alias("key"),
-                                                   F.col("_n").alias("value")))).alias(name))
+    entry = F.when(F.col("_w").isNotNull(), F.struct(F.col("_w").alias("key"), F.col("_n").alias("value")))
+    return counts.groupBy(id_col).agg(F.map_from_entries(F.collect_list(entry)).alias(name))

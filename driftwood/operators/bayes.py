@@ -10,14 +10,16 @@ skew-split otherwise.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftwood.functions import stats as S
 from driftwood.plans import scan
+from driftwood.session import written
 
 
 @dataclass
@@ -28,15 +30,18 @@ class NBModel:
     feature_sums: DataFrame
 
 
-def entries(df: DataFrame, id_cols: Sequence[str], features) -> DataFrame:
-    """Feature entries ``(id..., feature, x)`` of a map, array or column-list vector."""
+def entries(df: DataFrame, id_cols: Sequence[str], features, outer: bool = False) -> DataFrame:
+    """Feature entries ``(id..., feature, x)`` of a map, array or column-list vector.
+
+    ``outer``: a row without entries gives one of nulls.
+    """
     ids = [F.col(c) for c in id_cols]
     if isinstance(features, str):
         kind = df.schema[features].dataType.typeName()
         if kind == "map":
-            out = df.select(*ids, F.explode(features).alias("feature", "x"))
+            out = df.select(*ids, (F.explode_outer if outer else F.explode)(features).alias("feature", "x"))
         else:
-            out = df.select(*ids, F.posexplode(features).alias("feature", "x"))
+            out = df.select(*ids, (F.posexplode_outer if outer else F.posexplode)(features).alias("feature", "x"))
     else:
         arr = F.array(*[F.struct(F.lit(i).alias("feature"), F.col(c).cast("double").alias("x"))
                         for i, c in enumerate(features)])
@@ -92,8 +97,6 @@ def nb_params(model: NBModel, smoothing: float = 1.0, num_features: int | None =
 
 
 def _ln(v: float) -> float:
-    import math
-
     return math.log(v) if v > 0 else float("-inf")
 
 
@@ -113,8 +116,7 @@ def nb_predict(model: NBModel, df: DataFrame, id_cols: Sequence[str], features,
     """
     # the model tables are small (classes, classes x features): materialize them once in the
     # checkpoint folder so the scalar reads and the scoring plan do not re-run training
-    model = NBModel(model.class_counts.checkpoint(eager=True),
-                    model.feature_sums.checkpoint(eager=True))
+    model = NBModel(written(model.class_counts, "nb-classes"), written(model.feature_sums, "nb-features"))
     priors, conds = nb_params(model, smoothing, num_features)
     pr = {r.label: (r.log_prior, r.log_default) for r in priors.collect()}  # C rows
     classes = sorted(pr)
@@ -122,12 +124,13 @@ def nb_predict(model: NBModel, df: DataFrame, id_cols: Sequence[str], features,
              .select("feature", F.struct("label", (F.col("log_cond") - F.col("log_default"))
                                          .alias("d")).alias("e"))
              .groupBy("feature").agg(F.map_from_entries(F.collect_list("e")).alias("dm")))
-    ent = entries(df, id_cols, features).join(delta, "feature", "inner")
-    agg = ent.groupBy(*id_cols).agg(
-        F.sum("x").alias("_X"),
-        *[F.sum(F.col("x") * F.coalesce(F.try_element_at("dm", F.lit(c)), F.lit(0.0)))
+    # the left join keeps rows whose features are all unknown, or that have none
+    ent = entries(df, id_cols, features, outer=True).join(delta, "feature", "left")
+    known = F.when(F.col("dm").isNotNull(), F.col("x"))
+    ids = ent.groupBy(*id_cols).agg(
+        F.sum(known).alias("_X"),
+        *[F.sum(known * F.coalesce(F.try_element_at("dm", F.lit(c)), F.lit(0.0)))
           .alias(f"_S{i}") for i, c in enumerate(classes)])
-    ids = df.select(*id_cols).join(agg, list(id_cols), "left")
     scores = {c: F.lit(pr[c][0]) + F.lit(pr[c][1]) * F.coalesce("_X", F.lit(0.0))
               + F.coalesce(f"_S{i}", F.lit(0.0)) for i, c in enumerate(classes)}
     return ids.select(*id_cols, _argmax_class(scores))
@@ -175,45 +178,44 @@ def observer_nb_votes(df: DataFrame, id_cols: Sequence[str], gaussian: DataFrame
     likelihoods, ``nominal(feature, label, value, w)`` (G4) the Laplace
     nominal ones, ``class_weights(label, w)`` the priors.  Output long form
     ``(id..., label, vote)`` (``log_vote`` in log10 when ``log10``).  The
-    statistics tables hold features x classes rows, so they are broadcast.
+    statistics (features x classes rows, and values for nominal features) go
+    into the plan as literals, so every row scores itself: no join, no shuffle.
     """
-    prior = class_weights.select(
-        "label", (F.col("w") / F.sum("w").over(Window.partitionBy())).alias("prior"))
-    parts = []
-    if gaussian is not None and features_numeric:
-        ent = entries(df, id_cols, list(features_numeric))
-        g = F.broadcast(gaussian.select("feature", "label", "n", "mean", "m2"))
-        parts.append(ent.join(g, "feature").select(
-            *id_cols, "label", S.gaussian_density("x", "n", "mean", "m2").alias("p")))
-    if nominal is not None and features_nominal:
-        off = len(features_numeric or ())
-        ent = entries(df, id_cols, list(features_nominal)).withColumn(
-            "feature", F.col("feature") + F.lit(off))
-        sizes = nominal_sizes or {}
-        classes = [r.label for r in class_weights.select("label").collect()]  # C rows
-        spark = df.sparkSession
-        grid = spark.createDataFrame(
-            [(off + j, c, float(sizes.get(off + j, 1))) for j in range(len(features_nominal))
-             for c in classes], ["feature", "label", "vsize"])
-        tot = nominal.groupBy("feature", "label").agg(F.sum("w").alias("tot"))
-        cls = grid.join(tot, ["feature", "label"], "left")
-        e2 = ent.join(F.broadcast(cls), "feature").join(
-            F.broadcast(nominal.select("feature", "label", F.col("value").alias("x"), "w")),
-            ["feature", "label", "x"], "left")
-        p = F.when(F.coalesce("tot", F.lit(0.0)) == 0, F.lit(0.0)).otherwise(
-            (F.coalesce("w", F.lit(0.0)) + smoothing) / (F.col("tot") + F.col("vsize") * smoothing))
-        parts.append(e2.select(*id_cols, "label", p.alias("p")))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    agg = allp.groupBy(*id_cols, "label").agg(
-        F.sum(F.when(F.col("p") > 0, F.log10("p")).otherwise(F.lit(0.0))).alias("_lg"),
-        F.sum(F.when(F.col("p") <= 0, F.lit(1)).otherwise(F.lit(0))).alias("_zeros"))
-    agg = agg.join(F.broadcast(prior), "label")
-    lg = F.when(F.col("_zeros") > 0, F.lit(float("-inf"))).otherwise(
-        F.log10("prior") + F.col("_lg"))
-    if log10:
-        return agg.select(*id_cols, "label", lg.alias("log_vote"))
-    return agg.select(*id_cols, "label",
-                      F.when(F.col("_zeros") > 0, F.lit(0.0)).otherwise(F.pow(F.lit(10.0), lg))
-                      .alias("vote"))
+    weights = {r["label"]: float(r["w"]) for r in class_weights.collect()}
+    total = sum(weights.values())
+    num = list(features_numeric or ())
+    nom = list(features_nominal or ())
+    sizes = nominal_sizes or {}
+    stats = {(r["feature"], r["label"]): r for r in gaussian.collect()} if gaussian is not None and num else {}
+    counts: dict = {}
+    if nominal is not None and nom:
+        for r in nominal.collect():
+            counts.setdefault((r["feature"], r["label"]), {})[r["value"]] = float(r["w"])
+    votes = []
+    for label in sorted(weights):
+        ps = []
+        for j, c in enumerate(num):
+            r = stats.get((j, label))
+            if r is not None:
+                ps.append(S.gaussian_density(F.col(c).cast("double"), F.lit(float(r["n"])), F.lit(float(r["mean"])),
+                                             F.lit(float(r["m2"]))))
+        for j, c in enumerate(nom, len(num)):
+            own = counts.get((j, label), {})
+            tot = sum(own.values())
+            if tot == 0:
+                ps.append(F.lit(0.0))
+                continue
+            w = F.lit(0.0)
+            for v, n in sorted(own.items()):
+                w = F.when(F.col(c) == F.lit(v), F.lit(n)).otherwise(w)
+            ps.append((w + smoothing) / F.lit(tot + float(sizes.get(j, 1)) * smoothing))
+        zero = sum((F.when(p <= 0, 1).otherwise(0) for p in ps), F.lit(0)) > 0
+        logs = sum((F.when(p > 0, F.log10(p)).otherwise(F.lit(0.0)) for p in ps), F.lit(0.0))
+        log = F.when(zero, F.lit(float("-inf"))).otherwise(F.lit(_log10(weights[label] / total)) + logs)
+        vote = log if log10 else F.when(zero, F.lit(0.0)).otherwise(F.pow(F.lit(10.0), log))
+        votes.append(F.struct(F.lit(label).alias("label"), vote.alias("log_vote" if log10 else "vote")))
+    return df.select(*id_cols, F.inline(F.array(*votes)))
+
+
+def _log10(v: float) -> float:
+    return math.log10(v) if v > 0 else float("-inf")

@@ -147,8 +147,9 @@ def linear_train(df: DataFrame, features: str, label: str, num_features: int,
             break
         g = [0.0] * len(w)
         for r in rows:
-            if r["index"] < len(g):
-                g[r["index"]] = r["grad"]
+            if r["index"] >= len(g):
+                raise ValueError(f"a row has feature {r['index'] - 1}, the model has {num_features} features")
+            g[r["index"]] = r["grad"]
         w = [wi + learning_rate * (sign * gi / n + reg_param * regularize_py(wi, reg))
              for wi, gi in zip(w, g)]
         if any(math.isnan(x) for x in w):

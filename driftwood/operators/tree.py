@@ -39,7 +39,7 @@ from driftwood.functions import stats as S
 from driftwood.operators import observers, splits
 from driftwood.operators.examples import to_long
 from driftwood.plans import scan
-from driftwood.session import checkpoint_dir, scratch_path
+from driftwood.session import scratch_path, written
 
 MULTIWAY_CAND = 1 << 30
 
@@ -383,8 +383,7 @@ class HoeffdingTree:
             cands.append(lid)
         if not cands:
             return {}
-        checkpoint_dir(self._spark)
-        post = self._candidate_posts(self._spark, cands).checkpoint(eager=True)
+        post = written(self._candidate_posts(self._spark, cands), "ht-candidates")
         best = splits.best_split_per_feature(self._merits(post), ["leaf", "feature"], ["cand"])
         spark = post.sparkSession
         no_split = None

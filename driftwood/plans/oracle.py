@@ -163,9 +163,9 @@ SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, coalesce(a.word, b.word) AS word,
        coalesce(a.n, 0.0) + coalesce(b.n, 0.0) AS value
 FROM a FULL OUTER JOIN b ON a.doc_id = b.doc_id AND a.word = b.word"""
 ORACLE["text_vec_hadamard"] = f"""
-WITH tf AS {_DOC_TF}
-SELECT a.doc_id, a.word, a.n * b.n AS value
-FROM tf a JOIN tf b ON b.doc_id = a.doc_id + 1 AND b.word = a.word"""
+WITH tf AS MATERIALIZED {_DOC_TF},
+pair AS (SELECT doc_id, word, n AS a, NULL AS b FROM tf UNION ALL SELECT doc_id - 1, word, NULL, n FROM tf)
+SELECT doc_id, word, max(a) * max(b) AS value FROM pair GROUP BY doc_id, word HAVING count(*) = 2"""
 
 # ------------------------------------------------------------------ branch tests
 ORACLE["numeric_test"] = f"""
@@ -374,11 +374,13 @@ SELECT t.l_linestatus, t.best_feature,
        CASE WHEN k < 2 THEN k > 0 ELSE (b.bound < 0.05) OR coalesce((bm - sm) > b.bound, false) END
          AS split
 FROM top t JOIN bounds b USING (l_linestatus)"""
+_STATUS_CANDS = _CANDS.replace("CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 WHEN 'R' THEN 2 END AS label",
+                               "CASE l_linestatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 END AS label")
 ORACLE["poor_features"] = f"""
-WITH {_LEAF},
-best AS (SELECT l_linestatus, merit AS bm FROM ranked WHERE rank = 1)
-SELECT r.l_linestatus, r.feature FROM ranked r JOIN best USING (l_linestatus)
-JOIN bounds b USING (l_linestatus) WHERE r.feature >= 0 AND bm - r.merit > b.bound"""
+WITH {_STATUS_CANDS}, {_info_gain_sql('feature, cand')},
+best AS (SELECT feature, max(round(merit, 12)) AS merit FROM merits GROUP BY feature),
+bound AS (SELECT sqrt(ln(1.0 / 1e-7) / (2.0 * count(*))) AS bound FROM ex)
+SELECT 0 AS leaf, feature FROM best, bound WHERE (SELECT max(merit) FROM best) - merit > bound"""
 
 # ------------------------------------------------------------------ naive Bayes
 _NB_TF = f"""tf AS {_DOC_TF},

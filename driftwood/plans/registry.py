@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwood.operators import ordered
+from driftwood.session import written
 from driftwood.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -218,7 +219,7 @@ def q_sparse_vec_ops(spark, sf_dir):
 
 def _doc_tf_pairs(spark, sf_dir) -> DataFrame:
     # both sides of the pair read one written word-count table (computed once)
-    tf = vec.word_counts(table(spark, sf_dir, "documents"), "doc_id", "text", "tf").checkpoint(eager=True)
+    tf = written(vec.word_counts(table(spark, sf_dir, "documents"), "doc_id", "text", "tf"), "word-counts")
     nxt = tf.select((F.col("doc_id") - 1).alias("doc_id"), F.col("tf").alias("tf2"))
     return tf.join(nxt, on="doc_id", how="inner")
 
@@ -325,7 +326,7 @@ def q_gaussian_stats(spark, sf_dir):
 def q_merge_gaussian_stats(spark, sf_dir):
     ex = _line_examples(spark, sf_dir)
     a = observers.gaussian_stats(_numeric_long(ex.filter(F.col("l_linestatus") == "F")))
-    b = observers.gaussian_stats(_numeric_long(ex.filter(F.col("l_linestatus") != "F")))
+    b = observers.gaussian_stats(_numeric_long(ex.filter(~F.col("l_linestatus").eqNullSafe("F"))))
     return _round_stats(observers.merge_gaussian_stats(a, b), ["feature", "label"])
 
 
@@ -473,8 +474,19 @@ def q_should_split(spark, sf_dir):
 
 @register("poor_features")
 def q_poor_features(spark, sf_dir):
-    ranked, bounds = _leaf_suggestions(spark, sf_dir)
-    return splits.poor_features(ranked, bounds, ["l_linestatus"])
+    """Class = line status, the whole table as one leaf: of the six features (one of them the
+    status itself), those far behind the best."""
+    ex = _line_examples(spark, sf_dir).withColumn("label", F.col("f_status").cast("int"))
+    g = observers.gaussian_stats(_numeric_long(ex))
+    num = observers.gaussian_split_weights(g, observers.split_points(g)).select(
+        "feature", F.col("point_idx").alias("cand"), "branch", "label", "w")
+    nom = observers.nominal_binary_splits(observers.nominal_stats(_nominal_long(ex))).select(
+        (F.col("feature") + 4).alias("feature"), F.col("split_value").cast("int").alias("cand"), "branch", "label", "w")
+    m = splits.info_gain(num.unionByName(nom), ["feature", "cand"]).withColumn("leaf", F.lit(0))
+    best = splits.best_split_per_feature(m, ["leaf", "feature"], ["cand"])
+    leaves = ex.agg(F.count(F.lit(1)).cast("double").alias("weight")).withColumn("leaf", F.lit(0))
+    ranked = splits.rank_split_suggestions(best, ["leaf"], leaves.select("leaf", F.lit(float("-inf")).alias("merit")))
+    return splits.poor_features(ranked, splits.hoeffding_bound(leaves, "weight", "info_gain", 2), ["leaf"])
 
 
 # ------------------------------------------------------------------ naive Bayes
@@ -503,7 +515,7 @@ def q_nb_train(spark, sf_dir):
 def q_nb_merge(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     a = bayes.nb_train(_labelled_tf(spark, sf_dir, docs.filter(F.col("lang") == "en")), "tf")
-    b = bayes.nb_train(_labelled_tf(spark, sf_dir, docs.filter(F.col("lang") != "en")), "tf")
+    b = bayes.nb_train(_labelled_tf(spark, sf_dir, docs.filter(~F.col("lang").eqNullSafe("en"))), "tf")
     return _nb_table(bayes.nb_merge(a, b))
 
 
@@ -1128,7 +1140,7 @@ def q_dispatch_commands(spark, sf_dir):
     od = table(spark, sf_dir, "orders")
     ex = dataflow.tag_commands(od.filter(F.col("o_orderstatus") == "F"), "EXAMPLE")
     qu = dataflow.tag_commands(od.filter(F.col("o_orderstatus") == "O"), "QUERY")
-    other = dataflow.tag_commands(od.filter(~F.col("o_orderstatus").isin("F", "O")), "NOOP")
+    other = dataflow.tag_commands(od.filter(~F.coalesce(F.col("o_orderstatus").isin("F", "O"), F.lit(False))), "NOOP")
     merged = dataflow.merge_streams(dataflow.merge_streams(ex, qu), other)
     e, q, o = dataflow.dispatch_commands(merged)
     return (e.select(F.lit("EXAMPLE").alias("route"), "o_orderkey")

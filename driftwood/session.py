@@ -9,9 +9,11 @@ setting is absent (local tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int = 8,
@@ -45,7 +47,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        # Only reached when nothing is configured (local tests / bench).
+        if not re.match(r"local(\[[^\]]*\])?$", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # one machine: tests and the bench
         conf_dir = tempfile.mkdtemp(prefix="driftwood-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -54,6 +58,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
-    import uuid
-
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back: lineage ends there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
