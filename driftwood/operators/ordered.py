@@ -11,8 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftwood.plans import scan
 from driftwood.plans.scan import BUCKET, _as_list, _join_carry
@@ -86,12 +89,80 @@ def hypothesis_table(spark, slopes: Sequence[float] = tuple(range(31))) -> DataF
     return spark.createDataFrame([(i, float(a)) for i, a in enumerate(slopes)], "idx int, a double")
 
 
-def _leader(loss_cols: list[Column], hyps, x: Column) -> tuple[Column, Column]:
-    best = F.array_min(F.array(*[F.struct(c.alias("loss"), F.lit(i).alias("idx"))
-                                 for i, c in enumerate(loss_cols)]))
-    idx = best["idx"]
-    pred = F.element_at(F.array(*[h(x).cast("double") for h in hyps]), idx + 1)
-    return idx, pred
+class _Bank:
+    """Hypotheses as array expressions: a linear bank maps over one array of slopes, any
+    other list of functions becomes an array of their Columns."""
+
+    def __init__(self, hypotheses, loss):
+        self.loss = loss
+        self.hyps = None if hypotheses is None else list(hypotheses)
+        self.slopes = F.array(*[F.lit(float(a)) for a in range(31)]) if hypotheses is None else None
+        self.size = 31 if hypotheses is None else len(self.hyps)
+
+    def losses(self, x: Column, y: Column) -> Column:
+        """array<double>: the loss of every hypothesis on one pair."""
+        if self.hyps is None:
+            return F.transform(self.slopes, lambda a: self.loss(x * a, y))
+        return F.array(*[self.loss(h(x), y).cast("double") for h in self.hyps])
+
+    def total(self, pairs: list) -> Column:
+        """array<double>: the summed losses on pairs (x, y, whether it counts)."""
+        def of(predict):
+            terms = [F.when(counts, self.loss(predict(x), y)).otherwise(F.lit(0.0)) for x, y, counts in pairs]
+            total = terms[0]
+            for t in terms[1:]:
+                total = total + t
+            return total
+
+        if self.hyps is None:
+            return F.transform(self.slopes, lambda a: of(lambda x: x * a))
+        return F.array(*[of(h).cast("double") for h in self.hyps])
+
+    def zeros(self) -> Column:
+        return F.array_repeat(F.lit(0.0), self.size)
+
+    def leader(self, sums: Column, x: Column) -> tuple[Column, Column]:
+        """(index of the least sum, the lowest of equals; its prediction)."""
+        idx = (F.array_position(sums, F.array_min(sums)) - 1).cast("int")
+        if self.hyps is None:
+            return idx, F.get(self.slopes, idx) * x
+        return idx, F.get(F.array(*[h(x).cast("double") for h in self.hyps]), idx)
+
+
+def _added(a: Column, b: Column) -> Column:
+    return F.zip_with(a, b, lambda x, y: x + y)
+
+
+def _summed(df: DataFrame, keys, col: str, n: int, *more: Column) -> DataFrame:
+    """Element-wise sums of the array ``col`` by ``keys``: plain partial aggregates."""
+    each = df.groupBy(*keys).agg(*more, *[F.sum(F.get(F.col(col), F.lit(i))).alias(f"_t{i}") for i in range(n)])
+    return each.withColumn(col, F.array(*[F.col(f"_t{i}") for i in range(n)])).drop(*[f"_t{i}" for i in range(n)])
+
+
+def _running_arrays(df: DataFrame, col: str, first: str, name: str, size: int) -> DataFrame:
+    """Running element-wise sums of ``col`` in the order of each partition's rows, from anew where ``first`` is true.
+
+    Thirty window sums cost a wide row each; numpy adds whole rows of numbers.
+    """
+    names = list(df.columns)
+    at, new = names.index(col), names.index(first)
+
+    def run(batches):
+        carry = np.zeros(size)
+        for b in batches:
+            values = b.column(at).flatten().to_numpy(zero_copy_only=False).reshape(-1, size).copy()
+            starts = np.flatnonzero(b.column(new).to_numpy(zero_copy_only=False))
+            if len(values) and (len(starts) == 0 or starts[0] > 0):
+                values[0] += carry
+            for s, e in zip(np.concatenate(([0], starts)), np.concatenate((starts, [len(values)]))):
+                np.cumsum(values[s:e], axis=0, out=values[s:e])
+            if len(values):
+                carry = values[-1].copy()
+            sums = pa.ListArray.from_arrays(np.arange(0, values.size + 1, size, dtype=np.int32), values.ravel())
+            yield pa.RecordBatch.from_arrays([*b.columns, sums], names=[*names, name])
+
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.DoubleType()))])
+    return df.mapInArrow(run, schema)
 
 
 def follow_the_leader(df: DataFrame, x, y, order_cols, key_cols=(), *, hypotheses=None,
@@ -106,51 +177,46 @@ def follow_the_leader(df: DataFrame, x, y, order_cols, key_cols=(), *, hypothese
     reference meant to keep).  Appends ``leader`` (hypothesis index) and
     ``prediction``.
     """
-    hyps = list(hypotheses) if hypotheses is not None else hypothesis_bank()
+    bank = _Bank(hypotheses, loss)
     order_cols, key_cols = _as_list(order_cols), _as_list(key_cols)
     xx, yy = _c(x).cast("double"), _c(y).cast("double")
     base = df.select("*", xx.alias("_x"), yy.alias("_y"))
     if window is None:
-        out = _ftl_unbounded(base, hyps, loss, order_cols, key_cols, bucket_opts)
+        out = ftl_sums(base, bank, order_cols, key_cols, bucket_opts)
     else:
-        out = _ftl_sliding(base, hyps, loss, int(window), order_cols, key_cols, bucket_opts)
-    idx, pred = _leader([F.col(f"_S{i}") for i in range(len(hyps))], hyps, F.col("_x"))
+        out = _ftl_sliding(base, bank, int(window), order_cols, key_cols, bucket_opts)
+    idx, pred = bank.leader(F.col("_S"), F.col("_x"))
     return out.select(*[F.col(c) for c in df.columns], idx.alias("leader"),
                       pred.alias("prediction"))
 
 
-def _ftl_unbounded(base, hyps, loss, order_cols, key_cols, bucket_opts):
-    """One bucketed pass: local loss sums use the in-bucket previous x; the
-    first row of each bucket is corrected with the previous bucket's last x."""
+def ftl_sums(base, bank: _Bank, order_cols, key_cols, bucket_opts):
+    """``base`` (with ``_x, _y``) and ``_S``, the summed losses of every hypothesis up to each row.
+
+    One bucketed pass: sums inside a bucket use the in-bucket previous x; the
+    first row of each bucket is corrected with the previous bucket's last x.
+    """
     base, _ = scan.add_range_bucket(base, order_cols, key_cols=key_cols, **bucket_opts)
     g = [*key_cols, BUCKET]
     wl = Window.partitionBy(*g).orderBy(*order_cols)
-    w = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    px = F.lag("_x", 1).over(wl)
-    local = base.withColumn("_px", px)
-    n = len(hyps)
-    local = local.select("*", *[F.when(F.col("_px").isNull(), F.lit(0.0))
-                                .otherwise(loss(h(F.col("_px")), F.col("_y"))).alias(f"_e{i}")
-                                for i, h in enumerate(hyps)])
-    local = local.select("*", *[F.sum(f"_e{i}").over(w).alias(f"_l{i}") for i in range(n)])
+    local = base.withColumns({"_px": F.lag("_x", 1).over(wl), "_first": F.row_number().over(wl) == 1})
+    local = local.withColumn("_e", F.when(F.col("_first"), bank.zeros()).otherwise(bank.losses(F.col("_px"), F.col("_y"))))
     okey = F.struct(*[F.col(c) for c in order_cols])
     # bucket totals are plain sums of the per-row losses (hash aggregate)
-    summ = local.groupBy(*g).agg(
-        F.min_by("_y", okey).alias("_fy"), F.max_by("_x", okey).alias("_lx"),
-        *[F.sum(f"_e{i}").alias(f"_T{i}") for i in range(n)])
+    summ = _summed(local, g, "_e", bank.size, F.min_by("_y", okey).alias("_fy"), F.max_by("_x", okey).alias("_lx"))
     wk = Window.partitionBy(*key_cols).orderBy(BUCKET)
     s = summ.withColumn("_plx", F.lag("_lx", 1, 0.0).over(wk))
-    s = s.select(*g, *[(F.col(f"_T{i}") + loss(h(F.col("_plx")), F.col("_fy"))).alias(f"_B{i}")
-                       for i, h in enumerate(hyps)],
-                 *[loss(h(F.col("_plx")), F.col("_fy")).alias(f"_F{i}") for i, h in enumerate(hyps)])
+    s = s.withColumn("_F", bank.losses(F.col("_plx"), F.col("_fy"))).withColumn("_B", _added(F.col("_e"), F.col("_F")))
     wprev = wk.rowsBetween(Window.unboundedPreceding, -1)
-    carry = s.select(*g, *[(F.coalesce(F.sum(f"_B{i}").over(wprev), F.lit(0.0)) + F.col(f"_F{i}"))
-                           .alias(f"_C{i}") for i in range(n)])
-    out = _join_carry(local, carry, key_cols)
-    return out.select("*", *[(F.col(f"_C{i}") + F.col(f"_l{i}")).alias(f"_S{i}") for i in range(n)])
+    carry = s.select(*g, F.array(*[
+        F.coalesce(F.sum(F.get("_B", F.lit(i))).over(wprev), F.lit(0.0)) + F.get("_F", F.lit(i)) for i in range(bank.size)]).alias("_C"))
+    # the window has left the rows in this order already
+    rows = local.sortWithinPartitions(*g, *order_cols).drop("_px")
+    summed = _running_arrays(rows, "_e", "_first", "_l", bank.size).drop("_e", "_first")
+    return _join_carry(summed, carry, key_cols).withColumn("_S", _added(F.col("_C"), F.col("_l"))).drop("_C", "_l")
 
 
-def _ftl_sliding(base, hyps, loss, win, order_cols, key_cols, bucket_opts):
+def _ftl_sliding(base, bank: _Bank, win, order_cols, key_cols, bucket_opts):
     """Bounded past: loss over the last ``win`` pairs, from per-row lags."""
     lagged = scan.with_lags(base, ["_x", "_y"], win, order_cols, key_cols, prefix="_g",
                             **bucket_opts)
@@ -161,18 +227,10 @@ def _ftl_sliding(base, hyps, loss, win, order_cols, key_cols, bucket_opts):
     def ys(i):
         return F.col("_y") if i == 0 else F.col(f"_g{i}__y")
 
-    sums = []
-    for h in hyps:
-        terms = []
-        for i in range(win):  # pair (x_{t-1-i}, y_{t-i}) exists iff y_{t-i} exists
-            px = F.coalesce(xs(i + 1), F.lit(0.0))
-            term = loss(h(px), ys(i))
-            terms.append(term if i == 0 else F.when(ys(i).isNotNull(), term).otherwise(F.lit(0.0)))
-        total = terms[-1]
-        for t in reversed(terms[:-1]):  # oldest pair first
-            total = total + t
-        sums.append(total)
-    return lagged.select("*", *[s.alias(f"_S{i}") for i, s in enumerate(sums)])
+    # pair (x_{t-1-i}, y_{t-i}) exists iff y_{t-i} exists; oldest pair first
+    pairs = [(F.coalesce(xs(i + 1), F.lit(0.0)), ys(i), F.lit(True) if i == 0 else ys(i).isNotNull())
+             for i in range(win - 1, -1, -1)]
+    return lagged.withColumn("_S", bank.total(pairs))
 
 
 # ---------------------------------------------------------------- B3, B4

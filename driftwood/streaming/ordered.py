@@ -117,10 +117,9 @@ def rls_step(x: str, y: str, order_cols: Sequence[str], key_cols: Sequence[str]
 def ftl_step(x: str, y: str, order_cols: Sequence[str], key_cols: Sequence[str] = (),
              hypotheses=None, loss: Callable[[Column, Column], Column] = ordered.absolute_loss,
              **bucket_opts):
-    """Streaming follow-the-leader; state per key ``(last_x, S0..S{H-1})``."""
+    """Streaming follow-the-leader; state per key ``(last_x, S)``, S the summed losses."""
     order_cols, key_cols = list(order_cols), list(key_cols)
-    hyps = list(hypotheses) if hypotheses is not None else ordered.hypothesis_bank()
-    H = len(hyps)
+    bank = ordered._Bank(hypotheses, loss)
     full_order = [_PRE, *order_cols]
 
     def step(batch: DataFrame, state: DataFrame | None, epoch: int):
@@ -133,27 +132,22 @@ def ftl_step(x: str, y: str, order_cols: Sequence[str], key_cols: Sequence[str]
                      if c not in key_cols]
             rows = real.unionByName(st.select(*key_cols, *nulls, F.col("last_x").alias("_x"),
                                               F.lit(0.0).alias("_y"), F.lit(0).alias(_PRE)))
-        sums = ordered._ftl_unbounded(rows, hyps, loss, full_order, key_cols, bucket_opts)
+        sums = ordered.ftl_sums(rows, bank, full_order, key_cols, bucket_opts)
         sums = sums.filter(F.col(_PRE) == 1)
         if st is not None:
+            carry = st.select(*key_cols, F.col("S").alias("_K"))
             if key_cols:
-                carry = st.select(*key_cols, *[F.col(f"S{i}").alias(f"_K{i}") for i in range(H)])
                 sums = scan.null_safe_join(sums, carry, key_cols, "left")
             else:  # global: a single state row
-                one = st.first()
-                sums = sums.select("*", *[F.lit(float(one[f"S{i}"])).alias(f"_K{i}") for i in range(H)])
+                sums = sums.join(F.broadcast(carry))
             # remove the virtual row's own pair (x_prev = 0, y = 0), add the carried sums
-            adj = [F.when(F.col("_K0").isNotNull(), F.col(f"_S{i}") - loss(h(F.lit(0.0)), F.lit(0.0))
-                          + F.col(f"_K{i}")).otherwise(F.col(f"_S{i}")).alias(f"_S{i}")
-                   for i, h in enumerate(hyps)]
-            sums = sums.select(*[c for c in sums.columns if not c.startswith("_S")
-                                 and not c.startswith("_K")], *adj)
-        idx, pred = ordered._leader([F.col(f"_S{i}") for i in range(H)], hyps, F.col("_x"))
-        out = sums.select(*_cols(key_cols, order_cols), "_x", *[f"_S{i}" for i in range(H)],
-                          idx.alias("leader"), pred.alias("prediction"))
-        new = _last_per_key(out, key_cols, order_cols, ["_x", *[f"_S{i}" for i in range(H)]])
-        new = new.select(*key_cols, F.col("_x").alias("last_x"),
-                         *[F.col(f"_S{i}").alias(f"S{i}") for i in range(H)])
+            own = bank.losses(F.lit(0.0), F.lit(0.0))
+            moved = F.zip_with(ordered._added(F.col("_S"), F.col("_K")), own, lambda a, b: a - b)
+            sums = sums.withColumn("_S", F.when(F.col("_K").isNotNull(), moved).otherwise(F.col("_S"))).drop("_K")
+        idx, pred = bank.leader(F.col("_S"), F.col("_x"))
+        out = sums.select(*_cols(key_cols, order_cols), "_x", "_S", idx.alias("leader"), pred.alias("prediction"))
+        new = _last_per_key(out, key_cols, order_cols, ["_x", "_S"]).select(
+            *key_cols, F.col("_x").alias("last_x"), F.col("_S").alias("S"))
         return out.select(*_cols(key_cols, order_cols), "leader", "prediction"), _keep_old(state, new, key_cols)
 
     return step
