@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 UNKNOWN = "und"
@@ -105,23 +106,26 @@ class Sizes:
 def identify(df: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text",
              min_margin: float = 0.002, level: int = 5, block_bytes: int = 1 << 13, keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, lang_pred, score, rejected`` (and the ``keep`` columns) of every row."""
-    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), *[F.col(f"`{c}`") for c in keep],
-                     F.col(f"`{text_col}`").cast("string").alias("_text"))
+    kept = [F.col(f"`{c}`") for c in keep]
+    text = [] if text_col in keep and dict(df.dtypes)[text_col] == "string" else [F.col(f"`{text_col}`").cast("string").alias("_text")]
+    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), *kept, *text)
+    at = len(keep) + 1 if text else 1 + list(keep).index(text_col)  # a kept text goes to Python once
     shared = df.sparkSession.sparkContext.broadcast(dictionaries)  # at most total_bytes of train()
+    width = len(keep) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Sizes(shared.value, level, block_bytes)
-        for b in batches:
-            found = [sizes.best(t.as_py()) for t in b.column(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(i) for i in range(b.num_columns - 1)]
-                + [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
-                   pa.array([f[0] == UNKNOWN or f[1] < min_margin for f in found], pa.bool_())],
-                names=[f.name for f in b.schema][:-1] + ["lang_pred", "score", "rejected"])
-
-    from pyspark.sql import types as T
-
-    schema = T.StructType(list(rows.schema)[:-1] + [T.StructField("lang_pred", T.StringType()), T.StructField(
+        for whole in batches:
+            for k in range(0, whole.num_rows, 1000):
+                b = whole.slice(k, 1000)
+                found = [sizes.best(t.as_py()) for t in b.column(at)]
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns[:width], pa.array([f[0] for f in found], pa.string()),
+                     pa.array([f[1] for f in found], pa.float64()),
+                     pa.array([f[0] == UNKNOWN or f[1] < min_margin for f in found], pa.bool_())],
+                    names=[f.name for f in b.schema][:width] + ["lang_pred", "score", "rejected"])
+
+    schema = T.StructType(list(rows.schema)[:width] + [T.StructField("lang_pred", T.StringType()), T.StructField(
         "score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
     return rows.mapInArrow(run, schema)
 

@@ -149,7 +149,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
                 packer.add(doc_id, np.array(encode(text.as_py()) + [end_id], dtype="<u4"))
-                if len(packer.out) >= 10_000:
+                if len(packer.out) >= 1_000:
                     yield batch()
         packer.finish()
         yield batch()

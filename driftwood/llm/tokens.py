@@ -10,6 +10,7 @@ that hold a special token's string go through ``tokenizers`` itself.
 from __future__ import annotations
 
 import base64
+import json
 import os
 
 import numpy as np
@@ -23,20 +24,25 @@ def default_paths() -> tuple[str, str]:
 
 class Bpe:
     def __init__(self, json_path: str, rank_path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers as p
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(rank_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._fast = tiktoken.Encoding("byte-bpe", pat_str=p.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self._exact = Tokenizer.from_file(json_path)
-        self._special = [t.content for t in self._exact.get_added_tokens_decoder().values()]
-        self.size = self._exact.get_vocab_size()
+        with open(json_path, encoding="utf-8") as f:
+            added = json.load(f)["added_tokens"]
+        self._special = [t["content"] for t in added]
+        self.size = max([max(ranks.values()), *(t["id"] for t in added)]) + 1
+        self._json, self._exact = json_path, None
 
     def ids(self, text: str) -> list[int]:
         if any(s in text for s in self._special):
+            if self._exact is None:  # few texts need it
+                os.environ["TOKENIZERS_PARALLELISM"] = "false"
+                from tokenizers import Tokenizer
+
+                self._exact = Tokenizer.from_file(self._json)
             return self._exact.encode(text, add_special_tokens=False).ids
         return self._fast(text)
 
