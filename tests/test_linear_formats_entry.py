@@ -68,3 +68,34 @@ def test_entry_and_registry(spark):
     assert df.count() > 0
     assert set(df.columns) == {"user_id", "event_id", "x", "max_ending_here", "max_subarray"}
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_arff_nulls_short_lines_and_headers(spark, tmp_path):
+    import pytest
+
+    from driftwood.sources import arff
+
+    spec = arff.ArffSpec("t", [arff.Attribute("a"), arff.Attribute("b"), arff.Attribute("c", ["x", "y"]), arff.Attribute("k", ["p", "q"])])
+    df = spark.createDataFrame([(1.0, None, 0.0, 1.0), (None, 2.0, None, 0.0), (0.0, 0.0, 1.0, None)], "a double, b double, c double, k double")
+    for sparse in (False, True):
+        path = str(tmp_path / f"s{sparse}")
+        arff.write_arff(df, path, spec, ["a", "b", "c", "k"], sparse=sparse)
+        for given in (None, spec):
+            got = {tuple(r) for r in arff.read_arff(spark, path, spec=given, nominal_class=True).collect()}
+            assert got == {tuple(r) for r in df.collect()}
+    (tmp_path / "short.arff").write_text("@relation r\n@attribute a numeric\n% note\n@attribute k {p,q}\n@data\n1,p\n2\n?,q\n")
+    assert {tuple(r) for r in arff.read_arff(spark, str(tmp_path / "short.arff")).collect()} == {(1.0, 0.0), (2.0, None), (None, 1.0)}
+    with pytest.raises(ValueError, match="numeric"):
+        arff.parse_arff_header(["@attribute a numeric", "@data"], nominal_class=True)
+    with pytest.raises(ValueError, match="@data"):
+        arff.parse_arff_header(["@attribute a numeric"])
+
+
+def test_linear_width_mismatch_is_an_error(spark):
+    import pytest
+
+    from driftwood.operators import linear
+
+    df = spark.createDataFrame([([1.0, 2.0, 3.0, 4.0], 1.0)], "x array<double>, y double")
+    with pytest.raises(Exception):
+        linear.linear_train(df, "x", "y", 2, steps=1)

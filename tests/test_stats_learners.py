@@ -114,3 +114,53 @@ def test_f_pvalue_closed_form(spark):
     df = spark.createDataFrame(rows, "f double, d2 int")
     for r in df.select("f", "d2", S.f_test_pvalue("f", F.lit(2), "d2").alias("p")).collect():
         assert r.p == pytest.approx((r.d2 / (r.d2 + 2 * r.f)) ** (r.d2 / 2), rel=1e-8, abs=1e-12)
+
+
+def test_tails_at_large_degrees_of_freedom(spark):
+    import math
+
+    from driftwood.functions import stats as S
+
+    # chi-square with an even number of degrees is a Poisson tail; its mean has the tail 1/2 + 1/(3 sqrt(pi k))
+    rows = [(float(k), k) for k in (2, 10, 1999, 2000, 2002, 100_000, 10**6, 10**9, 10**12)]
+    for r in spark.createDataFrame(rows, "x double, k bigint").select("k", S.chi2_pvalue("x", "k").alias("p")).collect():
+        if r.k >= 2000:
+            assert math.isclose(r.p, 0.5 - 1 / (3 * math.sqrt(math.pi * r.k)), abs_tol=2e-5), r
+        else:
+            assert 0 < r.p < 1
+    # a poisson sum in logarithms, on both sides of the switch
+    for k, x in ((1998, 2100.0), (2400, 2300.0), (2400, 2550.0), (5000, 5200.0)):
+        h = x / 2
+        exact = math.fsum(math.exp(-h + i * math.log(h) - math.lgamma(i + 1)) for i in range(k // 2))
+        got = spark.createDataFrame([(x, k)], "x double, k bigint").select(S.chi2_pvalue("x", "k")).first()[0]
+        assert math.isclose(got, exact, rel_tol=2e-5), (k, x, got, exact)
+    f = [(1.0, 2, 10**12, math.exp(-1)), (3.0, 2, 10**7, math.exp(-3)), (1.0, 10**6, 10**6, 0.5), (1.0, 5000, 5000, 0.5),
+         (1.2, 50, 1900, None), (1.2, 50, 2100, None)]
+    got = {(r.f, r.a, r.b): r.p for r in spark.createDataFrame([t[:3] for t in f], "f double, a bigint, b bigint").select(
+        "f", "a", "b", S.f_test_pvalue("f", "a", "b").alias("p")).collect()}
+    for x, a, b, want in f:
+        if want is not None:
+            assert math.isclose(got[(x, a, b)], want, rel_tol=1e-3), (x, a, b, got[(x, a, b)])
+    assert math.isclose(got[(1.2, 50, 1900)], got[(1.2, 50, 2100)], rel_tol=2e-2)
+
+
+def test_poisson_weights_on_large_keys(spark):
+    from driftwood.operators import ensemble
+
+    df = spark.createDataFrame([(9_000_000_000_000 + k, None if k % 9 == 0 else k) for k in range(3000)], "a long, b int")
+    w = [r.weight for r in ensemble.poisson_weights(df, 1.0, ["a", "b"]).collect()]
+    assert abs(sum(w) / len(w) - 1) < 0.08 and max(w) > 3
+
+
+def test_naive_bayes_answers_every_document(spark):
+    from driftwood.functions import vectors as vec
+    from driftwood.operators import bayes
+
+    rows = [(1, "a a b", 0), (2, "c c d", 1), (3, "", 0), (4, None, 1), (5, "zzz", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    tf = vec.word_counts(df, "doc_id", "text", "tf").join(df.select("doc_id", "label"), "doc_id")
+    assert tf.count() == 5
+    model = bayes.nb_train(tf, "tf")
+    assert {r.label: r.n for r in model.class_counts.collect()} == {0: 2.0, 1: 3.0}
+    got = {r.doc_id: r.prediction for r in bayes.nb_predict(model, tf.where("doc_id <> 5"), ["doc_id"], "tf").collect()}
+    assert set(got) == {1, 2, 3, 4} and got[1] == 0 and got[2] == 1
