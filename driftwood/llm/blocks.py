@@ -63,7 +63,7 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
     def close() -> None:
         nonlocal linked
         if parts:
-            text = _SPACE.sub(" ", _html.unescape("".join(parts))).strip()
+            text = _SPACE.sub(" ", "".join(parts)).strip()
             if text:
                 out.append((paths[-1], text, linked))
             parts.clear()
@@ -80,7 +80,7 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
         mark = page.find("<", at)
         text = page[at:mark] if mark >= 0 else page[at:]
         if text:
-            parts.append(text)
+            parts.append(_html.unescape(text))  # a reference never spans a tag
             linked += len(text) if depth > 0 else 0
         if mark < 0:
             break

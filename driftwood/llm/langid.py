@@ -39,7 +39,10 @@ def held_out(id_col: str) -> Column:
 
 
 def normalised(text: str | None) -> bytes:
-    return _NOT_LETTERS.sub(" ", (text or "").lower()).strip().encode("utf-8", "ignore")
+    """Lower-case letters with single spaces; empty if there is no letter."""
+    out = _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
+    # other numerals (fractions, Roman numbers) pass the pattern but are no letters
+    return out.encode("utf-8", "ignore") if any(map(str.isalpha, out)) else b""
 
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

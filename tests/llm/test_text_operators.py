@@ -51,6 +51,7 @@ def test_language_sizes_are_block_sums(spark):
 
 def test_language_odd_rows(spark, docs_of):
     learned = {"a": b"lost id one word " * 30, "b": b"zzz yyy www " * 30}
+    assert langid.normalised("½ ² Ⅷ 12_") == b"" and langid.normalised("½ B") == "½ b".encode()
     got = langid.identify(docs_of(ODD), learned).collect()
     assert len(got) == len(ODD)
     assert all(r.lang_pred == "und" and r.score == 0 and r.rejected for r in got if r.doc_id in (1, 2, 3))
@@ -152,6 +153,7 @@ def test_leaf_blocks():
     for odd in ("", "<", "<p", "</", "<!--", "<script>", "<a href=\"x>y", "a<b>c</b", "<p>" * 2000, "&am", "<div class='x"):
         blocks.leaf_blocks(odd)
     assert [t for _, t, _ in blocks.leaf_blocks("a<script>x</scr")] == ["a"]
+    assert [t for _, t, _ in blocks.leaf_blocks("<p>x &am<b>p; &lt;b&gt;</b> &#233;&nbsp;y")] == ["x &amp; <b> é y"]
 
 
 def test_main_text(spark):
