@@ -57,6 +57,12 @@ def gaussian_density(value, n, mean, m2) -> Column:
             .otherwise(F.lit(0.0)))
 
 
+def finite(x) -> Column:
+    """Neither null, NaN nor infinite."""
+    x = _c(x).cast("double")
+    return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
+
+
 def hoeffding_bound(range_merit, delta: float, n) -> Column:
     """sqrt(R^2 ln(1/delta) / (2 n))."""
     r = _c(range_merit)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwood.functions import stats as S
+from driftwood.plans.scan import null_safe_join
 
 
 def _valid(value="value", weight="weight"):
@@ -22,25 +23,24 @@ def _valid(value="value", weight="weight"):
 
 
 def gaussian_stats(long: DataFrame, group_cols: Sequence[str] = ("feature", "label"),
-                   value: str = "value", weight: str = "weight", two_pass: bool = False) -> DataFrame:
+                   value: str = "value", weight: str = "weight", two_pass: bool = True) -> DataFrame:
     """G1: weighted ``n, mean, m2, min, max`` per group.
 
     Rows with NaN/Inf values or weight <= 0 are skipped in ``n, mean, m2``
-    (min/max ignore only non-finite values).  ``m2`` comes from the
-    mergeable power sums ``(sum w, sum w x, sum w x^2)``; ``two_pass=True``
-    centres the squares on the group mean from a first aggregate (one row
-    per group, broadcast: groups are leaves x features x classes), which is
-    steadier when the variance is tiny next to the squared mean.
+    (min/max ignore only non-finite values).  The squares are centred on the
+    group mean from a first aggregate (one row per group, broadcast: groups are
+    leaves x features x classes), so a variance that is tiny next to the squared
+    mean keeps its digits; ``two_pass=False`` reads the data once and takes the power
+    sums ``(sum w, sum w x, sum w x^2)`` instead.
     """
     if two_pass:
-        first = gaussian_stats(long, group_cols, value, weight)
-        j = long.join(F.broadcast(first.select(*group_cols, F.col("mean").alias("_m"))),
-                      list(group_cols), "left")
+        first = gaussian_stats(long, group_cols, value, weight, two_pass=False)
+        j = null_safe_join(long, F.broadcast(first.select(*group_cols, F.col("mean").alias("_m"))), group_cols, "left")
         ok2 = _valid(value, weight)
         c2 = j.groupBy(*group_cols).agg(F.coalesce(F.sum(F.when(
             ok2, F.col(weight) * F.pow(F.col(value) - F.col("_m"), 2.0))), F.lit(0.0)).alias("_c2"))
-        return first.join(c2, list(group_cols)).select(*group_cols, "n", "mean",
-                                                       F.col("_c2").alias("m2"), "min", "max")
+        return null_safe_join(first, c2, group_cols).select(*group_cols, "n", "mean",
+                                                            F.col("_c2").alias("m2"), "min", "max")
     ok = _valid(value, weight)
     w = F.when(ok, F.col(weight))
     wx = F.when(ok, F.col(weight) * F.col(value))

@@ -111,6 +111,8 @@ class HoeffdingTree:
         self.g: dict = {}
         self.n: dict = {}
         self.blocks_seen = 0
+        #: numeric feature -> a value near its mean, subtracted before squaring
+        self.offset: dict = {}
 
     # ------------------------------------------------------------------ H1 routing
     def _node_expr(self, node: Node, fn) -> Column:
@@ -233,15 +235,15 @@ class HoeffdingTree:
                                              self._w().alias("weight"), okey.alias("_o"),
                                              *self.feature_cols))
         items = [F.struct(F.lit(-1).alias("feature"), F.lit(None).cast("double").alias("x"),
-                          F.lit(None).cast("double").alias("vkey"))]
+                          F.lit(None).cast("double").alias("vkey"), F.lit(None).cast("double").alias("raw"))]
         for i, c in enumerate(self.feature_cols):
             v = F.col(c).cast("double")
             if i in self.nominal:
                 items.append(F.struct(F.lit(i).alias("feature"), F.lit(None).cast("double").alias("x"),
-                                      v.alias("vkey")))
+                                      v.alias("vkey"), F.lit(None).cast("double").alias("raw")))
             else:
-                items.append(F.struct(F.lit(i).alias("feature"), v.alias("x"),
-                                      F.lit(None).cast("double").alias("vkey")))
+                items.append(F.struct(F.lit(i).alias("feature"), (v - F.lit(self.offset.get(i, 0.0))).alias("x"),
+                                      F.lit(None).cast("double").alias("vkey"), v.alias("raw")))
         long = routed.select("leaf", "label", "weight", "_o", F.inline(F.array(*items)))
         # a row without label counts for the last example only, a null value for nothing
         known = F.col("label").isNotNull() & ((F.col("feature") == -1) | F.col("x").isNotNull() | F.col("vkey").isNotNull())
@@ -259,8 +261,8 @@ class HoeffdingTree:
                     F.when(ok, F.col("weight")))).alias("w"),
                 F.sum(F.when(ok, F.col("weight") * F.col("x"))).alias("s1"),
                 F.sum(F.when(ok, F.col("weight") * F.col("x") * F.col("x"))).alias("s2"),
-                F.min(F.when(finite, F.col("x"))).alias("mn"),
-                F.max(F.when(finite, F.col("x"))).alias("mx"),
+                F.min(F.when(finite, F.col("raw"))).alias("mn"),
+                F.max(F.when(finite, F.col("raw"))).alias("mx"),
                 F.lit(None).cast("int").alias("last_leaf"), F.lit(0).alias("gid"))
             return agg.collect()  # leaves x features x classes (x values) rows
         agg = long.groupingSets([keys, []], *keys).agg(
@@ -268,8 +270,8 @@ class HoeffdingTree:
                 F.when(ok, F.col("weight")))).alias("w"),
             F.sum(F.when(ok, F.col("weight") * F.col("x"))).alias("s1"),
             F.sum(F.when(ok, F.col("weight") * F.col("x") * F.col("x"))).alias("s2"),
-            F.min(F.when(finite, F.col("x"))).alias("mn"),
-            F.max(F.when(finite, F.col("x"))).alias("mx"),
+            F.min(F.when(finite, F.col("raw"))).alias("mn"),
+            F.max(F.when(finite, F.col("raw"))).alias("mx"),
             F.max_by("leaf", "_o").alias("last_leaf"),
             F.grouping_id().alias("gid"))
         return agg.collect()  # leaves x features x classes (x values) + 1 rows
@@ -291,7 +293,8 @@ class HoeffdingTree:
                 w = r.w or 0.0
                 mean = (r.s1 / w) if w > 0 else 0.0
                 m2 = max(0.0, r.s2 - r.s1 * r.s1 / w) if w > 0 else 0.0
-                g.append(NS(leaf=r.leaf, feature=r.feature, label=r.label, n=w, mean=mean, m2=m2,
+                at = self.offset.get(r.feature, 0.0)
+                g.append(NS(leaf=r.leaf, feature=r.feature, label=r.label, n=w, mean=mean + at, m2=m2,
                             min=r.mn, max=r.mx))
         return cd, g, n, last
 
@@ -507,6 +510,11 @@ class HoeffdingTree:
         okey = F.struct(*[F.col(c) for c in order_cols])
         lasts = {r[0]: tuple(r[1]) for r in stored.groupBy("_block").agg(
             F.max_by(F.struct(*self.feature_cols), okey)).collect()}  # one row per block
+        means = [F.avg(F.when(S.finite(F.col(self.feature_cols[i])), F.col(self.feature_cols[i]).cast("double"))).alias(str(i))
+                 for i in self._num_idx()]
+        if means:
+            row = stored.agg(*means).first()
+            self.offset = {i: float(row[str(i)] or 0.0) for i in self._num_idx()}
         for b in sorted(lasts):
             self.train_block(stored.filter(F.col("_block") == b), order_cols,
                              id_cols or order_cols, last_example=lasts[b])

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 
 
 def ensure_parallelism(df: DataFrame, factor: int = 1) -> DataFrame:
-    """Round-robin ``df`` when it has fewer partitions than the cluster can run.
+    """Round-robin ``df`` when it comes from fewer files than the cluster has cores.
 
-    A large input already has far more splits than cores, so this is a no-op
-    at scale; a single-file input (one row group is one split) is spread
-    before the expensive per-row work instead of running in one task.
+    A large input has far more files than cores, so this is a no-op at scale; a
+    single-file input (one row group is one split) is spread before the
+    expensive per-row work instead of running in one task.  Only the file
+    list is looked at: nothing runs while the plan is built.
     """
     target = df.sparkSession.sparkContext.defaultParallelism * factor
-    if df.rdd.getNumPartitions() < target:
+    if 0 < len(df.inputFiles()) < target:
         return df.repartition(target)
     return df
