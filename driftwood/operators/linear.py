@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftwood.functions import vectors as vec
 
@@ -33,6 +34,13 @@ def linear_score(features, weights: Sequence[float]) -> Column:
     return vec.vec_dot(_weights(weights), vec.append_bias(features))
 
 
+def linear_score_sparse(features, weights: Sequence[float]) -> Column:
+    """I1 of a map ``index -> value`` (0-based): only its entries are touched; the bias is the last weight."""
+    w = _weights(weights)
+    return F.aggregate(F.map_entries(_c(features)), F.lit(float(weights[-1])),
+                       lambda acc, e: acc + F.get(w, e["key"].cast("int")) * e["value"].cast("double"))
+
+
 def linear_predict(dot, loss: str = "squared") -> Column:
     """1/0 class from the score."""
     d = _c(dot)
@@ -90,7 +98,19 @@ def example_gradient(features, label, weights: Sequence[float], loss: str = "squ
 
 def linear_gradient(df: DataFrame, features: str, label: str, weights: Sequence[float],
                     loss: str = "squared") -> DataFrame:
-    """Summed gradient ``(index, grad)`` over the table, plus ``n``."""
+    """Summed gradient ``(index, grad)`` over the table, plus ``n``.
+
+    ``features``: a dense array, or a map ``index -> value`` of which only the entries are
+    exploded (``n`` then counts rows per index; the bias has all).
+    """
+    if isinstance(df.schema[features].dataType, T.MapType):
+        y = df.select(F.map_entries(features).alias("_e"), _c(label).cast("double").alias("_y"),
+                      linear_score_sparse(features, weights).alias("_d"))
+        bias = F.struct(F.lit(len(weights) - 1).alias("index"), F.lit(1.0).alias("_x"))
+        entries = F.concat(F.transform("_e", lambda e: F.struct(e["key"].cast("int").alias("index"),
+                                                                e["value"].cast("double").alias("_x"))), F.array(bias))
+        g = y.select((-loss_gradient("_y", "_d", loss)).alias("_ch"), F.inline(entries))
+        return g.groupBy("index").agg(F.sum(F.col("_x") * F.col("_ch")).alias("grad"), F.count(F.lit(1)).alias("n"))
     # score once per row, then explode: the change factor is not re-evaluated per element
     d = df.select(vec.append_bias(features).alias("_xb"), _c(label).cast("double").alias("_y"))
     d = d.select("_xb", (-loss_gradient("_y", vec.vec_dot(_weights(weights), "_xb"), loss))

@@ -99,3 +99,20 @@ def test_linear_width_mismatch_is_an_error(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0, 4.0], 1.0)], "x array<double>, y double")
     with pytest.raises(Exception):
         linear.linear_train(df, "x", "y", 2, steps=1)
+
+
+def test_sparse_features_train_like_dense_ones(spark):
+    from pyspark.sql import functions as F
+
+    from driftwood.functions import vectors as vec
+    from driftwood.operators import linear
+
+    rows = [([float(i % 3), 0.0, float(i % 5) / 2, 0.0], float(i % 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "x array<double>, y double").withColumn("m", vec.dense_to_map("x"))
+    w0 = [0.1, -0.2, 0.3, 0.4, 0.05]
+    for loss in linear.LOSSES:
+        dense = linear.linear_train(df, "x", "y", 4, loss=loss, steps=3, init=w0)
+        sparse = linear.linear_train(df, "m", "y", 4, loss=loss, steps=3, init=w0)
+        assert all(abs(a - b) < 1e-9 for a, b in zip(dense, sparse))
+    got = df.select(linear.linear_score("x", w0).alias("a"), linear.linear_score_sparse("m", w0).alias("b"))
+    assert got.where(F.abs(F.col("a") - F.col("b")) > 1e-9).count() == 0
