@@ -90,7 +90,7 @@ class HoeffdingTree:
                  tie_threshold: float = 0.05, delta: float = 1e-7, criterion: str = "info_gain",
                  binary_only: bool = False, split_all: bool = False, leaf_type: str = "majority",
                  nb_threshold: float = 0.0, pre_prune: bool = True, bins: int = 10,
-                 grow: bool = True):
+                 grow: bool = True, remove_poor: bool = False):
         if criterion not in ("info_gain", "gini"):
             raise ValueError(f"unknown split criterion {criterion!r}: info_gain or gini")
         self.feature_cols = list(feature_cols)
@@ -102,6 +102,8 @@ class HoeffdingTree:
         self.criterion, self.binary_only, self.split_all = criterion, binary_only, split_all
         self.leaf_type, self.nb_threshold = leaf_type, float(nb_threshold)
         self.pre_prune, self.bins, self.grow = pre_prune, int(bins), grow
+        #: Features that a leaf has given up, by leaf
+        self.remove_poor, self.poor = remove_poor, {}
         self.nodes: dict[int, Node] = {0: Node(0, None, None, 0, "active", [0.0] * self.num_classes)}
         self.next_id = 1
         self.max_when_nodes = 500  # above this, route by joins per level
@@ -312,7 +314,7 @@ class HoeffdingTree:
             touched.add(r.leaf)
         for r in g_rows:
             node = self.nodes.get(r.leaf)
-            if node is None or node.kind != "active":
+            if node is None or node.kind != "active" or r.feature in self.poor.get(r.leaf, ()):
                 continue
             key = (r.leaf, r.feature, r.label)
             old = self.g.get(key)
@@ -327,7 +329,7 @@ class HoeffdingTree:
                 self.g[key] = [n, mean, m2, _mn(old[3], new[3]), _mx(old[4], new[4])]
         for r in n_rows:
             node = self.nodes.get(r.leaf)
-            if node is None or node.kind != "active":
+            if node is None or node.kind != "active" or r.feature in self.poor.get(r.leaf, ()):
                 continue
             key = (r.leaf, r.feature, r.label, float(r.value))
             self.n[key] = self.n.get(key, 0.0) + r.w
@@ -396,7 +398,8 @@ class HoeffdingTree:
         ranked = splits.rank_split_suggestions(best.select("leaf", "feature", "merit", "cand"),
                                                ["leaf"], no_split)
         ranked = ranked.join(best.select("leaf", "feature", "cand"), ["leaf", "feature"], "left")
-        top = ranked.filter(F.col("rank") <= 2).collect()  # <= 2 rows per candidate leaf
+        # two rows per candidate leaf, or one per feature if poor features go
+        top = (ranked if self.remove_poor else ranked.filter(F.col("rank") <= 2)).collect()
         by_leaf: dict[int, list] = {}
         for r in top:
             by_leaf.setdefault(r.leaf, []).append(r)
@@ -414,6 +417,8 @@ class HoeffdingTree:
                 gap = sug[0].merit - sug[1].merit
                 do = bound < self.tie or (not math.isnan(gap) and gap > bound)
             if not do:
+                if self.remove_poor:
+                    self._give_up(lid, {r.feature for r in sug if r.feature >= 0 and sug[0].merit - r.merit > bound})
                 continue
             if sug[0].feature < 0:
                 self.nodes[lid].kind = "inactive"  # H6
@@ -432,6 +437,12 @@ class HoeffdingTree:
                 actions[lid] = "split"
         return actions
 
+    def _give_up(self, lid: int, features: set) -> None:
+        """G19 in training: the leaf stops observing these features."""
+        self.poor[lid] = self.poor.get(lid, set()) | features
+        self.g = {k: v for k, v in self.g.items() if k[0] != lid or k[1] not in features}
+        self.n = {k: v for k, v in self.n.items() if k[0] != lid or k[1] not in features}
+
     def _make_split(self, lid: int, feature: int, cand, cut, post: list) -> None:
         node = self.nodes[lid]
         if feature in self.nominal and cand == MULTIWAY_CAND:

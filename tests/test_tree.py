@@ -128,3 +128,13 @@ def test_large_tree_path_matches_small(spark):
     ht2.fit(df, ["seq"], rows_per_block=200)
     assert {n.id: (n.kind, n.feature) for n in ht2.nodes.values()} == \
         {n.id: (n.kind, n.feature) for n in ht.nodes.values()}
+
+
+def test_poor_features_are_given_up(spark):
+    # two equal good features keep the leaf from splitting; the noise feature trails by more than the bound
+    rows = [(i, float(i % 2), float(i % 2), float((i * 7919) % 13), i % 2) for i in range(3000)]
+    df = spark.createDataFrame(rows, "seq long, a double, b double, noise double, label int")
+    ht = HoeffdingTree(["a", "b", "noise"], 2, grace=100, tie_threshold=0.0, remove_poor=True, leaf_type="nb")
+    ht.fit(df, ["seq"], rows_per_block=1500)
+    assert ht.poor == {0: {2}} and not any(k[1] == 2 for k in ht.g) and len(ht.nodes) == 1
+    assert ht.predict(df, ["seq"]).join(df, "seq").where("prediction <> label").count() == 0
