@@ -216,3 +216,44 @@ def secret_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counts = [count(k).alias(f"n_{name}") for k, (name, *_) in enumerate(BASE_KINDS)]
     return found.select("doc_id", *counts, F.sha2(span_string(F.col("base")), 256).alias("base_sha256"),
                         span_string(F.col("spans")).alias("spans"))
+
+
+def _oracle(window: int = 20) -> str:
+    """DuckDB twin of ``secret_report``: entropies window by window."""
+    quote = lambda text: "'" + text.replace("'", "''") + "'"
+
+    def cut(name: str, pattern: str, group: int) -> str:
+        return f"""{name} AS MATERIALIZED (
+SELECT r, hits[k] AS hit, parts[k] AS part, list_sum(list_transform(pieces[1:k], lambda x: length(x)))
+  + coalesce(list_sum(list_transform(hits[1:k - 1], lambda x: length(x))), 0) AS start
+FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS k FROM (SELECT r, string_split_regex(t, {quote(pattern)}) AS pieces,
+  regexp_extract_all(t, {quote(pattern)}, 0) AS hits, regexp_extract_all(t, {quote(pattern)}, {group}) AS parts FROM d)))"""
+
+    ctes = ["d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents)"]
+    ctes += [cut(name, pattern, group) for name, pattern, group, _ in BASE_KINDS]
+    ctes.append("base AS (" + " UNION ALL ".join(
+        f"SELECT r, {k} AS kind, '{name}' AS name, CAST(start AS BIGINT) AS s, CAST(start + length(hit) AS BIGINT) AS e FROM {name} WHERE length(part) >= {least}"
+        for k, (name, _, _, least) in enumerate(BASE_KINDS)) + ")")
+    ctes.append(cut("run", "[A-Za-z0-9+/_=-]{%d,}" % window, 0))
+    known = " OR ".join(f"regexp_matches(hit, {quote(p)})" for p in ALLOW_LIST)
+    ctes.append(f"""win AS MATERIALIZED (SELECT r, start, i, substr(hit, CAST(i + 1 AS BIGINT), {window}) AS w
+FROM (SELECT *, unnest(range(0, length(hit) - {window - 1})) AS i FROM run WHERE regexp_matches(hit, '[0-9]') AND NOT ({known})))""")
+    entropy = f"""list_sum(list_transform(list_distinct(string_split(w, '')), lambda c:
+  -(length(w) - length(replace(w, c, ''))) / {window}.0 * log2((length(w) - length(replace(w, c, ''))) / {window}.0)))"""
+    for k, (name, alphabet, least) in enumerate(CLASSES):
+        ctes.append(f"""{name}_h AS (SELECT r, start, i, CASE WHEN i > lag(i) OVER (PARTITION BY r, start ORDER BY i) + {window} THEN 1 ELSE 0 END AS cut
+FROM win WHERE length(translate(w, '{alphabet}', '')) = 0 AND {entropy} >= {least} - 1e-9)""")
+        ctes.append(f"""{name} AS (SELECT r, {len(BASE_KINDS) + k} AS kind, '{name}' AS name, CAST(start + min(i) AS BIGINT) AS s,
+  CAST(start + max(i) + {window} AS BIGINT) AS e
+FROM (SELECT r, start, i, sum(cut) OVER (PARTITION BY r, start ORDER BY i) AS g FROM {name}_h) GROUP BY r, start, g)""")
+    every = " UNION ALL ".join(["SELECT * FROM base", *(f"SELECT * FROM {name}" for name, _, _ in CLASSES)])
+    joined = "string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind, e)"
+    ctes.append(f"b AS (SELECT r, {joined} AS text, {', '.join(f'count(CASE WHEN kind = {k} THEN 1 END) AS n_{n}' for k, (n, *_) in enumerate(BASE_KINDS))} FROM base GROUP BY r)")
+    ctes.append(f"a AS (SELECT r, {joined} AS text FROM ({every}) GROUP BY r)")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT doc_id, {', '.join(f'coalesce(n_{n}, 0) AS n_{n}' for n, *_ in BASE_KINDS)},
+  sha256(coalesce(b.text, '')) AS base_sha256, coalesce(a.text, '') AS spans
+FROM d LEFT JOIN b ON b.r = d.r LEFT JOIN a ON a.r = d.r"""
+
+
+ORACLE = _oracle()

@@ -389,3 +389,23 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     return joined.mapInArrow(remove, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+
+
+#: Every window by its digest; removed ranges as islands of repeated windows.
+ORACLE = """
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS MATERIALIZED (SELECT r, i, md5(array_slice(b, i + 1, i + 200)) AS h
+  FROM (SELECT r, b, unnest(range(0, octet_length(b) - 199)) AS i FROM d WHERE octet_length(b) >= 200)),
+hot AS (SELECT r, i FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+edge AS (SELECT r, i, CASE WHEN i > lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 1 ELSE 0 END AS cut FROM hot),
+run AS (SELECT r, i, sum(cut) OVER (PARTITION BY r ORDER BY i) AS k FROM edge),
+span AS (SELECT r, min(i) AS s, max(i) + 200 AS e FROM run GROUP BY r, k),
+piece AS (SELECT d.r, s, e, hex(array_slice(b, coalesce(lag(e) OVER (PARTITION BY d.r ORDER BY s), 0) + 1, s)) AS before
+  FROM span JOIN d ON d.r = span.r),
+part AS (SELECT r, count(*) AS n_spans, sum(e - s) AS n_removed, max(e) AS last, string_agg(before, '' ORDER BY s) AS kept
+  FROM piece GROUP BY r)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans,
+  sha256(CASE WHEN n_spans IS NULL THEN b ELSE unhex(kept || hex(array_slice(b, last + 1, octet_length(b)))) END) AS kept_sha256
+FROM d LEFT JOIN part ON part.r = d.r
+"""
