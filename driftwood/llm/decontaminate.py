@@ -165,3 +165,45 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id",
     """The rows of ``docs`` (all columns) whose document no item contaminates; rows without an id stay."""
     bad = contaminated(docs, bench, id_col=id_col, **options).select(F.col("doc_id").alias("_bad")).distinct()
     return docs.join(bad, F.col(f"`{id_col}`").cast("bigint") == F.col("_bad"), "left_anti")
+
+
+def _oracle(window: int = 8, min_windows: int = 6, containment: float = 0.8) -> str:
+    """DuckDB twin of ``contaminated`` for items of at least ``window`` words."""
+    units = ", ".join(f"'{u}'" for u in UNITS if u != SIGN)
+
+    def twice(text: str, pattern: str, to: str) -> str:
+        # a match uses up the character that the next one needs before it
+        return f"regexp_replace(regexp_replace({text}, '{pattern}', '{to}', 'g'), '{pattern}', '{to}', 'g')"
+
+    def canon(name: str, table: str, key: str) -> list[str]:
+        t = twice("coalesce(text, '')", r"([\p{Ll}\p{N},;] )(\p{Lu}\p{Ll})", r"\1' || chr(1) || '\2")
+        t = twice(t, r"(\p{N})[.,](\p{N})", r"\1\2")
+        t = f"regexp_replace({t}, '[$€£]( ?\\p{{N}})', ' ' || chr(2) || ' \\1', 'g')"
+        t = f"regexp_replace({t}, '(\\p{{N}} ?)[%°$€£]', '\\1 ' || chr(2) || ' ', 'g')"
+        t = twice(t, r"(\p{N})(\p{L})", r"\1 \2")
+        words = f"list_filter(string_split_regex({t}, '[^\\p{{L}}\\p{{N}}\\x01\\x02]+'), lambda x: x <> '')"
+        digit = "coalesce(regexp_matches(w[i - 1], '^\\p{N}'), false)"
+        kind = f"""CASE WHEN starts_with(x, chr(1)) THEN '{NAME}' WHEN regexp_matches(x, '^\\p{{N}}') THEN '{NUM}'
+    WHEN x = chr(2) OR (lower(x) IN ({units}) AND {digit}) THEN '{UNIT}' ELSE lower(x) END"""
+        return [f"{name}_w AS MATERIALIZED (SELECT {key} AS id, {words} AS w FROM {table} WHERE {key} IS NOT NULL)",
+                f"{name} AS MATERIALIZED (SELECT id, w, list_transform(w, lambda x, i: {kind}) AS c FROM {name}_w)",
+                f"""{name}_g AS MATERIALIZED (SELECT id, len(c) - {window - 1} AS n, i, array_to_string(c[i + 1:i + {window}], chr(31)) AS g,
+list_filter(list_transform(range(i + 1, i + {window + 1}), lambda k: CASE WHEN c[k] IN ('{NAME}', '{NUM}', '{UNIT}') THEN c[k] || w[k] END),
+  lambda x: x IS NOT NULL) AS slots FROM (SELECT id, w, c, unnest(range(0, len(c) - {window - 1})) AS i FROM {name} WHERE len(c) >= {window}))"""]
+
+    key = "doc_id, item_id, diag, run"
+    return "WITH " + ",\n".join([
+        *canon("doc", "documents", "doc_id"), *canon("item", "benchmark", "item_id"),
+        """hit AS MATERIALIZED (SELECT DISTINCT d.id AS doc_id, b.id AS item_id, b.n, b.i AS ipos, d.i - b.i AS diag, b.slots AS islots, d.slots
+FROM doc_g d JOIN item_g b ON b.g = d.g)""",
+        "run AS MATERIALIZED (SELECT *, ipos - row_number() OVER (PARTITION BY doc_id, item_id, diag ORDER BY ipos) AS run FROM hit)",
+        f"pair AS (SELECT {key}, unnest(islots) AS i, unnest(slots) AS d FROM run WHERE len(islots) > 0)",
+        f"""bad AS (SELECT {key} FROM pair GROUP BY {key}, i HAVING min(d) <> max(d)
+UNION SELECT {key} FROM pair WHERE starts_with(i, '{NAME}') GROUP BY {key}, d HAVING min(i) <> max(i))""",
+        f"""long AS (SELECT {key}, n, count(*) AS length, max(len(islots)) AS s FROM run
+ANTI JOIN bad USING ({key}) GROUP BY {key}, n)"""]) + f"""
+SELECT doc_id, item_id, max(length) AS longest_run, CAST(n AS BIGINT) AS item_windows, CAST(max(s) AS INTEGER) AS n_slots
+FROM long WHERE length >= least({min_windows}, ceil(n * {containment})) GROUP BY doc_id, item_id, n"""
+
+
+ORACLE = _oracle()

@@ -52,4 +52,5 @@ def op10_decontaminate(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_training_order, op2_simhash, op3_fingerprints, op4_packing, op5_main_text, op6_repeats, op7_warc,
                                    op8_secret_scan, op9_language, op10_decontaminate)}
-ORACLE: dict[str, str] = {"op6_repeats": substrings.ORACLE, "op7_warc": warc.ORACLE, "op8_secret_scan": secret_scan.ORACLE}
+ORACLE: dict[str, str] = {"op6_repeats": substrings.ORACLE, "op7_warc": warc.ORACLE, "op8_secret_scan": secret_scan.ORACLE,
+                          "op10_decontaminate": decontaminate.ORACLE}

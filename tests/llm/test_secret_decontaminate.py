@@ -154,3 +154,32 @@ def test_decontaminate_odd_rows(docs_of, spark):
     assert D.contaminated(docs_of(ODD).limit(0), bench).count() == 0
     assert D.contaminated(docs_of(ODD), bench.limit(0)).count() == 0
     assert D.drop_contaminated(docs_of(ODD), bench).count() == len(ODD)
+
+
+def test_decontamination_equals_its_sql_twin(spark):
+    import duckdb
+
+    rng = random.Random(5)
+    words = ["alpha", "Beta", "gamma", "Delta", "12", "3.5", "7", "km", "kg", "$5", "40%", "Eve", "zeta", "of", "the,", "And", "x."]
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(8, 30)))) for i in range(30)]
+
+    def other(w):
+        if rng.random() > 0.3:
+            return w
+        return rng.choice(["Max", "Ann", "Eve"]) if w in ("Eve", "Beta", "Delta") else str(rng.randint(1, 99)) if w[0].isdigit() else w
+
+    docs = []
+    for d in range(300):
+        item = items[d % 30][1].split()
+        same = {w: other(w) for w in sorted(set(item))}
+        part = [same[w] if d % 2 else other(w) for w in item]  # consistent slots in every second document
+        docs.append((d, " ".join([rng.choice(words) for _ in range(6)] + part + [rng.choice(words) for _ in range(6)])))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    expected = sorted(con.sql(D.ORACLE).fetchall())
+    got = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(map(tuple, got.select("doc_id", "item_id", "longest_run", "item_windows", "n_slots").collect())) == expected
+    assert len(expected) > 100 and any(r[4] > 0 for r in expected)
