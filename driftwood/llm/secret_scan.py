@@ -9,8 +9,8 @@ matches per kind; matches that fail the length rule are dropped after
 matching, so they still use up their text.
 
 Entropy spans: candidate strings are runs of the base64 alphabet of at least
-``window`` characters with a digit among them.  For each character class (hex, base64) a fold moves a
-window of ``window`` characters over the candidate, keeping one count per
+``window`` characters with a digit among them (long words have none).  For
+each character class (hex, base64) a fold moves a window of ``window`` characters over the candidate, keeping one count per
 character of the class; a step adds one count, takes one off and corrects the
 running sum of c*log2(c), so a step's cost does not depend on the candidate's
 length.  Windows at or above the class threshold are merged into spans.  A
@@ -50,7 +50,6 @@ ALLOW_LIST = (
     r"(?i:example|sample|placeholder|changeme|dummy|xxxx)",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^sha(1|256|384|512)-",
-    r"^[A-Za-z]+([-_/=+][A-Za-z]+)*[-_/=+]*$",
     r"(?i:abcdefghij)|0123456789",
 )
 

@@ -13,8 +13,6 @@ import base64
 import json
 import os
 
-import numpy as np
-
 
 def default_paths() -> tuple[str, str]:
     import public_tokenizers as p

@@ -64,6 +64,12 @@ def test_secret_spans_match_brute_force(docs_of):
         assert got[i].spans == ",".join(f"{names[k]}:{a}:{b}" for a, k, b in sorted(base + brute_entropy(text))), text
 
 
+def test_long_candidates_do_not_exhaust_the_stack(docs_of):
+    texts = ["a-" * 30_000 + "1", "Ab1" * 20_000, "token=" * 5_000, "0" * 50_000]
+    got = S.secret_report(docs_of(list(enumerate(texts)))).collect()
+    assert len(got) == len(texts) and {r.doc_id: r.n_hex for r in got}[3] == 1
+
+
 def test_secret_odd_rows_and_redaction(docs_of, spark):
     got = S.secret_report(docs_of(ODD)).collect()
     assert len(got) == len(ODD)
