@@ -346,9 +346,13 @@ def train(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
 
     Training sequences are windows of at most ``max_blocks`` blocks.
     """
-    sample = pages.select(F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.col(f"`{url_col}`").cast("string")).alias("h"),
-                          F.col(f"`{html_col}`").cast("string").alias("html")).where("html is not null") \
-        .orderBy("h", F.sha2("html", 256)).limit(sample_pages).collect()
+    rows = pages.select(F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.col(f"`{url_col}`").cast("string")).alias("h"),
+                        F.col(f"`{html_col}`").cast("string").alias("html")).where("html is not null")
+    # about four times the sample by hash first: what tasks send to the driver does not grow with their number
+    n = rows.count()
+    share = min(1.0, (4 * sample_pages + 50) / max(1, n))
+    some = rows.where(F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30)) < share)
+    sample = some.orderBy("h", F.sha2("html", 256)).limit(sample_pages).collect()
     rng = np.random.default_rng(seed)
     data, texts = [], []
     for row in sample:
