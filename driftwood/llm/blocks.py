@@ -7,7 +7,7 @@ text words are hashed into two vectors; a bidirectional LSTM in numpy reads the
 sequence in both directions and labels each block with the whole document as
 context.  Blocks labelled as main text are joined in page order.
 
-Training is on a bounded sample: ``sample_pages`` pages (those with the least
+Training is on a bounded sample: ``sample_pages`` pages (chosen by the
 hashes of the URL and id), labelled by their semantic elements (inside ``article`` or
 ``main`` and not inside a navigation, form or side element).  Pages without
 such elements teach nothing.  From the sampled texts, pages with other usual

@@ -123,7 +123,8 @@ def _ranges(df: DataFrame, range_bytes: int) -> tuple[np.ndarray, dict[int, int]
     """
     spark = df.sparkSession
     size = df.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")) * 2, -(-size // range_bytes))
+    # several ranges a partition even out what hashing puts together
+    n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")) * 16, -(-size // range_bytes))
     ids = df.select(F.coalesce("doc_id", F.lit(_NULL)).alias("doc_id"))
     cuts = ids.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], max(10_000, 4 * n)).alias("q")).first()["q"]
     bounds = np.array(sorted(set(cuts or [])), dtype=np.int64)

@@ -151,7 +151,7 @@ def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     dtype = "<u2" if bpe(paths).size <= 1 << 16 else "<u4"
     order = Permutation(max_tasks << 32, key)
     rows = _sequences(text_rows(df, id_col, text_col), length, dtype, end_id, order, shards, paths)
-    dealt = rows.repartition(shards, "shard").sortWithinPartitions("shard", "number")
+    dealt = rows.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("number")  # a shard a task
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard as z
