@@ -94,23 +94,30 @@ def _windows(size: Column) -> Column:
         F.when(F.col("slot").isNotNull(), F.filter(F.slice("slot", i + 1, size), lambda x: x.isNotNull())).alias("slots")))
 
 
+def _slot_offsets(pos: Column, size: Column) -> Column:
+    return F.when(F.col("slot").isNotNull(), F.filter(
+        F.sequence(F.lit(0), size - 1), lambda k: F.get(F.col("slot"), pos + k).isNotNull()))
+
+
 def benchmark_windows(bench: DataFrame, id_col: str, text_col: str, window: int, min_windows: int,
                       containment: float) -> DataFrame:
-    """item_id, size, item_windows, need (least run), ipos, key, islots."""
+    """item_id, size, item_windows, need (least run), ipos, key, islots, iat (offsets of the slots in the window)."""
     t = templates(bench, id_col, text_col).where((F.size("h") > 0) & F.col("doc_id").isNotNull())
     size = F.least(F.lit(window), F.size("h"))
     n = F.size("h") - size + 1
     need = F.least(F.lit(min_windows), F.ceil(n * F.lit(containment)).cast("int"))
     return t.select(F.col("doc_id").alias("item_id"), size.alias("size"), n.alias("item_windows"), need.alias("need"),
-                    F.explode(_windows(size)).alias("w")).select(
+                    "slot", F.explode(_windows(size)).alias("w")).select(
         "item_id", "size", "item_windows", "need", F.col("w.pos").alias("ipos"), F.col("w.key").alias("key"),
-        F.col("w.slots").alias("islots")).distinct()
+        F.col("w.slots").alias("islots"), _slot_offsets(F.col("w.pos"), F.col("size")).alias("iat")).distinct()
 
 
 def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", window: int = 8, min_windows: int = 6,
-                 containment: float = 0.8, broadcast_rows: int = 1_000_000) -> DataFrame:
-    """(doc_id, item_id, longest_run, item_windows, n_slots) of every contaminated pair."""
+                 containment: float = 0.8, broadcast_rows: int = 1_000_000, cut_runs: bool = False) -> DataFrame:
+    """(doc_id, item_id, longest_run, item_windows, n_slots) of every contaminated pair.
+
+    ``cut_runs``: runs are cut at clashing slots; else, as in the DuckDB twin, a run with a clash is left out."""
     items = written(benchmark_windows(bench, item_col, item_text_col, window, min_windows, containment), "bench-windows")
     sizes = {r["size"]: r for r in items.groupBy("size").agg(  # at most `window` rows
         F.min("need").alias("need"), F.count("*").alias("n")).collect()}
@@ -137,25 +144,45 @@ def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text
         part = t.select("doc_id", F.explode(_windows(F.lit(size))).alias("w")).select(
             "doc_id", "w.pos", "w.key", "w.slots").join(small(own, r["n"]), "key")
         hits = part if hits is None else hits.unionAll(part)
-    hits = hits.select("doc_id", "item_id", "item_windows", "need", "ipos",
-                       (F.col("pos") - F.col("ipos")).alias("diag"), "islots", "slots").distinct()
+    hits = hits.select("doc_id", "item_id", "item_windows", "need", "size", "ipos",
+                       (F.col("pos") - F.col("ipos")).alias("diag"), "islots", "slots", "iat").distinct()
 
     at = Window.partitionBy("doc_id", "item_id", "diag").orderBy("ipos")
-    runs = hits.withColumn("run", F.col("ipos") - F.row_number().over(at))
     key = ["doc_id", "item_id", "diag", "run"]
+    runs = hits.withColumn("run", F.col("ipos") - F.row_number().over(at))
+    runs = runs.withColumn("length", F.count("*").over(Window.partitionBy(*key))).where(F.col("length") >= F.col("need"))
     runs = written(runs, "bench-runs")
-    pairs = runs.where(F.size("islots") > 0).select(*key, F.explode(F.arrays_zip(
-        F.col("islots").alias("i"), F.col("slots").alias("d"))).alias("p")).select(*key, "p.i", "p.d")
-    clash = pairs.groupBy(*key, "i").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-    merged = pairs.where(F.col("i").startswith(NAME)).groupBy(*key, "d").agg(F.min("i").alias("lo"), F.max("i").alias("hi"))
-    bad = clash.select(*key, "lo", "hi").unionAll(merged.select(*key, "lo", "hi")).where("lo <> hi").select(*key).distinct()
-    good = runs.join(bad, key, "left_anti")
-    longest = good.groupBy(*key, "item_windows", "need").agg(F.count("*").alias("length"), F.max(F.size("islots")).alias("s"))
-    return longest.where(F.col("length") >= F.col("need")).groupBy("doc_id", "item_id", "item_windows").agg(
-        F.max("length").alias("longest_run"), F.greatest(F.max("s"), F.lit(0)).alias("n_slots")).select(
+    good = _stretches(runs, key, cut_runs)
+    return good.groupBy("doc_id", "item_id", "item_windows").agg(
+        F.max("length").cast("bigint").alias("longest_run"), F.greatest(F.max("s"), F.lit(0)).alias("n_slots")).select(
         "doc_id", "item_id", "longest_run", F.col("item_windows").cast("bigint").alias("item_windows"), "n_slots")
 
 
+def _stretches(runs: DataFrame, key: list[str], cut_runs: bool) -> DataFrame:
+    """The windows of ``runs`` inside a consistent stretch of ``need`` windows; ``length`` of the stretch that ends there, ``s`` slots.
+
+    Of two slots that clash a stretch holds one at most, so the second moves the
+    earliest start of all stretches that reach it behind the first."""
+    pairs = runs.where(F.size("islots") > 0).select(*key, "ipos", F.explode(F.arrays_zip(
+        F.col("iat").alias("k"), F.col("islots").alias("i"), F.col("slots").alias("d"))).alias("p")).select(
+        *key, (F.col("ipos") + F.col("p.k")).alias("at"), "p.i", "p.d").distinct()
+    same_i, same_d = (Window.partitionBy(*key, c).orderBy("at") for c in "id")
+    clash = pairs.withColumn("value", F.when(F.lag("d").over(same_i) != F.col("d"), F.lag("at").over(same_i))).withColumn(
+        "name", F.when(F.col("i").startswith(NAME) & (F.lag("i").over(same_d) != F.col("i")), F.lag("at").over(same_d)))
+    cuts = clash.select(*key, "at", (F.greatest("value", "name") + 1).alias("cut")).where("cut is not null")
+    if not cut_runs:
+        return runs.join(cuts.select(*key).distinct(), key, "left_anti").withColumn("s", F.size("islots"))
+    ends = runs.select(*key, "item_windows", "need", "ipos", F.size("islots").alias("s"),
+                       (F.col("ipos") + F.col("size") - 1).alias("at")).unionByName(cuts, allowMissingColumns=True)
+    so_far = Window.partitionBy(*key).orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = ends.withColumn("start", F.greatest(F.col("run") + 1, F.max("cut").over(so_far))).where("ipos is not null")
+    length = F.col("ipos") - F.col("start") + 1
+    ends = ends.withColumn("length", F.when(length >= F.col("need"), length))
+    later = Window.partitionBy(*key).orderBy("ipos").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    first = F.min(F.when(F.col("length").isNotNull(), F.col("start"))).over(later)
+    return ends.withColumn("first", first).where(F.col("first") <= F.col("ipos"))
+
+
 def _sampled(size: int, stride: int) -> Column:
     """Hashes of the windows of ``size`` words at every ``stride``-th position."""
     return F.transform(_starts(F.lit(size), stride), lambda i: _hash_at(i, F.lit(size)))
@@ -163,7 +190,7 @@ def _sampled(size: int, stride: int) -> Column:
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` (all columns) whose document no item contaminates; rows without an id stay."""
-    bad = contaminated(docs, bench, id_col=id_col, **options).select(F.col("doc_id").alias("_bad")).distinct()
+    bad = contaminated(docs, bench, id_col=id_col, **{"cut_runs": True, **options}).select(F.col("doc_id").alias("_bad")).distinct()
     return docs.join(bad, F.col(f"`{id_col}`").cast("bigint") == F.col("_bad"), "left_anti")
 
 

@@ -189,3 +189,48 @@ def test_decontamination_equals_its_sql_twin(spark):
     got = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert sorted(map(tuple, got.select("doc_id", "item_id", "longest_run", "item_windows", "n_slots").collect())) == expected
     assert len(expected) > 100 and any(r[4] > 0 for r in expected)
+
+
+def test_runs_are_cut_at_clashing_slots(docs_of, spark):
+    frame = ("a farmer has {} apples in the first old basket and {} pears in the second green basket "
+             "and then walks home slowly along the river until the evening bell rings over the quiet valley")
+    names = ("we saw that {} met the old miller near the bridge before noon came and the rain fell on all "
+             "while the friend {} sold three loaves of bread to the young baker at the corner")
+    bench = spark.createDataFrame([(0, frame.format(3, 3)), (1, names.format("Alice", "Bob"))], "item_id bigint, text string")
+    docs = [(1, frame.format(5, 7)), (2, frame.format(3, 5)), (3, frame.format(4, 4)), (4, names.format("Zoe", "Zoe")),
+            (5, frame.format(5, 7)[:75])]
+    got = {(r.doc_id, r.item_id): r.longest_run for r in D.contaminated(docs_of(docs), bench, cut_runs=True).collect()}
+    words = len(frame.split())
+    # the numbers stand at words 3 and 11; the longest stretch begins behind the first
+    assert got == {(1, 0): words - 4 - 7, (2, 0): words - 4 - 7, (3, 0): words - 7, (4, 1): brute_stretch(
+        [names.format("Zoe", "Zoe")], [names.format("Alice", "Bob")])}
+
+
+def brute_stretch(doc, item, window=8):
+    """Longest consistent stretch of windows at equal positions (numbers and title-case words are slots)."""
+    d, i = doc[0].split(), item[0].split()
+    best = 0
+    for a in range(len(i)):
+        for b in range(a + window, len(i) + 1):
+            pairs = {(x, y) for x, y in zip(i[a:b], d[a:b]) if x[0].isupper() or x[0].isdigit()}
+            names = [y for x, y in pairs if x[0].isupper()]
+            if len({x for x, _ in pairs}) == len(pairs) and len(set(names)) == len(names):
+                best = max(best, b - a - window + 1)
+    return best
+
+
+def test_cut_runs_match_brute_force(docs_of, spark):
+    rng = random.Random(11)
+    kinds = {"number": ["1", "2", "3"], "name": ["Ann", "Bob", "Eve"]}
+    items, docs = [], []
+    for i in range(6):
+        shape = ["word"] + [rng.choice(["word"] * 8 + ["number", "name"]) for _ in range(rng.randint(20, 50))]
+        frame = [f"w{chr(97 + i)}{chr(97 + k // 26)}{chr(97 + k % 26)}" if s == "word" else s for k, s in enumerate(shape)]
+        filled = lambda: " ".join(rng.choice(kinds[w]) if w in kinds else w for w in frame)
+        items.append((i, filled()))
+        docs += [(100 * i + k, filled()) for k in range(25)]
+    expected = {(d, i): brute_stretch([t], [items[i][1]]) for d, t in docs for i in [d // 100]}
+    expected = {k: n for k, n in expected.items() if n >= 6}
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r.longest_run for r in D.contaminated(docs_of(docs), bench, cut_runs=True).collect()}
+    assert got == expected and len(got) > 40
