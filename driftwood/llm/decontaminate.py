@@ -14,6 +14,11 @@ contaminated by an item if it holds a consistent run of ``min_windows`` windows
 (13 words at the defaults), or of the share ``containment`` of the item's
 windows if those are fewer.
 
+Names at the start of a text or sentence, after a line break, a quotation mark, a
+bracket or a colon, and number words, are slots of the wide templates only.  These
+are looked at besides the narrow ones, not instead: a copy in capitals or small
+letters keeps its ordinary words there.
+
 Two passes keep the work small and lose nothing.  Any run of r windows covers a
 window whose position divides by r, so the first pass hashes every r-th window
 only (r: the least run that any item asks for) and yields candidate documents;
@@ -45,38 +50,57 @@ UNITS = (SIGN, "mg", "g", "kg", "lb", "lbs", "oz", "t", "mm", "cm", "m", "km", "
          "sec", "seconds", "min", "minutes", "h", "hr", "hour", "hours", "day", "days", "week", "weeks",
          "month", "months", "year", "years", "usd", "eur", "gbp", "dollars", "euros", "pounds", "percent")
 
+#: Number words, slots like digits if ``wide``.
+NUMBER_WORDS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven",
+                "twelve", "thirteen", "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen", "twenty",
+                "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety", "hundred", "thousand", "million")
+
 
-def _digit(word: Column) -> Column:
-    return F.coalesce(word.rlike(r"^\p{N}"), F.lit(False))
+def _digit(word: Column, wide: bool = False) -> Column:
+    digit = word.rlike(r"^\p{N}")
+    return F.coalesce(digit | F.lower(word).isin(*NUMBER_WORDS) if wide else digit, F.lit(False))
 
 
-def _canonical(words: Column) -> Column:
+def _canonical(words: Column, wide: bool) -> Column:
     def of(w, i):
-        unit = F.lower(w).isin(*UNITS) & (_digit(F.get(words, i - 1)) | (w == SIGN))
-        return F.when(w.startswith(NAME_MARK), NAME).when(_digit(w), NUM).when(unit, UNIT).otherwise(F.lower(w))
+        unit = F.lower(w).isin(*UNITS) & (_digit(F.get(words, i - 1), wide) | (w == SIGN))
+        return F.when(w.startswith(NAME_MARK), NAME).when(_digit(w, wide), NUM).when(unit, UNIT).otherwise(F.lower(w))
 
     return F.transform(words, of)
 
 
-def templates(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _names_marked(text: Column, wide: bool) -> Column:
+    if not wide:
+        return F.regexp_replace(text, r"(?<=[\p{Ll}\p{N},;]\x20)(?=\p{Lu}\p{Ll})", NAME_MARK)
+    numbers = "|".join(w.capitalize() for w in NUMBER_WORDS)
+    return F.regexp_replace(
+        text, rf"(?<![\p{{L}}\p{{N}}])(?=\p{{Lu}}\p{{Ll}})(?!(?:{numbers})(?![\p{{L}}\p{{N}}]))", NAME_MARK)
+
+
+def templates(df: DataFrame, id_col: str, text_col: str, wide: bool = False) -> DataFrame:
     """doc_id, h (hashes of the canonical words), slot (slot values, null beside
-    other words; the whole array is null if the text has no slot)."""
-    named = text_rows(df, id_col, text_col).select("doc_id", F.regexp_replace(
-        "text", r"(?<=[\p{Ll}\p{N},;]\x20)(?=\p{Lu}\p{Ll})", NAME_MARK).alias("t"))
+    other words; the whole array is null if the text has no slot).
+
+    ``wide``: every title-case word is a name, wherever it stands, and number words are numbers."""
+    named = text_rows(df, id_col, text_col).select("doc_id", _names_marked(F.col("text"), wide).alias("t"))
     numbers = F.col("t").rlike(r"\p{N}")
     plain = F.regexp_replace("t", r"(?<=\p{N})[.,](?=\p{N})", "")
     plain = F.regexp_replace(plain, r"[$€£](?=\x20?\p{N})|(?<=\p{N}\x20?)[%°$€£]", f" {SIGN} ")
     plain = F.regexp_replace(plain, r"(?<=\p{N})(?=\p{L})", " ")
+    slots = numbers | F.col("t").contains(NAME_MARK)
+    if wide:
+        slots = slots | F.col("t").rlike(rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{'|'.join(NUMBER_WORDS)})(?![\p{{L}}\p{{N}}])")
     cut = named.select(
-        "doc_id", (numbers | F.col("t").contains(NAME_MARK)).alias("slots"),
+        "doc_id", slots.alias("slots"),
         F.split(F.when(numbers, plain).otherwise(F.col("t")), "[^\\p{L}\\p{N}\u0001\u0002]+").alias("w"))
     words = cut.select("doc_id", "slots", F.filter("w", lambda w: w != "").alias("w"))
-    canon = words.select("doc_id", "w", F.when(F.col("slots"), _canonical(F.col("w"))).alias("canon"))
+    canon = words.select("doc_id", "w", F.when(F.col("slots"), _canonical(F.col("w"), wide)).alias("canon"))
     return canon.select(
         "doc_id",
         F.when(F.col("canon").isNull(), F.transform("w", lambda w: F.xxhash64(F.lower(w)))).otherwise(
             F.transform("canon", lambda w: F.xxhash64(w))).alias("h"),
-        F.zip_with("w", "canon", lambda w, c: F.when(c.isin(NAME, NUM, UNIT), F.concat(c, w))).alias("slot"))
+        F.zip_with("w", "canon", lambda w, c: F.when(c.isin(NAME, NUM, UNIT), F.concat(
+            c, F.when(c == NUM, F.lower(w)).otherwise(w) if wide else w))).alias("slot"))
 
 
 def _hash_at(i: Column, size: Column) -> Column:
@@ -100,9 +124,9 @@ def _slot_offsets(pos: Column, size: Column) -> Column:
 
 
 def benchmark_windows(bench: DataFrame, id_col: str, text_col: str, window: int, min_windows: int,
-                      containment: float) -> DataFrame:
+                      containment: float, wide: bool = False) -> DataFrame:
     """item_id, size, item_windows, need (least run), ipos, key, islots, iat (offsets of the slots in the window)."""
-    t = templates(bench, id_col, text_col).where((F.size("h") > 0) & F.col("doc_id").isNotNull())
+    t = templates(bench, id_col, text_col, wide).where((F.size("h") > 0) & F.col("doc_id").isNotNull())
     size = F.least(F.lit(window), F.size("h"))
     n = F.size("h") - size + 1
     need = F.least(F.lit(min_windows), F.ceil(n * F.lit(containment)).cast("int"))
@@ -114,11 +138,24 @@ def benchmark_windows(bench: DataFrame, id_col: str, text_col: str, window: int,
 
 def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", window: int = 8, min_windows: int = 6,
-                 containment: float = 0.8, broadcast_rows: int = 1_000_000, cut_runs: bool = False) -> DataFrame:
+                 containment: float = 0.8, broadcast_rows: int = 1_000_000, cut_runs: bool = False,
+                 wide_names: bool = False) -> DataFrame:
     """(doc_id, item_id, longest_run, item_windows, n_slots) of every contaminated pair.
 
-    ``cut_runs``: runs are cut at clashing slots; else, as in the DuckDB twin, a run with a clash is left out."""
-    items = written(benchmark_windows(bench, item_col, item_text_col, window, min_windows, containment), "bench-windows")
+    ``cut_runs``: runs are cut at clashing slots; else, as in the DuckDB twin, a run with a clash is left out.
+    ``wide_names``: pairs that the templates miss are looked for with wide templates too (see ``templates``)."""
+    options = (id_col, text_col, item_col, item_text_col, window, min_windows, containment, broadcast_rows, cut_runs)
+    found = _found(docs, bench, *options, wide=False)
+    if not wide_names:
+        return found
+    found = written(found, "bench-found")
+    more = _found(docs, bench, *options, wide=True)
+    return found.unionAll(more.join(found.select("doc_id", "item_id").distinct(), ["doc_id", "item_id"], "left_anti"))
+
+
+def _found(docs: DataFrame, bench: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, window: int,
+           min_windows: int, containment: float, broadcast_rows: int, cut_runs: bool, wide: bool) -> DataFrame:
+    items = written(benchmark_windows(bench, item_col, item_text_col, window, min_windows, containment, wide), "bench-windows")
     sizes = {r["size"]: r for r in items.groupBy("size").agg(  # at most `window` rows
         F.min("need").alias("need"), F.count("*").alias("n")).collect()}
     if not sizes:
@@ -127,7 +164,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text
     def small(df: DataFrame, rows: int) -> DataFrame:
         return F.broadcast(df) if rows <= broadcast_rows else df
 
-    t = templates(docs.where(F.col(f"`{id_col}`").isNotNull()), id_col, text_col)
+    t = templates(docs.where(F.col(f"`{id_col}`").isNotNull()), id_col, text_col, wide)
     candidates = None
     for size, r in sorted(sizes.items()):
         keys = small(items.where(F.col("size") == size).select("key").distinct(), r["n"])
@@ -137,7 +174,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text
     candidates = written(candidates.distinct(), "bench-candidates").withColumnRenamed("doc_id", "_id")
     near = docs.join(small(candidates, candidates.count()), F.col(f"`{id_col}`").cast("bigint") == F.col("_id"), "left_semi")
 
-    t = templates(near, id_col, text_col)
+    t = templates(near, id_col, text_col, wide)
     hits = None
     for size, r in sorted(sizes.items()):
         own = items.where(F.col("size") == size)
@@ -190,7 +227,7 @@ def _sampled(size: int, stride: int) -> Column:
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` (all columns) whose document no item contaminates; rows without an id stay."""
-    bad = contaminated(docs, bench, id_col=id_col, **{"cut_runs": True, **options}).select(F.col("doc_id").alias("_bad")).distinct()
+    bad = contaminated(docs, bench, id_col=id_col, **{"cut_runs": True, "wide_names": True, **options}).select(F.col("doc_id").alias("_bad")).distinct()
     return docs.join(bad, F.col(f"`{id_col}`").cast("bigint") == F.col("_bad"), "left_anti")
 
 

@@ -47,7 +47,8 @@ def op9_language(spark, sf_dir):
 
 
 def op10_decontaminate(spark, sf_dir):
-    return decontaminate.contaminated(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"), cut_runs=True)
+    return decontaminate.contaminated(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"), cut_runs=True,
+                                      wide_names=True)
 
 
 QUERIES = {f.__name__: f for f in (op1_training_order, op2_simhash, op3_fingerprints, op4_packing, op5_main_text, op6_repeats, op7_warc,

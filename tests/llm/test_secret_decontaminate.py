@@ -234,3 +234,17 @@ def test_cut_runs_match_brute_force(docs_of, spark):
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     got = {(r.doc_id, r.item_id): r.longest_run for r in D.contaminated(docs_of(docs), bench, cut_runs=True).collect()}
     assert got == expected and len(got) > 40
+
+
+def test_wide_templates_take_names_at_sentence_starts(docs_of, spark):
+    item = "Tom has 3 apples. Tom buys 4 more. How many apples does he have? Sue takes three of them away."
+    bench = spark.createDataFrame([(0, item)], "item_id bigint, text string")
+    other = item.replace("Tom", "Ann").replace("Sue", "Max").replace("3", "7")
+    docs = [(1, other), (2, other.replace(" ", "\n")), (3, '"' + other.replace(". ", '."  "').replace("? ", ": (") + ")"),
+            (4, other.replace("three", "nine")), (5, item.upper()), (6, item.lower()), (7, item),
+            (8, other.replace("Ann buys", "Max buys")), (9, "Some words that are not the item. " * 4)]
+    found = lambda **options: {r.doc_id for r in D.contaminated(docs_of(docs), bench, cut_runs=True, **options).collect()}
+    got = found(wide_names=True)
+    assert {1, 2, 3, 4, 7} <= got and 9 not in got
+    assert not found() & {1, 2, 3, 4} and found() <= got
+    assert {r.doc_id for r in D.drop_contaminated(docs_of(docs), bench).collect()} == {d for d, _ in docs} - got
