@@ -22,6 +22,11 @@ def text_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                      F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """Hash of id and text: names a row where ids repeat, and rows equal in both alike."""
+    return F.xxhash64(F.col(f"`{id_col}`").cast("bigint"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+
+
 def written(df: DataFrame, name: str, partitions: Column | str | None = None) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 

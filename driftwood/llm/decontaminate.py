@@ -27,7 +27,8 @@ candidate ids are broadcast only if their counted number is at most
 ``broadcast_rows``; beyond that the joins shuffle and AQE splits frequent keys.
 
 Defined results: null or empty texts have no words and are never contaminated,
-nor are rows with a null id reported; repeated rows with one id count as one document; an item shorter
+nor are rows with a null id reported; rows with one id and different texts are judged
+(and dropped) one by one and reported once under the id; an item shorter
 than ``window`` words is one window of its own length, an item without words
 never matches; empty tables give an empty result.
 """
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from driftwood.llm.common import text_rows, written
+from driftwood.llm.common import row_key, text_rows, written
 
 NAME, NUM, UNIT = "<name>", "<num>", "<unit>"
 #: Control characters that mark a name and stand for a sign beside a number.
@@ -78,11 +79,12 @@ def _names_marked(text: Column, wide: bool) -> Column:
 
 
 def templates(df: DataFrame, id_col: str, text_col: str, wide: bool = False) -> DataFrame:
-    """doc_id, h (hashes of the canonical words), slot (slot values, null beside
+    """doc_id, row (hash of id and text), h (hashes of the canonical words), slot (slot values, null beside
     other words; the whole array is null if the text has no slot).
 
     ``wide``: every title-case word is a name, wherever it stands, and number words are numbers."""
-    named = text_rows(df, id_col, text_col).select("doc_id", _names_marked(F.col("text"), wide).alias("t"))
+    named = text_rows(df, id_col, text_col).select(
+        "doc_id", row_key().alias("row"), _names_marked(F.col("text"), wide).alias("t"))
     numbers = F.col("t").rlike(r"\p{N}")
     plain = F.regexp_replace("t", r"(?<=\p{N})[.,](?=\p{N})", "")
     plain = F.regexp_replace(plain, r"[$€£](?=\x20?\p{N})|(?<=\p{N}\x20?)[%°$€£]", f" {SIGN} ")
@@ -91,12 +93,12 @@ def templates(df: DataFrame, id_col: str, text_col: str, wide: bool = False) ->
     if wide:
         slots = slots | F.col("t").rlike(rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{'|'.join(NUMBER_WORDS)})(?![\p{{L}}\p{{N}}])")
     cut = named.select(
-        "doc_id", slots.alias("slots"),
+        "doc_id", "row", slots.alias("slots"),
         F.split(F.when(numbers, plain).otherwise(F.col("t")), "[^\\p{L}\\p{N}\u0001\u0002]+").alias("w"))
-    words = cut.select("doc_id", "slots", F.filter("w", lambda w: w != "").alias("w"))
-    canon = words.select("doc_id", "w", F.when(F.col("slots"), _canonical(F.col("w"), wide)).alias("canon"))
+    words = cut.select("doc_id", "row", "slots", F.filter("w", lambda w: w != "").alias("w"))
+    canon = words.select("doc_id", "row", "w", F.when(F.col("slots"), _canonical(F.col("w"), wide)).alias("canon"))
     return canon.select(
-        "doc_id",
+        "doc_id", "row",
         F.when(F.col("canon").isNull(), F.transform("w", lambda w: F.xxhash64(F.lower(w)))).otherwise(
             F.transform("canon", lambda w: F.xxhash64(w))).alias("h"),
         F.zip_with("w", "canon", lambda w, c: F.when(c.isin(NAME, NUM, UNIT), F.concat(
@@ -139,18 +141,24 @@ def benchmark_windows(bench: DataFrame, id_col: str, text_col: str, window: int,
 def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", window: int = 8, min_windows: int = 6,
                  containment: float = 0.8, broadcast_rows: int = 1_000_000, cut_runs: bool = False,
-                 wide_names: bool = False) -> DataFrame:
+                 wide_names: bool = False, by_row: bool = False) -> DataFrame:
     """(doc_id, item_id, longest_run, item_windows, n_slots) of every contaminated pair.
 
     ``cut_runs``: runs are cut at clashing slots; else, as in the DuckDB twin, a run with a clash is left out.
-    ``wide_names``: pairs that the templates miss are looked for with wide templates too (see ``templates``)."""
+    ``wide_names``: pairs that the templates miss are looked for with wide templates too (see ``templates``).
+    ``by_row``: one result for each ``row`` (hash of id and text) of a document."""
     options = (id_col, text_col, item_col, item_text_col, window, min_windows, containment, broadcast_rows, cut_runs)
     found = _found(docs, bench, *options, wide=False)
-    if not wide_names:
+    if wide_names:
+        found = written(found, "bench-found")
+        pair = ["doc_id", "row", "item_id"]
+        more = _found(docs, bench, *options, wide=True)
+        found = found.unionByName(more.join(found.select(*pair).distinct(), pair, "left_anti"))
+    if by_row:
         return found
-    found = written(found, "bench-found")
-    more = _found(docs, bench, *options, wide=True)
-    return found.unionAll(more.join(found.select("doc_id", "item_id").distinct(), ["doc_id", "item_id"], "left_anti"))
+    return found.groupBy("doc_id", "item_id", "item_windows").agg(
+        F.max("longest_run").alias("longest_run"), F.max("n_slots").alias("n_slots")).select(
+        "doc_id", "item_id", "longest_run", "item_windows", "n_slots")
 
 
 def _found(docs: DataFrame, bench: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, window: int,
@@ -178,21 +186,21 @@ def _found(docs: DataFrame, bench: DataFrame, id_col: str, text_col: str, item_c
     hits = None
     for size, r in sorted(sizes.items()):
         own = items.where(F.col("size") == size)
-        part = t.select("doc_id", F.explode(_windows(F.lit(size))).alias("w")).select(
-            "doc_id", "w.pos", "w.key", "w.slots").join(small(own, r["n"]), "key")
+        part = t.select("doc_id", "row", F.explode(_windows(F.lit(size))).alias("w")).select(
+            "doc_id", "row", "w.pos", "w.key", "w.slots").join(small(own, r["n"]), "key")
         hits = part if hits is None else hits.unionAll(part)
-    hits = hits.select("doc_id", "item_id", "item_windows", "need", "size", "ipos",
+    hits = hits.select("doc_id", "row", "item_id", "item_windows", "need", "size", "ipos",
                        (F.col("pos") - F.col("ipos")).alias("diag"), "islots", "slots", "iat").distinct()
 
-    at = Window.partitionBy("doc_id", "item_id", "diag").orderBy("ipos")
-    key = ["doc_id", "item_id", "diag", "run"]
+    at = Window.partitionBy("doc_id", "row", "item_id", "diag").orderBy("ipos")
+    key = ["doc_id", "row", "item_id", "diag", "run"]
     runs = hits.withColumn("run", F.col("ipos") - F.row_number().over(at))
     runs = runs.withColumn("length", F.count("*").over(Window.partitionBy(*key))).where(F.col("length") >= F.col("need"))
     runs = written(runs, "bench-runs")
     good = _stretches(runs, key, cut_runs)
-    return good.groupBy("doc_id", "item_id", "item_windows").agg(
+    return good.groupBy("doc_id", "row", "item_id", "item_windows").agg(
         F.max("length").cast("bigint").alias("longest_run"), F.greatest(F.max("s"), F.lit(0)).alias("n_slots")).select(
-        "doc_id", "item_id", "longest_run", F.col("item_windows").cast("bigint").alias("item_windows"), "n_slots")
+        "doc_id", "row", "item_id", "longest_run", F.col("item_windows").cast("bigint").alias("item_windows"), "n_slots")
 
 
 def _stretches(runs: DataFrame, key: list[str], cut_runs: bool) -> DataFrame:
@@ -226,9 +234,16 @@ def _sampled(size: int, stride: int) -> Column:
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose document no item contaminates; rows without an id stay."""
-    bad = contaminated(docs, bench, id_col=id_col, **{"cut_runs": True, "wide_names": True, **options}).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col(f"`{id_col}`").cast("bigint") == F.col("_bad"), "left_anti")
+    """The rows of ``docs`` (all columns) whose text no item contaminates; rows without an id stay."""
+    options = {"cut_runs": True, "wide_names": True} | options
+    bad = contaminated(docs, bench, id_col=id_col, by_row=True, **options).select(
+        F.col("doc_id").alias("_bad"), F.col("row").alias("_bad_row")).distinct()
+    bad = written(bad, "bench-bad")
+    if bad.count() <= options.get("broadcast_rows", 1_000_000):
+        bad = F.broadcast(bad)
+    same = (F.col(f"`{id_col}`").cast("bigint") == F.col("_bad")) & (
+        row_key(id_col, options.get("text_col", "text")) == F.col("_bad_row"))
+    return docs.join(bad, same, "left_anti")
 
 
 def _oracle(window: int = 8, min_windows: int = 6, containment: float = 0.8) -> str:

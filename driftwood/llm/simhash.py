@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftwood.llm.common import text_rows, written
+from driftwood.llm.common import row_key, text_rows, written
 from driftwood.llm.components import components
 
 SEGMENTS, SEGMENT_BITS, SEED = 16, 4, 42
@@ -66,14 +66,19 @@ def fingerprint(text: str | None, shingle: int = 3, chunk: int = 1 << 16) -> int
     return int.from_bytes(np.packbits(2 * counts > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``doc_id`` and ``fp`` (bigint with the fingerprint's bits) of every row."""
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                 rows: bool = False) -> DataFrame:
+    """``doc_id`` and ``fp`` (bigint with the fingerprint's bits) of every row; with ``rows`` its ``row`` (hash of id and text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), *b.columns[2:]],
+                                             names=["doc_id", "fp", *b.schema.names[2:]])
 
-    return text_rows(df, id_col, text_col).mapInArrow(run, "doc_id bigint, fp bigint")
+    texts = text_rows(df, id_col, text_col)
+    if rows:
+        return texts.withColumn("row", row_key()).mapInArrow(run, "doc_id bigint, fp bigint, row bigint")
+    return texts.mapInArrow(run, "doc_id bigint, fp bigint")
 
 
 def _segment_counts(fp: Column) -> list[Column]:
@@ -119,28 +124,39 @@ def links(fps: DataFrame, max_bits: int = 2, cell_limit: int = 64) -> DataFrame:
     return _pairs(small, max_bits).unionAll(_pairs(shared_keys, max_bits)).distinct()
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                    max_bits: int = 2, cell_limit: int = 64) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of every row."""
-    docs = written(fingerprints(df, id_col, text_col, shingle), "simhash-docs")
-    fps = written(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-fps")
+def _grouped(docs: DataFrame, max_bits: int, cell_limit: int) -> DataFrame:
+    """``docs`` (doc_id, fp, row) with ``least``: doc_id and row of the first row of the group (null if none has an id)."""
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "row")))
+    fps = written(docs.groupBy("fp").agg(first.alias("least")), "simhash-fps")
     roots = components(links(fps.select("fp"), max_bits, cell_limit))
     # only fingerprints with a link to another one have a root
     linked = fps.join(roots, fps.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = written(linked.join(least, "root").select(F.col("fp").alias("_fp"), "component_id"), "simhash-roots")
-    return docs.join(named, docs.fp == named._fp).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row (the least id's) of each group, all columns; rows without an id stay."""
-    found = near_duplicates(df, id_col, text_col, **options)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    left = df.join(gone, F.col(f"`{id_col}`").cast("bigint") == F.col("_gone"), "left_anti")
-    twice = written(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select(
-        F.col("doc_id").alias("_twice")), "simhash-repeated")
+    least = linked.groupBy("root").agg(F.min("least").alias("first"))
+    named = written(linked.join(least, "root").select(F.col("fp").alias("_fp"), F.col("first").alias("least")), "simhash-roots")
+    return docs.join(named, docs.fp == named._fp).drop("_fp")
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                    max_bits: int = 2, cell_limit: int = 64) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` of every row."""
+    docs = written(fingerprints(df, id_col, text_col, shingle).withColumn("row", F.lit(0).cast("bigint")), "simhash-docs")
+    return _grouped(docs, max_bits, cell_limit).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least.doc_id").alias("component_id"))
+
+
+def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                         max_bits: int = 2, cell_limit: int = 64) -> DataFrame:
+    """One row (the least id's) of each group, all columns; rows without an id stay. Rows are told apart by id and text."""
+    docs = written(fingerprints(df, id_col, text_col, shingle, rows=True), "simhash-docs")
+    found = _grouped(docs, max_bits, cell_limit).where("doc_id is not null")
+    first = (F.col("doc_id") == F.col("least.doc_id")) & (F.col("row") == F.col("least.row"))
+    gone = found.where(~first).select(F.col("doc_id").alias("_gone"), F.col("row").alias("_gone_row")).distinct()
+    mine, own = F.col(f"`{id_col}`").cast("bigint"), row_key(id_col, text_col)
+    left = df.join(gone, (mine == F.col("_gone")) & (own == F.col("_gone_row")), "left_anti")
+    twice = written(found.where(first).groupBy("doc_id", "row").count().where("count > 1").select(
+        F.col("doc_id").alias("_twice"), F.col("row").alias("_twice_row")), "simhash-repeated")
     if twice.isEmpty():
         return left
-    repeated = F.col(f"`{id_col}`").cast("bigint") == F.col("_twice")
-    return left.join(twice, repeated, "left_anti").unionAll(left.join(twice, repeated, "left_semi").dropDuplicates([id_col]))
+    repeated = (mine == F.col("_twice")) & (own == F.col("_twice_row"))
+    once = left.join(twice, repeated, "left_semi").withColumn("_own", own).dropDuplicates([id_col, "_own"]).drop("_own")
+    return left.join(twice, repeated, "left_anti").unionAll(once)

@@ -248,3 +248,12 @@ def test_wide_templates_take_names_at_sentence_starts(docs_of, spark):
     assert {1, 2, 3, 4, 7} <= got and 9 not in got
     assert not found() & {1, 2, 3, 4} and found() <= got
     assert {r.doc_id for r in D.drop_contaminated(docs_of(docs), bench).collect()} == {d for d, _ in docs} - got
+
+
+def test_rows_with_one_id_are_judged_one_by_one(docs_of, spark):
+    item = "a walk of 5 km takes 60 minutes if the road is flat and the wind is low today"
+    bench = spark.createDataFrame([(0, item)], "item_id bigint, text string")
+    docs = [(1, item), (1, item.replace("60", "95")), (1, "a clean text"), (1, "a clean text"), (2, "another clean text")]
+    assert [(r.doc_id, r.item_id) for r in D.contaminated(docs_of(docs), bench, cut_runs=True, wide_names=True).collect()] == [(1, 0)]
+    kept = D.drop_contaminated(docs_of(docs), bench).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted(docs[2:])

@@ -201,3 +201,10 @@ def test_training_order_round_trip(docs_of, spark, tmp_path):
     training_order.write_shards(df, again, length=128, shards=5, block=4)
     assert sorted(training_order.read_slots(spark, again).collect(), key=lambda r: r.slot) == all_rows
     assert training_order.order_report(df.limit(0)).count() == 0
+
+
+def test_near_duplicates_of_one_id_are_dropped_row_by_row(docs_of):
+    text, other, third = (" ".join(f"{c}{k}" for k in range(400)) for c in "abc")
+    rows = [(1, text), (7, text.upper()), (7, other), (7, other), (7, third), (9, third), (None, text)]
+    kept = [(r.doc_id, r.text) for r in simhash.drop_near_duplicates(docs_of(rows)).collect()]
+    assert sorted(kept, key=str) == sorted([(1, text), (7, other), (7, third), (None, text)], key=str)
