@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from driftwood.llm import blocks, decontaminate, langid, packing, sampling, secret_scan, simhash, substrings, training_order, warc
+from driftwood.llm import blocks, decontaminate, langid, packing, sampling, secret_scan, simhash, substrings, token_counts, training_order, warc
 from driftwood.llm.common import documents
 
 
@@ -51,7 +51,11 @@ def op10_decontaminate(spark, sf_dir):
                                       wide_names=True)
 
 
+def op11_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (op1_training_order, op2_simhash, op3_fingerprints, op4_packing, op5_main_text, op6_repeats, op7_warc,
-                                   op8_secret_scan, op9_language, op10_decontaminate)}
+                                   op8_secret_scan, op9_language, op10_decontaminate, op11_token_counts)}
 ORACLE: dict[str, str] = {"op6_repeats": substrings.ORACLE, "op7_warc": warc.ORACLE, "op8_secret_scan": secret_scan.ORACLE,
                           "op10_decontaminate": decontaminate.ORACLE}
