@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from driftwood.llm import blocks, decontaminate, langid, packing, sampling, secret_scan, simhash, substrings, token_counts, training_order, warc
+from driftwood.llm import (blocks, decontaminate, filter_audit, langid, packing, sampling, secret_scan, simhash, substrings,
+                           token_counts, training_order, vector_codes, warc)
 from driftwood.llm.common import documents
 
 
@@ -55,7 +56,16 @@ def op11_token_counts(spark, sf_dir):
     return token_counts.count_tokens(documents(spark, sf_dir))
 
 
+def op12_vector_codes(spark, sf_dir):
+    return vector_codes.code_report(documents(spark, sf_dir, "embeddings"))
+
+
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (op1_training_order, op2_simhash, op3_fingerprints, op4_packing, op5_main_text, op6_repeats, op7_warc,
-                                   op8_secret_scan, op9_language, op10_decontaminate, op11_token_counts)}
+                                   op8_secret_scan, op9_language, op10_decontaminate, op11_token_counts, op12_vector_codes, op13_filter_audit)}
 ORACLE: dict[str, str] = {"op6_repeats": substrings.ORACLE, "op7_warc": warc.ORACLE, "op8_secret_scan": secret_scan.ORACLE,
-                          "op10_decontaminate": decontaminate.ORACLE}
+                          "op10_decontaminate": decontaminate.ORACLE, "op12_vector_codes": vector_codes.ORACLE,
+                          "op13_filter_audit": filter_audit.ORACLE}
