@@ -1,8 +1,8 @@
 """Benchmark decontamination by template canonicalisation (operator 10).
 
 Only DataFrame functions.  A text becomes a list of canonical words: lower
-case, with typed placeholders for numbers (``<num>``), names (title-case words
-inside a sentence, ``<name>``) and units beside a number (``<unit>``).  Windows
+case, with typed placeholders for numbers, names (title-case words
+inside a sentence) and units beside a number.  Windows
 of ``window`` canonical words are hashed and joined with the benchmark's.
 
 Consecutive windows of a document that match consecutive windows of an item
@@ -21,8 +21,9 @@ letters keeps its ordinary words there.
 
 Two passes keep the work small and lose nothing.  Any run of r windows covers a
 window whose position divides by r, so the first pass hashes every r-th window
-only (r: the least run that any item asks for) and yields candidate documents;
-the second looks at all windows of those.  The benchmark's windows and the
+only (r: the least run that any item asks for), narrow and wide in one projection, and yields candidate documents;
+the second looks at all windows of those.  Marks and placeholders are set on whole texts, so
+there is no work per word but cutting.  The benchmark's windows and the
 candidate ids are broadcast only if their counted number is at most
 ``broadcast_rows``; beyond that the joins shuffle and AQE splits frequent keys.
 
@@ -41,88 +42,85 @@ from pyspark.sql.window import Window
 
 from driftwood.llm.common import row_key, text_rows, written
 
-NAME, NUM, UNIT = "<name>", "<num>", "<unit>"
-#: Control characters that mark a name and stand for a sign beside a number.
-NAME_MARK, SIGN = "\u0001", "\u0002"
+#: Canonical words of a name, a unit or sign, and a number; in a text, marks before title-case words
+#: inside a sentence (NAME) and elsewhere (TITLE).
+NAME, UNIT, TITLE, NUM = "\u0001", "\u0002", "\u0003", "\u0004"
 
 #: Units that stand next to a number.
-UNITS = (SIGN, "mg", "g", "kg", "lb", "lbs", "oz", "t", "mm", "cm", "m", "km", "in", "ft", "mi", "mile", "miles",
+UNITS = ("mg", "g", "kg", "lb", "lbs", "oz", "t", "mm", "cm", "m", "km", "in", "ft", "mi", "mile", "miles",
          "metre", "metres", "meter", "meters", "ml", "l", "litre", "litres", "liter", "liters", "ms", "s",
          "sec", "seconds", "min", "minutes", "h", "hr", "hour", "hours", "day", "days", "week", "weeks",
          "month", "months", "year", "years", "usd", "eur", "gbp", "dollars", "euros", "pounds", "percent")
 
-#: Number words, slots like digits if ``wide``.
+#: Number words, slots like digits in wide templates.
 NUMBER_WORDS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven",
                 "twelve", "thirteen", "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen", "twenty",
                 "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety", "hundred", "thousand", "million")
 
 
-def _digit(word: Column, wide: bool = False) -> Column:
-    digit = word.rlike(r"^\p{N}")
-    return F.coalesce(digit | F.lower(word).isin(*NUMBER_WORDS) if wide else digit, F.lit(False))
+_WORD = r"[\p{L}\p{N}]"
 
 
-def _canonical(words: Column, wide: bool) -> Column:
-    def of(w, i):
-        unit = F.lower(w).isin(*UNITS) & (_digit(F.get(words, i - 1), wide) | (w == SIGN))
-        return F.when(w.startswith(NAME_MARK), NAME).when(_digit(w, wide), NUM).when(unit, UNIT).otherwise(F.lower(w))
+def _marked(text: Column) -> Column:
+    """Lower case; title-case words marked, numbers in one piece and apart from letters, signs beside them as UNIT."""
+    t = F.regexp_replace(text, rf"(?=\p{{Lu}}\p{{Ll}})(?<!{_WORD})", TITLE)
+    t = F.regexp_replace(t, rf"{TITLE}(?<=[\p{{Ll}}\p{{N}},;]\x20{TITLE})", NAME)
+    plain = F.regexp_replace(t, r"[.,](?<=\p{N}[.,])(?=\p{N})", "")
+    plain = F.regexp_replace(plain, r"[$€£](?=\x20?\p{N})|[%°$€£](?<=\p{N}\x20?[%°$€£])", f" {UNIT} ")
+    plain = F.regexp_replace(plain, r"(?<=\p{N})(?=\p{L})", " ")
+    return F.lower(F.when(text.rlike(r"\p{N}"), plain).otherwise(t))
+
+
+def _split(text: Column, ends: str) -> Column:
+    """Runs of letters, numerals and ``ends``; an empty string where the text starts or ends otherwise."""
+    return F.split(text, rf"[^\p{{L}}\p{{N}}{ends}]+")
 
-    return F.transform(words, of)
 
+def _trimmed(words: str) -> Column:
+    first = F.when(F.get(words, F.lit(0)) == "", 2).otherwise(1)
+    last = F.when(F.element_at(words, -1) == "", 1).otherwise(0)
+    return F.slice(words, first, F.greatest(F.size(words) - last - first + 1, F.lit(0))).alias(words)
 
-def _names_marked(text: Column, wide: bool) -> Column:
-    if not wide:
-        return F.regexp_replace(text, r"(?<=[\p{Ll}\p{N},;]\x20)(?=\p{Lu}\p{Ll})", NAME_MARK)
-    numbers = "|".join(w.capitalize() for w in NUMBER_WORDS)
-    return F.regexp_replace(
-        text, rf"(?<![\p{{L}}\p{{N}}])(?=\p{{Lu}}\p{{Ll}})(?!(?:{numbers})(?![\p{{L}}\p{{N}}]))", NAME_MARK)
+
+def _canonical(marked: Column, wide: bool) -> Column:
+    """The canonical words of a marked text, not yet trimmed. ``wide``: every title-case word is a name, number words are numbers."""
+    t = marked
+    if wide:
+        t = F.regexp_replace(t, rf"[{NAME}{TITLE}]?+(?=[a-z])(?<!{_WORD})(?:{'|'.join(NUMBER_WORDS)})(?!{_WORD})", NUM)
+    t = F.regexp_replace(t, rf"[{NAME}{TITLE}]{_WORD}+" if wide else rf"{NAME}{_WORD}+", NAME)
+    numbered = F.regexp_replace(t, rf"(?=\p{{N}})(?<!{_WORD})\p{{N}}++", NUM)
+    beside = rf"({NUM}[^\p{{L}}\p{{N}}{NAME}{UNIT}{NUM}]+)(?:{'|'.join(UNITS)})(?!{_WORD})"
+    numbered = F.regexp_replace(numbered, beside, f"$1{UNIT}")
+    return _split(F.when(t.rlike(rf"[\p{{N}}{NUM}]"), numbered).otherwise(t), NAME + UNIT + NUM)
 
 
 def templates(df: DataFrame, id_col: str, text_col: str, wide: bool = False) -> DataFrame:
-    """doc_id, row (hash of id and text), h (hashes of the canonical words), slot (slot values, null beside
-    other words; the whole array is null if the text has no slot).
+    """doc_id, row (hash of id and text), h (canonical words), slot (placeholder and value, null beside other words).
 
     ``wide``: every title-case word is a name, wherever it stands, and number words are numbers."""
-    named = text_rows(df, id_col, text_col).select(
-        "doc_id", row_key().alias("row"), _names_marked(F.col("text"), wide).alias("t"))
-    numbers = F.col("t").rlike(r"\p{N}")
-    plain = F.regexp_replace("t", r"(?<=\p{N})[.,](?=\p{N})", "")
-    plain = F.regexp_replace(plain, r"[$€£](?=\x20?\p{N})|(?<=\p{N}\x20?)[%°$€£]", f" {SIGN} ")
-    plain = F.regexp_replace(plain, r"(?<=\p{N})(?=\p{L})", " ")
-    slots = numbers | F.col("t").contains(NAME_MARK)
-    if wide:
-        slots = slots | F.col("t").rlike(rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{'|'.join(NUMBER_WORDS)})(?![\p{{L}}\p{{N}}])")
-    cut = named.select(
-        "doc_id", "row", slots.alias("slots"),
-        F.split(F.when(numbers, plain).otherwise(F.col("t")), "[^\\p{L}\\p{N}\u0001\u0002]+").alias("w"))
-    words = cut.select("doc_id", "row", "slots", F.filter("w", lambda w: w != "").alias("w"))
-    canon = words.select("doc_id", "row", "w", F.when(F.col("slots"), _canonical(F.col("w"), wide)).alias("canon"))
-    return canon.select(
-        "doc_id", "row",
-        F.when(F.col("canon").isNull(), F.transform("w", lambda w: F.xxhash64(F.lower(w)))).otherwise(
-            F.transform("canon", lambda w: F.xxhash64(w))).alias("h"),
-        F.zip_with("w", "canon", lambda w, c: F.when(c.isin(NAME, NUM, UNIT), F.concat(
-            c, F.when(c == NUM, F.lower(w)).otherwise(w) if wide else w))).alias("slot"))
+    marked = text_rows(df, id_col, text_col).select("doc_id", row_key().alias("row"), _marked(F.col("text")).alias("t"))
+    words = marked.select("doc_id", "row", _canonical(F.col("t"), wide).alias("h"), _split(F.col("t"), UNIT).alias("w"))
+    return words.select("doc_id", "row", _trimmed("h"), _trimmed("w")).select("doc_id", "row", "h", F.zip_with("w", "h", lambda w, c: F.when(
+        c.isin(NAME, NUM, UNIT), F.concat(c, w))).alias("slot"))
 
 
-def _hash_at(i: Column, size: Column) -> Column:
-    return F.xxhash64(F.slice("h", i + 1, size))
+def _hash_at(words: str, i: Column, size: Column) -> Column:
+    return F.xxhash64(F.slice(words, i + 1, size))
 
 
-def _starts(size: Column, stride: int = 1) -> Column:
-    return F.when(F.size("h") >= size, F.sequence(F.lit(0), F.size("h") - size, F.lit(stride)))
+def _starts(words: str, size: Column, stride: int = 1) -> Column:
+    return F.when(F.size(words) >= size, F.sequence(F.lit(0), F.size(words) - size, F.lit(stride)))
 
 
 def _windows(size: Column) -> Column:
     """array<struct<pos, key, slots>> of all windows of ``size`` words."""
-    return F.transform(_starts(size), lambda i: F.struct(
-        i.alias("pos"), _hash_at(i, size).alias("key"),
-        F.when(F.col("slot").isNotNull(), F.filter(F.slice("slot", i + 1, size), lambda x: x.isNotNull())).alias("slots")))
+    return F.transform(_starts("h", size), lambda i: F.struct(
+        i.alias("pos"), _hash_at("h", i, size).alias("key"),
+        F.filter(F.slice("slot", i + 1, size), lambda x: x.isNotNull()).alias("slots")))
 
 
 def _slot_offsets(pos: Column, size: Column) -> Column:
-    return F.when(F.col("slot").isNotNull(), F.filter(
-        F.sequence(F.lit(0), size - 1), lambda k: F.get(F.col("slot"), pos + k).isNotNull()))
+    return F.filter(F.sequence(F.lit(0), size - 1), lambda k: F.get(F.col("slot"), pos + k).isNotNull())
 
 
 def benchmark_windows(bench: DataFrame, id_col: str, text_col: str, window: int, min_windows: int,
@@ -144,16 +142,37 @@ def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text
                  wide_names: bool = False, by_row: bool = False) -> DataFrame:
     """(doc_id, item_id, longest_run, item_windows, n_slots) of every contaminated pair.
 
-    ``cut_runs``: runs are cut at clashing slots; else, as in the DuckDB twin, a run with a clash is left out.
+    ``cut_runs``: runs are cut at clashing slots (as in the DuckDB twin); else a run with a clash is left out.
     ``wide_names``: pairs that the templates miss are looked for with wide templates too (see ``templates``).
     ``by_row``: one result for each ``row`` (hash of id and text) of a document."""
-    options = (id_col, text_col, item_col, item_text_col, window, min_windows, containment, broadcast_rows, cut_runs)
-    found = _found(docs, bench, *options, wide=False)
+    forms = (False, True) if wide_names else (False,)
+    items = None
+    for wide in forms:
+        own = benchmark_windows(bench, item_col, item_text_col, window, min_windows, containment, wide).withColumn("wide", F.lit(wide))
+        items = own if items is None else items.unionAll(own)
+    items = written(items, "bench-windows")
+    sizes = {r["size"]: r for r in items.groupBy("size").agg(  # at most `window` rows
+        F.min("need").alias("need"), F.count("*").alias("n")).collect()}
+    if not sizes:
+        sizes = {window: {"need": min_windows, "n": 0}}
+
+    def small(df: DataFrame, rows: int) -> DataFrame:
+        return F.broadcast(df) if rows <= broadcast_rows else df
+
+    near = _candidates(docs.where(F.col(f"`{id_col}`").isNotNull()), items, sizes, small, id_col, text_col, forms)
+    hits = None
+    for wide in forms:
+        t = templates(near, id_col, text_col, wide)
+        for size, r in sorted(sizes.items()):
+            own = items.where((F.col("size") == size) & (F.col("wide") == F.lit(wide)))
+            part = t.select("doc_id", "row", F.explode(_windows(F.lit(size))).alias("w")).select(
+                "doc_id", "row", "w.pos", "w.key", "w.slots").join(small(own, r["n"]), "key")
+            hits = part if hits is None else hits.unionAll(part)
+    found = _found(hits, cut_runs)
     if wide_names:
-        found = written(found, "bench-found")
-        pair = ["doc_id", "row", "item_id"]
-        more = _found(docs, bench, *options, wide=True)
-        found = found.unionByName(more.join(found.select(*pair).distinct(), pair, "left_anti"))
+        pair = Window.partitionBy("doc_id", "row", "item_id")
+        found = found.withColumn("narrow", F.min("wide").over(pair)).where(F.col("wide") == F.col("narrow"))
+    found = found.drop("wide", "narrow")
     if by_row:
         return found
     return found.groupBy("doc_id", "item_id", "item_windows").agg(
@@ -161,46 +180,43 @@ def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text
         "doc_id", "item_id", "longest_run", "item_windows", "n_slots")
 
 
-def _found(docs: DataFrame, bench: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, window: int,
-           min_windows: int, containment: float, broadcast_rows: int, cut_runs: bool, wide: bool) -> DataFrame:
-    items = written(benchmark_windows(bench, item_col, item_text_col, window, min_windows, containment, wide), "bench-windows")
-    sizes = {r["size"]: r for r in items.groupBy("size").agg(  # at most `window` rows
-        F.min("need").alias("need"), F.count("*").alias("n")).collect()}
-    if not sizes:
-        sizes = {window: {"need": min_windows, "n": 0}}
+def _sampled(words: str, size: int, stride: int) -> Column:
+    """Hashes of the windows of ``size`` words at every ``stride``-th position."""
+    hashes = F.transform(_starts(words, F.lit(size), stride), lambda i: _hash_at(words, i, F.lit(size)))
+    return F.coalesce(hashes, F.array().cast("array<bigint>"))
 
-    def small(df: DataFrame, rows: int) -> DataFrame:
-        return F.broadcast(df) if rows <= broadcast_rows else df
 
-    t = templates(docs.where(F.col(f"`{id_col}`").isNotNull()), id_col, text_col, wide)
-    candidates = None
+def _candidates(docs: DataFrame, items: DataFrame, sizes: dict, small, id_col: str, text_col: str, forms: tuple) -> DataFrame:
+    """The documents that share a window at one of every ``need`` positions with an item, in either form."""
+    marked = text_rows(docs, id_col, text_col).select("doc_id", _marked(F.col("text")).alias("t"))
+    names = [f"h{int(wide)}" for wide in forms]
+    words = marked.select("doc_id", *[_canonical(F.col("t"), wide).alias(n) for wide, n in zip(forms, names)]).select(
+        "doc_id", *map(_trimmed, names))
+    found = None
     for size, r in sorted(sizes.items()):
         keys = small(items.where(F.col("size") == size).select("key").distinct(), r["n"])
-        grams = t.select("doc_id", F.explode(_sampled(size, r["need"])).alias("key"))
-        hit = grams.join(keys, "key", "left_semi").select("doc_id")
-        candidates = hit if candidates is None else candidates.unionAll(hit)
-    candidates = written(candidates.distinct(), "bench-candidates").withColumnRenamed("doc_id", "_id")
-    near = docs.join(small(candidates, candidates.count()), F.col(f"`{id_col}`").cast("bigint") == F.col("_id"), "left_semi")
+        sampled = F.concat(*[_sampled(n, size, r["need"]) for n in names])
+        hit = words.select("doc_id", F.explode(sampled).alias("key")).join(keys, "key", "left_semi").select("doc_id")
+        found = hit if found is None else found.unionAll(hit)
+    found = written(found.distinct(), "bench-candidates").withColumnRenamed("doc_id", "_id")
+    return docs.join(small(found, found.count()), F.col(f"`{id_col}`").cast("bigint") == F.col("_id"), "left_semi")
 
-    t = templates(near, id_col, text_col, wide)
-    hits = None
-    for size, r in sorted(sizes.items()):
-        own = items.where(F.col("size") == size)
-        part = t.select("doc_id", "row", F.explode(_windows(F.lit(size))).alias("w")).select(
-            "doc_id", "row", "w.pos", "w.key", "w.slots").join(small(own, r["n"]), "key")
-        hits = part if hits is None else hits.unionAll(part)
-    hits = hits.select("doc_id", "row", "item_id", "item_windows", "need", "size", "ipos",
-                       (F.col("pos") - F.col("ipos")).alias("diag"), "islots", "slots", "iat").distinct()
 
-    at = Window.partitionBy("doc_id", "row", "item_id", "diag").orderBy("ipos")
-    key = ["doc_id", "row", "item_id", "diag", "run"]
+def _found(hits: DataFrame, cut_runs: bool) -> DataFrame:
+    """doc_id, row, item_id, wide, longest_run, item_windows, n_slots of the windows' consistent runs."""
+    hits = hits.select("doc_id", "row", "item_id", "wide", "item_windows", "need", "size", "ipos",
+                       (F.col("pos") - F.col("ipos")).alias("diag"), "islots", "slots", "iat").distinct()
+    at = Window.partitionBy("doc_id", "row", "item_id", "wide", "diag").orderBy("ipos")
+    key = ["doc_id", "row", "item_id", "wide", "diag", "run"]
     runs = hits.withColumn("run", F.col("ipos") - F.row_number().over(at))
-    runs = runs.withColumn("length", F.count("*").over(Window.partitionBy(*key))).where(F.col("length") >= F.col("need"))
+    whole = Window.partitionBy(*key)
+    runs = runs.withColumn("length", F.count("*").over(whole)).withColumn("first", F.min("ipos").over(whole))
+    runs = runs.where(F.col("length") >= F.col("need"))
     runs = written(runs, "bench-runs")
     good = _stretches(runs, key, cut_runs)
-    return good.groupBy("doc_id", "row", "item_id", "item_windows").agg(
+    return good.groupBy("doc_id", "row", "item_id", "wide", "item_windows").agg(
         F.max("length").cast("bigint").alias("longest_run"), F.greatest(F.max("s"), F.lit(0)).alias("n_slots")).select(
-        "doc_id", "row", "item_id", "longest_run", F.col("item_windows").cast("bigint").alias("item_windows"), "n_slots")
+        "doc_id", "row", "item_id", "wide", "longest_run", F.col("item_windows").cast("bigint").alias("item_windows"), "n_slots")
 
 
 def _stretches(runs: DataFrame, key: list[str], cut_runs: bool) -> DataFrame:
@@ -217,10 +233,10 @@ def _stretches(runs: DataFrame, key: list[str], cut_runs: bool) -> DataFrame:
     cuts = clash.select(*key, "at", (F.greatest("value", "name") + 1).alias("cut")).where("cut is not null")
     if not cut_runs:
         return runs.join(cuts.select(*key).distinct(), key, "left_anti").withColumn("s", F.size("islots"))
-    ends = runs.select(*key, "item_windows", "need", "ipos", F.size("islots").alias("s"),
+    ends = runs.select(*key, "item_windows", "need", "ipos", F.col("first").alias("low"), F.size("islots").alias("s"),
                        (F.col("ipos") + F.col("size") - 1).alias("at")).unionByName(cuts, allowMissingColumns=True)
     so_far = Window.partitionBy(*key).orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = ends.withColumn("start", F.greatest(F.col("run") + 1, F.max("cut").over(so_far))).where("ipos is not null")
+    ends = ends.withColumn("start", F.greatest("low", F.max("cut").over(so_far))).where("ipos is not null")
     length = F.col("ipos") - F.col("start") + 1
     ends = ends.withColumn("length", F.when(length >= F.col("need"), length))
     later = Window.partitionBy(*key).orderBy("ipos").rowsBetween(Window.currentRow, Window.unboundedFollowing)
@@ -228,11 +244,6 @@ def _stretches(runs: DataFrame, key: list[str], cut_runs: bool) -> DataFrame:
     return ends.withColumn("first", first).where(F.col("first") <= F.col("ipos"))
 
 
-def _sampled(size: int, stride: int) -> Column:
-    """Hashes of the windows of ``size`` words at every ``stride``-th position."""
-    return F.transform(_starts(F.lit(size), stride), lambda i: _hash_at(i, F.lit(size)))
-
-
 def drop_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` (all columns) whose text no item contaminates; rows without an id stay."""
     options = {"cut_runs": True, "wide_names": True} | options
@@ -247,42 +258,63 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id",
 
 
 def _oracle(window: int = 8, min_windows: int = 6, containment: float = 0.8) -> str:
-    """DuckDB twin of ``contaminated`` for items of at least ``window`` words."""
-    units = ", ".join(f"'{u}'" for u in UNITS if u != SIGN)
+    """DuckDB twin of ``contaminated`` with cut runs and wide templates.
+
+    Words are classified one by one here, and a stretch is looked for among all pairs of a run's windows."""
+    units, numbers = (", ".join(f"'{u}'" for u in words) for words in (UNITS, NUMBER_WORDS))
 
     def twice(text: str, pattern: str, to: str) -> str:
         # a match uses up the character that the next one needs before it
         return f"regexp_replace(regexp_replace({text}, '{pattern}', '{to}', 'g'), '{pattern}', '{to}', 'g')"
 
-    def canon(name: str, table: str, key: str) -> list[str]:
-        t = twice("coalesce(text, '')", r"([\p{Ll}\p{N},;] )(\p{Lu}\p{Ll})", r"\1' || chr(1) || '\2")
+    def canon(name: str, table: str, key: str, wide: bool) -> list[str]:
+        if wide:
+            t = r"regexp_replace(coalesce(text, ''), '(^|[^\p{L}\p{N}])(\p{Lu}\p{Ll})', '\1' || chr(1) || '\2', 'g')"
+        else:
+            t = twice("coalesce(text, '')", r"([\p{Ll}\p{N},;] )(\p{Lu}\p{Ll})", r"\1' || chr(1) || '\2")
         t = twice(t, r"(\p{N})[.,](\p{N})", r"\1\2")
         t = f"regexp_replace({t}, '[$€£]( ?\\p{{N}})', ' ' || chr(2) || ' \\1', 'g')"
         t = f"regexp_replace({t}, '(\\p{{N}} ?)[%°$€£]', '\\1 ' || chr(2) || ' ', 'g')"
         t = twice(t, r"(\p{N})(\p{L})", r"\1 \2")
         words = f"list_filter(string_split_regex({t}, '[^\\p{{L}}\\p{{N}}\\x01\\x02]+'), lambda x: x <> '')"
-        digit = "coalesce(regexp_matches(w[i - 1], '^\\p{N}'), false)"
-        kind = f"""CASE WHEN starts_with(x, chr(1)) THEN '{NAME}' WHEN regexp_matches(x, '^\\p{{N}}') THEN '{NUM}'
-    WHEN x = chr(2) OR (lower(x) IN ({units}) AND {digit}) THEN '{UNIT}' ELSE lower(x) END"""
+
+        def number(x: str) -> str:
+            return f"(regexp_matches({x}, '^\\p{{N}}')" + (f" OR ltrim(lower({x}), chr(1)) IN ({numbers}))" if wide else ")")
+
+        kind = f"""CASE WHEN {number('x')} THEN '<num>' WHEN starts_with(x, chr(1)) THEN '<name>'
+    WHEN x = chr(2) OR (lower(x) IN ({units}) AND coalesce({number('w[i - 1]')}, false)) THEN '<unit>' ELSE lower(x) END"""
+        source = name if name.startswith("item") else f"{name}, (SELECT DISTINCT size FROM item{name[3:]}_g)"
+        size = f"least({window}, len(c))" if name.startswith("item") else "size"
         return [f"{name}_w AS MATERIALIZED (SELECT {key} AS id, {words} AS w FROM {table} WHERE {key} IS NOT NULL)",
                 f"{name} AS MATERIALIZED (SELECT id, w, list_transform(w, lambda x, i: {kind}) AS c FROM {name}_w)",
-                f"""{name}_g AS MATERIALIZED (SELECT id, len(c) - {window - 1} AS n, i, array_to_string(c[i + 1:i + {window}], chr(31)) AS g,
-list_filter(list_transform(range(i + 1, i + {window + 1}), lambda k: CASE WHEN c[k] IN ('{NAME}', '{NUM}', '{UNIT}') THEN c[k] || w[k] END),
-  lambda x: x IS NOT NULL) AS slots FROM (SELECT id, w, c, unnest(range(0, len(c) - {window - 1})) AS i FROM {name} WHERE len(c) >= {window}))"""]
-
-    key = "doc_id, item_id, diag, run"
-    return "WITH " + ",\n".join([
-        *canon("doc", "documents", "doc_id"), *canon("item", "benchmark", "item_id"),
-        """hit AS MATERIALIZED (SELECT DISTINCT d.id AS doc_id, b.id AS item_id, b.n, b.i AS ipos, d.i - b.i AS diag, b.slots AS islots, d.slots
-FROM doc_g d JOIN item_g b ON b.g = d.g)""",
-        "run AS MATERIALIZED (SELECT *, ipos - row_number() OVER (PARTITION BY doc_id, item_id, diag ORDER BY ipos) AS run FROM hit)",
-        f"pair AS (SELECT {key}, unnest(islots) AS i, unnest(slots) AS d FROM run WHERE len(islots) > 0)",
-        f"""bad AS (SELECT {key} FROM pair GROUP BY {key}, i HAVING min(d) <> max(d)
-UNION SELECT {key} FROM pair WHERE starts_with(i, '{NAME}') GROUP BY {key}, d HAVING min(i) <> max(i))""",
-        f"""long AS (SELECT {key}, n, count(*) AS length, max(len(islots)) AS s FROM run
-ANTI JOIN bad USING ({key}) GROUP BY {key}, n)"""]) + f"""
-SELECT doc_id, item_id, max(length) AS longest_run, CAST(n AS BIGINT) AS item_windows, CAST(max(s) AS INTEGER) AS n_slots
-FROM long WHERE length >= least({min_windows}, ceil(n * {containment})) GROUP BY doc_id, item_id, n"""
+                f"""{name}_g AS MATERIALIZED (SELECT id, size, len(c) - size + 1 AS n, i, array_to_string(c[i + 1:i + size], chr(31)) AS g,
+list_filter(list_transform(range(i + 1, i + size + 1), lambda k: CASE WHEN c[k] IN ('<name>', '<num>', '<unit>')
+  THEN {{'k': k - i - 1, 'v': c[k] || ltrim(lower(w[k]), chr(1))}} END), lambda x: x IS NOT NULL) AS slots
+FROM (SELECT id, w, c, size, unnest(range(0, len(c) - size + 1)) AS i
+  FROM (SELECT id, w, c, {size} AS size FROM {source}) WHERE len(c) >= size AND size > 0))"""]
+
+    def found(form: str, wide: bool) -> list[str]:
+        run = "doc_id, item_id, diag, run"
+        return [
+            *canon(f"item{form}", "benchmark", "item_id", wide), *canon(f"doc{form}", "documents", "doc_id", wide),
+            f"""hit{form} AS MATERIALIZED (SELECT DISTINCT d.id AS doc_id, b.id AS item_id, b.n, b.size, b.i AS ipos, d.i - b.i AS diag,
+  b.slots AS islots, d.slots FROM doc{form}_g d JOIN item{form}_g b ON b.g = d.g AND b.size = d.size)""",
+            f"""run{form} AS MATERIALIZED (SELECT *, ipos - row_number() OVER (PARTITION BY doc_id, item_id, diag ORDER BY ipos) AS run,
+  least({min_windows}, ceil(n * {containment})) AS need FROM hit{form})""",
+            f"""pair{form} AS MATERIALIZED (SELECT DISTINCT {run}, ipos + i.k AS at, i.v AS i, d.v AS d
+  FROM (SELECT {run}, ipos, unnest(islots) AS i, unnest(slots) AS d FROM run{form} WHERE len(islots) > 0))""",
+            f"""clash{form} AS MATERIALIZED (SELECT {run}, a.at AS low, b.at AS high FROM pair{form} a JOIN pair{form} b USING ({run})
+  WHERE a.at < b.at AND ((a.i = b.i AND a.d <> b.d) OR (a.d = b.d AND a.i <> b.i AND starts_with(b.i, '<name>'))))""",
+            f"""stretch{form} AS MATERIALIZED (SELECT {run}, a.n, a.ipos AS first, b.ipos AS last
+  FROM run{form} a JOIN run{form} b USING ({run}) WHERE b.ipos - a.ipos + 1 >= a.need AND NOT EXISTS (
+    SELECT 1 FROM clash{form} k WHERE (k.doc_id, k.item_id, k.diag, k.run) = (a.doc_id, a.item_id, a.diag, a.run)
+      AND k.low >= a.ipos AND k.high < b.ipos + b.size))""",
+            f"""found{form} AS (SELECT doc_id, item_id, n, max(last - first + 1) AS longest_run, max(len(islots)) AS n_slots
+  FROM stretch{form} JOIN run{form} USING ({run}, n) WHERE ipos BETWEEN first AND last GROUP BY doc_id, item_id, n)"""]
+
+    return "WITH " + ",\n".join([*found("", False), *found("x", True)]) + """
+SELECT doc_id, item_id, longest_run, CAST(n AS BIGINT) AS item_windows, CAST(n_slots AS INTEGER) AS n_slots
+FROM (SELECT * FROM found UNION ALL SELECT * FROM foundx ANTI JOIN found USING (doc_id, item_id))"""
 
 
 ORACLE = _oracle()
