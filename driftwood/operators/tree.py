@@ -4,17 +4,19 @@ Layout of the work
 ------------------
 * The tree itself (node list: tests, class distributions, leaf state) is a
   small driver-side structure, bounded by the number of nodes.
-* Blocks are exact runs of ``rows_per_block`` rows by position in the order.
-  Training data is written once, partitioned by block, to the shared checkpoint
-  folder; every block read is a partition-pruned scan.
-* Per block, Spark routes every row to its leaf (the tree compiled to one
-  nested ``when`` Column: codegen, no join) and aggregates the leaf
-  statistics (class distribution, Gaussian and nominal observers) with
-  partial aggregation.  Leaf statistics are merged with G2/G5 and
-  checkpointed, so lineage never grows across blocks.
+* Blocks are exact runs of ``rows_per_block`` rows by position in the order; the
+  rows are written once with their block to the shared checkpoint folder.
+* A leaf's fate depends on its own rows only, so jobs follow the depth that the tree gains, not
+  the blocks.  A round takes all open leaves at once: one scan gives power sums and counts per
+  (leaf, block, feature, class) by partial aggregation; a running merge over the
+  blocks (G2/G5 as sums) gives every leaf's statistics at every attempt; all split tests run in
+  one plan; the first block at which a leaf fires is kept.  The children are the next round's leaves and
+  see only later blocks.  Blocks are taken in runs that double in length, so what is computed
+  beyond a leaf's split stays in proportion; between runs the statistics are the model's.
+* ``fit_blocks`` trains block by block instead: for ``remove_poor``, where an attempt that fails
+  changes the statistics, and for tests.
 * Split attempts run the G7-G16 operators on the (small) leaf statistics;
-  only the top-2 suggestions per candidate leaf and the chosen split's
-  branch distributions reach the driver.
+  only the first decision per leaf and the chosen split's branch distributions reach the driver.
 
 Block semantics (corrected per-example quirk): a block is aggregated,
 merged once, then split attempts run.  Options follow the reference's
@@ -32,7 +34,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwood.functions import stats as S
@@ -42,6 +44,8 @@ from driftwood.plans import scan
 from driftwood.session import scratch_path, written
 
 MULTIWAY_CAND = 1 << 30
+#: Blocks in one window of the running merge; beyond it the merge has two levels.
+SEGMENT = 4096
 
 
 @dataclass
@@ -225,6 +229,20 @@ class HoeffdingTree:
                                         ["leaf", "feature", "label"]) if nom_idx else None
         return cd, g, nstat
 
+    def _entries(self) -> Column:
+        """A row's entries (feature, x, vkey, raw): feature -1 for the class, then one per feature."""
+        items = [F.struct(F.lit(-1).alias("feature"), F.lit(None).cast("double").alias("x"),
+                          F.lit(None).cast("double").alias("vkey"), F.lit(None).cast("double").alias("raw"))]
+        for i, c in enumerate(self.feature_cols):
+            v = F.col(c).cast("double")
+            if i in self.nominal:
+                items.append(F.struct(F.lit(i).alias("feature"), F.lit(None).cast("double").alias("x"),
+                                      v.alias("vkey"), F.lit(None).cast("double").alias("raw")))
+            else:
+                items.append(F.struct(F.lit(i).alias("feature"), (v - F.lit(self.offset.get(i, 0.0))).alias("x"),
+                                      F.lit(None).cast("double").alias("vkey"), v.alias("raw")))
+        return F.array(*items)
+
     def block_summary(self, block: DataFrame, order_cols: Sequence[str] | None = None,
                       with_last: bool = True):
         """H2 in one job: every leaf statistic of the block plus the leaf of the
@@ -236,17 +254,7 @@ class HoeffdingTree:
         routed = self.with_leaf(block.select(F.col(self.label).cast("int").alias("label"),
                                              self._w().alias("weight"), okey.alias("_o"),
                                              *self.feature_cols))
-        items = [F.struct(F.lit(-1).alias("feature"), F.lit(None).cast("double").alias("x"),
-                          F.lit(None).cast("double").alias("vkey"), F.lit(None).cast("double").alias("raw"))]
-        for i, c in enumerate(self.feature_cols):
-            v = F.col(c).cast("double")
-            if i in self.nominal:
-                items.append(F.struct(F.lit(i).alias("feature"), F.lit(None).cast("double").alias("x"),
-                                      v.alias("vkey"), F.lit(None).cast("double").alias("raw")))
-            else:
-                items.append(F.struct(F.lit(i).alias("feature"), (v - F.lit(self.offset.get(i, 0.0))).alias("x"),
-                                      F.lit(None).cast("double").alias("vkey"), v.alias("raw")))
-        long = routed.select("leaf", "label", "weight", "_o", F.inline(F.array(*items)))
+        long = routed.select("leaf", "label", "weight", "_o", F.inline(self._entries()))
         # a row without label counts for the last example only, a null value for nothing
         known = F.col("label").isNotNull() & ((F.col("feature") == -1) | F.col("x").isNotNull() | F.col("vkey").isNotNull())
         if with_last:
@@ -348,28 +356,27 @@ class HoeffdingTree:
         return g, n
 
     # ------------------------------------------------------------------ H4-H6 split attempts
-    def _candidate_posts(self, spark, leaf_ids: list[int]) -> DataFrame:
-        gstats, nstats = self.stats_frames(spark)
-        g = gstats.filter(F.col("leaf").isin(leaf_ids))
-        pts = observers.split_points(g, self.bins, ["leaf", "feature"])
-        post = observers.gaussian_split_weights(g, pts, ["leaf", "feature"]).select(
-            "leaf", "feature", F.col("point_idx").alias("cand"), F.col("point").alias("cut"),
-            "branch", "label", "w")
-        if nstats is not None:
-            ns = nstats.filter(F.col("leaf").isin(leaf_ids))
-            nb = observers.nominal_binary_splits(ns, ["leaf", "feature"]).select(
-                "leaf", "feature", F.col("split_value").cast("int").alias("cand"),
+    def _candidate_posts(self, g: DataFrame, ns: DataFrame | None, at: Sequence[str] = ("leaf",)) -> DataFrame:
+        """Class weights by branch of all candidates, per ``at`` (a leaf, or a leaf at a block)."""
+        at = list(at)
+        keys = [*at, "feature"]
+        pts = observers.split_points(g, self.bins, keys)
+        post = observers.gaussian_split_weights(g, pts, keys).select(
+            *keys, F.col("point_idx").alias("cand"), F.col("point").alias("cut"), "branch", "label", "w")
+        if ns is not None:
+            nb = observers.nominal_binary_splits(ns, keys).select(
+                *keys, F.col("split_value").cast("int").alias("cand"),
                 F.col("split_value").alias("cut"), "branch", "label", "w")
             post = post.unionByName(nb)
             if not self.binary_only:
-                mw = observers.nominal_multiway_split(ns, ["leaf", "feature"]).select(
-                    "leaf", "feature", F.lit(MULTIWAY_CAND).alias("cand"),
+                mw = observers.nominal_multiway_split(ns, keys).select(
+                    *keys, F.lit(MULTIWAY_CAND).alias("cand"),
                     F.lit(None).cast("double").alias("cut"), "branch", "label", "w")
                 post = post.unionByName(mw)
         return post
 
-    def _merits(self, post: DataFrame) -> DataFrame:
-        cand = ["leaf", "feature", "cand"]
+    def _merits(self, post: DataFrame, at: Sequence[str] = ("leaf",)) -> DataFrame:
+        cand = [*at, "feature", "cand"]
         if self.criterion == "gini":
             return splits.gini_merit(post, cand)
         return splits.info_gain(post, cand)
@@ -388,7 +395,9 @@ class HoeffdingTree:
             cands.append(lid)
         if not cands:
             return {}
-        post = written(self._candidate_posts(self._spark, cands), "ht-candidates")
+        gstats, nstats = self.stats_frames(self._spark)
+        own = F.col("leaf").isin(cands)
+        post = written(self._candidate_posts(gstats.where(own), nstats.where(own) if nstats is not None else None), "ht-candidates")
         best = splits.best_split_per_feature(self._merits(post), ["leaf", "feature"], ["cand"])
         spark = post.sparkSession
         no_split = None
@@ -507,28 +516,237 @@ class HoeffdingTree:
         self.blocks_seen += 1
         return self.attempt_split(targets)
 
-    def fit(self, df: DataFrame, order_cols: Sequence[str], rows_per_block: int = 5000,
-            id_cols: Sequence[str] | None = None) -> HoeffdingTree:
-        """H8: train over blocks of ``rows_per_block`` consecutive rows (in order)."""
-        spark = df.sparkSession
+    def _stage(self, df: DataFrame, order_cols: Sequence[str], rows_per_block: int, id_cols: Sequence[str] | None) -> tuple[DataFrame, int]:
+        """The training rows with ``_block`` and ``_last`` (the block's last example), written once; the number of blocks."""
         cols = list(dict.fromkeys([*order_cols, *(id_cols or []), *self.feature_cols, self.label]
                                   + ([self.weight] if self.weight else [])))
-        placed = scan.row_position(df.select(*cols), list(order_cols), name="_pos")
-        path = scratch_path(spark, "ht-blocks")
-        placed.withColumn("_block", F.floor(F.col("_pos") / rows_per_block)).drop("_pos") \
-            .write.partitionBy("_block").parquet(path)
-        stored = spark.read.parquet(path)
-        okey = F.struct(*[F.col(c) for c in order_cols])
-        lasts = {r[0]: tuple(r[1]) for r in stored.groupBy("_block").agg(
-            F.max_by(F.struct(*self.feature_cols), okey)).collect()}  # one row per block
+        placed = written(scan.row_position(df.select(*cols), list(order_cols), name="_pos").drop(scan.BUCKET), "ht-rows")
         means = [F.avg(F.when(S.finite(F.col(self.feature_cols[i])), F.col(self.feature_cols[i]).cast("double"))).alias(str(i))
                  for i in self._num_idx()]
-        if means:
-            row = stored.agg(*means).first()
-            self.offset = {i: float(row[str(i)] or 0.0) for i in self._num_idx()}
-        for b in sorted(lasts):
-            self.train_block(stored.filter(F.col("_block") == b), order_cols,
-                             id_cols or order_cols, last_example=lasts[b])
+        row = placed.agg(F.count("*").alias("rows"), *means).first()
+        self.offset = {i: float(row[str(i)] or 0.0) for i in self._num_idx()}
+        last = ((F.col("_pos") + 1) % rows_per_block == 0) | (F.col("_pos") == F.lit(row["rows"] - 1))
+        return placed.select(*cols, F.floor(F.col("_pos") / rows_per_block).cast("long").alias("_block"), last.alias("_last")), \
+            -(-row["rows"] // rows_per_block)
+
+    def fit(self, df: DataFrame, order_cols: Sequence[str], rows_per_block: int = 5000,
+            id_cols: Sequence[str] | None = None, first_run: int = 64) -> HoeffdingTree:
+        """H8: train over blocks of ``rows_per_block`` consecutive rows (in order), in runs of ``first_run`` blocks, then twice as many ..."""
+        if self.remove_poor:
+            return self.fit_blocks(df, order_cols, rows_per_block, id_cols)
+        self._spark = df.sparkSession
+        rows, n = self._stage(df, order_cols, rows_per_block, id_cols)
+        low, size = 0, first_run
+        while low < n:
+            high = min(n, low + size)
+            self._grow_run(rows.where((F.col("_block") >= low) & (F.col("_block") < high)), low, high)
+            low, size = high, 2 * size
+        self.blocks_seen += n
+        return self
+
+    def _by_leaf(self, values: dict) -> Column:
+        """A value per node id as a function of the column ``leaf`` (a literal bounded by the node count)."""
+        kind = "bigint" if all(isinstance(v, int) for v in values.values()) else "double"
+        return F.get(F.from_json(F.lit(json.dumps([values.get(i) for i in range(self.next_id)])), f"array<{kind}>"), F.col("leaf"))
+
+    def _state_rows(self, leaves: Sequence[int], block: int) -> DataFrame:
+        """The leaves' statistics so far as power sums at ``block``."""
+        rows = []
+        for leaf in leaves:
+            rows += [(leaf, block, -1, c, 0.0, float(w), None, None, None, None) for c, w in enumerate(self.nodes[leaf].dist) if w]
+        for (leaf, f, c), (n, mean, m2, mn, mx) in self.g.items():
+            if leaf in leaves:
+                d = mean - self.offset.get(f, 0.0)
+                rows.append((leaf, block, f, c, 0.0, float(n), float(n * d), float(m2 + n * d * d), mn, mx))
+        rows += [(leaf, block, f, c, float(v), float(w), None, None, None, None) for (leaf, f, c, v), w in self.n.items() if leaf in leaves]
+        return self._spark.createDataFrame(rows, "leaf int, _block long, feature int, label int, value double, "
+                                                 "w double, s1 double, s2 double, mn double, mx double")
+
+    def _block_sums(self, rows: DataFrame, start: dict) -> DataFrame:
+        """H2 for the leaves of ``start`` at every block from their start on."""
+        routed = self.with_leaf(rows.select(F.col(self.label).cast("int").alias("label"), self._w().alias("weight"),
+                                            F.col("_block").alias("_o"), *self.feature_cols))
+        routed = routed.where(F.col("label").isNotNull() & (F.col("_o") >= self._by_leaf(start)))
+        long = routed.select("leaf", "label", "weight", "_o", F.inline(self._entries()))
+        long = long.where((F.col("feature") == -1) | F.col("x").isNotNull() | F.col("vkey").isNotNull())
+        finite = F.col("x").isNotNull() & ~F.isnan("x") & (F.abs(F.col("x")) != F.lit(float("inf")))
+        ok = finite & (F.col("weight") > 0)
+        return long.groupBy("leaf", F.col("_o").alias("_block"), "feature", "label", F.coalesce("vkey", F.lit(0.0)).alias("value")).agg(
+            F.coalesce(F.sum(F.when(F.col("x").isNull() | ok, F.col("weight"))), F.lit(0.0)).alias("w"),
+            F.sum(F.when(ok, F.col("weight") * F.col("x"))).alias("s1"),
+            F.sum(F.when(ok, F.col("weight") * F.col("x") * F.col("x"))).alias("s2"),
+            F.min(F.when(finite, F.col("raw"))).alias("mn"), F.max(F.when(finite, F.col("raw"))).alias("mx"))
+
+    def _running(self, sums: DataFrame, at: DataFrame, two_level: bool) -> DataFrame:
+        """H3 at every (leaf, block) of ``at``: the leaf's statistics of all blocks up to it."""
+        key = ["leaf", "feature", "label", "value"]
+        keys = F.broadcast(sums.select(*key).distinct())  # bounded by the model's size
+        zero = at.join(keys, "leaf").select(*sums.columns[:5], F.lit(0.0).alias("w"), *[
+            F.lit(None).cast("double").alias(c) for c in ("s1", "s2", "mn", "mx")], F.lit(True).alias("_at"))
+        values = {c: f for c, f in (("w", F.sum), ("s1", F.sum), ("s2", F.sum), ("mn", F.min), ("mx", F.max))}
+        base = sums.withColumn("_at", F.lit(False)).unionByName(zero).groupBy(*key, "_block").agg(
+            *[f(c).alias(c) for c, f in values.items()], F.max("_at").alias("_at"))
+        base = base.withColumn("_seg", F.floor(F.col("_block") / SEGMENT))
+        own = Window.partitionBy(*key, "_seg").orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        local = base.select(*key, "_block", "_seg", "_at", *[f(c).over(own).alias(c) for c, f in values.items()])
+        if two_level:
+            before = Window.partitionBy(*key).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+            carry = base.groupBy(*key, "_seg").agg(*[f(c).alias(c) for c, f in values.items()]).select(
+                *key, "_seg", *[f(c).over(before).alias(f"_{c}") for c, f in values.items()])
+            local = local.where("_at").join(carry, [*key, "_seg"]).select(*key, "_block", "_at", *[
+                F.coalesce(F.col(c) + F.col(f"_{c}"), c, f"_{c}").alias(c) for c in ("w", "s1", "s2")],
+                F.least("mn", "_mn").alias("mn"), F.greatest("mx", "_mx").alias("mx"))
+        return local.where("_at").drop("_at", "_seg")
+
+    def _as_moments(self, stats: DataFrame) -> DataFrame:
+        """Gaussian statistics (n, mean, m2, min, max) of the numeric features from power sums."""
+        shift = F.get(F.array(*[F.lit(float(self.offset.get(i, 0.0))) for i in range(len(self.feature_cols))]), F.col("feature"))
+        some = F.col("w") > 0
+        return stats.where(F.col("feature").isin(self._num_idx())).select(
+            "leaf", "_block", "feature", "label", F.col("w").alias("n"),
+            (F.when(some, F.col("s1") / F.col("w")).otherwise(0.0) + shift).alias("mean"),
+            F.when(some, F.greatest(F.lit(0.0), F.col("s2") - F.col("s1") * F.col("s1") / F.col("w"))).otherwise(0.0).alias("m2"),
+            F.col("mn").alias("min"), F.col("mx").alias("max"))
+
+    def _decisions(self, stats: DataFrame, open_leaves: Sequence[int]) -> tuple[list, DataFrame]:
+        """G15-G18 at every attempt; per leaf the first block at which it fires, with the winning candidate; all candidates."""
+        at = ["leaf", "_block"]
+        seeds = {i: sum(self.nodes[i].dist) - self.nodes[i].addon for i in open_leaves}  # weight that came from a parent's split
+        dist = stats.where("feature = -1").groupBy(*at).agg(
+            F.sum("w").alias("_n"), F.sum(F.col("w") * F.col("w")).alias("_q"), F.count(F.when(F.col("w") > 0, 1)).alias("_classes"))
+        dist = dist.where((F.col("_n") - self._by_leaf(seeds) >= self.grace) & (F.col("_classes") > 1))
+        ready = stats.join(dist.select(*at), at, "left_semi")
+        nominal = ready.where(F.col("feature").isin(list(self.nominal))) if self.nominal else None
+        post = written(self._candidate_posts(self._as_moments(ready), nominal, at), "ht-candidates")
+        best = written(splits.best_split_per_feature(self._merits(post, at), [*at, "feature"], ["cand"]), "ht-best")
+        none = None
+        if self.pre_prune:
+            merit = F.lit(float("-inf")) if self.criterion == "info_gain" else F.col("_q") / (F.col("_n") * F.col("_n"))
+            none = dist.select(*at, merit.alias("merit"))
+        ranked = splits.rank_split_suggestions(best.select(*at, "feature", "merit"), at, none).where("rank <= 2")
+        top = ranked.groupBy(*at).agg(
+            F.max(F.when(F.col("rank") == 1, F.col("feature"))).alias("feature"), F.count("*").alias("_k"),
+            (F.max(F.when(F.col("rank") == 1, F.col("merit"))) - F.max(F.when(F.col("rank") == 2, F.col("merit")))).alias("_gap"))
+        bounds = splits.hoeffding_bound(dist, "_n", self.criterion, self.num_classes, self.delta)
+        fired = top.join(bounds.select(*at, "bound"), at).where(
+            (F.col("_k") < 2) | (F.col("bound") < self.tie) | (~F.isnan("_gap") & (F.col("_gap") > F.col("bound"))))
+        first = fired.groupBy("leaf").agg(F.min(F.struct("_block", "feature")).alias("f")).select("leaf", "f.*")
+        return first.join(best.select(*at, "feature", "cand"), [*at, "feature"], "left").collect(), post  # one row per open leaf at most
+
+    def _grow_run(self, rows: DataFrame, low: int, high: int) -> None:
+        """All splits that the blocks ``low`` .. ``high - 1`` bring."""
+        start = {i: low for i in self._active_ids()}
+        first_new, events, settled = self.next_id, [], []
+        two_level = low // SEGMENT != high // SEGMENT
+        while start:
+            sums = written(self._block_sums(rows, start), "ht-sums")
+            state = self._state_rows(list(start), low)
+            fires = {}
+            if self.grow:
+                if self.split_all:
+                    at = sums.select("leaf", "_block").distinct()
+                else:  # H5: only the leaf of the block's last example
+                    at = self.with_leaf(rows.where("_last").select("_block", *self.feature_cols)).where(
+                        F.col("_block") >= self._by_leaf(start)).select("leaf", "_block")
+                stats = written(self._running(state.unionByName(sums), at, two_level), "ht-stats")
+                found, post = self._decisions(stats, list(start))
+                fires = {r.leaf: r for r in found}
+            until = {i: int(fires[i]["_block"]) if i in fires else high - 1 for i in start}
+            if self.leaf_type == "adaptive":
+                settled.append((sums, state, dict(start), until, {i for i in start if i not in fires or fires[i].feature < 0}))
+            total = sums.where(F.col("_block") <= self._by_leaf(until)).groupBy("leaf", "feature", "label", F.col("value").alias("vkey")).agg(
+                F.sum("w").alias("w"), F.sum("s1").alias("s1"), F.sum("s2").alias("s2"), F.min("mn").alias("mn"), F.max("mx").alias("mx"),
+                F.lit(0).alias("gid"))
+            cd, g, nrows, _ = self._split_summary(total.collect())  # leaves x features x classes (x values) rows
+            self.merge_block(cd, g, nrows)
+            chosen = [r for r in fires.values() if r.feature >= 0]
+            posts = []
+            if chosen:
+                picked = self._spark.createDataFrame([(r.leaf, int(r["_block"]), r.feature, int(r.cand)) for r in chosen],
+                                                     "leaf int, _block long, feature int, cand int")
+                posts = post.join(F.broadcast(picked), ["leaf", "_block", "feature", "cand"], "left_semi").collect()
+            start = {}
+            for leaf, r in sorted(fires.items()):
+                if r.feature < 0:
+                    self.nodes[leaf].kind = "inactive"  # H6
+                    continue
+                self._split(leaf, r.feature, r.cand, [p for p in posts if p.leaf == leaf])
+                events.append((int(r["_block"]), leaf))
+                if r["_block"] + 1 < high:
+                    start.update({c: int(r["_block"]) + 1 for c in self.nodes[leaf].children.values()})
+        for s in settled:
+            self._track_run(rows, *s, two_level)
+        self._renumber(first_new, events)
+
+    def _renumber(self, first_new: int, events: list) -> None:
+        """Ids in the order in which the blocks made the nodes, whatever the rounds."""
+        to, free = {i: i for i in range(first_new)}, first_new
+        for block in sorted({b for b, _ in events}):
+            for leaf in sorted((leaf for b, leaf in events if b == block), key=to.__getitem__):
+                for _, child in sorted(self.nodes[leaf].children.items()):
+                    to[child], free = free, free + 1
+        for node in self.nodes.values():
+            node.id, node.parent = to[node.id], None if node.parent is None else to[node.parent]
+            node.children = {b: to[c] for b, c in node.children.items()}
+        self.nodes = {n.id: n for n in sorted(self.nodes.values(), key=lambda n: n.id)}
+        self.g = {(to[k[0]], *k[1:]): v for k, v in self.g.items()}
+        self.n = {(to[k[0]], *k[1:]): v for k, v in self.n.items()}
+
+    def _track_run(self, rows: DataFrame, sums: DataFrame, state: DataFrame, start: dict, until: dict, leaves: set, two_level: bool) -> None:
+        """Every row of the leaves that stay is scored by its leaf's statistics before its block."""
+        if not leaves:
+            return
+        own = sums.where(F.col("leaf").isin(sorted(leaves)) & (F.col("_block") <= self._by_leaf(until)))
+        before = state.where(F.col("leaf").isin(sorted(leaves))).unionByName(own.withColumn("_block", F.col("_block") + 1))
+        stats = self._running(before, own.select("leaf", "_block").distinct(), two_level)
+        stats = written(stats, "ht-stats")
+        C, V = self.num_classes, max([1, *self.nominal.values()])
+
+        def place(feature: Column, label: Column, value: Column) -> Column:
+            return (feature * C + label) * V + value.cast("int")
+
+        moments = self._as_moments(stats).select("leaf", "_block", F.struct(
+            place(F.col("feature"), F.col("label"), F.lit(0)).alias("k"), F.struct("n", "mean", "m2").alias("v")).alias("e"))
+        inside = F.lit(False)
+        for f, size in self.nominal.items():
+            inside = inside | ((F.col("feature") == f) & (F.col("value") >= 0) & (F.col("value") < size))
+        counts = stats.where(inside).select("leaf", "_block", F.struct(
+            place(F.col("feature"), F.col("label"), F.col("value")).alias("k"),
+            F.struct(F.col("w").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2")).alias("v")).alias("e"))
+        models = moments.unionByName(counts).groupBy("leaf", "_block").agg(F.map_from_entries(F.collect_list("e")).alias("_m"))
+        dist = stats.where("feature = -1").groupBy("leaf", "_block").agg(
+            *[F.sum(F.when(F.col("label") == c, F.col("w")).otherwise(0.0)).alias(f"_d{c}") for c in range(C)])
+        routed = self.with_leaf(rows.select(F.col(self.label).cast("int").alias("label"), self._w().alias("weight"), "_block", *self.feature_cols))
+        routed = routed.where(F.col("label").isNotNull() & F.col("leaf").isin(sorted(leaves)) & (F.col("_block") >= self._by_leaf(start))
+                              & (F.col("_block") <= self._by_leaf(until)))
+        at = ["leaf", "_block"]  # a key holds a block's rows at most
+        joined = routed.join(dist, at, "left").join(models, at, "left")
+        weights = F.array(*[F.coalesce(f"_d{c}", F.lit(0.0)) for c in range(C)])
+        total = F.aggregate(weights, F.lit(0.0), lambda a, w: a + w)
+        joined = joined.withColumn("_prior", F.when(total > 0, F.transform(weights, lambda w: w / total)).otherwise(weights))
+
+        def moment(k: int, f: int, c: int) -> Column:
+            return F.try_element_at("_m", F.lit(f * C * V + c * V))
+
+        def values(k: int, f: int, c: int) -> Column:
+            each = [F.try_element_at("_m", F.lit((f * C + c) * V + v))["n"] for v in range(self.nominal[f])]
+            return F.when(F.coalesce(*each).isNotNull(), F.array(*[F.coalesce(e, F.lit(0.0)) for e in each]))
+
+        scored = self._nb_class(joined, lambda c: F.get("_prior", F.lit(c)), moment, values)
+        scored = scored.withColumn("mc", F.array_position("_prior", F.array_max("_prior")).cast("int") - 1)
+        right = scored.groupBy("leaf").agg(
+            F.sum(F.when(F.col("mc") == F.col("label"), F.col("weight")).otherwise(0.0)).alias("mc"),
+            F.sum(F.when(F.coalesce("nbp", "mc") == F.col("label"), F.col("weight")).otherwise(0.0)).alias("nb"))
+        for r in right.collect():  # one row per leaf
+            self.nodes[r.leaf].mc_correct += r.mc
+            self.nodes[r.leaf].nb_correct += r.nb
+
+    def fit_blocks(self, df: DataFrame, order_cols: Sequence[str], rows_per_block: int = 5000,
+                   id_cols: Sequence[str] | None = None) -> HoeffdingTree:
+        """H8 block by block: a few jobs for each."""
+        rows, n = self._stage(df, order_cols, rows_per_block, id_cols)
+        for b in range(n):
+            self.train_block(rows.where(F.col("_block") == b).drop("_block", "_last"), order_cols, id_cols or order_cols)
         return self
 
     # ------------------------------------------------------------------ H9-H11 prediction
@@ -561,25 +779,32 @@ class HoeffdingTree:
         Every row scores itself from the literal statistics: no join, no shuffle.
         """
         st = routed.withColumn("_st", F.get(self._leaf_statistics(), F.col("leaf")))
+        return self._nb_class(st, lambda c: F.get(F.col("_st.prior"), F.lit(c)),
+                              lambda k, f, c: F.get(F.get(F.col("_st.num"), F.lit(k)), F.lit(c)),
+                              lambda k, f, c: F.get(F.get(F.col("_st.nom"), F.lit(k)), F.lit(c))).drop("_st")
+
+    def _nb_class(self, rows: DataFrame, prior, moment, values) -> DataFrame:
+        """Append ``nbp`` from Columns: ``prior(c)``, ``moment(k, feature, c)`` of the k-th numeric feature (struct n, mean, m2)
+        and ``values(k, feature, c)`` of the k-th nominal one (weights by value)."""
         votes = []
         for c in range(self.num_classes):
             ps = []
             for k, f in enumerate(self._num_idx()):
-                g = F.get(F.get(F.col("_st.num"), F.lit(k)), F.lit(c))
+                g = moment(k, f, c)
                 x = F.col(self.feature_cols[f]).cast("double")
                 ps.append(F.when(g.isNotNull(), S.gaussian_density(x, g["n"], g["mean"], g["m2"])))
             for k, f in enumerate(sorted(self.nominal)):
-                counts = F.get(F.get(F.col("_st.nom"), F.lit(k)), F.lit(c))
+                counts = values(k, f, c)
                 total = F.aggregate(counts, F.lit(0.0), lambda a, w: a + w)
                 own = F.coalesce(F.get(counts, F.col(self.feature_cols[f]).cast("int")), F.lit(0.0))
                 ps.append(F.when(total > 0, (own + 1.0) / (total + F.lit(float(self.nominal[f]))))
                           .when(counts.isNotNull(), F.lit(0.0)))
-            p = F.filter(F.array(F.get(F.col("_st.prior"), F.lit(c)), *ps), lambda v: v.isNotNull())
+            p = F.filter(F.array(prior(c), *ps), lambda v: v.isNotNull())
             seen = F.coalesce(*ps).isNotNull()
             logs = F.aggregate(p, F.lit(0.0), lambda a, v: a + F.when(v > 0, F.log10(v)).otherwise(F.lit(float("-inf"))))
             votes.append(F.when(seen, F.struct(logs.alias("v"), F.lit(-c).alias("c"))))
         best = F.array_max(F.filter(F.array(*votes), lambda v: v.isNotNull()))
-        return st.withColumn("nbp", -best["c"]).drop("_st")
+        return rows.withColumn("nbp", -best["c"])
 
     def _predict_both(self, df: DataFrame, id_cols: Sequence[str]) -> DataFrame:
         own = df.select(*id_cols, F.col(self.label).cast("int").alias("label"), self._w().alias("weight"), *self.feature_cols)

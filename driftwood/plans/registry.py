@@ -677,8 +677,10 @@ from driftwood.operators.tree import HoeffdingTree  # noqa: E402
 
 TREE_FEATURES = NUMERIC_FEATURES + NOMINAL_FEATURES
 TREE_NOMINAL = {4: 2, 5: 7}
-#: Training blocks of the queries: the block size grows with the table.
-TREE_BLOCKS = 3
+#: Rows of a training block: the number of blocks, so of split attempts, grows with the table.
+TREE_ROWS_PER_BLOCK = 8_000
+#: Command lines of an epoch of ``ht_stream``.
+TREE_ROWS_PER_EPOCH = 16_000
 
 
 def _tree(leaf_type="majority", split_all=False) -> HoeffdingTree:
@@ -687,9 +689,7 @@ def _tree(leaf_type="majority", split_all=False) -> HoeffdingTree:
 
 def _trained_tree(spark, sf_dir, leaf_type="majority", split_all=False) -> HoeffdingTree:
     """Train on lineitem in line-key order."""
-    ex = _line_examples(spark, sf_dir)
-    return _tree(leaf_type, split_all).fit(ex, LINE_ORDER, rows_per_block=max(1, -(-ex.count() // TREE_BLOCKS)),
-                                           id_cols=LINE_ORDER)
+    return _tree(leaf_type, split_all).fit(_line_examples(spark, sf_dir), LINE_ORDER, rows_per_block=TREE_ROWS_PER_BLOCK)
 
 
 def _nodes(ht: HoeffdingTree, spark) -> DataFrame:
@@ -725,8 +725,7 @@ def q_ht_merge(spark, sf_dir):
 def _trained_tree_without_growth(spark, sf_dir) -> HoeffdingTree:
     ht = _tree()
     ht.grow = False
-    ex = _line_examples(spark, sf_dir)
-    return ht.fit(ex, LINE_ORDER, rows_per_block=max(1, -(-ex.count() // TREE_BLOCKS)), id_cols=LINE_ORDER)
+    return ht.fit(_line_examples(spark, sf_dir), LINE_ORDER, rows_per_block=TREE_ROWS_PER_BLOCK)
 
 
 @register("ht_deactivate")
@@ -1115,7 +1114,7 @@ def q_substring_search_stream(spark, sf_dir):
 @register("ht_stream")
 def q_ht_stream(spark, sf_dir):
     """Command lines (EXAMPLE for finished lines, QUERY for open ones) written as
-    files, read as a text stream (A6) in four epochs by position, dispatched (B5); each
+    files, read as a text stream (A6) in epochs of as many lines by position, dispatched (B5); each
     epoch's queries are answered by the tree so far, then its examples are learned (H12)."""
     ex = _line_examples(spark, sf_dir)
     cmds = dataflow.tag_commands(ex, "EXAMPLE").withColumn(
@@ -1123,7 +1122,7 @@ def q_ht_stream(spark, sf_dir):
     cols = [*LINE_ORDER, *NUMERIC_FEATURES, "f_status", "f_line", "label"]
     lines = cmds.select(*LINE_ORDER, commands.command_line(
         F.col("cmd"), arff.arff_dense_line(cmds, LINE_ARFF, cols)).alias("value"))
-    staged, files = runner.stage_files(lines, LINE_ORDER, STREAM_FILES, "ht-cmd", text="value")
+    staged, files = runner.stage_files(lines, LINE_ORDER, None, "ht-cmd", text="value", rows_per_epoch=TREE_ROWS_PER_EPOCH)
     stream = commands.read_command_stream(spark, staged, LINE_ARFF, max_files_per_trigger=files)
     ht = HoeffdingTree(TREE_FEATURES, 3, nominal=TREE_NOMINAL, grace=200)
     r = runner.StatefulBatches(spark, stream_tree.tree_step(ht, LINE_ORDER, LINE_ORDER), "ht-stream")

@@ -1,7 +1,7 @@
 """DuckDB twins of the Hoeffding-tree queries, unrolled over the training blocks.
 
-The table is cut into ``BLOCKS`` runs of equal size by position in line-key
-order.  For every block the SQL routes all rows so far with the tree of the
+The table is cut into runs of ``ROWS_PER_BLOCK`` rows by position in line-key order; the
+SQL is unrolled over ``BLOCKS`` of them, those of a table of 64,000 rows (sf0.01 has 60,000).  For every block the SQL routes all rows so far with the tree of the
 block before, forms the statistics of each active leaf from the rows it has seen
 since it was made, ranks the split candidates and grows the tree by the leaves that split.
 """
@@ -11,7 +11,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-BLOCKS = 3
+ROWS_PER_BLOCK = 8_000
+BLOCKS = 8
+ROWS_PER_EPOCH = 16_000
 _NUM = ("f_qty", "f_price", "f_disc", "f_tax")
 _NOM = {4: ("f_status", 2), 5: ("f_line", 7)}
 _KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
@@ -154,9 +156,8 @@ def tree_sql(ex: str, phi: Callable[[str], str], info_gain: Callable[[str, str],
 NULL::INTEGER AS feature, NULL::VARCHAR AS test, NULL::DOUBLE AS value, -1 AS born, 0.0::DOUBLE AS d0, 0.0::DOUBLE AS d1, 0.0::DOUBLE AS d2)"""
 
     def trained(split_all: bool = False, track: bool = False) -> list[str]:
-        ctes = [ex, f"sz AS (SELECT CAST(ceil(count(*) / {BLOCKS}.0) AS BIGINT) AS rpb FROM ex)",
-                f"""r AS MATERIALIZED (SELECT e.*, pos // rpb AS blk FROM (SELECT *, row_number() OVER (ORDER BY {_KEY}) - 1 AS pos FROM ex) e, sz)""",
-                start]
+        ctes = [ex, f"""r AS MATERIALIZED (SELECT e.*, pos // {ROWS_PER_BLOCK} AS blk
+FROM (SELECT *, row_number() OVER (ORDER BY {_KEY}) - 1 AS pos FROM ex) e)""", start]
         for b in range(BLOCKS):
             if track and b:
                 # the block is scored by the tree and the statistics before it
@@ -187,10 +188,10 @@ NULL::INTEGER AS feature, NULL::VARCHAR AS test, NULL::DOUBLE AS value, -1 AS bo
     adaptive = trained(track=True) + [*_scored("fin", "rt", "z", "tree"), "hits AS (SELECT leaf, sum(m) AS m, sum(n) AS n FROM (" + " UNION ALL ".join(
         f"""SELECT leaf, CASE WHEN mc = label THEN 1 ELSE 0 END AS m, CASE WHEN coalesce(nbp, mc) = label THEN 1 ELSE 0 END AS n
 FROM sc{b}""" for b in range(1, BLOCKS)) + ") GROUP BY leaf)"]
-    # a stream of four epochs: the queries of an epoch meet the tree and weights before it
+    # a stream of epochs of ROWS_PER_EPOCH commands: the queries of an epoch meet the tree and weights before it
     epochs = 4
-    stream = [ex, f"sz AS (SELECT CAST(ceil(count(*) / {epochs}.0) AS BIGINT) AS rpb FROM ex)",
-              f"""cmd AS MATERIALIZED (SELECT e.*, pos // rpb AS blk FROM (SELECT *, row_number() OVER (ORDER BY {_KEY}) - 1 AS pos FROM ex) e, sz)""",
+    stream = [ex, f"""cmd AS MATERIALIZED (SELECT e.*, pos // {ROWS_PER_EPOCH} AS blk
+FROM (SELECT *, row_number() OVER (ORDER BY {_KEY}) - 1 AS pos FROM ex) e)""",
               "r AS (SELECT * FROM cmd WHERE l_linestatus = 'F')", start]
     for e in range(epochs):
         stream += [*_route(f"ro{e}", f"(SELECT * FROM r WHERE blk < {e})", f"nodes{e}", e), *_statistics(f"o{e}", f"ro{e}", f"nodes{e}"),
@@ -200,7 +201,6 @@ FROM sc{b}""" for b in range(1, BLOCKS)) + ") GROUP BY leaf)"]
             stream += _grow(e, False, phi, info_gain)
     answers = " UNION ALL ".join(
         f"SELECT {key}, {_best('t.')} AS prediction FROM q{e} x JOIN wo{e} t ON t.node_id = x.leaf" for e in range(epochs))
-    merged = [ex, f"sz AS (SELECT CAST(ceil(count(*) / {BLOCKS}.0) AS BIGINT) AS rpb FROM ex)"]
     return {
         "ht_train": sql(base, nodes),
         "ht_attempt_split_all": sql(trained(split_all=True), nodes),
@@ -223,7 +223,7 @@ CAST(sum(CASE WHEN kind <> 'split' THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
 CAST(sum(CASE WHEN kind = 'active' THEN 1 ELSE 0 END) AS BIGINT) AS n_active, max(depth) AS height FROM tree"""),
         "ht_pure_leaves": sql(base, """SELECT node_id, (CASE WHEN d0 > 0 THEN 1 ELSE 0 END + CASE WHEN d1 > 0 THEN 1 ELSE 0 END
  + CASE WHEN d2 > 0 THEN 1 ELSE 0 END) <= 1 AS pure FROM tree WHERE kind <> 'split'"""),
-        "ht_merge": sql(merged, " UNION ALL ".join(
+        "ht_merge": sql([ex], " UNION ALL ".join(
             f"""SELECT {i} AS feature, label, CAST(count(*) AS DOUBLE) AS n, round(avg({c}), 6) AS mean,
  round(var_pop({c}) * count(*), 3) AS m2, min({c}) AS min, max({c}) AS max FROM ex GROUP BY label""" for i, c in enumerate(_NUM))),
         "ht_deactivate": sql([ex], """SELECT 0 AS node_id, 'inactive' AS kind, [CAST(count(CASE WHEN label = 0 THEN 1 END) AS DOUBLE),

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 import pytest
 
 from driftwood.operators.tree import HoeffdingTree
+from tests.plain_tree import Plain
 
 
 def _data(spark, n=1200):
@@ -138,3 +139,61 @@ def test_poor_features_are_given_up(spark):
     ht.fit(df, ["seq"], rows_per_block=1500)
     assert ht.poor == {0: {2}} and not any(k[1] == 2 for k in ht.g) and len(ht.nodes) == 1
     assert ht.predict(df, ["seq"]).join(df, "seq").where("prediction <> label").count() == 0
+
+
+def _noisy(spark, n=6000):
+    """Two numeric features and two nominal ones, of which the label follows the first two with noise."""
+    import random
+
+    rng, rows = random.Random(17), []
+    for i in range(n):
+        x, y, z, v = rng.gauss(0, 2) + 1000, rng.random(), float(rng.randrange(3)), float(rng.randrange(5))
+        label = int(x > 1000.5) if rng.random() < 0.85 else rng.randrange(3)
+        if z == 2 and rng.random() < 0.8:
+            label = 2
+        if i % 97 == 0:
+            x = [None, float("nan"), float("inf")][i % 3]
+        rows.append((i, x, y, z if i % 53 else None, v, None if i % 41 == 0 else label, [0.5, 1.0, 2.0][i % 3]))
+    return spark.createDataFrame(rows, "seq long, x double, y double, z double, v double, label int, w double")
+
+
+def _table(ht):
+    return [(n.id, n.parent, n.branch, n.kind, n.feature, n.test, None if n.value is None else round(n.value, 5),
+             [round(d, 2) for d in n.dist], dict(n.children)) for n in sorted(ht.nodes.values(), key=lambda n: n.id)]
+
+
+def _plain_table(p):
+    return [(i, n["parent"], n["branch"], n["kind"], n["feature"], n["test"], None if n["value"] is None else round(n["value"], 5),
+             [round(d, 2) for d in n["dist"]], n["kids"]) for i, n in enumerate(p.nodes)]
+
+
+@pytest.mark.parametrize("options", [dict(split_all=True, criterion="gini", weight="w"), dict(binary_only=True)])
+def test_first_fire_search_equals_plain_blocks(spark, options):
+    """55 blocks in runs of 16, 32 and 7, against rows taken one by one; adaptive leaves included."""
+    df = _noisy(spark, 3300)
+    rows = [((r.x, r.y, r.z, r.v), r.label, r.w if "weight" in options else 1.0) for r in df.orderBy("seq").collect()]
+    shared = {k: v for k, v in options.items() if k != "weight"}
+    plain = Plain({2: 3, 3: 5}, 3, 4, grace=40, tie=0.1, track=True, **shared).fit(rows, 60)
+    ht = HoeffdingTree(["x", "y", "z", "v"], 3, nominal={2: 3, 3: 5}, grace=40, tie_threshold=0.1, leaf_type="adaptive", **options)
+    ht.fit(df, ["seq"], rows_per_block=60, first_run=16)
+    assert ht.blocks_seen == 55 and sum(n["kind"] == "split" for n in plain.nodes) >= 2
+    assert _table(ht) == _plain_table(plain)
+    got = {r.seq: r.prediction for r in ht.predict(df, ["seq"]).collect()}
+    clean = [i for i, (x, _, _) in enumerate(rows) if x[0] is not None and abs(x[0]) < 1e9 and x[2] is not None]
+    assert sum(got[i] != plain.adaptive(rows[i][0]) for i in clean[::7]) == 0
+
+
+def test_jobs_follow_the_depth_not_the_blocks(spark, monkeypatch):
+    from driftwood.operators import tree as T
+
+    df = _data(spark, 1500)
+    rounds = []
+    inner = HoeffdingTree._block_sums
+    monkeypatch.setattr(HoeffdingTree, "_block_sums", lambda self, rows, start: rounds.append(len(start)) or inner(self, rows, start))
+    ht = HoeffdingTree(["x", "z"], 2, nominal={1: 3}, grace=100, split_all=True)
+    ht.fit(df, ["seq"], rows_per_block=20, first_run=200)  # 75 blocks, one run
+    assert ht.blocks_seen == 75 and len(rounds) <= max(n.depth for n in ht.nodes.values()) + 1
+    want = _table(ht)
+    monkeypatch.setattr(T, "SEGMENT", 7)  # the two-level merge
+    again = HoeffdingTree(["x", "z"], 2, nominal={1: 3}, grace=100, split_all=True)
+    assert _table(again.fit(df, ["seq"], rows_per_block=20, first_run=60)) == want
