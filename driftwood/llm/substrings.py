@@ -16,7 +16,7 @@ that can hold a repeat, in collections of bounded size:
    key and equal hash, two or more, are repeated whole.
 3. Only keys with several different fragments are left: one copy of each is
    fetched and cut at the anchors of longer grams in the same way; what still differs under
-   one key goes through the column-wise construction.  A window is repeated if its
+   one key goes through the column-wise construction, the common anchor as one mark.  A window is repeated if its
    common prefix with a neighbour in the sorted order has ``length`` bytes.
    A key whose fragments exceed ``group_bytes`` (a frequent short line in
    many contexts) is not collected: its windows are counted by their 128-bit
@@ -186,6 +186,9 @@ def repeated_windows(strings: list[bytes], length: int, collection_bytes: int =
     The strings are cut at anchors once more, with longer grams: only parts that
     share such an anchor and differ go through the column-wise construction,
     in collections of about ``collection_bytes`` (a key's parts stay together).
+    All windows of a part hold the anchor at one place, and equal windows hold it at the same
+    place, so the anchor is written as a mark and the number of its group: the construction
+    has a round per byte beside the anchor instead of one per byte.
     """
     sizes = np.array([len(s) for s in strings], dtype=np.int64)
     ends = np.cumsum(sizes)
@@ -231,18 +234,29 @@ def repeated_windows(strings: list[bytes], length: int, collection_bytes: int =
         mark(order[i], True)
     todo, size = [], 0
     chosen = np.flatnonzero(mixed)
+    begins = start[first[chosen]]
+    places = begins[:, None] + np.arange(length - gram + 1)
+    anchors = begins + (grams[np.minimum(places, len(grams) - 1)] == key[first[chosen]][:, None]).argmax(axis=1)
     for n, i in enumerate(chosen):
-        part = first[i]
-        todo.append((i, text[start[part]:start[part] + windows[part] - 1 + length]))
+        begin, anchor, end = int(begins[n]), int(anchors[n]), int(begins[n] + windows[first[i]] - 1 + length)
+        todo.append((i, text[begin:anchor] + _mark(int(group[i])) + text[anchor + gram:end]))
         size += len(todo[-1][1])
         if n + 1 == len(chosen) or (size >= collection_bytes and group[chosen[n + 1]] != group[i]):
-            for (j, _), flags in zip(todo, sorted_windows([t for _, t in todo], length)):
+            for (j, _), flags in zip(todo, sorted_windows([t for _, t in todo], length - gram + _MARK_BYTES)):
                 if copies[j] == 1 and flags.any():
                     mark(first[j], flags)
             todo, size = [], 0
     return out
 
 
+_MARK_BYTES = 5
+
+
+def _mark(group: int) -> bytes:
+    """Stands for the anchor of a group: a byte that no UTF-8 text holds, then the number."""
+    return bytes((0xFE, group >> 21 & 127, group >> 14 & 127, group >> 7 & 127, group & 127))
+
+
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends (exclusive) of the runs of true values."""
     edge = np.diff(np.concatenate(([False], flags, [False])).astype(np.int8))
@@ -259,7 +273,8 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200,
-                   gram: int | None = None, group_bytes: int = 1 << 20, collection_bytes: int = 1 << 20) -> DataFrame:
+                   gram: int | None = None, group_bytes: int = 1 << 20, collection_bytes: int = 1 << 20,
+                   task_bytes: int = 1 << 23) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of every row (``kept``: the remaining bytes)."""
     gram = gram or max(1, length // 2)
     if not 0 < gram <= length < 1 << 16:
@@ -309,9 +324,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
                 names=["key", "digest", "n", "bytes", "data"])
 
-    # of equal rows each gives the same fragments; a fragment with copies is repeated anyhow
-    pieces = written(meet.select("text", "wanted").mapInArrow(
-        cut, "key bigint, digest bigint, n bigint, bytes bigint, data binary"), "repeats-pieces")
+    # of rows equal in id and text each gives the same fragments: one of them stays
+    pieces = meet.select("text", "wanted").mapInArrow(cut, "key bigint, digest bigint, n bigint, bytes bigint, data binary")
+    pieces = written(pieces.dropDuplicates(["key", "digest"]), "repeats-pieces")
+    total = pieces.agg(F.sum(F.octet_length("data").cast("bigint")).alias("b")).first()["b"] or 0
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // task_bytes))
 
     def construct(batches):
         keys, digests, strings, size = [], [], [], 0
@@ -335,7 +352,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield flush()
 
     ranges = "key bigint, digest bigint, starts array<int>, ends array<int>"
-    small = pieces.where(F.col("bytes") <= group_bytes).select("key", "digest", "data").repartition("key") \
+    small = pieces.where(F.col("bytes") <= group_bytes).select("key", "digest", "data").repartition(tasks, "key") \
         .sortWithinPartitions("key", "digest").mapInArrow(construct, ranges)
 
     def window_hashes(batches):
@@ -367,7 +384,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     hits = places.join(marks, (F.col("key") == F.col("_key")) & (F.col("digest") == F.col("_digest"))).select(
         F.col("id").alias("_id"), F.col("row").alias("_row"), F.when(F.col("starts").isNull(), F.array(F.struct(start.alias("s"), (start + windows - 1 + length).alias("e"))))
         .otherwise(F.zip_with("starts", "ends", lambda s, e: F.struct((start + s).alias("s"), (start + e - 1 + length).alias("e")))).alias("r"))
-    per_row = hits.groupBy("_id", "_row").agg(F.flatten(F.collect_list("r")).alias("r"))
+    # a set: rows equal in id and text bring equal ranges
+    per_row = hits.groupBy("_id", "_row").agg(F.flatten(F.collect_set("r")).alias("r"))
     joined = source.join(per_row, here, "left").select(
         "doc_id", "text", F.col("r.s").alias("s"), F.col("r.e").alias("e"))
 

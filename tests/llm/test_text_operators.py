@@ -227,3 +227,11 @@ def test_repeats_odd_rows(docs_of):
     assert Counter(tuple(r) for r in substrings.remove_repeats(docs_of(rows)).drop("kept").collect()) == expected
     assert len(substrings.remove_repeats(docs_of(ODD)).collect()) == len(ODD)
     assert substrings.remove_repeats(docs_of(ODD).limit(0)).count() == 0
+
+
+def test_repeats_of_many_equal_rows(docs_of):
+    """Rows equal in id and text: ranges are kept once, whatever their number."""
+    text = "".join(chr(97 + (k * k + k // 7) % 26) for k in range(700))
+    rows = [(1, text)] * 3000 + [(None, "xy" + text[:350])] * 2000 + [(2, text[:150] + "?" + text[150:]), (3, "Z" * 150)]
+    got = Counter(tuple(r) for r in substrings.remove_repeats(docs_of(rows)).select("doc_id", "n_bytes", "n_removed", "n_spans").collect())
+    assert got == Counter({(1, 700, 700, 1): 3000, (None, 352, 352, 1): 2000, (2, 701, 550, 1): 1, (3, 150, 0, 0): 1})
