@@ -9,12 +9,12 @@ matches per kind; matches that fail the length rule are dropped after
 matching, so they still use up their text.
 
 Entropy spans: candidate strings are runs of the base64 alphabet of at least
-``window`` characters with a digit among them (long words have none).  For
+``window`` characters.  For
 each character class (hex, base64) a fold moves a window of ``window`` characters over the candidate, keeping one count per
 character of the class; a step adds one count, takes one off and corrects the
 running sum of c*log2(c), so a step's cost does not depend on the candidate's
-length.  Windows at or above the class threshold are merged into spans.  A
-candidate that matches an allow-list pattern gives no entropy span; base spans
+length.  Windows at or above the class threshold are merged into spans.  Windows that
+overlap an allow-list match are suppressed (a candidate is cut at its matches); base spans
 are never suppressed.
 
 Defined results: null text counts as empty (no spans, the digest of the empty
@@ -45,11 +45,11 @@ CLASSES = (
     ("entropy_b64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.8),
 )
 
-#: Candidates that are known not to be secrets.
+#: Parts of candidates that are known not to be secrets.
 ALLOW_LIST = (
     r"(?i:example|sample|placeholder|changeme|dummy|xxxx)",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"^sha(1|256|384|512)-",
+    r"^sha(?:1|256|384|512)-[A-Za-z0-9+/=]+$",
     r"(?i:abcdefghij)|0123456789",
 )
 
@@ -80,6 +80,20 @@ def base_spans(text: Column, kind: int) -> Column:
         F.array().cast(SPAN))
 
 
+def _between(string: Column, known: str) -> Column:
+    """What is left of a string (start, hit) between the matches of ``known``."""
+    hit = string["hit"]
+    cut = F.arrays_zip(F.split(hit, known, -1).alias("piece"), F.regexp_extract_all(hit, F.lit(known), F.lit(0)).alias("gone"))
+
+    def step(acc, x):
+        piece = F.array(F.struct(acc["pos"].alias("start"), x["piece"].alias("hit")))
+        return F.struct((acc["pos"] + F.length(x["piece"]) + F.coalesce(F.length(x["gone"]), F.lit(0))).alias("pos"),
+                        F.concat(acc["out"], piece).alias("out"))
+
+    init = F.struct(string["start"].alias("pos"), F.array().cast("array<struct<start:int,hit:string>>").alias("out"))
+    return F.aggregate(cut, init, step, lambda acc: acc["out"])
+
+
 def _clogc(c: Column) -> Column:
     return F.when(c > 1, c * F.log2(c.cast("double"))).otherwise(F.lit(0.0))
 
@@ -153,10 +167,9 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"),
                      *[F.col(f"`{c}`") for c in keep])
-    # a candidate is a whole run of the alphabet with a digit in it; the look-behind keeps
-    # the search to one attempt a word
+    # a candidate is a whole run of the alphabet; the look-behind keeps the search to one attempt a word
     char = "[A-Za-z0-9+/_=-]"
-    run = "(?<!%s)(?=[A-Za-z+/_=-]*[0-9])%s{%d,}" % (char, char, window)
+    run = "(?<!%s)%s{%d,}" % (char, char, window)
     text, none = F.col("text"), F.array().cast(SPAN)
     found = rows.select("*", *[base_spans(text, k).alias(f"_b{k}") for k in range(len(BASE_KINDS))],
                         F.when(text.rlike(run), _matches(text, run, 0, 0, window)).otherwise(none).alias("_r"))
@@ -164,7 +177,8 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         s["start"].alias("start"), F.substring(text, s["start"] + 1, s["end"] - s["start"]).alias("hit"))))
     if allow_list:
         known = "|".join(f"(?:{p})" for p in allow_list)
-        found = found.withColumn("_r", F.filter("_r", lambda s: ~s["hit"].rlike(known)))
+        found = found.withColumn("_r", F.flatten(F.transform("_r", lambda s: F.when(s["hit"].rlike(known), _between(s, known)).otherwise(F.array(s)))))
+        found = found.withColumn("_r", F.filter("_r", lambda s: F.length(s["hit"]) >= window))
     # the moves are bound to a field, so the fold does not work them out again at each step
     found = found.withColumns({f"_m{k}": _moved(alphabet, window) for k, (_, alphabet, _) in enumerate(CLASSES)})
     found = found.withColumn("_e", F.when(F.size("_r") > 0, F.concat(*[
@@ -234,9 +248,13 @@ FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS k FROM (SELECT r, string_spli
         f"SELECT r, {k} AS kind, '{name}' AS name, CAST(start AS BIGINT) AS s, CAST(start + length(hit) AS BIGINT) AS e FROM {name} WHERE length(part) >= {least}"
         for k, (name, _, _, least) in enumerate(BASE_KINDS)) + ")")
     ctes.append(cut("run", "[A-Za-z0-9+/_=-]{%d,}" % window, 0))
-    known = " OR ".join(f"regexp_matches(hit, {quote(p)})" for p in ALLOW_LIST)
+    known = quote("|".join(f"(?:{p})" for p in ALLOW_LIST))
+    ctes.append(f"""piece AS MATERIALIZED (SELECT r, pieces[k] AS hit, start + coalesce(list_sum(list_transform(pieces[1:k - 1], lambda x: length(x))), 0)
+  + coalesce(list_sum(list_transform(gone[1:k - 1], lambda x: length(x))), 0) AS start
+FROM (SELECT *, unnest(range(1, len(pieces) + 1)) AS k FROM (SELECT r, start, string_split_regex(hit, {known}) AS pieces,
+  regexp_extract_all(hit, {known}, 0) AS gone FROM run)))""")
     ctes.append(f"""win AS MATERIALIZED (SELECT r, start, i, substr(hit, CAST(i + 1 AS BIGINT), {window}) AS w
-FROM (SELECT *, unnest(range(0, length(hit) - {window - 1})) AS i FROM run WHERE regexp_matches(hit, '[0-9]') AND NOT ({known})))""")
+FROM (SELECT *, unnest(range(0, length(hit) - {window - 1})) AS i FROM piece))""")
     entropy = f"""list_sum(list_transform(list_distinct(string_split(w, '')), lambda c:
   -(length(w) - length(replace(w, c, ''))) / {window}.0 * log2((length(w) - length(replace(w, c, ''))) / {window}.0)))"""
     for k, (name, alphabet, least) in enumerate(CLASSES):
