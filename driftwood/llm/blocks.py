@@ -52,11 +52,39 @@ _IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
 _P_SCOPE = frozenset("article aside body div section main td th li table blockquote form header footer nav button".split())
 
 
-def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
-    """(path words, text, characters inside links) of each leaf block with any text."""
-    out: list[tuple[tuple[str, ...], str, int]] = []
+class Path:
+    """The words of an element and of those around it, linked to the parent: a page's paths take memory in proportion to its tags."""
+
+    __slots__ = ("parent", "words", "bits", "known")
+
+    def __init__(self, parent: Path | None, words: tuple[str, ...]):
+        self.parent, self.words = parent, words
+        #: hashed words, and words with a meaning of their own, of the whole path
+        self.bits, self.known = (parent.bits, parent.known) if parent is not None else (0, frozenset())
+        for w in words:
+            self.bits |= 1 << (_hashed(w) % PATH_DIM)
+            if w in _KNOWN and w not in self.known:
+                self.known = self.known | {w}
+
+    def __iter__(self):
+        chain, at = [], self
+        while at is not None:
+            chain.append(at.words)
+            at = at.parent
+        return (w for words in reversed(chain) for w in words)
+
+
+def _named(path, names: frozenset) -> bool:
+    """Whether one of ``names`` (all of them in ``_KNOWN``) is on the path."""
+    return bool((path.known if isinstance(path, Path) else set(path)) & names)
+
+
+def leaf_blocks(page: str) -> list[tuple[Path, str, int]]:
+    """(path, text, characters inside links) of each leaf block with any text."""
+    out: list[tuple[Path, str, int]] = []
     tags: list[str] = []
-    paths: list[tuple[str, ...]] = [()]
+    open_at: dict[str, list[int]] = {}  # where the open elements of a name stand in ``tags``
+    paths: list[Path] = [Path(None, ())]
     parts: list[str] = []
     linked = depth = 0
 
@@ -73,8 +101,12 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
         nonlocal depth
         for name in tags[k:]:
             depth -= name == "a"
+            open_at[name].pop()
         del tags[k:], paths[k + 1:]
 
+    def last(names) -> int:
+        return max((open_at[n][-1] for n in names if open_at.get(n)), default=-1)
+
     at, size = 0, len(page)
     while at < size:
         mark = page.find("<", at)
@@ -106,8 +138,8 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
         if closing:
             if name in BLOCK_TAGS:
                 close()
-            if name in tags:
-                pop_to(len(tags) - 1 - tags[::-1].index(name))
+            if open_at.get(name):
+                pop_to(open_at[name][-1])
             continue
         if name in RAW_TAGS:
             if not rest.endswith("/"):
@@ -119,20 +151,18 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
         if name in BLOCK_TAGS:
             close()
             ends, scope = _IMPLIED.get(name, (frozenset(), frozenset()))
-            for k in range(len(tags) - 1, -1, -1):
-                if tags[k] in ends or tags[k] == "p":
-                    pop_to(k)
-                    break
-                if tags[k] in scope or (not ends and tags[k] in _P_SCOPE):
-                    break
+            ended = last((*ends, "p"))
+            if ended >= 0 and ended >= last(scope if ends else _P_SCOPE):
+                pop_to(ended)
         if name in VOID_TAGS or rest.endswith("/"):
             continue
         words = [name]
         for a in _ATTRIBUTE.findall(rest):
             words += _NAME.findall("".join(a).lower())
+        open_at.setdefault(name, []).append(len(tags))
         tags.append(name)
         depth += name == "a"
-        paths.append(paths[-1] + tuple(words))
+        paths.append(Path(paths[-1], tuple(words)))
     close()
     return out
 
@@ -151,12 +181,12 @@ def _hashed(word: str) -> int:
     return got
 
 
-def features(blocks: list[tuple[tuple[str, ...], str, int]]) -> np.ndarray:
+def features(blocks: list[tuple]) -> np.ndarray:
     """One vector a block: hashed path words, hashed text words, figures."""
     x = np.zeros((len(blocks), DIM), dtype=np.float32)
     for k, (path, text, linked) in enumerate(blocks):
-        for word in path:
-            x[k, _hashed(word) % PATH_DIM] = 1
+        bits = path.bits if isinstance(path, Path) else Path(None, path).bits
+        x[k, :PATH_DIM] = np.unpackbits(np.frombuffer(bits.to_bytes(PATH_DIM // 8, "little"), dtype=np.uint8), bitorder="little")
         words = text.split()
         codes = np.fromiter((_hashed(w) % WORD_DIM for w in words), dtype=np.int64, count=len(words))
         x[k, PATH_DIM:PATH_DIM + WORD_DIM] = np.bincount(codes, minlength=WORD_DIM) / max(1, len(words))
@@ -283,13 +313,14 @@ MAIN_TAGS = frozenset(("article", "main"))
 SIDE_TAGS = frozenset(("nav", "aside", "footer", "header", "form", "head", "button", "label", "select", "dialog"))
 SIDE_WORDS = frozenset(("ad", "ads", "advert", "advertisement", "sponsored", "promo", "banner", "sidebar", "menu", "cookie",
                         "consent", "notice", "comments", "comment", "related", "share", "social", "newsletter", "breadcrumb"))
+_KNOWN = MAIN_TAGS | SIDE_TAGS | SIDE_WORDS
 
 
 def semantic_labels(blocks: list[tuple[tuple[str, ...], str, int]]) -> np.ndarray | None:
     """Labels from semantic elements; None if the page has none for its main text."""
-    if not any(MAIN_TAGS & set(path) for path, _, _ in blocks):
+    if not any(_named(path, MAIN_TAGS) for path, _, _ in blocks):
         return None
-    return np.array([bool(MAIN_TAGS & set(path)) and not (SIDE_TAGS | SIDE_WORDS) & set(path) for path, _, _ in blocks],
+    return np.array([_named(path, MAIN_TAGS) and not _named(path, SIDE_TAGS | SIDE_WORDS) for path, _, _ in blocks],
                     dtype=np.float32)
 
 

@@ -8,7 +8,9 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from driftwood.llm import blocks, langid, sampling, substrings
+from driftwood.llm import blocks, langid, queries, sampling, substrings
+from driftwood.llm.common import documents
+from tests.conftest import SF001
 from tests.llm.conftest import ODD
 
 WORDS = {"xa": "the of and to in is that for with on as are this by".split(), "xb": "der die und das ist nicht ein von mit für".split(),
@@ -147,7 +149,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var x = "</p><p>no"
 
 
 def test_leaf_blocks():
-    got = [(t, p[-1]) for p, t, _ in blocks.leaf_blocks(PAGE)]
+    got = [(t, list(p)[-1]) for p, t, _ in blocks.leaf_blocks(PAGE)]
     assert got == [("T", "title"), ("Home", "li"), ("News", "li"), ("We use cookies", "notice"), ("Title & more", "h1"),
                    ("First part goes on é", "b"), ("Second <part> 5 < 6", "p"), ("Buy now", "ad"), ("First!", "p"), ("© x", "footer")]
     for odd in ("", "<", "<p", "</", "<!--", "<script>", "<a href=\"x>y", "a<b>c</b", "<p>" * 2000, "&am", "<div class='x"):
@@ -235,3 +237,54 @@ def test_repeats_of_many_equal_rows(docs_of):
     rows = [(1, text)] * 3000 + [(None, "xy" + text[:350])] * 2000 + [(2, text[:150] + "?" + text[150:]), (3, "Z" * 150)]
     got = Counter(tuple(r) for r in substrings.remove_repeats(docs_of(rows)).select("doc_id", "n_bytes", "n_removed", "n_spans").collect())
     assert got == Counter({(1, 700, 700, 1): 3000, (None, 352, 352, 1): 2000, (2, 701, 550, 1): 1, (3, 150, 0, 0): 1})
+
+
+def test_deep_pages_take_linear_time_and_memory():
+    import time
+    import tracemalloc
+
+    for page, n in (("<b>" * 300_000 + "end", 1), ("<div><p>w" * 20_000, 20_000), ("<p><button>" + "<ul>" * 50_000, 0),
+                    ("".join(f"<div class=c{k}>x" for k in range(20_000)), 20_000)):
+        tracemalloc.start()
+        began = time.time()
+        got = blocks.leaf_blocks(page)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(got) == n and time.time() - began < 60 and peak < 200 << 20
+        assert blocks.features(got[:50]).shape[1] == blocks.DIM
+
+
+def plain_article(page):
+    """The text blocks of the article element, taken with patterns; what is marked as an advert or the like goes."""
+    import html
+    import re
+
+    found = re.search(r"<article[^>]*>(.*?)</article>", page or "", re.S)
+    if not found:
+        return None
+    inner = re.sub(r"<!--.*?-->|<(script|style|noscript)\b.*?</\1>", "", found[1], flags=re.S)
+    inner = re.sub(r"<(div|aside|section|p|form|nav) [^>]*(?:class|id)=\"?[^\">]*\b(?:ad|ads|advert|promo|related|share|comments|newsletter|cookie)\b.*?</\1>", "",
+                   inner, flags=re.S)
+    parts = re.split(r"</?(?:h[1-6]|p|div|ul|ol|li|blockquote|section|pre|table|tr|td|th|figure|figcaption|aside|form|nav)\b[^>]*>", inner)
+    parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br[^>]*>", " ", t))).split()) for t in parts]
+    return "\n\n".join(t for t in parts if t)
+
+
+def test_main_text_equals_the_article_taken_with_patterns(spark):
+    pages = documents(spark, SF001, "pages")
+    want = {r.page_id: plain_article(r.html) for r in pages.collect()}
+    got = {r.page_id: r.text for r in queries.QUERIES["op5_main_text"](spark, SF001).collect()}
+    known = {k: t for k, t in want.items() if t is not None}
+    assert len(known) > 20 and set(got) == set(want)
+    assert {k for k, t in known.items() if got[k] != t} == set()
+
+
+def test_main_text_repeated_rows_and_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    pages = documents(spark, SF001, "pages").limit(12)
+    deep = spark.createDataFrame([(900, "u", "<i>" * 20_000 + "x"), (901, None, None), (901, None, None), (None, "n", "")], pages.schema)
+    df = pages.union(pages).union(deep).withColumn("text", F.lit("clash")).withColumn("path", F.lit(1)).withColumn("n_chars", F.lit(2))
+    got = blocks.extract(df, blocks.train(df)).select("page_id", "url", "text", "n_chars").collect()
+    assert len(got) == 28 and all(r.n_chars == len(r.text) for r in got)
+    assert all(n % 2 == 0 for (i, *_), n in Counter(tuple(r) for r in got).items() if i is not None and i != 900)
