@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwood.functions import stats as S
+from driftwood.operators.observers import gaussian_stats
 from driftwood.plans.scan import null_safe_join
 
 
@@ -57,21 +58,17 @@ def anova_f_test(long: DataFrame, feature: str = "feature", value: str = "value"
                  label: str = "label") -> DataFrame:
     """K4: one-way ANOVA F ratio of each numeric feature across classes, and p.
 
-    Class sums ``(n, sum x, sum x^2)`` per (feature, class) are the only
-    shuffled rows; between/within squares are formed on that small table.
+    Only one row per (feature, class) is shuffled: ``n``, mean and the squares about the class
+    mean (G1), so a large mean takes no digits.  Null, NaN and infinite values do not count.
     """
-    cls = long.groupBy(feature, label).agg(F.count(F.lit(1)).cast("double").alias("nc"),
-                                           F.sum(value).alias("sc"),
-                                           F.sum(F.col(value) * F.col(value)).alias("qc"))
-    tot = cls.groupBy(feature).agg(F.sum("nc").alias("n"), F.sum("sc").alias("s"),
-                                   F.sum("qc").alias("q"), F.count(F.lit(1)).alias("k"))
-    j = cls.join(tot, feature)
-    ssb = F.col("sc") * F.col("sc") / F.col("nc")
-    agg = j.groupBy(feature).agg(F.sum(ssb).alias("_b"), F.first("n").alias("n"),
-                                 F.first("s").alias("s"), F.first("q").alias("q"),
-                                 F.first("k").alias("k"))
-    between = F.col("_b") - F.col("s") * F.col("s") / F.col("n")
-    within = F.col("q") - F.col("_b")
+    own = long.select(feature, label, F.col(value).cast("double").alias("_v"), F.lit(1.0).alias("_w"))
+    cls = gaussian_stats(own, [feature, label], "_v", "_w").where("n > 0")
+    of_all = Window.partitionBy(feature)  # one row per class
+    centred = cls.withColumn("_g", F.sum(F.col("n") * F.col("mean")).over(of_all) / F.sum("n").over(of_all))
+    agg = centred.groupBy(feature).agg(
+        F.sum("n").alias("n"), F.count("*").alias("k"), F.sum("m2").alias("_in"),
+        F.sum(F.col("n") * (F.col("mean") - F.col("_g")) * (F.col("mean") - F.col("_g"))).alias("_between"))
+    between, within = F.col("_between"), F.col("_in")
     df1 = (F.col("k") - 1).cast("bigint")
     df2 = (F.col("n") - F.col("k")).cast("bigint")
     f = (between / df1) / (within / df2)

@@ -119,26 +119,20 @@ ORACLE["vec_argmax"] = """
 SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS argmax
 FROM embeddings"""
 
+_WORD_LENGTHS = """(SELECT doc_id, length(w) AS k, CAST(count(*) AS DOUBLE) AS v
+   FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents) t WHERE w <> '' GROUP BY doc_id, length(w))"""
 ORACLE["sparse_vec_ops"] = f"""
-WITH p AS {_EMB_PAIRS},
-e AS (SELECT vec_id, 'a' AS side, generate_subscripts(embedding, 1) - 1 AS k,
-             unnest(embedding)::DOUBLE AS v FROM p
-      UNION ALL
-      SELECT vec_id, 'b', generate_subscripts(other, 1) - 1, unnest(other)::DOUBLE FROM p),
-nz AS (SELECT * FROM e WHERE abs(v) >= 0.5),
-j AS (SELECT coalesce(a.vec_id, b.vec_id) AS vec_id, coalesce(a.k, b.k) AS k,
+WITH t AS MATERIALIZED {_WORD_LENGTHS},
+p AS (SELECT DISTINCT a.doc_id FROM t a JOIN t b ON b.doc_id = a.doc_id + 1),
+j AS (SELECT coalesce(a.doc_id, b.doc_id - 1) AS doc_id, coalesce(a.k, b.k) AS k,
              coalesce(a.v, 0.0) AS av, coalesce(b.v, 0.0) AS bv
-      FROM (SELECT * FROM nz WHERE side = 'a') a
-      FULL OUTER JOIN (SELECT * FROM nz WHERE side = 'b') b ON a.vec_id = b.vec_id AND a.k = b.k)
-SELECT p.vec_id,
-       round(coalesce(sum(av * bv), 0.0), 6) AS dot,
-       round(sqrt(coalesce(sum(pow(av - bv, 2)), 0.0)), 6) AS distance,
+      FROM t a FULL OUTER JOIN t b ON b.doc_id = a.doc_id + 1 AND b.k = a.k)
+SELECT doc_id, round(sum(av * bv), 6) AS dot, round(sqrt(sum(pow(av - bv, 2))), 6) AS distance,
        coalesce(max(CASE WHEN k = 5 THEN av END), 0.0) AS a5,
        CAST(count(CASE WHEN av + bv <> 0 THEN 1 END) AS INTEGER) AS n_add,
        CAST(count(CASE WHEN av * bv <> 0 THEN 1 END) AS INTEGER) AS n_prod,
-       round(coalesce(sum(abs(av)), 0.0), 6) AS l1
-FROM p LEFT JOIN j ON p.vec_id = j.vec_id
-GROUP BY p.vec_id"""
+       round(sum(abs(av)), 6) AS l1
+FROM p JOIN j USING (doc_id) GROUP BY doc_id"""
 
 _DOC_TF = """(SELECT doc_id, w AS word, CAST(count(*) AS DOUBLE) AS n
    FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents) t
@@ -709,9 +703,11 @@ SELECT concat_ws(',', {', '.join(f"CAST(CAST({c} AS DOUBLE) AS VARCHAR)" for c i
     'l_orderkey', 'l_linenumber', 'l_partkey', 'l_suppkey', 'f_qty', 'f_price', 'f_disc', 'f_tax'))},
   ['F', 'O'][CAST(f_status AS INT) + 1], CAST(CAST(f_line AS INT) AS VARCHAR), ['A', 'N', 'R'][label + 1]) AS value FROM ex
 UNION ALL SELECT unnest([{', '.join(repr(h) for h in _ARFF_HEADER)}])"""
-ORACLE["read_arff_sparse"] = "SELECT CAST(vec_id AS DOUBLE) AS vec_id, " + ", ".join(
-    f"CASE WHEN abs(embedding[{i + 1}]) >= 0.5 THEN embedding[{i + 1}]::DOUBLE ELSE 0.0 END AS e{i}"
-    for i in range(64)) + ", CAST(label AS DOUBLE) AS label FROM embeddings"
+ORACLE["read_arff_sparse"] = "SELECT CAST(doc_id AS DOUBLE) AS doc_id, " + ", ".join(
+    f"CAST(coalesce(sum(CASE WHEN k = {i} THEN v END), 0.0) AS DOUBLE) AS n{i}" for i in range(1, 65)) + f"""
+, CAST(sum(v) AS DOUBLE) AS label FROM {_WORD_LENGTHS} GROUP BY doc_id"""
+ORACLE["tail_commands"] = """
+SELECT CASE WHEN o_orderstatus = 'F' THEN 'EXAMPLE' ELSE 'QUERY' END AS cmd, o_orderkey, o_custkey, o_orderpriority FROM orders"""
 ORACLE["read_examples"] = """
 SELECT CAST(label AS DOUBLE) AS label, list_transform(embedding, lambda x: x::DOUBLE) AS features,
        1.0 AS weight FROM embeddings"""

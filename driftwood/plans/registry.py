@@ -193,21 +193,22 @@ def q_vec_argmax(spark, sf_dir):
     return e.select("vec_id", vec.vec_argmax("embedding").alias("argmax"))
 
 
-def _sparse_pairs(spark, sf_dir) -> DataFrame:
-    """Sparse (map) vectors: the embedding entries with |x| >= 0.5."""
-    p = _emb_pairs(spark, sf_dir)
+def _word_lengths(spark, sf_dir) -> DataFrame:
+    """Sparse (map) vectors of the documents: the number of words by their length."""
+    words = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("w"))
+    counts = words.where("w <> ''").groupBy("doc_id", F.length("w").alias("k")).agg(F.count("*").cast("double").alias("n"))
+    return counts.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias("a"))
 
-    def sp(c):
-        return vec.dense_to_map(F.transform(c, lambda x: F.when(F.abs(x) >= 0.5, x.cast("double"))
-                                            .otherwise(F.lit(0.0))))
 
-    return p.select("vec_id", sp(F.col("embedding")).alias("a"), sp(F.col("other")).alias("b"))
+def _sparse_pairs(spark, sf_dir) -> DataFrame:
+    own = written(_word_lengths(spark, sf_dir), "word-lengths")
+    return own.join(own.select((F.col("doc_id") - 1).alias("doc_id"), F.col("a").alias("b")), "doc_id")
 
 
 @register("sparse_vec_ops")
 def q_sparse_vec_ops(spark, sf_dir):
     p = _sparse_pairs(spark, sf_dir)
-    return p.select("vec_id",
+    return p.select("doc_id",
                     F.round(vec.map_dot("a", "b"), 6).alias("dot"),
                     F.round(vec.map_distance("a", "b"), 6).alias("distance"),
                     vec.map_get("a", 5).alias("a5"),
@@ -949,9 +950,8 @@ LINE_ARFF = arff.ArffSpec("lineitem", [
     arff.Attribute("f_status", LINESTATUS_DOMAIN),
     arff.Attribute("f_line", [str(i) for i in range(7)]),
     arff.Attribute("class", RETURNFLAG_DOMAIN)])
-EMB_ARFF = arff.ArffSpec("embeddings", [arff.Attribute("vec_id"),
-                                        *[arff.Attribute(f"e{i}") for i in range(64)],
-                                        arff.Attribute("class", [str(i) for i in range(10)])])
+LENGTH_ARFF = arff.ArffSpec("documents", [arff.Attribute("doc_id"), *[arff.Attribute(f"n{i}") for i in range(1, 65)],
+                                          arff.Attribute("words")])
 
 
 def _line_arff_path(spark, sf_dir) -> str:
@@ -980,19 +980,15 @@ def q_write_arff(spark, sf_dir):
     return spark.read.text(f"{path}/header").unionByName(spark.read.text(f"{path}/data"))
 
 
-def _emb_sparse_wide(spark, sf_dir) -> DataFrame:
-    e = table(spark, sf_dir, "embeddings")
-    cols = [F.when(F.abs(F.col("embedding")[i]) >= 0.5, F.col("embedding")[i].cast("double"))
-            .otherwise(F.lit(0.0)).alias(f"e{i}") for i in range(64)]
-    return e.select(F.col("vec_id").cast("double").alias("vec_id"), *cols,
-                    F.col("label").cast("double").alias("label"))
-
-
 @register("read_arff_sparse")
 def q_read_arff_sparse(spark, sf_dir):
-    path = scratch_path(spark, "emb-sparse-arff")
-    arff.write_arff(_emb_sparse_wide(spark, sf_dir), path, EMB_ARFF,
-                    ["vec_id", *[f"e{i}" for i in range(64)], "label"], sparse=True)
+    """Word counts by length (most are 0) written as sparse rows and read back."""
+    path = scratch_path(spark, "word-lengths-arff")
+    own = _word_lengths(spark, sf_dir)
+    cols = [F.coalesce(F.try_element_at("a", F.lit(i)), F.lit(0.0)).alias(f"n{i}") for i in range(1, 65)]
+    wide = own.select(F.col("doc_id").cast("double").alias("doc_id"), *cols, F.aggregate(
+        F.map_values("a"), F.lit(0.0), lambda s, x: s + x).alias("words"))
+    arff.write_arff(wide, path, LENGTH_ARFF, wide.columns, sparse=True)
     return arff.read_arff(spark, path)
 
 
@@ -1070,7 +1066,7 @@ def q_follow_the_leader_stream(spark, sf_dir):
 # ------------------------------------------------------------------ streams
 
 from driftwood.operators import dataflow  # noqa: E402
-from driftwood.sources import commands  # noqa: E402
+from driftwood.sources import commands, sinks, tail  # noqa: E402
 from driftwood.streaming import membership as stream_membership  # noqa: E402
 from driftwood.streaming import substring as stream_substring  # noqa: E402
 from driftwood.streaming import tree as stream_tree  # noqa: E402
@@ -1133,6 +1129,21 @@ def q_ht_stream(spark, sf_dir):
     return r.output().select(*LINE_ORDER, "prediction")
 
 
+@register("tail_commands")
+def q_tail_commands(spark, sf_dir):
+    """Order commands in growing files, tailed by byte offset into a parquet sink."""
+    lines = table(spark, sf_dir, "orders").select(F.concat_ws(";", F.when(F.col("o_orderstatus") == "F", "EXAMPLE").otherwise("QUERY"), F.concat_ws(
+        ",", "o_orderkey", "o_custkey", "o_orderpriority")).alias("value"))
+    source, out = scratch_path(spark, "order-commands"), scratch_path(spark, "order-commands-out")
+    lines.write.text(source)
+    stream = tail.tail_lines(spark, source, piece_bytes=1 << 18)
+    parts = F.split(F.substring_index("value", ";", -1), ",")
+    rows = stream.select(F.substring_index("value", ";", 1).alias("cmd"), parts[0].cast("bigint").alias("o_orderkey"),
+                         parts[1].cast("bigint").alias("o_custkey"), parts[2].alias("o_orderpriority"))
+    sinks.start_sink(rows, "parquet", path=out, checkpoint=scratch_path(spark, "order-commands-ckpt")).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(out)
+
+
 @register("dispatch_commands")
 def q_dispatch_commands(spark, sf_dir):
     """Tag orders by status, merge, dispatch; per route the row count."""
