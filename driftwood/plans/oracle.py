@@ -722,6 +722,11 @@ UNION ALL SELECT 'user', CAST(user_id AS DOUBLE) FROM (SELECT DISTINCT user_id F
 
 # ------------------------------------------------------------------ streams (stream = batch)
 ORACLE["running_max_subarray_stream"] = ORACLE["running_max_subarray"]
+ORACLE["running_max_subarray_keyed_stream"] = ORACLE["running_max_subarray"]
+ORACLE["zip_stream"] = """
+SELECT x.pos, l_quantity, o_totalprice
+FROM (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS pos, l_quantity FROM lineitem) x
+JOIN (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS pos, o_totalprice FROM orders) y ON y.pos = x.pos"""
 ORACLE["rls_stream"] = ORACLE["rls_weights"]
 ORACLE["follow_the_leader_stream"] = ORACLE["follow_the_leader"]
 ORACLE["bloom_stream"] = ORACLE["bloom_probe_asof"]

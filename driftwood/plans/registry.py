@@ -1027,6 +1027,9 @@ def q_read_text_features(spark, sf_dir):
 
 # ------------------------------------------------------------------ streams
 
+from driftwood.operators import dataflow  # noqa: E402
+from driftwood.sources import sinks as stream_sinks  # noqa: E402
+from driftwood.streaming import keyed as stream_keyed  # noqa: E402
 from driftwood.streaming import ordered as stream_ordered  # noqa: E402
 from driftwood.streaming import runner  # noqa: E402
 
@@ -1048,6 +1051,36 @@ def q_running_max_subarray_stream(spark, sf_dir):
     return out.select("user_id", "event_id", "x", "max_ending_here", "max_subarray")
 
 
+@register("running_max_subarray_keyed_stream")
+def q_running_max_subarray_keyed_stream(spark, sf_dir):
+    """C4 with the users' states in Spark's state store."""
+    ev = _event_ints(spark, sf_dir)
+    path, files = runner.stage_files(ev, EVENT_ORDER, STREAM_FILES, "kadane-keyed-src")
+    out, stream = scratch_path(spark, "kadane-keyed"), spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", files).parquet(path)
+    rows = stream_keyed.running_max_subarray(stream, "x", EVENT_ORDER, ["user_id"])
+    stream_sinks.start_sink(rows, "parquet", path=out, checkpoint=scratch_path(spark, "kadane-keyed-ckpt")).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(out).select("user_id", "event_id", "x", "max_ending_here", "max_subarray")
+
+
+@register("zip_stream")
+def q_zip_stream(spark, sf_dir):
+    """B3 on two live inputs: line quantities and order totals, each from its own folder and at its own rate."""
+    x = table(spark, sf_dir, "lineitem").select(F.lit("x").alias("side"), *[F.col(c).cast("bigint").alias(f"k{i}") for i, c in enumerate(LINE_ORDER)],
+                                                F.col("l_quantity").alias("v"))
+    none = F.lit(0).cast("bigint")
+    y = table(spark, sf_dir, "orders").select(F.lit("y").alias("side"), F.col("o_orderkey").alias("k0"), none.alias("k1"), none.alias("k2"),
+                                              none.alias("k3"), F.col("o_totalprice").alias("v"))
+    order = [f"k{i}" for i in range(4)]
+    streams = []
+    for name, df, epochs in (("x", x, STREAM_FILES), ("y", y, STREAM_FILES + 1)):
+        path, files = runner.stage_files(df, order, epochs, f"zip-{name}-src")
+        streams.append(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path))
+    run = runner.StatefulBatches(spark, stream_ordered.zip_step("side", "x", "y", order), "zip-stream")
+    stream_sinks.start_sink(dataflow.merge_streams(*streams), "foreach_batch", batch_fn=run,
+                            checkpoint=scratch_path(spark, "zip-stream-ckpt")).awaitTermination()
+    return run.output().select("pos", F.col("x.v").alias("l_quantity"), F.col("y.v").alias("o_totalprice"))
+
+
 @register("rls_stream")
 def q_rls_stream(spark, sf_dir):
     out = _stream_through(spark, _line_xy(spark, sf_dir), LINE_ORDER,
@@ -1065,7 +1098,6 @@ def q_follow_the_leader_stream(spark, sf_dir):
 
 # ------------------------------------------------------------------ streams
 
-from driftwood.operators import dataflow  # noqa: E402
 from driftwood.sources import commands, sinks, tail  # noqa: E402
 from driftwood.streaming import membership as stream_membership  # noqa: E402
 from driftwood.streaming import substring as stream_substring  # noqa: E402

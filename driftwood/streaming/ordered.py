@@ -151,3 +151,41 @@ def ftl_step(x: str, y: str, order_cols: Sequence[str], key_cols: Sequence[str]
         return out.select(*_cols(key_cols, order_cols), "leader", "prediction"), _keep_old(state, new, key_cols)
 
     return step
+
+
+def zip_step(side: str, left: str, right: str, order_cols: Sequence[str], **bucket_opts):
+    """B3 on a stream: the i-th row of one side meets the i-th row of the other, whatever their rates.
+
+    ``side`` says whether a row belongs to ``left`` or ``right``; each side comes in order of ``order_cols`` over
+    the epochs.  Output ``pos`` and the two rows as structs ``x`` and ``y``.  The state is what waits
+    for its partner, with its position, and one row per side with the number of rows so far; positions come
+    from the two-level scan and pairs from a join on them, so no task sees a whole stream."""
+    order_cols = list(order_cols)
+
+    def step(batch: DataFrame, state: DataFrame | None, epoch: int):
+        spark = batch.sparkSession
+        payload = [c for c in batch.columns if c != side]
+        row = F.struct(*[F.col(f"`{c}`") for c in payload])
+        counts = {left: 0, right: 0}
+        if state is not None:  # one row per side
+            counts |= {r[side]: r.pos for r in state.where("row is null").collect()}
+        new = {}
+        parts = []
+        for s in (left, right):
+            own = batch.where(F.col(side) == s)
+            new[s] = counts[s] + own.count()
+            placed = scan.row_position(own, order_cols, name="_pos", **bucket_opts) if new[s] > counts[s] else own.withColumn(
+                "_pos", F.lit(0).cast("bigint"))
+            parts.append(placed.select(F.lit(s).alias(side), (F.col("_pos") + counts[s]).alias("pos"), row.alias("row")))
+        rows = parts[0].unionByName(parts[1])
+        if state is not None:
+            rows = rows.unionByName(state.where("row is not null"))
+        paired = min(new.values())
+        both = rows.where(F.col("pos") < paired)
+        x = both.where(F.col(side) == left).select("pos", F.col("row").alias("x"))
+        y = both.where(F.col(side) == right).select("pos", F.col("row").alias("y"))
+        marks = spark.createDataFrame([(s, n) for s, n in new.items()], f"{side} string, pos long").withColumn(
+            "row", F.lit(None).cast(rows.schema["row"].dataType))
+        return x.join(y, "pos"), rows.where(F.col("pos") >= paired).unionByName(marks)
+
+    return step
