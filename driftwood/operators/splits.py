@@ -8,7 +8,8 @@ leaves x features x cut points rows, never example rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,6 +75,20 @@ def variance_reduction(moments: DataFrame, cand_cols: Sequence[str], min_n: floa
     return agg.select(*cand, merit.alias("merit"))
 
 
+@dataclass(frozen=True)
+class Criterion:
+    """A split criterion for trees: ``merit(post, cand_cols)`` gives ``(cand..., merit)`` of a post table, larger is
+    better; ``value_range(classes)`` is the R of the Hoeffding bound.  The merit of "do not split" is that of one branch."""
+
+    merit: Callable[[DataFrame, Sequence[str]], DataFrame]
+    value_range: Callable[[int], float]
+
+
+#: G11, G12 by name.
+CRITERIA = {"info_gain": Criterion(info_gain, lambda classes: math.log2(max(classes, 2))),
+            "gini": Criterion(gini_merit, lambda classes: 1.0)}
+
+
 def best_split_per_feature(merits: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                            tie_decimals: int = 12) -> DataFrame:
     """Best candidate per ``group`` (e.g. leaf, feature); the first maximum

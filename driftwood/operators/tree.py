@@ -91,19 +91,20 @@ class HoeffdingTree:
 
     def __init__(self, feature_cols: Sequence[str], num_classes: int, label: str = "label",
                  weight: str | None = None, nominal: dict | None = None, grace: float = 200.0,
-                 tie_threshold: float = 0.05, delta: float = 1e-7, criterion: str = "info_gain",
+                 tie_threshold: float = 0.05, delta: float = 1e-7, criterion: str | splits.Criterion = "info_gain",
                  binary_only: bool = False, split_all: bool = False, leaf_type: str = "majority",
                  nb_threshold: float = 0.0, pre_prune: bool = True, bins: int = 10,
                  grow: bool = True, remove_poor: bool = False):
-        if criterion not in ("info_gain", "gini"):
-            raise ValueError(f"unknown split criterion {criterion!r}: info_gain or gini")
+        if not isinstance(criterion, splits.Criterion) and criterion not in splits.CRITERIA:
+            raise ValueError(f"unknown split criterion {criterion!r}: info_gain, gini or a splits.Criterion")
         self.feature_cols = list(feature_cols)
         self.num_classes = int(num_classes)
         self.label = label
         self.weight = weight
         self.nominal = dict(nominal or {})
         self.grace, self.tie, self.delta = float(grace), float(tie_threshold), float(delta)
-        self.criterion, self.binary_only, self.split_all = criterion, binary_only, split_all
+        self.criterion = criterion if isinstance(criterion, splits.Criterion) else splits.CRITERIA[criterion]
+        self.binary_only, self.split_all = binary_only, split_all
         self.leaf_type, self.nb_threshold = leaf_type, float(nb_threshold)
         self.pre_prune, self.bins, self.grow = pre_prune, int(bins), grow
         #: Features that a leaf has given up, by leaf
@@ -376,10 +377,11 @@ class HoeffdingTree:
         return post
 
     def _merits(self, post: DataFrame, at: Sequence[str] = ("leaf",)) -> DataFrame:
-        cand = [*at, "feature", "cand"]
-        if self.criterion == "gini":
-            return splits.gini_merit(post, cand)
-        return splits.info_gain(post, cand)
+        return self.criterion.merit(post, [*at, "feature", "cand"])
+
+    def _no_split(self, dist: DataFrame, at: Sequence[str]) -> DataFrame:
+        """Merit of "do not split": all of ``dist`` (at..., label, w) in one branch."""
+        return self.criterion.merit(dist.select(*at, F.lit(0).alias("branch"), "label", "w"), list(at))
 
     def attempt_split(self, leaf_ids: list[int]) -> dict:
         """H4/H5/H6 for the given leaves.  Returns {leaf: action}."""
@@ -402,8 +404,8 @@ class HoeffdingTree:
         spark = post.sparkSession
         no_split = None
         if self.pre_prune:
-            rows = [(lid, splits.no_split_merit(self.criterion, self.nodes[lid].dist)) for lid in cands]
-            no_split = spark.createDataFrame(rows, "leaf int, merit double")
+            rows = [(lid, c, float(w)) for lid in cands for c, w in enumerate(self.nodes[lid].dist)]
+            no_split = self._no_split(spark.createDataFrame(rows, "leaf int, label int, w double"), ["leaf"])
         ranked = splits.rank_split_suggestions(best.select("leaf", "feature", "merit", "cand"),
                                                ["leaf"], no_split)
         ranked = ranked.join(best.select("leaf", "feature", "cand"), ["leaf", "feature"], "left")
@@ -413,7 +415,7 @@ class HoeffdingTree:
         for r in top:
             by_leaf.setdefault(r.leaf, []).append(r)
         actions, chosen = {}, []
-        r_merit = splits.range_merit(self.criterion, self.num_classes)
+        r_merit = self.criterion.value_range(self.num_classes)
         for lid in cands:
             sug = sorted(by_leaf.get(lid, []), key=lambda r: r["rank"])
             if not sug:
@@ -613,7 +615,7 @@ class HoeffdingTree:
         at = ["leaf", "_block"]
         seeds = {i: sum(self.nodes[i].dist) - self.nodes[i].addon for i in open_leaves}  # weight that came from a parent's split
         dist = stats.where("feature = -1").groupBy(*at).agg(
-            F.sum("w").alias("_n"), F.sum(F.col("w") * F.col("w")).alias("_q"), F.count(F.when(F.col("w") > 0, 1)).alias("_classes"))
+            F.sum("w").alias("_n"), F.count(F.when(F.col("w") > 0, 1)).alias("_classes"))
         dist = dist.where((F.col("_n") - self._by_leaf(seeds) >= self.grace) & (F.col("_classes") > 1))
         ready = stats.join(dist.select(*at), at, "left_semi")
         nominal = ready.where(F.col("feature").isin(list(self.nominal))) if self.nominal else None
@@ -621,13 +623,12 @@ class HoeffdingTree:
         best = written(splits.best_split_per_feature(self._merits(post, at), [*at, "feature"], ["cand"]), "ht-best")
         none = None
         if self.pre_prune:
-            merit = F.lit(float("-inf")) if self.criterion == "info_gain" else F.col("_q") / (F.col("_n") * F.col("_n"))
-            none = dist.select(*at, merit.alias("merit"))
+            none = self._no_split(ready.where("feature = -1"), at)
         ranked = splits.rank_split_suggestions(best.select(*at, "feature", "merit"), at, none).where("rank <= 2")
         top = ranked.groupBy(*at).agg(
             F.max(F.when(F.col("rank") == 1, F.col("feature"))).alias("feature"), F.count("*").alias("_k"),
             (F.max(F.when(F.col("rank") == 1, F.col("merit"))) - F.max(F.when(F.col("rank") == 2, F.col("merit")))).alias("_gap"))
-        bounds = splits.hoeffding_bound(dist, "_n", self.criterion, self.num_classes, self.delta)
+        bounds = dist.withColumn("bound", S.hoeffding_bound(F.lit(self.criterion.value_range(self.num_classes)), self.delta, F.col("_n")))
         fired = top.join(bounds.select(*at, "bound"), at).where(
             (F.col("_k") < 2) | (F.col("bound") < self.tie) | (~F.isnan("_gap") & (F.col("_gap") > F.col("bound"))))
         first = fired.groupBy("leaf").agg(F.min(F.struct("_block", "feature")).alias("f")).select("leaf", "f.*")

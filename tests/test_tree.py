@@ -197,3 +197,26 @@ def test_jobs_follow_the_depth_not_the_blocks(spark, monkeypatch):
     monkeypatch.setattr(T, "SEGMENT", 7)  # the two-level merge
     again = HoeffdingTree(["x", "z"], 2, nominal={1: 3}, grace=100, split_all=True)
     assert _table(again.fit(df, ["seq"], rows_per_block=20, first_run=60)) == want
+
+
+def test_a_criterion_of_the_users_own(spark):
+    """Share of the weight that the branches' majorities get right."""
+    from driftwood.operators import splits
+
+    def right(post, cand):
+        by = post.groupBy(*cand, "branch", "label").agg(F.sum("w").alias("w"))
+        best = by.groupBy(*cand, "branch").agg(F.max("w").alias("m"), F.sum("w").alias("w"))
+        return best.groupBy(*cand).agg((F.sum("m") / F.sum("w")).alias("merit"))
+
+    class Right(Plain):
+        def merit(self, post):
+            return sum(max(p) for p in post) / sum(map(sum, post))
+
+    df = _data(spark, 900)
+    rows = [((r.x, r.z), r.label, 1.0) for r in df.orderBy("seq").collect()]
+    plain = Right({1: 3}, 2, 2, grace=100, tie=0.05, split_all=True, pre_prune=False, delta=0.01, criterion="gini").fit(rows, 100)
+    ht = HoeffdingTree(["x", "z"], 2, nominal={1: 3}, grace=100, split_all=True, pre_prune=False, delta=0.01,
+                       criterion=splits.Criterion(right, lambda classes: 1.0))
+    assert _table(ht.fit(df, ["seq"], rows_per_block=100)) == _plain_table(plain) and len(ht.nodes) > 1
+    with pytest.raises(ValueError):
+        HoeffdingTree(["x"], 2, criterion="unknown")
