@@ -114,5 +114,5 @@ def test_registered(spark):
     import __spark_entry__ as entry
 
     names = [k for k in entry.queries() if k.startswith("op") or k == "pipeline"]
-    assert len([k for k in queries.QUERIES]) == 10 and set(queries.QUERIES) <= set(names) and "pipeline" in names
+    assert [int(k[2:].split("_")[0]) for k in queries.QUERIES] == list(range(1, 14)) and set(queries.QUERIES) <= set(names) and "pipeline" in names
     assert "op7_warc" in entry.oracle_sql()
