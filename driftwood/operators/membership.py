@@ -12,7 +12,12 @@ distinct values.  ``distinct_values`` gives the ``n`` to size a filter for a tab
 
 Probing needs no shuffle while the filter is small: up to ``LITERAL_BITS`` bits
 (``LITERAL_FIRST`` first arrivals) go into the plan as one array literal and
-every row tests its bits in place.  Larger filters are joined by position.
+every row tests its bits in place.  Larger filters are blocked: a value's bits
+all lie in one block of ``BLOCK_BITS``, a filter is the table ``(block, bits)`` of
+Spark bitmaps, and a probe shuffles one row a query, on its block.  The k positions of a
+value only exist inside a task.  Blocks hold about 3,400 values at 1 %, so their
+loads differ by a few per cent and the rate stays near ``fpp``.  First arrivals
+in blocks are kept as one row per distinct value ``(block, step_a, step_b, first_seq)``.
 A null value is never inserted, and is answered NO.
 """
 
@@ -20,13 +25,21 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftwood.plans import scan
+
 #: Size bounds of the in-plan filters: 2 MB of bits, 2 MB of arrival numbers.
 LITERAL_BITS, LITERAL_FIRST = 1 << 24, 1 << 18
+#: Bits of a block: those of one Spark bitmap (4 KB).
+BLOCK_BITS = 1 << 15
+#: What places a value in a blocked filter.
+_PLACE = ["block", "step_a", "step_b"]
 
 
 def bloom_size(n: int = 1000, fpp: float = 0.01) -> tuple[int, int]:
@@ -57,19 +70,41 @@ def bloom_positions(value: Column, m: int, k: int) -> Column:
     return F.when(value.isNotNull(), F.get(walk, 0))
 
 
+def _place(value: Column, m: int) -> list[Column]:
+    """``block, step_a, step_b`` of a value: its bits are ``(step_a + i step_b) mod BLOCK_BITS`` of that block."""
+    digest = F.md5(value.cast("string").cast("binary"))
+
+    def part(at: int, digits: int) -> Column:
+        return F.conv(F.substring(digest, at, digits), 16, 10).cast("bigint")
+
+    blocks = -(-m // BLOCK_BITS)
+    return [(part(1, 14) % F.lit(blocks).cast("bigint")).alias("block"), (part(15, 8) % BLOCK_BITS).alias("step_a"),
+            (part(23, 8).bitwiseOR(F.lit(1).cast("bigint")) % BLOCK_BITS).alias("step_b")]  # odd: k different bits
+
+
+def _block_bits(k: int) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: (F.col("step_a") + i * F.col("step_b")) % BLOCK_BITS)
+
+
 def bloom_build(df: DataFrame, col: str, n: int = 1000, fpp: float = 0.01) -> DataFrame:
-    """Set bit positions ``(pos)`` of the filter holding ``df[col]``."""
+    """The filter holding ``df[col]``: set positions ``(pos)``, or blocks ``(block, bits)`` above ``LITERAL_BITS``."""
     m, k = bloom_size(n, fpp)
-    return df.select(F.explode(bloom_positions(F.col(col), m, k)).alias("pos")).distinct()
+    if m <= LITERAL_BITS:
+        return df.select(F.explode(bloom_positions(F.col(col), m, k)).alias("pos")).distinct()
+    placed = df.filter(F.col(col).isNotNull()).select(*_place(F.col(col), m))
+    # partial bitmaps of 4 KB are shuffled, not positions
+    return (placed.select("block", F.explode(_block_bits(k)).alias("_p"))
+            .groupBy("block").agg(F.bitmap_construct_agg("_p").alias("bits")))
 
 
 def bloom_merge(a: DataFrame, b: DataFrame) -> DataFrame:
     """Partial filters combine by OR."""
-    return a.unionByName(b).distinct()
+    both = a.unionByName(b)
+    return both.groupBy("block").agg(F.bitmap_or_agg("bits").alias("bits")) if "block" in a.columns else both.distinct()
 
 
 def bloom_bitmap(bits: DataFrame) -> DataFrame:
-    """Compact form ``(shard, bits)``: 32768-bit chunks via Spark's bitmap aggregates."""
+    """Compact form ``(shard, bits)`` of set positions: 32768-bit chunks via Spark's bitmap aggregates."""
     p = F.col("pos") + 1  # bitmap positions are 1-based
     return (bits.groupBy(F.bitmap_bucket_number(p).alias("shard"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(p)).alias("bits")))
@@ -96,12 +131,59 @@ def _answered(df: DataFrame, id_cols: Sequence[str], col: str) -> DataFrame:
     return df.select(*id_cols, maybe.alias("maybe"), answer(maybe, F.col(col)).alias("answer"))
 
 
-def _joined(queries: DataFrame, positions: Column, table: DataFrame, hit: Column) -> DataFrame:
-    """``_maybe`` by a join on the positions, row by row (equal ids stay apart)."""
-    rows = queries.withColumn("_row", F.monotonically_increasing_id()).withColumn("_ps", positions)
-    each = rows.select("*", F.explode_outer("_ps").alias("pos")).join(table, "pos", "left")
-    back = [c for c in rows.columns if c != "_ps"]
-    return each.groupBy(*back).agg(F.min(F.coalesce(hit, F.lit(False))).alias("_maybe"))
+def _placed(queries: DataFrame, col: str, m: int) -> DataFrame:
+    """Queries with their place as ``_block, _step_a, _step_b``; null for null."""
+    return queries.select("*", *[F.when(F.col(col).isNotNull(), c).alias(f"_{n}") for n, c in zip(_PLACE, _place(F.col(col), m))])
+
+
+def _probe_blocks(bits: DataFrame, queries: DataFrame, col: str, m: int, k: int) -> DataFrame:
+    """``_maybe``: one row a query meets its block; bit p is bit p mod 8 of byte p div 8."""
+    blocks = bits.select(F.col("block").alias("_block"), F.col("bits").alias("_bits"))
+
+    def is_set(p: Column) -> Column:
+        byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(p / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return F.call_function("shiftright", byte, (p % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+    met = _placed(queries, col, m).join(blocks, "_block", "left")
+    inside = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: (F.col("_step_a") + i * F.col("_step_b")) % BLOCK_BITS)
+    return met.withColumn("_maybe", F.when(F.col("_bits").isNotNull(), F.forall(inside, is_set)))
+
+
+def _complete_at(first: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """``(place..., complete_at)`` per asked place: the arrival that set the last of its k bits.
+
+    Rows ``(place..., first_seq)`` and asked places meet by block, one row a distinct value on
+    either side; a task goes through its blocks one after the other with one array of a block's first arrivals.
+    """
+    never = np.iinfo(np.int64).max
+    rows = first.select(*_PLACE, F.col("first_seq").cast("bigint").alias("first_seq"), F.lit(0).alias("_ask")).unionByName(
+        asked.select(*_PLACE, F.lit(None).cast("bigint").alias("first_seq"), F.lit(1).alias("_ask")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrivals, current = np.full(BLOCK_BITS, never), None
+        steps = np.arange(k, dtype=np.int64)
+        for batch in batches:
+            block, a, b, ask = (batch.column(c).to_numpy(zero_copy_only=False) for c in (*_PLACE, "_ask"))
+            seq = batch.column("first_seq").fill_null(never).to_numpy(zero_copy_only=False)
+            bits = (a[:, None] + steps * b[:, None]) % BLOCK_BITS
+            done = np.full(len(block), never)
+            cuts = np.flatnonzero((np.diff(block) != 0) | (np.diff(ask) != 0)) + 1
+            for s, e in zip([0, *cuts], [*cuts, len(block)]):
+                if s == e:
+                    continue
+                if block[s] != current:
+                    arrivals[:], current = never, block[s]
+                if ask[s]:
+                    done[s:e] = arrivals[bits[s:e]].max(axis=1)
+                else:
+                    np.minimum.at(arrivals, bits[s:e].ravel(), np.repeat(seq[s:e], k))
+            keep = pa.array(ask == 1)
+            out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in _PLACE), pa.array(done)], names=[*_PLACE, "complete_at"])
+            yield out.filter(keep)
+
+    dealt = rows.repartition("block").sortWithinPartitions("block", "_ask")
+    answers = dealt.mapInArrow(run, "block bigint, step_a bigint, step_b bigint, complete_at bigint")
+    return answers.filter(F.col("complete_at") < F.lit(never))
 
 
 def bloom_probe(bits: DataFrame, queries: DataFrame, col: str, id_cols: Sequence[str],
@@ -109,30 +191,38 @@ def bloom_probe(bits: DataFrame, queries: DataFrame, col: str, id_cols: Sequence
     """``(id..., maybe, answer)`` per row; ``maybe`` is true iff all k bits are set."""
     m, k = bloom_size(n, fpp)
     q = queries.select(*dict.fromkeys([*id_cols, col]))
-    positions = bloom_positions(F.col(col), m, k)
     if m <= LITERAL_BITS:
+        positions = bloom_positions(F.col(col), m, k)
         words = _bit_words(bits, m)
         found = q.withColumn("_ps", positions).withColumn("_maybe", F.forall("_ps", lambda p: F.call_function(
             "shiftright", F.get(words, F.floor(p / 62).cast("int")), (p % 62).cast("int")).bitwiseAND(F.lit(1).cast("bigint")) == 1))
     else:
-        found = _joined(q, positions, bits.select("pos", F.lit(True).alias("_hit")), F.col("_hit"))
+        found = _probe_blocks(bits, q, col, m, k)
     return _answered(found, id_cols, col)
 
 
 def bloom_first_seen(df: DataFrame, col: str, seq: str, n: int = 1000, fpp: float = 0.01) -> DataFrame:
-    """Per bit, the smallest arrival ``seq`` that set it: ``(pos, first_seq)``."""
+    """First arrivals: per bit ``(pos, first_seq)``, or per value ``(block, step_a, step_b, first_seq)`` above ``LITERAL_FIRST``."""
     m, k = bloom_size(n, fpp)
+    if m > LITERAL_FIRST:
+        placed = df.filter(F.col(col).isNotNull()).select(*_place(F.col(col), m), F.col(seq).alias("_s"))
+        return placed.groupBy(*_PLACE).agg(F.min("_s").alias("first_seq"))
     return (df.select(F.col(seq).alias("_s"), F.explode(bloom_positions(F.col(col), m, k)).alias("pos"))
             .groupBy("pos").agg(F.min("_s").alias("first_seq")))
 
 
+def merge_first_seen(a: DataFrame, b: DataFrame) -> DataFrame:
+    """First arrivals of two parts of the data combine by minimum."""
+    return a.unionByName(b).groupBy(*[c for c in a.columns if c != "first_seq"]).agg(F.min("first_seq").alias("first_seq"))
+
+
 def probe_first_seen(first: DataFrame, queries: DataFrame, col: str, seq: str, id_cols: Sequence[str],
                      n: int = 1000, fpp: float = 0.01) -> DataFrame:
     """D3 against a table of first arrivals: all k bits were set before ``seq``."""
     m, k = bloom_size(n, fpp)
     q = queries.select(*dict.fromkeys([*id_cols, col]), F.col(seq).alias("_qs"))
-    positions = bloom_positions(F.col(col), m, k)
     if m <= LITERAL_FIRST:
+        positions = bloom_positions(F.col(col), m, k)
         seen: list = [None] * m
         for r in first.collect():  # at most m rows
             seen[r["pos"]] = r["first_seq"]
@@ -140,7 +230,12 @@ def probe_first_seen(first: DataFrame, queries: DataFrame, col: str, seq: str, i
         found = q.withColumn("_ps", positions).withColumn("_maybe", F.forall("_ps", lambda p: F.coalesce(
             F.get(array, p.cast("int")) < F.col("_qs"), F.lit(False))))
     else:
-        found = _joined(q, positions, first, F.col("first_seq") < F.col("_qs"))
+        # a value asked many times is answered once; its rows meet the answer by value
+        own = [f"_{c}" for c in _PLACE]
+        placed = _placed(q, col, m)
+        asked = placed.filter(F.col(col).isNotNull()).select(*[F.col(f"_{c}").alias(c) for c in _PLACE]).distinct()
+        done = _complete_at(first, asked, k).select(*[F.col(c).alias(f"_{c}") for c in _PLACE], "complete_at")
+        found = scan.null_safe_join(placed, done, own, "left").withColumn("_maybe", F.col("complete_at") < F.col("_qs"))
     return _answered(found, id_cols, col)
 
 

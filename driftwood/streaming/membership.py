@@ -23,7 +23,7 @@ def bloom_step(kind: str = "kind", value: str = "value", seq: str = "seq",
         queries = batch.filter(F.col(kind) == "query")
         first = M.bloom_first_seen(data, value, seq, n, fpp)
         if state is not None:
-            first = first.unionByName(state).groupBy("pos").agg(F.min("first_seq").alias("first_seq"))
+            first = M.merge_first_seen(first, state)
         answers = M.probe_first_seen(first, queries, value, seq, [seq, value], n, fpp)
         answers = answers.select(F.lit("query").alias(kind), seq, value, "maybe", "answer")
         echo = data.select(kind, seq, value, F.lit(None).cast("boolean").alias("maybe"),
