@@ -1,4 +1,4 @@
-"""Multinomial naive Bayes (F1-F5) and observer-based NB votes.
+"""Multinomial naive Bayes (F1-F5, F5 on wide columns and on word maps) and observer-based NB votes.
 
 The model is two small additive tables, so training is a partial
 aggregation (map-side combine, then one shuffle of one row per
@@ -168,6 +168,65 @@ def nb_prequential(df: DataFrame, feature_cols: Sequence[str], label: str, cmd:
     return out.select(*df.columns, pred.alias("prediction"))
 
 
+def _mass(df: DataFrame, features) -> Column:
+    """Sum of a row's feature values."""
+    if isinstance(features, str):
+        is_map = df.schema[features].dataType.typeName() == "map"
+        values = F.map_values(features) if is_map else F.col(features)
+    else:
+        values = F.array(*[F.col(c).cast("double") for c in features])
+    return F.coalesce(F.aggregate(values, F.lit(0.0), lambda acc, v: acc + F.coalesce(v.cast("double"), F.lit(0.0))), F.lit(0.0))
+
+
+def nb_prequential_entries(df: DataFrame, id_cols: Sequence[str], features, label: str, cmd: str, order_cols,
+                           classes: Sequence[int], smoothing: float = 1.0, num_features: int | None = None,
+                           **bucket_opts) -> DataFrame:
+    """F5 on sparse rows (word maps): ``(id..., prediction)``, null but on QUERY rows.
+
+    Every QUERY row is answered by the model of all earlier EXAMPLE rows, as ``nb_params`` and
+    ``nb_predict`` of those rows would: features not yet seen are ignored, and the number of features is that
+    seen so far unless ``num_features`` is given.  The classes are fixed; an example of another class,
+    or of none, is not learned.  ``smoothing`` is above 0.
+
+    The mass of a feature and class before a row is a keyed ordered scan over the entries
+    (hot features are split into ranges of the order), class counts and masses a global one over the rows; an
+    entry's terms are added up per query with a partial aggregate.  Ids may repeat.
+    """
+    s, ids = float(smoothing), list(id_cols)
+    is_ex = (F.col(cmd) == F.lit("EXAMPLE")) & F.col(label).isin([int(c) for c in classes])
+    numbered = scan.row_position(df.withColumns({"_ex": F.coalesce(is_ex, F.lit(False)), "_mass": _mass(df, features)}),
+                                 order_cols, name="_pos", **bucket_opts)
+    # positions are read four times
+    rows = written(numbered.select(*ids, F.col(label).alias("_lab"), (F.col(cmd) == "QUERY").alias("_query"), "_ex", "_mass", "_pos",
+                                   *([features] if isinstance(features, str) else features)), "nb-rows")
+    ent = entries(rows, ["_pos", "_ex", "_query", "_lab"], features).filter(F.col("x").isNotNull())
+    mine = {c: F.col("_ex") & (F.col("_lab") == F.lit(c)) for c in classes}
+    before = scan.running_sums(
+        ent, {"_seen": F.col("_ex").cast("int")} | {f"_f{i}": F.when(mine[c], F.col("x")).otherwise(F.lit(0.0)) for i, c in enumerate(classes)},
+        ["_pos"], ["feature"], inclusive=False, **bucket_opts)
+    terms = (before.filter(F.col("_query") & (F.col("_seen") > 0)).groupBy("_pos").agg(
+        F.sum("x").alias("_X"), *[F.sum(F.col("x") * F.log(F.col(f"_f{i}") + s)).alias(f"_S{i}") for i in range(len(classes))]))
+    slim = rows.select(*ids, "_lab", "_query", "_ex", "_mass", "_pos")
+    if num_features is None:
+        first = ent.filter("_ex").groupBy("feature").agg(F.min("_pos").alias("_pos"))
+        slim = slim.join(first.groupBy("_pos").agg(F.count(F.lit(1)).alias("_new")), "_pos", "left").fillna(0, ["_new"])
+    else:
+        slim = slim.withColumn("_new", F.lit(0))
+    sums = {"_F": F.col("_new")}
+    for i, c in enumerate(classes):
+        sums[f"_n{i}"] = F.when(mine[c], F.lit(1.0)).otherwise(F.lit(0.0))
+        sums[f"_m{i}"] = F.when(mine[c], F.col("_mass")).otherwise(F.lit(0.0))
+    model = scan.running_sums(slim, sums, ["_pos"], inclusive=False, **bucket_opts)
+    size = F.col("_F").cast("double") if num_features is None else F.lit(float(num_features))
+    total = sum((F.col(f"_m{i}") for i in range(len(classes))), F.lit(0.0))
+    scores = {}
+    for i, c in enumerate(classes):
+        seen = F.col(f"_S{i}") - F.col("_X") * F.log(F.col(f"_m{i}") + size * s)
+        scores[c] = (F.log(F.col(f"_n{i}") + s) - F.log(total + F.lit(len(classes) * s)) + F.coalesce(seen, F.lit(0.0)))
+    answered = model.join(terms, "_pos", "left")
+    return answered.select(*ids, F.when(F.col("_query"), _argmax_class(scores, "p")).alias("prediction"))
+
+
 def observer_nb_votes(df: DataFrame, id_cols: Sequence[str], gaussian: DataFrame | None,
                       nominal: DataFrame | None, class_weights: DataFrame, features_numeric,
                       features_nominal=(), log10: bool = False,

@@ -86,10 +86,11 @@ def _block_bits(k: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: (F.col("step_a") + i * F.col("step_b")) % BLOCK_BITS)
 
 
-def bloom_build(df: DataFrame, col: str, n: int = 1000, fpp: float = 0.01) -> DataFrame:
-    """The filter holding ``df[col]``: set positions ``(pos)``, or blocks ``(block, bits)`` above ``LITERAL_BITS``."""
+def bloom_build(df: DataFrame, col: str, n: int = 1000, fpp: float = 0.01, blocked: bool | None = None) -> DataFrame:
+    """The filter holding ``df[col]``: set positions ``(pos)``, or blocks ``(block, bits)`` if ``blocked``
+    (None: above ``LITERAL_BITS``)."""
     m, k = bloom_size(n, fpp)
-    if m <= LITERAL_BITS:
+    if not (m > LITERAL_BITS if blocked is None else blocked):
         return df.select(F.explode(bloom_positions(F.col(col), m, k)).alias("pos")).distinct()
     placed = df.filter(F.col(col).isNotNull()).select(*_place(F.col(col), m))
     # partial bitmaps of 4 KB are shuffled, not positions
@@ -191,7 +192,7 @@ def bloom_probe(bits: DataFrame, queries: DataFrame, col: str, id_cols: Sequence
     """``(id..., maybe, answer)`` per row; ``maybe`` is true iff all k bits are set."""
     m, k = bloom_size(n, fpp)
     q = queries.select(*dict.fromkeys([*id_cols, col]))
-    if m <= LITERAL_BITS:
+    if "block" not in bits.columns:
         positions = bloom_positions(F.col(col), m, k)
         words = _bit_words(bits, m)
         found = q.withColumn("_ps", positions).withColumn("_maybe", F.forall("_ps", lambda p: F.call_function(
@@ -201,10 +202,12 @@ def bloom_probe(bits: DataFrame, queries: DataFrame, col: str, id_cols: Sequence
     return _answered(found, id_cols, col)
 
 
-def bloom_first_seen(df: DataFrame, col: str, seq: str, n: int = 1000, fpp: float = 0.01) -> DataFrame:
-    """First arrivals: per bit ``(pos, first_seq)``, or per value ``(block, step_a, step_b, first_seq)`` above ``LITERAL_FIRST``."""
+def bloom_first_seen(df: DataFrame, col: str, seq: str, n: int = 1000, fpp: float = 0.01,
+                     blocked: bool | None = None) -> DataFrame:
+    """First arrivals: per bit ``(pos, first_seq)``, or per value ``(block, step_a, step_b, first_seq)`` if
+    ``blocked`` (None: above ``LITERAL_FIRST``)."""
     m, k = bloom_size(n, fpp)
-    if m > LITERAL_FIRST:
+    if m > LITERAL_FIRST if blocked is None else blocked:
         placed = df.filter(F.col(col).isNotNull()).select(*_place(F.col(col), m), F.col(seq).alias("_s"))
         return placed.groupBy(*_PLACE).agg(F.min("_s").alias("first_seq"))
     return (df.select(F.col(seq).alias("_s"), F.explode(bloom_positions(F.col(col), m, k)).alias("pos"))
@@ -221,7 +224,7 @@ def probe_first_seen(first: DataFrame, queries: DataFrame, col: str, seq: str, i
     """D3 against a table of first arrivals: all k bits were set before ``seq``."""
     m, k = bloom_size(n, fpp)
     q = queries.select(*dict.fromkeys([*id_cols, col]), F.col(seq).alias("_qs"))
-    if m <= LITERAL_FIRST:
+    if "block" not in first.columns:
         positions = bloom_positions(F.col(col), m, k)
         seen: list = [None] * m
         for r in first.collect():  # at most m rows
@@ -241,7 +244,7 @@ def probe_first_seen(first: DataFrame, queries: DataFrame, col: str, seq: str, i
 
 def bloom_probe_asof(data: DataFrame, data_col: str, data_seq: str, queries: DataFrame,
                      query_col: str, query_seq: str, id_cols: Sequence[str], n: int = 1000,
-                     fpp: float = 0.01) -> DataFrame:
+                     fpp: float = 0.01, blocked: bool | None = None) -> DataFrame:
     """D3: a query sees only data that arrived before it (``first_seq < query seq``)."""
-    return probe_first_seen(bloom_first_seen(data, data_col, data_seq, n, fpp), queries, query_col, query_seq,
+    return probe_first_seen(bloom_first_seen(data, data_col, data_seq, n, fpp, blocked), queries, query_col, query_seq,
                             id_cols, n, fpp)

@@ -105,19 +105,6 @@ class _Bank:
             return F.transform(self.slopes, lambda a: self.loss(x * a, y))
         return F.array(*[self.loss(h(x), y).cast("double") for h in self.hyps])
 
-    def total(self, pairs: list) -> Column:
-        """array<double>: the summed losses on pairs (x, y, whether it counts)."""
-        def of(predict):
-            terms = [F.when(counts, self.loss(predict(x), y)).otherwise(F.lit(0.0)) for x, y, counts in pairs]
-            total = terms[0]
-            for t in terms[1:]:
-                total = total + t
-            return total
-
-        if self.hyps is None:
-            return F.transform(self.slopes, lambda a: of(lambda x: x * a))
-        return F.array(*[of(h).cast("double") for h in self.hyps])
-
     def zeros(self) -> Column:
         return F.array_repeat(F.lit(0.0), self.size)
 
@@ -174,7 +161,7 @@ def follow_the_leader(df: DataFrame, x, y, order_cols, key_cols=(), *, hypothese
     leader is the hypothesis with the least total loss over the past (ties
     go to the lowest index) and the output is ``leader(x_t)``.  With
     ``window=w`` only the last ``w`` pairs count (the bounded past the
-    reference meant to keep).  Appends ``leader`` (hypothesis index) and
+    reference meant to keep), whatever its length.  Appends ``leader`` (hypothesis index) and
     ``prediction``.
     """
     bank = _Bank(hypotheses, loss)
@@ -216,21 +203,72 @@ def ftl_sums(base, bank: _Bank, order_cols, key_cols, bucket_opts):
     return _join_carry(summed, carry, key_cols).withColumn("_S", _added(F.col("_C"), F.col("_l"))).drop("_C", "_l")
 
 
-def _ftl_sliding(base, bank: _Bank, win, order_cols, key_cols, bucket_opts):
-    """Bounded past: loss over the last ``win`` pairs, from per-row lags."""
-    lagged = scan.with_lags(base, ["_x", "_y"], win, order_cols, key_cols, prefix="_g",
-                            **bucket_opts)
+#: Rows of a run in the sliding form, at least; a run is read together with the ``window`` rows before it.
+RUN_ROWS = 100_000
+
 
-    def xs(i):  # x_{t-i}; x before the stream start is 0 (only x_{t-1} of the first row)
-        return F.col("_x") if i == 0 else F.col(f"_g{i}__x")
+def _ftl_sliding(base, bank: _Bank, win, order_cols, key_cols, bucket_opts, run_rows: int | None = None):
+    """Bounded past: ``base`` and ``_S``, the summed losses of the last ``win`` pairs.
+
+    Rows are cut into runs by exact position, and the last ``win`` rows of a run are also
+    dealt to the next one (a tenth of the rows at most), so a run never looks outside
+    itself.  The plan and the work per row are the same for every window length.
+    """
+    size = max(run_rows or RUN_ROWS, 10 * win)
+    placed = scan.row_position(base, order_cols, key_cols, name="_pos", **bucket_opts)
+    run = F.floor(F.col("_pos") / size).cast("bigint")
+    ahead = F.col("_pos") % size >= size - win
+    dealt = placed.withColumn("_run", F.explode(F.when(ahead, F.array(run, run + 1)).otherwise(F.array(run))))
+    w = Window.partitionBy(*key_cols, "_run").orderBy("_pos")
+    # the first x of a stream is 0; the first row lent by an earlier run lies outside every window of this one
+    losses = bank.losses(F.coalesce(F.col("_px"), F.lit(0.0)), F.col("_y"))
+    rows = (dealt.withColumns({"_px": F.lag("_x", 1).over(w), "_first": F.row_number().over(w) == 1})
+            .withColumn("_e", F.transform(losses, lambda v: F.coalesce(v.cast("double"), F.lit(0.0)))).drop("_px"))
+    own = F.floor(F.col("_pos") / size) == F.col("_run")
+    # the window has left the rows in this order already
+    summed = _sliding_arrays(rows.sortWithinPartitions(*key_cols, "_run", "_pos"), "_e", "_first", "_S", bank.size, win)
+    return summed.filter(own).drop("_e", "_first", "_run", "_pos")
 
-    def ys(i):
-        return F.col("_y") if i == 0 else F.col(f"_g{i}__y")
 
-    # pair (x_{t-1-i}, y_{t-i}) exists iff y_{t-i} exists; oldest pair first
-    pairs = [(F.coalesce(xs(i + 1), F.lit(0.0)), ys(i), F.lit(True) if i == 0 else ys(i).isNotNull())
-             for i in range(win - 1, -1, -1)]
-    return lagged.withColumn("_S", bank.total(pairs))
+def _sliding_arrays(df: DataFrame, col: str, first: str, name: str, size: int, win: int) -> DataFrame:
+    """Element-wise sums of ``col`` over the last ``win`` rows, from anew where ``first`` is true.
+
+    A window is the end of one stretch of ``win`` rows and the start of the next: sums from
+    the right of the former, sums from the left of the latter.  Nothing is subtracted, so large
+    past values leave no error behind, and a row costs two additions a hypothesis whatever ``win`` is.
+    """
+    names = list(df.columns)
+    at, new = names.index(col), names.index(first)
+
+    def run(batches):
+        ends = np.zeros((win + 1, size))  # sums of the last rows of the full stretch before: ends[i] leaves out i rows
+        now, fill, total = np.empty((win, size)), 0, np.zeros(size)
+        for b in batches:
+            values = b.column(at).flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+            starts = set(np.flatnonzero(b.column(new).to_numpy(zero_copy_only=False)).tolist())
+            out, row = np.empty_like(values), 0
+            edges = iter(sorted(starts | {len(values)}))
+            edge = next(edges)
+            while row < len(values):
+                if row in starts:
+                    ends[:], fill = 0.0, 0
+                while edge <= row:
+                    edge = next(edges)
+                if fill == 0:
+                    total = np.zeros(size)
+                take = min(edge - row, win - fill)
+                now[fill:fill + take] = values[row:row + take]
+                left = np.cumsum(values[row:row + take], axis=0) + total
+                out[row:row + take] = left + ends[fill + 1:fill + take + 1]
+                total, row, fill = left[-1], row + take, fill + take
+                if fill == win:
+                    ends[:win] = np.cumsum(now[::-1], axis=0)[::-1]
+                    ends[win], fill = 0.0, 0
+            sums = pa.ListArray.from_arrays(np.arange(0, out.size + 1, size, dtype=np.int32), out.ravel())
+            yield pa.RecordBatch.from_arrays([*b.columns, sums], names=[*names, name])
+
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.DoubleType()))])
+    return df.mapInArrow(run, schema)
 
 
 # ---------------------------------------------------------------- B3, B4

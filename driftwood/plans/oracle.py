@@ -70,6 +70,7 @@ FROM r WHERE rn = 1"""
 
 ORACLE["follow_the_leader"] = _ftl_sql("", _RUN)
 ORACLE["follow_the_leader_sliding"] = _ftl_sql("", "ROWS BETWEEN 4 PRECEDING AND CURRENT ROW")
+ORACLE["follow_the_leader_long_window"] = _ftl_sql("", "ROWS BETWEEN 999 PRECEDING AND CURRENT ROW")
 ORACLE["follow_the_leader_keyed"] = _ftl_sql("PARTITION BY l_suppkey", _RUN)
 
 ORACLE["zip_by_position"] = f"""
@@ -437,6 +438,41 @@ sc AS ({' UNION ALL '.join(_PREQ_SCORE)}),
 r AS (SELECT *, row_number() OVER (PARTITION BY {_LI_ORDER} ORDER BY score DESC, label) AS rn FROM sc)
 SELECT {_LI_ORDER}, label AS prediction FROM r WHERE rn = 1"""
 
+def _nb_running(rows: str, frame: str) -> str:
+    """Answers to ``rows`` (doc_id, label, seq, asked) by the labelled rows that ``frame`` leaves before them, in the order of ``seq``."""
+    sums = ", ".join(f"coalesce(sum(CASE WHEN label = {c} THEN {{0}} ELSE 0.0 END) OVER w, 0.0) AS {{1}}{c}" for c in (0, 1))
+    scores = " UNION ALL ".join(
+        f"SELECT doc_id, {c} AS label, ln(n{c} + 1.0) - ln(m0 + m1 + 2.0) + coalesce(s{c} - x * ln(m{c} + size), 0.0) AS score FROM a"
+        for c in (0, 1))
+    return f"""
+WITH d AS ({rows}), tf AS {_DOC_TF},
+e AS (SELECT tf.*, d.label, d.seq, d.asked FROM tf JOIN d USING (doc_id)),
+f AS (SELECT doc_id, asked, n, count(label) OVER w AS seen, {sums.format("n", "f")}
+      FROM e WINDOW w AS (PARTITION BY word ORDER BY seq {frame})),
+t AS (SELECT doc_id, sum(n) AS x, sum(n * ln(f0 + 1.0)) AS s0, sum(n * ln(f1 + 1.0)) AS s1 FROM f WHERE asked AND seen > 0 GROUP BY doc_id),
+born AS (SELECT doc_id, count(*) AS born FROM (SELECT word, min_by(doc_id, (seq, doc_id)) AS doc_id FROM e WHERE label IS NOT NULL GROUP BY word)
+         GROUP BY doc_id),
+r AS (SELECT d.*, coalesce(g.mass, 0.0) AS mass, coalesce(born.born, 0) AS born
+      FROM d LEFT JOIN (SELECT doc_id, sum(n) AS mass FROM tf GROUP BY doc_id) g USING (doc_id) LEFT JOIN born USING (doc_id)),
+m AS (SELECT doc_id, asked, coalesce(sum(born) OVER w, 0) AS size, count(label) OVER w AS trained,
+             {sums.format("1.0", "n")}, {sums.format("mass", "m")}
+      FROM r WINDOW w AS (ORDER BY seq {frame})),
+a AS (SELECT * FROM m LEFT JOIN t USING (doc_id) WHERE asked),
+sc AS ({scores}),
+b AS (SELECT doc_id, label, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS rn FROM sc)"""
+
+
+ORACLE["nb_prequential_words"] = _nb_running(
+    "SELECT doc_id, l.quality AS label, doc_id AS seq, l.quality IS NULL AS asked FROM documents LEFT JOIN labels l USING (doc_id)",
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING") + """
+SELECT doc_id, label AS prediction FROM b WHERE rn = 1"""
+# epochs of 400 rows; both classes are among the labelled rows of the first one
+ORACLE["nb_stream"] = _nb_running(
+    """SELECT doc_id, l.quality AS label, (row_number() OVER (ORDER BY doc_id) - 1) // 400 AS seq, true AS asked
+           FROM documents LEFT JOIN labels l USING (doc_id)""",
+    "RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING") + """
+SELECT doc_id, CASE WHEN trained > 0 THEN label END AS prediction FROM b JOIN m USING (doc_id) WHERE rn = 1"""
+
 _VOTES = f"""{_EX}, {_NUMLONG}, {_gstats_sql()}, {_NOMLONG}, {_NSTATS},
 cw AS (SELECT label, CAST(count(*) AS DOUBLE) AS w FROM ex GROUP BY label),
 prior AS (SELECT label, w / sum(w) OVER () AS prior FROM cw),
@@ -638,6 +674,27 @@ def _train_sql(steps: int = 3, lr: float = 0.1, reg: float = 0.01) -> str:
 
 ORACLE["linear_train"] = _train_sql()
 
+
+def _linear_stream_sql(epochs: int = 4, size: int = 125, lr: float = 0.1, reg: float = 0.01) -> str:
+    """One gradient step an epoch, unrolled: tables of at most ``epochs * size`` vectors."""
+    ctes = [f"""e AS (SELECT vec_id, (row_number() OVER (ORDER BY vec_id) - 1) // {size} AS epoch, CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END AS y,
+                  list_append(list_transform(embedding, lambda x: x::DOUBLE), 1.0) AS xb FROM embeddings)""",
+            "ex AS (SELECT vec_id, epoch, y, unnest(xb) AS x, CAST(generate_subscripts(xb, 1) - 1 AS INTEGER) AS index FROM e)",
+            f"w0 AS (SELECT CAST(unnest(range(65)) AS INTEGER) AS index, unnest({_W0_SQL}) AS weight)"]
+    for s in range(epochs):
+        ctes.append(f"""d{s} AS (SELECT ex.vec_id, any_value(ex.y) AS y, sum(ex.x * w{s}.weight) AS dot
+                        FROM ex JOIN w{s} USING (index) WHERE epoch = {s} GROUP BY ex.vec_id)""")
+        ctes.append(f"""g{s} AS (SELECT ex.index, sum(ex.x * -(d{s}.dot - d{s}.y)) AS grad, count(*) AS n
+                        FROM ex JOIN d{s} USING (vec_id) GROUP BY ex.index)""")
+        ctes.append(f"""w{s + 1} AS (SELECT w{s}.index, w{s}.weight + {lr} * (g{s}.grad / g{s}.n + {reg} * (-w{s}.weight)) AS weight
+                        FROM w{s} JOIN g{s} USING (index))""")
+    rows = " UNION ALL ".join(f"SELECT vec_id, dot FROM d{s}" for s in range(epochs))
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT vec_id, round(dot, 6) AS score, CASE WHEN dot >= 0 THEN 1.0 ELSE 0.0 END AS prediction FROM ({rows})"""
+
+
+ORACLE["linear_stream"] = _linear_stream_sql()
+
 # ------------------------------------------------------------------ membership and search
 
 
@@ -673,6 +730,28 @@ q AS (SELECT c_custkey, c_custkey * 40 AS qs, {_at('c_custkey')} AS pos FROM cus
 a AS (SELECT q.c_custkey, bool_and(coalesce(f.first_seq < q.qs, false)) AS maybe
       FROM q LEFT JOIN first f ON f.pos = q.pos GROUP BY q.c_custkey)
 SELECT c_custkey, maybe, {_ANSWER} AS answer FROM a"""
+
+
+def _block_at(col: str) -> str:
+    """A value's bits in a blocked filter as (block, bit), one row each."""
+    h = [f"CAST('0x' || substr(md5(CAST({col} AS VARCHAR)), {p}, {n}) AS BIGINT)" for p, n in ((1, 14), (15, 8), (23, 8))]
+    inside = f"unnest(list_transform(range(0, k), lambda i: ({h[1]} % 32768 + i * (({h[2]} | 1) % 32768)) % 32768))"
+    return f"{h[0]} % ((m + 32767) // 32768) AS block, {inside} AS bit"
+
+
+ORACLE["bloom_probe_blocks"] = f"""
+WITH {_bloom("SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'", 'o_orderkey')},
+bits AS (SELECT DISTINCT block, bit FROM (SELECT {_block_at('o_orderkey')} FROM src, z) t),
+q AS (SELECT l_orderkey, {_block_at('l_orderkey')} FROM (SELECT DISTINCT l_orderkey FROM lineitem), z),
+a AS (SELECT q.l_orderkey, bool_and(bits.bit IS NOT NULL) AS maybe FROM q LEFT JOIN bits USING (block, bit) GROUP BY q.l_orderkey)
+SELECT {_LI_ORDER}, maybe FROM lineitem JOIN a USING (l_orderkey)"""
+ORACLE["bloom_probe_asof_blocks"] = f"""
+WITH {_bloom('SELECT l_orderkey, l_partkey FROM lineitem', 'l_partkey')},
+v AS (SELECT l_partkey, min(l_orderkey) AS first_seq FROM src GROUP BY l_partkey),
+p AS (SELECT l_partkey, first_seq, {_block_at('l_partkey')} FROM v, z),
+first AS (SELECT block, bit, min(first_seq) AS first_seq FROM p GROUP BY block, bit),
+a AS (SELECT p.l_partkey, max(first.first_seq) AS complete_at FROM p JOIN first USING (block, bit) GROUP BY p.l_partkey)
+SELECT {_LI_ORDER}, complete_at < l_orderkey AS maybe FROM lineitem JOIN a USING (l_partkey)"""
 ORACLE["substring_index"] = """
 SELECT substring(text, p, 4) AS gram, item_id AS id, CAST(p AS INTEGER) AS pos
 FROM (SELECT item_id, text, unnest(range(1, length(text) - 2)) AS p FROM benchmark

@@ -96,6 +96,13 @@ def q_follow_the_leader_sliding(spark, sf_dir):
     return out.select(*LINE_ORDER, "leader", "prediction")
 
 
+@register("follow_the_leader_long_window")
+def q_follow_the_leader_long_window(spark, sf_dir):
+    """C9 with the last thousand pairs."""
+    out = ordered.follow_the_leader(_line_ftl(spark, sf_dir), "x", "y", LINE_ORDER, window=1000)
+    return out.select(*LINE_ORDER, "leader", "prediction")
+
+
 @register("follow_the_leader_keyed")
 def q_follow_the_leader_keyed(spark, sf_dir):
     out = ordered.follow_the_leader(_line_ftl(spark, sf_dir), "x", "y", LINE_ORDER, ["l_suppkey"])
@@ -550,6 +557,17 @@ def q_nb_prequential(spark, sf_dir):
     return out.filter(F.col("cmd") == "QUERY").select(*LINE_ORDER, "prediction")
 
 
+@register("nb_prequential_words")
+def q_nb_prequential_words(spark, sf_dir):
+    """F5 on word counts: in the order of their ids, labelled documents are examples and the others queries."""
+    docs = table(spark, sf_dir, "documents")
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    rows = vec.word_counts(docs, "doc_id", "text", "tf").join(lab, "doc_id", "left").withColumn(
+        "cmd", F.when(F.col("label").isNotNull(), "EXAMPLE").otherwise("QUERY"))
+    out = bayes.nb_prequential_entries(rows, ["doc_id"], "tf", "label", "cmd", ["doc_id"], classes=[0, 1])
+    return out.filter(F.col("prediction").isNotNull())
+
+
 def _observer_votes(spark, sf_dir, log10: bool) -> DataFrame:
     ex = _line_examples(spark, sf_dir)
     g = observers.gaussian_stats(_numeric_long(ex))
@@ -897,6 +915,27 @@ def q_bloom_probe_asof(spark, sf_dir):
                                        ["c_custkey"], membership.distinct_values(orders, "o_custkey"), BLOOM_FPP)
 
 
+def _finished(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F").select("o_orderkey")
+
+
+@register("bloom_probe_blocks")
+def q_bloom_probe_blocks(spark, sf_dir):
+    """D2 on a blocked filter: order lines against the finished orders."""
+    n = membership.distinct_values(_finished(spark, sf_dir), "o_orderkey")
+    bits = membership.bloom_build(_finished(spark, sf_dir), "o_orderkey", n, BLOOM_FPP, blocked=True)
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_ORDER)
+    return membership.bloom_probe(bits, lines, "l_orderkey", LINE_ORDER, n, BLOOM_FPP).drop("answer")
+
+
+@register("bloom_probe_asof_blocks")
+def q_bloom_probe_asof_blocks(spark, sf_dir):
+    """D3 on a blocked filter: was a line's part ordered under a smaller order key?"""
+    data = table(spark, sf_dir, "lineitem").select(*LINE_ORDER, "l_partkey")
+    return membership.bloom_probe_asof(data, "l_partkey", "l_orderkey", data, "l_partkey", "l_orderkey", LINE_ORDER,
+                                       membership.distinct_values(data, "l_partkey"), BLOOM_FPP, blocked=True).drop("answer")
+
+
 SUBSTRING_Q = 4
 
 
@@ -1030,6 +1069,7 @@ def q_read_text_features(spark, sf_dir):
 from driftwood.operators import dataflow  # noqa: E402
 from driftwood.sources import sinks as stream_sinks  # noqa: E402
 from driftwood.streaming import keyed as stream_keyed  # noqa: E402
+from driftwood.streaming import learners as stream_learners  # noqa: E402
 from driftwood.streaming import ordered as stream_ordered  # noqa: E402
 from driftwood.streaming import runner  # noqa: E402
 
@@ -1121,6 +1161,30 @@ def q_bloom_stream(spark, sf_dir):
         F.col("value").alias("c_custkey"), "maybe", "answer")
 
 
+NB_ROWS_PER_EPOCH = 400
+LINEAR_ROWS_PER_EPOCH = 125
+
+
+@register("nb_stream")
+def q_nb_stream(spark, sf_dir):
+    """F1, F2, F4 test-then-train: every document is answered by the labelled documents of earlier epochs."""
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    rows = vec.word_counts(table(spark, sf_dir, "documents"), "doc_id", "text", "tf").join(lab, "doc_id", "left")
+    staged = runner.stage_files(rows, ["doc_id"], None, "nb-stream-src", rows_per_epoch=NB_ROWS_PER_EPOCH)
+    return runner.run_file_stream(spark, staged, rows.schema,
+                                  runner.StatefulBatches(spark, stream_learners.nb_step(["doc_id"], "tf"), "nb-stream")).drop("epoch")
+
+
+@register("linear_stream")
+def q_linear_stream(spark, sf_dir):
+    """I2, I8 test-then-train: one gradient step an epoch, vectors arriving by id."""
+    rows = _emb_binary(spark, sf_dir)
+    step = stream_learners.linear_step(["vec_id"], "embedding", "y", 64, learning_rate=0.1, reg="l2", reg_param=0.01, init=LINEAR_W0)
+    staged = runner.stage_files(rows, ["vec_id"], None, "linear-stream-src", rows_per_epoch=LINEAR_ROWS_PER_EPOCH)
+    out = runner.run_file_stream(spark, staged, rows.schema, runner.StatefulBatches(spark, step, "linear-stream"))
+    return out.select("vec_id", F.round("score", 6).alias("score"), "prediction")
+
+
 @register("substring_search_stream")
 def q_substring_search_stream(spark, sf_dir):
     """Documents (strings, arriving by doc id) and benchmark items (queries,

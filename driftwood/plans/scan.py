@@ -271,42 +271,3 @@ def kadane_final(df: DataFrame, x: Column, order_cols, key_cols=(), *,
     zero = F.lit(0).cast("long")
     best = F.greatest(zero, F.max(F.greatest("_B", F.col("_h_in") + F.col("_C"))))
     return s2.groupBy(*key_cols).agg(best.alias(name))
-
-
-def with_lags(df: DataFrame, cols: Sequence[str], k: int, order_cols, key_cols=(), *,
-              prefix: str = "_lag", **bucket_opts) -> DataFrame:
-    """Append ``{prefix}{i}_{col}`` = value of ``col`` ``i`` rows earlier (i = 1..k).
-
-    Rows before the start of the key's stream give null.  Lags that reach
-    across a bucket start come from a bounded tail (the last ``k`` rows) of
-    the previous ``k`` buckets, so no task ever holds more than a bucket.
-    """
-    order_cols, key_cols = _as_list(order_cols), _as_list(key_cols)
-    cols = list(cols)
-    base, _ = add_range_bucket(df, order_cols, key_cols=key_cols, **bucket_opts)
-    g = [*key_cols, BUCKET]
-    w = Window.partitionBy(*g).orderBy(*order_cols)
-    wall = Window.partitionBy(*g)  # same partitioning and sort: no second sort
-    local = base.select("*", (F.row_number().over(w) - 1).alias("_rn"),
-                        F.count(F.lit(1)).over(wall).alias("_cnt"),
-                        *[F.lag(c, i).over(w).alias(f"{prefix}{i}_{c}")
-                          for i in range(1, k + 1) for c in cols])
-    tail_struct = F.struct(*[F.col(c).alias(f"o{j}") for j, c in enumerate(order_cols)],
-                           *[F.col(c).alias(f"v_{c}") for c in cols])
-    tails = (local.filter(F.col("_cnt") - F.col("_rn") <= k)
-             .groupBy(*g).agg(F.sort_array(F.collect_list(tail_struct)).alias("_tail")))
-    wprev = Window.partitionBy(*key_cols).orderBy(BUCKET).rowsBetween(-k, -1)
-    carry = tails.select(*g, F.flatten(F.collect_list("_tail").over(wprev)).alias("_prev"))
-    carry = carry.select(*g, F.coalesce(F.slice("_prev", -k, k),
-                                        F.array().cast(carry.schema["_prev"].dataType))
-                         .alias("_prev"))
-    out = _join_carry(local, carry, key_cols)
-    sel = [F.col(c) for c in df.columns]
-    for i in range(1, k + 1):
-        # row with in-bucket index rn needs carry element (i - rn) from the end
-        idx = F.size("_prev") - (F.lit(i) - F.col("_rn")) + 1
-        for c in cols:
-            from_carry = F.when(idx >= 1, F.element_at("_prev", F.greatest(idx, F.lit(1)))[f"v_{c}"])
-            sel.append(F.when(F.col("_rn") >= i, F.col(f"{prefix}{i}_{c}"))
-                       .otherwise(from_carry).alias(f"{prefix}{i}_{c}"))
-    return out.select(*sel)

@@ -96,15 +96,13 @@ def test_substring_index_positions(spark):
     assert got == [("abc", 1), ("bcd", 2), ("cde", 3)]
 
 
-def test_bloom_blocks(spark, monkeypatch):
+def test_bloom_blocks(spark):
     """Blocked filters: no false negatives, a rate within three times the target, no k rows a query."""
-    monkeypatch.setattr(M, "LITERAL_BITS", 0)
-    monkeypatch.setattr(M, "LITERAL_FIRST", 0)
     n, fpp = 20_000, 0.01  # 6 blocks
     data = spark.range(n).select(F.col("id").alias("v"), (F.col("id") * 2).alias("seq"))
-    bits = M.bloom_build(data, "v", n, fpp)
+    bits = M.bloom_build(data, "v", n, fpp, blocked=True)
     assert bits.count() == -(-M.bloom_size(n, fpp)[0] // M.BLOCK_BITS)
-    halves = M.bloom_merge(M.bloom_build(data.filter("v < 9000"), "v", n, fpp), M.bloom_build(data.filter("v >= 9000"), "v", n, fpp))
+    halves = M.bloom_merge(M.bloom_build(data.filter("v < 9000"), "v", n, fpp, blocked=True), M.bloom_build(data.filter("v >= 9000"), "v", n, fpp, blocked=True))
     assert {(r.block, bytes(r.bits)) for r in halves.collect()} == {(r.block, bytes(r.bits)) for r in bits.collect()}
     q = spark.range(3 * n).select(F.col("id").alias("v"), F.lit(n).alias("qs"))
     probed = M.bloom_probe(bits, q, "v", ["v"], n, fpp)
@@ -114,9 +112,9 @@ def test_bloom_blocks(spark, monkeypatch):
     assert len(got) == 3 * n and all(got[v] for v in range(n))
     assert sum(got[v] for v in range(n, 3 * n)) / (2 * n) <= 3 * fpp
     # as of: exactly the filter of the values that came earlier
-    seen = M.bloom_build(data.filter(f"seq < {n}"), "v", n, fpp)
+    seen = M.bloom_build(data.filter(f"seq < {n}"), "v", n, fpp, blocked=True)
     want = {r.v: r.maybe for r in M.bloom_probe(seen, q, "v", ["v"], n, fpp).collect()}
-    assert {r.v: r.maybe for r in M.bloom_probe_asof(data, "v", "seq", q, "v", "qs", ["v"], n, fpp).collect()} == want
-    parts = [M.bloom_first_seen(data.filter(c), "v", "seq", n, fpp) for c in ("v % 2 = 0", "v % 2 = 1")]
+    assert {r.v: r.maybe for r in M.bloom_probe_asof(data, "v", "seq", q, "v", "qs", ["v"], n, fpp, blocked=True).collect()} == want
+    parts = [M.bloom_first_seen(data.filter(c), "v", "seq", n, fpp, blocked=True) for c in ("v % 2 = 0", "v % 2 = 1")]
     split = M.probe_first_seen(M.merge_first_seen(*parts), q, "v", "qs", ["v"], n, fpp)
     assert {r.v: r.maybe for r in split.collect()} == want
