@@ -1,23 +1,24 @@
 """Training-order materialisation of token ids (operator 1).
 
 1. A task runs its documents' ids (each followed by the end id) together and
-   cuts them into sequences of ``length`` ids; only a task's last one is padded.
-   A sequence's number is task * 2^32 + its place.
-2. A Feistel network keyed by ``key`` permutes 2^(2h) >= D numbers, D = 2^32 *
-   ``max_tasks``; numbers that land outside D walk on along their cycle until they are inside.
-   So the sequences are scattered over D evenly and without collisions.
-3. Ranges of the permuted numbers are the shards.  A task sorts its range and
+   cuts them into sequences of ``length`` ids; only a task's last one is padded. The sequences
+   are written once, as a table ``(task, place, ...)``.
+2. The tasks' counts (one row a task) number the N sequences densely, by task and place.
+3. A Feistel network keyed by ``key`` permutes 2^(2h) >= N numbers; numbers that land outside
+   0 .. N-1 walk on along their cycle until they are inside. The image of a sequence's
+   number is its global slot.
+4. Ranges of slots are the shards, of ``shard_bytes`` at most. A task sorts its range and
    writes it as blocks of ``block`` sequences of fixed stride (``length``
-   ids of 2 bytes, 4 for vocabularies beyond 65,536), uncompressed: sequence k of a shard
-   is in block k // block at byte k % block * stride.
-4. A manifest has each shard's first slot; slot = first + place.  Slots are
-   dense, 0 to N - 1, in order of the permuted numbers.  ``read_slots`` reads
-   on from any slot, through the blocks that hold it and what follows.
+   ids of 2 bytes, 4 for vocabularies beyond 65,536), uncompressed: slot s lies in shard
+   s // w (w: slots a shard), its k-th sequence (k = s mod w) in block k // block at byte
+   k % block * stride.
+5. A manifest has each shard's first slot. ``read_slots`` reads on from any slot, through
+   the blocks that hold it and what follows.
 
-Tokenising runs once.  Ids go through one shuffle, zstd-compressed by sequence; the
-shards take even shares of it whatever the documents hold.  The order depends on
-``key`` and on how the input is cut into tasks, not on the run: lost tasks
-write the same again.
+Tokenising runs once, and ids go through one shuffle, zstd-compressed by sequence; shards take even
+shares of it whatever the documents hold.  The order depends on ``key`` and on how
+the input is cut into tasks, not on the run: the table of sequences is fixed once written, lost
+tasks write the same again.
 
 Defined results: a null or empty text is the end id alone; repeated rows and
 null ids are sequences like any others; an empty table gives no shards.
@@ -57,7 +58,10 @@ class Permutation:
         return x ^ (x >> _U(31))
 
     def _walk(self, x: np.ndarray, step) -> np.ndarray:
-        x = step(np.asarray(x, dtype=_U))
+        x = np.asarray(x, dtype=np.int64)
+        if len(x) and not 0 <= x.min() <= x.max() < self.size:
+            raise ValueError(f"a number is outside 0 .. {self.size - 1}")
+        x = step(x.astype(_U))
         outside = np.flatnonzero(x >= _U(self.size))
         while len(outside):
             x[outside] = step(x[outside])
@@ -85,17 +89,14 @@ class Permutation:
         return self._walk(y, self._backwards)
 
 
-_SEQUENCES = "number bigint, shard bigint, n_ids bigint, first_doc bigint, first_start bigint, data binary"
+_SEQUENCES = "task bigint, place bigint, n_ids bigint, first_doc bigint, first_start bigint, data binary"
+_DEALT = "slot bigint, shard bigint, n_ids bigint, first_doc bigint, first_start bigint, data binary"
 _BLOCKS = "shard bigint, block bigint, n bigint, n_ids array<bigint>, first_doc array<bigint>, first_start array<bigint>, data binary"
 
 
-def _sequences(docs: DataFrame, length: int, dtype: str, end_id: int, order: Permutation, shards: int, paths) -> DataFrame:
-    width = -(-order.size // shards)
-
+def _sequences(docs: DataFrame, length: int, dtype: str, end_id: int, paths) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard as z
-
-        encode, shrink = bpe(paths).ids, z.ZstdCompressor(level=1).compress
+        encode = bpe(paths).ids
         task, made, out = TaskContext.get().partitionId(), 0, []
         held: list[tuple] = []  # (doc, start, ids) not yet in a sequence
         size = 0
@@ -112,7 +113,7 @@ def _sequences(docs: DataFrame, length: int, dtype: str, end_id: int, order: Per
                     n = len(part)
                     if n < length:
                         part = np.concatenate((part, np.full(length - n, end_id, dtype=dtype)))
-                    out.append((made, n, held[k][0], held[k][1] + c - int(starts[k]), shrink(part.tobytes())))
+                    out.append((made, n, held[k][0], held[k][1] + c - int(starts[k]), part.tobytes()))
                     made += 1
                 end = len(ids) if last else int(cuts[-1]) + length
                 k = int(np.searchsorted(starts, end, side="right")) - 1
@@ -123,11 +124,10 @@ def _sequences(docs: DataFrame, length: int, dtype: str, end_id: int, order: Per
                     held = []
                 size = len(ids) - end
             if out and (last or len(out) >= 500):
-                number = order((task << 32) + np.array([o[0] for o in out], dtype=np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(number), pa.array(number // width), *(pa.array([o[i] for o in out], pa.int64()) for i in (1, 2, 3)),
+                    [pa.array([task] * len(out), pa.int64()), *(pa.array([o[i] for o in out], pa.int64()) for i in range(4)),
                      pa.array([o[4] for o in out], pa.binary())],
-                    names=["number", "shard", "n_ids", "first_doc", "first_start", "data"])
+                    names=["task", "place", "n_ids", "first_doc", "first_start", "data"])
                 out.clear()
 
         for b in batches:
@@ -142,16 +142,44 @@ def _sequences(docs: DataFrame, length: int, dtype: str, end_id: int, order: Per
     return docs.mapInArrow(run, _SEQUENCES)
 
 
+def _slots(sequences: DataFrame, tasks: np.ndarray, before: np.ndarray, order: Permutation, width: int) -> DataFrame:
+    """Every sequence's slot and shard; ``before``: the sequences of all tasks before each of ``tasks`` (ascending)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard as z
+
+        shrink = z.ZstdCompressor(level=3).compress
+        for b in batches:
+            task, place = (b.column(c).to_numpy() for c in ("task", "place"))
+            slot = order(before[np.searchsorted(tasks, task)] + place)
+            data = pa.array([shrink(x) for x in b.column("data").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(slot), pa.array(slot // width), *(b.column(c) for c in ("n_ids", "first_doc", "first_start")), data],
+                names=["slot", "shard", "n_ids", "first_doc", "first_start", "data"])
+
+    return sequences.mapInArrow(run, _DEALT)
+
+
 def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", length: int = 2048, key: int = 42,
-                 shards: int | None = None, block: int = 128, end_id: int = 0, max_tasks: int = 3_000_000,
+                 shards: int | None = None, block: int = 128, end_id: int = 0, shard_bytes: int = 1 << 30,
                  paths: tuple[str, str] | None = None) -> None:
-    """Write the sequences of ``df`` in training order under ``path`` (``blocks`` and ``manifest``)."""
+    """Write the sequences of ``df`` in training order under ``path`` (``sequences``, ``blocks`` and ``manifest``).
+
+    ``shards``: as many (None: of ``shard_bytes`` at most, and at least one a shuffle partition).
+    """
     spark, paths = df.sparkSession, paths or default_paths()
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     dtype = "<u2" if bpe(paths).size <= 1 << 16 else "<u4"
-    order = Permutation(max_tasks << 32, key)
-    rows = _sequences(text_rows(df, id_col, text_col), length, dtype, end_id, order, shards, paths)
-    dealt = rows.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("number")  # a shard a task
+    stride = length * int(dtype[-1])
+    _sequences(text_rows(df, id_col, text_col), length, dtype, end_id, paths).write.option("compression", "zstd") \
+        .option("parquet.enable.dictionary", "false").parquet(f"{path}/sequences")
+    sequences = spark.read.schema(_SEQUENCES).parquet(f"{path}/sequences")
+    counts = sorted((r["task"], r["n"]) for r in sequences.groupBy("task").agg(F.count(F.lit(1)).alias("n")).collect())  # one row a task
+    tasks, sizes = (np.array([c[i] for c in counts], dtype=np.int64) for i in (0, 1))
+    total = int(sizes.sum())
+    shards = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total * stride // shard_bytes))
+    width = max(1, -(-total // shards))
+    rows = _slots(sequences, tasks, np.cumsum(sizes) - sizes, Permutation(max(1, total), key), width)
+    dealt = rows.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("slot")  # a shard a task
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard as z
@@ -181,13 +209,7 @@ def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     dealt.mapInArrow(blocks, _BLOCKS).write.option("compression", "none").option("parquet.enable.dictionary", "false") \
         .parquet(f"{path}/blocks")
-    # one row a shard
-    sizes = sorted((r["shard"], r["n"]) for r in spark.read.schema(_BLOCKS).parquet(f"{path}/blocks").groupBy("shard").agg(
-        F.sum("n").alias("n")).collect())
-    first, manifest = 0, []
-    for shard, n in sizes:
-        manifest.append((shard, first, n, block, length * int(dtype[-1]), dtype))
-        first += n
+    manifest = [(k, k * width, min(width, total - k * width), block, stride, dtype) for k in range(-(-total // width))]
     spark.createDataFrame(manifest, "shard bigint, first_slot bigint, n bigint, block bigint, stride bigint, dtype string") \
         .coalesce(1).write.parquet(f"{path}/manifest")
 

@@ -6,6 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from driftwood.llm import packing, simhash, training_order
 from driftwood.llm.components import components
@@ -176,6 +177,8 @@ def test_permutation_is_a_bijection():
     wide = training_order.Permutation(3_000_000 << 32, 1)
     x = np.arange(0, 1 << 40, (1 << 40) // 999)
     assert (wide.inverse(wide(x)) == x).all()
+    with pytest.raises(ValueError):
+        training_order.Permutation(1000, 1)(np.arange(1000, 1024))
     assert (training_order.Permutation(1000, 1)(np.arange(1000)) != training_order.Permutation(1000, 2)(np.arange(1000))).any()
 
 
@@ -195,6 +198,14 @@ def test_training_order_round_trip(docs_of, spark, tmp_path):
         own = ids[r.first_doc][r.first_start:r.first_start + 128][:r.n_ids]
         assert r.ids[:len(own)] == own
         assert r.ids_crc32 == zlib.crc32(np.array(r.ids[:r.n_ids], dtype="<u4").tobytes())
+    # a sequence's slot is the image of its dense number under the permutation of 0 .. N-1
+    tasks = {}
+    for r in df.withColumn("p", F.spark_partition_id()).collect():
+        tasks.setdefault(r.p, []).extend(encode(r.text or "") + [0])
+    dense = [run[k:k + 128] for _, run in sorted(tasks.items()) for k in range(0, len(run), 128)]
+    slots = training_order.Permutation(len(all_rows), 42)(np.arange(len(dense)))
+    assert len(dense) == len(all_rows) and all(all_rows[s].ids[:all_rows[s].n_ids] == ids for s, ids in zip(slots, dense))
+    assert {r.slot - r.place for r in all_rows} == {k * -(-len(dense) // 5) for k in range(5)}
     part = sorted(training_order.read_slots(spark, path, 37, 81).collect(), key=lambda r: r.slot)
     assert part == all_rows[37:81]
     again = str(tmp_path / "again")
