@@ -836,6 +836,41 @@ class HoeffdingTree:
                                            "kind string, feature int, test string, value double, "
                                            "class_dist array<double>")
 
+    # ------------------------------------------------------------------ J6 the model as tables
+    def model_tables(self, spark) -> dict[str, DataFrame]:
+        """The model as tables, for ``ensemble.save_model`` and streams: ``nodes``, ``moments`` and ``values``
+        (statistics of the open leaves), ``given_up`` features and ``progress``. The options are not part of it."""
+        more = spark.createDataFrame([(n.id, n.n_branches, float(n.addon), float(n.mc_correct), float(n.nb_correct)) for n in self.nodes.values()],
+                                     "node_id int, branches int, addon double, mc_correct double, nb_correct double")
+        moments, _ = self.stats_frames(spark)
+        values = [(*k, float(v)) for k, v in self.n.items()]
+        given_up = [(leaf, f) for leaf, features in self.poor.items() for f in sorted(features)]
+        return {"nodes": self.nodes_df(spark).join(more, "node_id"), "moments": moments,
+                "values": spark.createDataFrame(values, "leaf int, feature int, label int, value double, w double"),
+                "given_up": spark.createDataFrame(given_up, "leaf int, feature int"),
+                "progress": spark.createDataFrame([(self.blocks_seen, {int(k): float(v) for k, v in self.offset.items()})],
+                                                  "blocks_seen bigint, offset map<int,double>")}
+
+    def load_tables(self, tables: dict[str, DataFrame]) -> HoeffdingTree:
+        """Take over a model that ``model_tables`` of a tree with the same options gave; training goes on where it ended.
+
+        The tables are as small as the model and are read on the driver, where the tree lives."""
+        nodes = {r["node_id"]: r for r in tables["nodes"].collect()}
+        self.nodes = {i: Node(i, r["parent_id"], r["branch"], r["depth"], r["kind"], list(r["class_dist"]), r["feature"], r["test"], r["value"],
+                              r["branches"], {}, r["addon"], r["mc_correct"], r["nb_correct"]) for i, r in sorted(nodes.items())}
+        for n in self.nodes.values():
+            if n.parent is not None:
+                self.nodes[n.parent].children[n.branch] = n.id
+        self.next_id = max(self.nodes) + 1
+        self.g = {(r["leaf"], r["feature"], r["label"]): [r["n"], r["mean"], r["m2"], r["min"], r["max"]] for r in tables["moments"].collect()}
+        self.n = {(r["leaf"], r["feature"], r["label"], r["value"]): r["w"] for r in tables["values"].collect()}
+        self.poor = {}
+        for r in tables["given_up"].collect():
+            self.poor.setdefault(r["leaf"], set()).add(r["feature"])
+        row = tables["progress"].first()
+        self.blocks_seen, self.offset = row["blocks_seen"], dict(row["offset"])
+        return self
+
     def rules(self, spark) -> DataFrame:
         """One rule per leaf (conditions from the root, joined by AND).
 

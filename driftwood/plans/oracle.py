@@ -602,6 +602,7 @@ SELECT feature, round(f_stat, 6) AS f_stat, df_between, df_within,
 from driftwood.plans.tree_oracle import tree_sql  # noqa: E402
 
 ORACLE.update(tree_sql(_EX, _phi_sql, _info_gain_sql))
+ORACLE["ht_save_load"] = ORACLE["ht_predict_nb"]
 
 # ------------------------------------------------------------------ linear models
 import math as _math  # noqa: E402

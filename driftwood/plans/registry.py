@@ -776,6 +776,15 @@ def q_ht_predict_nb(spark, sf_dir):
     return _trained_tree(spark, sf_dir, "nb").predict(_line_examples(spark, sf_dir), LINE_ORDER)
 
 
+@register("ht_save_load")
+def q_ht_save_load(spark, sf_dir):
+    """The trained tree's tables, saved and read into another tree, which then predicts."""
+    trained, path = _trained_tree(spark, sf_dir, "nb").model_tables(spark), scratch_path(spark, "ht-model")
+    ensemble.save_model(trained, path)
+    loaded = _tree("nb").load_tables(ensemble.load_model(spark, path, list(trained)))
+    return loaded.predict(_line_examples(spark, sf_dir), LINE_ORDER)
+
+
 @register("ht_predict_adaptive")
 def q_ht_predict_adaptive(spark, sf_dir):
     return _trained_tree(spark, sf_dir, "adaptive").predict(_line_examples(spark, sf_dir), LINE_ORDER)

@@ -2,7 +2,9 @@ from pyspark.sql import functions as F
 
 import pytest
 
+from driftwood.operators.ensemble import load_model, save_model
 from driftwood.operators.tree import HoeffdingTree
+from driftwood.streaming.tree import tree_step
 from tests.plain_tree import Plain
 
 
@@ -220,3 +222,36 @@ def test_a_criterion_of_the_users_own(spark):
     assert _table(ht.fit(df, ["seq"], rows_per_block=100)) == _plain_table(plain) and len(ht.nodes) > 1
     with pytest.raises(ValueError):
         HoeffdingTree(["x"], 2, criterion="unknown")
+
+
+@pytest.mark.parametrize("options", [dict(split_all=True, leaf_type="nb", weight="w"), dict(remove_poor=True, leaf_type="adaptive")])
+def test_a_saved_tree_goes_on_learning(spark, tmp_path, options):
+    df = _noisy(spark, 3000)
+    make = lambda: HoeffdingTree(["x", "y", "z", "v"], 3, nominal={2: 3, 3: 5}, grace=100, **options)
+    halves = [df.filter("seq < 1500"), df.filter("seq >= 1500")]
+    straight = make()
+    for h in halves:
+        straight.train_block(h, ["seq"], ["seq"])
+    first = make()
+    first.train_block(halves[0], ["seq"], ["seq"])
+    save_model(first.model_tables(spark), str(tmp_path / "tree"))
+    again = make().load_tables(load_model(spark, str(tmp_path / "tree"), ["nodes", "moments", "values", "given_up", "progress"]))
+    assert _table(again) == _table(first) and again.g == first.g and again.n == first.n and again.poor == first.poor
+    again.train_block(halves[1], ["seq"], ["seq"])
+    assert _table(again) == _table(straight) and again.next_id == straight.next_id
+    mine, theirs = ({r.seq: r.prediction for r in t.predict(df, ["seq"]).collect()} for t in (again, straight))
+    assert mine == theirs
+
+
+def test_stream_state_is_tables_and_replays(spark):
+    df = _noisy(spark, 2000).withColumn("cmd", F.when(F.col("seq") % 4 == 0, "QUERY").otherwise("EXAMPLE"))
+    make = lambda: HoeffdingTree(["x", "y", "z", "v"], 3, nominal={2: 3, 3: 5}, grace=100, split_all=True)
+    epochs = [df.filter(f"seq >= {k} and seq < {k + 1000}") for k in (0, 1000)]
+    step = tree_step(make(), ["seq"], ["seq"])
+    _, state = step(epochs[0], None, 0)
+    state = spark.createDataFrame(state.collect(), state.schema)
+    answers = {r.seq: r.prediction for r in step(epochs[1], state, 1)[0].collect()}
+    # a replay of the epoch, and a step started anew, give the same answers as the running one
+    assert {r.seq: r.prediction for r in step(epochs[1], state, 1)[0].collect()} == answers
+    assert {r.seq: r.prediction for r in tree_step(make(), ["seq"], ["seq"])(epochs[1], state, 1)[0].collect()} == answers
+    assert len(answers) == 250 and len(set(answers.values())) > 1
