@@ -10,7 +10,8 @@ to -1 as the reference does; squared and perceptron use the raw label.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,18 @@ from driftwood.functions import vectors as vec
 LOSSES = ("squared", "hinge", "logistic", "perceptron")
 
 
+@dataclass(frozen=True)
+class Loss:
+    """A loss of the user's own, as Columns of label and score; it goes wherever a loss is named.
+
+    ``gradient`` is d loss / d score; ``predict`` the class of a score (1.0 from zero on if not given).
+    """
+
+    value: Callable[[Column, Column], Column]
+    gradient: Callable[[Column, Column], Column]
+    predict: Callable[[Column], Column] | None = None
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -41,9 +54,11 @@ def linear_score_sparse(features, weights: Sequence[float]) -> Column:
                        lambda acc, e: acc + F.get(w, e["key"].cast("int")) * e["value"].cast("double"))
 
 
-def linear_predict(dot, loss: str = "squared") -> Column:
+def linear_predict(dot, loss: str | Loss = "squared") -> Column:
     """1/0 class from the score."""
     d = _c(dot)
+    if isinstance(loss, Loss) and loss.predict is not None:
+        return loss.predict(d)
     if loss == "logistic":
         return F.when(F.lit(1.0) / (F.lit(1.0) + F.exp(-d)) > 0.5, F.lit(1.0)).otherwise(F.lit(0.0))
     return F.when(d >= 0, F.lit(1.0)).otherwise(F.lit(0.0))
@@ -55,9 +70,11 @@ def _pm1(label: Column, loss: str) -> Column:
     return F.when(label == 0, F.lit(-1.0)).otherwise(F.lit(1.0))
 
 
-def linear_loss(label, dot, loss: str = "squared") -> Column:
+def linear_loss(label, dot, loss: str | Loss = "squared") -> Column:
     """Per-example loss."""
     y, d = _c(label).cast("double"), _c(dot)
+    if isinstance(loss, Loss):
+        return loss.value(y, d)
     if loss in ("squared", "perceptron"):
         return F.lit(0.5) * (d - y) * (d - y)
     if loss == "hinge":
@@ -68,14 +85,16 @@ def linear_loss(label, dot, loss: str = "squared") -> Column:
     raise ValueError(loss)
 
 
-def linear_prob(dot, loss: str = "squared") -> Column:
+def linear_prob(dot, loss: str | Loss = "squared") -> Column:
     """I4: the reference's ``prob`` = loss(1, dot) (a loss, kept as documented)."""
     return linear_loss(F.lit(1.0), dot, loss)
 
 
-def loss_gradient(label, dot, loss: str = "squared") -> Column:
+def loss_gradient(label, dot, loss: str | Loss = "squared") -> Column:
     """d loss / d dot as the reference defines it (perceptron: label - predict)."""
     y, d = _c(label).cast("double"), _c(dot)
+    if isinstance(loss, Loss):
+        return loss.gradient(y, d)
     if loss == "squared":
         return d - y
     if loss == "hinge":
@@ -89,7 +108,7 @@ def loss_gradient(label, dot, loss: str = "squared") -> Column:
     raise ValueError(loss)
 
 
-def example_gradient(features, label, weights: Sequence[float], loss: str = "squared") -> Column:
+def example_gradient(features, label, weights: Sequence[float], loss: str | Loss = "squared") -> Column:
     """I5 per row: ``-loss'(y, d) * [x, 1]`` as an array."""
     xb = vec.append_bias(features)
     ch = -loss_gradient(label, vec.vec_dot(_weights(weights), xb), loss)
@@ -97,7 +116,7 @@ def example_gradient(features, label, weights: Sequence[float], loss: str = "squ
 
 
 def linear_gradient(df: DataFrame, features: str, label: str, weights: Sequence[float],
-                    loss: str = "squared") -> DataFrame:
+                    loss: str | Loss = "squared") -> DataFrame:
     """Summed gradient ``(index, grad)`` over the table, plus ``n``.
 
     ``features``: a dense array, or a map ``index -> value`` of which only the entries are
@@ -120,9 +139,15 @@ def linear_gradient(df: DataFrame, features: str, label: str, weights: Sequence[
                                   F.count(F.lit(1)).alias("n"))
 
 
-def regularize(w, kind: str = "l2") -> Column:
-    """Minus the penalty gradient of a weight: zero, L1 sign (0 -> +1), L2 weight."""
+#: A penalty of the user's own: minus its gradient at a weight, by arithmetic that numbers and Columns both have.
+Regularizer = str | Callable
+
+
+def regularize(w, kind: Regularizer = "l2") -> Column:
+    """Minus the penalty gradient of a weight: zero, L1 sign (0 -> +1), L2 weight, or a function of the user's own."""
     w = _c(w)
+    if callable(kind):
+        return kind(w)
     if kind == "zero":
         return F.lit(0.0) * w
     if kind == "l1":
@@ -132,12 +157,16 @@ def regularize(w, kind: str = "l2") -> Column:
     raise ValueError(kind)
 
 
-def regularize_py(w: float, kind: str) -> float:
+def regularize_py(w: float, kind: Regularizer) -> float:
+    if callable(kind):
+        return float(kind(w))
     if kind == "zero":
         return 0.0
     if kind == "l1":
         return -(1.0 if w >= 0 else -1.0)
-    return -w
+    if kind == "l2":
+        return -w
+    raise ValueError(kind)
 
 
 def linear_update(weights: DataFrame, change: DataFrame, scale: float = 1.0) -> DataFrame:
@@ -148,8 +177,8 @@ def linear_update(weights: DataFrame, change: DataFrame, scale: float = 1.0) ->
 
 
 def linear_train(df: DataFrame, features: str, label: str, num_features: int,
-                 loss: str = "squared", steps: int = 10, learning_rate: float = 0.1,
-                 reg: str = "zero", reg_param: float = 0.0,
+                 loss: str | Loss = "squared", steps: int = 10, learning_rate: float = 0.1,
+                 reg: Regularizer = "zero", reg_param: float = 0.0,
                  init: Sequence[float] | None = None) -> list[float]:
     """I8: block gradient descent, one Spark aggregation per step.
 

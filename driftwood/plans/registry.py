@@ -1165,7 +1165,10 @@ def q_bloom_stream(spark, sf_dir):
                                                  F.col("c_custkey").alias("value"))
     merged = dataflow.merge_streams(data, qs)
     n = membership.distinct_values(table(spark, sf_dir, "orders"), "o_custkey")
-    out = _stream_through(spark, merged, ["seq", "kind"], stream_membership.bloom_step(n=n, fpp=BLOOM_FPP), "bloom")
+    staged = runner.stage_files(merged, ["seq", "kind"], STREAM_FILES, "bloom-src")
+    run = runner.StatefulBatches(spark, stream_membership.bloom_step(n=n, fpp=BLOOM_FPP, append=True), "bloom", append_state=True,
+                                 merge=stream_membership.earliest)
+    out = runner.run_file_stream(spark, staged, merged.schema, run)
     return out.filter(F.col("kind") == "query").select(
         F.col("value").alias("c_custkey"), "maybe", "answer")
 

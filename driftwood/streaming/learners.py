@@ -44,8 +44,8 @@ def nb_step(id_cols: Sequence[str], features, label: str = "label", smoothing: f
     return step
 
 
-def linear_step(id_cols: Sequence[str], features: str, label: str, num_features: int, loss: str = "squared", steps: int = 1,
-                learning_rate: float = 0.1, reg: str = "zero", reg_param: float = 0.0, init: Sequence[float] | None = None):
+def linear_step(id_cols: Sequence[str], features: str, label: str, num_features: int, loss: str | linear.Loss = "squared", steps: int = 1,
+                learning_rate: float = 0.1, reg: linear.Regularizer = "zero", reg_param: float = 0.0, init: Sequence[float] | None = None):
     """Rows -> ``(id..., score, prediction)``; the labelled rows of an epoch make ``steps`` gradient steps."""
     start = [float(w) for w in init] if init is not None else [0.0] * (num_features + 1)
 

@@ -143,3 +143,30 @@ def test_linear_stream(spark):
             assert abs(got[i][0] - score) < 1e-9 and got[i][1] == (1.0 if score > 0 else 0.0)
         labelled = spark.createDataFrame([r for r in part if r[2] is not None], df.schema)
         w = linear.linear_train(labelled, "x", "y", 3, "logistic", 1, 0.1, init=w)
+
+
+def test_losses_and_penalties_of_the_users_own(spark):
+    rng = random.Random(8)
+    rows = [([rng.gauss(0, 1), rng.gauss(1, 2)], float(rng.random() < 0.4)) for _ in range(40)]
+    df = spark.createDataFrame(rows, "x array<double>, y double")
+    squared = linear.Loss(lambda y, d: F.lit(0.5) * (d - y) * (d - y), lambda y, d: d - y)
+    mine = linear.linear_train(df, "x", "y", 2, squared, 3, 0.1, reg=lambda w: w * -1.0, reg_param=0.05)
+    assert mine == linear.linear_train(df, "x", "y", 2, "squared", 3, 0.1, reg="l2", reg_param=0.05)
+    # Huber's loss, an elastic penalty and a threshold of its own against a loop
+    huber = linear.Loss(lambda y, d: F.when(F.abs(d - y) < 1, 0.5 * (d - y) * (d - y)).otherwise(F.abs(d - y) - 0.5),
+                        lambda y, d: F.greatest(F.lit(-1.0), F.least(F.lit(1.0), d - y)), lambda d: (d >= 0.5).cast("double"))
+    got = linear.linear_train(df, "x", "y", 2, huber, 4, 0.2, reg=lambda w: w * -0.5, reg_param=0.1)
+    w = [0.0] * 3
+    for _ in range(4):
+        g = [0.0] * 3
+        for x, y in rows:
+            xb = [*x, 1.0]
+            e = max(-1.0, min(1.0, sum(a * b for a, b in zip(w, xb)) - y))
+            g = [a - e * b for a, b in zip(g, xb)]
+        w = [a + 0.2 * (b / len(rows) - 0.1 * 0.5 * a) for a, b in zip(w, g)]
+    assert all(abs(a - b) < 1e-12 for a, b in zip(got, w))
+    s = df.select("y", linear.linear_score("x", got).alias("d")).select(
+        "y", "d", linear.linear_loss("y", "d", huber).alias("loss"), linear.linear_predict("d", huber).alias("p")).collect()
+    for r in s:
+        e = abs(r.d - r.y)
+        assert abs(r.loss - (0.5 * e * e if e < 1 else e - 0.5)) < 1e-12 and r.p == float(r.d >= 0.5)

@@ -54,6 +54,23 @@ def test_bloom_stream_equals_asof_probe(spark):
     assert out.filter("kind = 'data'").count() == 100  # data passes through
 
 
+def test_bloom_stream_adds_only_its_own_arrivals(spark):
+    rng = random.Random(5)
+    epochs = [[("data" if rng.random() < 0.6 else "query", 100 * e + k, rng.randrange(60)) for k in range(40)] for e in range(5)]
+    schema = "kind string, seq long, value long"
+    run = runner.StatefulBatches(spark, SM.bloom_step(append=True), "t-bloom-append", append_state=True, merge=SM.earliest, fan_in=2)
+    for e, rows in enumerate(epochs):
+        run(spark.createDataFrame(rows, schema), e)
+    df = spark.createDataFrame(sum(epochs, []), schema)
+    d, q = df.filter("kind = 'data'"), df.filter("kind = 'query'")
+    want = M.bloom_probe_asof(d, "value", "seq", q, "value", "seq", ["seq", "value"]).collect()
+    got = run.output().filter("kind = 'query'").collect()
+    assert {(r.seq, r.value): r.maybe for r in got} == {(r.seq, r.value): r.maybe for r in want}
+    assert run.runs(5) == [(0, 3), (4, 4)]
+    merged = spark.read.parquet(f"{run.state_dir}/run=0-3")
+    assert merged.count() == merged.select("pos").distinct().count()
+
+
 def test_generators(spark):
     ints = generators.random_ints(spark, 500, -1000, 100).collect()
     assert len(ints) == 500 and all(-1000 <= r.x < 100 for r in ints)
