@@ -3,9 +3,9 @@
 The model is two small additive tables, so training is a partial
 aggregation (map-side combine, then one shuffle of one row per
 ``(class, feature)`` per task) and merging two models is a union + sum.
-Scoring joins example entries to per-feature parameters; the parameter
-side holds one row per feature, so it is broadcast by AQE when small and
-skew-split otherwise.
+Scoring joins example entries to per-feature parameters, one row per feature: broadcast up to
+``BROADCAST_FEATURES`` rows. Beyond, the ``HOT_FEATURES`` of the greatest mass are broadcast, so that no
+frequent word is a join key, and only the entries of the others meet their parameters by a shuffle.
 """
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ from driftwood.functions import stats as S
 from driftwood.plans import scan
 from driftwood.session import written
 
+#: Features that are broadcast for scoring, and the most frequent ones of a larger model (one map of classes each).
+BROADCAST_FEATURES, HOT_FEATURES = 200_000, 20_000
+
 
 @dataclass
 class NBModel:
@@ -107,6 +110,21 @@ def _argmax_class(scores: dict, name: str = "prediction") -> Column:
     return best["c"].alias(name)
 
 
+def _with_params(ent: DataFrame, delta: DataFrame, model: NBModel) -> DataFrame:
+    """Entries with their feature's ``dm`` (null if unknown), without a hot join key."""
+    mass = model.feature_sums.groupBy("feature").agg(F.sum("mass").alias("_mass"))
+    if mass.count() <= BROADCAST_FEATURES:
+        return ent.join(F.broadcast(delta), "feature", "left")
+    hot = mass.orderBy(F.desc("_mass"), "feature").limit(HOT_FEATURES).select("feature")
+    first = delta.join(F.broadcast(hot), "feature", "left_semi").withColumnRenamed("dm", "_hot")
+    met = ent.join(F.broadcast(first), "feature", "left")
+    # entries that are served (or null) go to the second join under spread keys that meet nothing
+    done = F.col("_hot").isNotNull() | F.col("feature").isNull()
+    spread = met.withColumn("_salt", F.when(done, F.pmod(F.monotonically_increasing_id(), F.lit(4096)) + 1).otherwise(F.lit(0)))
+    rest = delta.withColumn("_salt", F.lit(0).cast("bigint"))
+    return spread.join(rest, ["feature", "_salt"], "left").withColumn("dm", F.coalesce("_hot", "dm")).drop("_hot", "_salt")
+
+
 def nb_predict(model: NBModel, df: DataFrame, id_cols: Sequence[str], features,
                smoothing: float = 1.0, num_features: int | None = None) -> DataFrame:
     """``(id..., prediction)`` = arg-max of log prior + sum x_j log cond.
@@ -124,8 +142,8 @@ def nb_predict(model: NBModel, df: DataFrame, id_cols: Sequence[str], features,
              .select("feature", F.struct("label", (F.col("log_cond") - F.col("log_default"))
                                          .alias("d")).alias("e"))
              .groupBy("feature").agg(F.map_from_entries(F.collect_list("e")).alias("dm")))
-    # the left join keeps rows whose features are all unknown, or that have none
-    ent = entries(df, id_cols, features, outer=True).join(delta, "feature", "left")
+    # the left joins keep rows whose features are all unknown, or that have none
+    ent = _with_params(entries(df, id_cols, features, outer=True), delta, model)
     known = F.when(F.col("dm").isNotNull(), F.col("x"))
     ids = ent.groupBy(*id_cols).agg(
         F.sum(known).alias("_X"),

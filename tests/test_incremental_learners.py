@@ -170,3 +170,15 @@ def test_losses_and_penalties_of_the_users_own(spark):
     for r in s:
         e = abs(r.d - r.y)
         assert abs(r.loss - (0.5 * e * e if e < 1 else e - 0.5)) < 1e-12 and r.p == float(r.d >= 0.5)
+
+
+def test_large_models_score_without_hot_words(spark, monkeypatch):
+    rows = _documents(120, random.Random(3))
+    df = spark.createDataFrame([(i, None if lab is None else lab % 2, w) for i, _, lab, w in rows], "id long, label int, tf map<string,double>")
+    odd = spark.createDataFrame([(500, None, None), (501, None, {"never": 2.0}), (502, None, {"the": 1.0, "never": 1.0})], df.schema)
+    model = bayes.nb_train(df.filter("label is not null"), "tf")
+    want = {r.id: r.prediction for r in bayes.nb_predict(model, df.union(odd), ["id"], "tf").collect()}
+    monkeypatch.setattr(bayes, "BROADCAST_FEATURES", 4)
+    monkeypatch.setattr(bayes, "HOT_FEATURES", 3)
+    got = {r.id: r.prediction for r in bayes.nb_predict(model, df.union(odd), ["id"], "tf").collect()}
+    assert got == want and len(got) == 123
