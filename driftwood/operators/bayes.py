@@ -21,7 +21,7 @@ from driftwood.functions import stats as S
 from driftwood.plans import scan
 from driftwood.session import written
 
-#: Features that are broadcast for scoring, and the most frequent ones of a larger model (one map of classes each).
+#: Pairs of feature and class that are broadcast for scoring, and the most frequent ones features of a larger model (one map of classes each).
 BROADCAST_FEATURES, HOT_FEATURES = 200_000, 20_000
 
 
@@ -112,9 +112,9 @@ def _argmax_class(scores: dict, name: str = "prediction") -> Column:
 
 def _with_params(ent: DataFrame, delta: DataFrame, model: NBModel) -> DataFrame:
     """Entries with their feature's ``dm`` (null if unknown), without a hot join key."""
-    mass = model.feature_sums.groupBy("feature").agg(F.sum("mass").alias("_mass"))
-    if mass.count() <= BROADCAST_FEATURES:
+    if model.feature_sums.count() <= BROADCAST_FEATURES:  # from the written table's footers
         return ent.join(F.broadcast(delta), "feature", "left")
+    mass = model.feature_sums.groupBy("feature").agg(F.sum("mass").alias("_mass"))
     hot = mass.orderBy(F.desc("_mass"), "feature").limit(HOT_FEATURES).select("feature")
     first = delta.join(F.broadcast(hot), "feature", "left_semi").withColumnRenamed("dm", "_hot")
     met = ent.join(F.broadcast(first), "feature", "left")

@@ -205,6 +205,7 @@ def ftl_sums(base, bank: _Bank, order_cols, key_cols, bucket_opts):
 
 #: Rows of a run in the sliding form, at least; a run is read together with the ``window`` rows before it.
 RUN_ROWS = 100_000
+SHORT_WINDOW = 32
 
 
 def _ftl_sliding(base, bank: _Bank, win, order_cols, key_cols, bucket_opts, run_rows: int | None = None):
@@ -236,10 +237,32 @@ def _sliding_arrays(df: DataFrame, col: str, first: str, name: str, size: int, w
     A window is the end of one stretch of ``win`` rows and the start of the next: sums from
     the right of the former, sums from the left of the latter.  Nothing is subtracted, so large
     past values leave no error behind, and a row costs two additions a hypothesis whatever ``win`` is.
+    Windows up to ``SHORT_WINDOW`` add whole shifted batches instead, one addition a row of the window.
     """
     names = list(df.columns)
     at, new = names.index(col), names.index(first)
 
+    def short(batches):
+        tail = np.zeros((win - 1, size))  # the rows before, of the same run
+        for b in batches:
+            values = b.column(at).flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+            starts = np.flatnonzero(b.column(new).to_numpy(zero_copy_only=False))
+            cuts = np.unique(np.concatenate(([0], starts, [len(values)])))
+            out = np.empty_like(values)
+            for s, e in zip(cuts[:-1], cuts[1:]):
+                if s in starts:
+                    tail = np.zeros((win - 1, size))
+                rows = np.concatenate((tail, values[s:e]))
+                total = rows[:e - s].copy()
+                for k in range(1, win):
+                    total += rows[k:k + e - s]
+                out[s:e], tail = total, rows[len(rows) - win + 1:]
+            yield summed(b, out)
+
+    def summed(b, out):
+        sums = pa.ListArray.from_arrays(np.arange(0, out.size + 1, size, dtype=np.int32), out.ravel())
+        return pa.RecordBatch.from_arrays([*b.columns, sums], names=[*names, name])
+
     def run(batches):
         ends = np.zeros((win + 1, size))  # sums of the last rows of the full stretch before: ends[i] leaves out i rows
         now, fill, total = np.empty((win, size)), 0, np.zeros(size)
@@ -264,11 +287,10 @@ def _sliding_arrays(df: DataFrame, col: str, first: str, name: str, size: int, w
                 if fill == win:
                     ends[:win] = np.cumsum(now[::-1], axis=0)[::-1]
                     ends[win], fill = 0.0, 0
-            sums = pa.ListArray.from_arrays(np.arange(0, out.size + 1, size, dtype=np.int32), out.ravel())
-            yield pa.RecordBatch.from_arrays([*b.columns, sums], names=[*names, name])
+            yield summed(b, out)
 
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.DoubleType()))])
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(short if win <= SHORT_WINDOW else run, schema)
 
 
 # ---------------------------------------------------------------- B3, B4

@@ -82,7 +82,7 @@ def test_long_windows_match_a_loop(spark, monkeypatch):
     rng = random.Random(2)
     pairs = [(float(rng.randint(0, 12)), float(rng.randint(0, 200))) for _ in range(2500)]
     df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pairs)], "seq long, x double, y double").repartition(5)
-    for run_rows, window in ((1, 40), (1000, 100), (100_000, 1000), (100_000, 5000), (7, 1)):
+    for run_rows, window in ((1, 40), (1000, 100), (100_000, 1000), (100_000, 5000), (7, 1), (7, 9)):
         monkeypatch.setattr(ordered, "RUN_ROWS", run_rows)
         got = ordered.follow_the_leader(df, "x", "y", ["seq"], window=window, rows_per_bucket=400).orderBy("seq").collect()
         assert [(r.leader, r.prediction) for r in got] == ftl_loop(pairs, list(range(31)), window)
