@@ -1,9 +1,10 @@
 """Keyed streams whose state lives in Spark's state store.
 
-One stateful processor per operator; an epoch reads and writes the state of the keys that
-occur in it and no others, whatever the number of keys seen before (RocksDB
-keeps them, see ``session.get_spark``).  Spark checkpoints the state with the query's offsets, so a
-restarted query goes on where it ended.
+A recurrence over a key's rows per operator; an epoch reads and writes the state of the keys that
+occur in it and no others, whatever the number of keys seen before (any state store
+keeps them; RocksDB, see ``session.get_spark``, off the heap).  Spark checkpoints the state with the query's offsets, so a
+restarted query goes on where it ended.  What the tasks run travels by value: nothing is
+imported from this package outside the driver.
 
 A key's rows of an epoch come in chunks of any order, so they are put in order first:
 an epoch's rows of one key must fit a task, which the source's rate limit decides.  Where one key may hold
@@ -12,88 +13,54 @@ most of a stream, ``streaming.ordered`` runs the same recurrences as parallel sc
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 
-class _Running(StatefulProcessor):
-    """A recurrence over a key's rows in order; subclasses give ``state`` (schema), ``start`` and ``advance``."""
+def _applied(stream: DataFrame, keys: Sequence[str], order_cols: Sequence[str], state: str, start: tuple,
+             advance: Callable[[tuple, pd.DataFrame], tuple[tuple, pd.DataFrame]], **more: T.DataType) -> DataFrame:
+    """``advance`` over every key's rows in order, from ``start`` or the key's ``state`` (schema) of the epochs before."""
+    order = list(order_cols)
+    join = pd.concat
 
-    state = ""
-
-    def __init__(self, order_cols: Sequence[str]):
-        self.order_cols = list(order_cols)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.held = handle.getValueState("state", self.state)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows)).sort_values(self.order_cols, kind="stable")
-        old = self.held.get() if self.held.exists() else self.start()
-        new, out = self.advance(tuple(old), frame)
-        self.held.update(new)
+    def run(key, rows, held):
+        frame = join(list(rows)).sort_values(order, kind="stable")
+        new, out = advance(held.get if held.exists else start, frame)
+        held.update(new)
         yield out
 
-    def close(self) -> None:
-        pass
-
-
-class Kadane(_Running):
-    """C4: ``h = max(0, h + x)``, ``m = max(m, h)``."""
-
-    state = "h bigint, m bigint"
+    schema = T.StructType([*stream.schema.fields, *[T.StructField(n, t) for n, t in more.items()]])
+    return stream.groupBy(*keys).applyInPandasWithState(run, schema, state, "append", GroupStateTimeout.NoTimeout)
 
-    def __init__(self, order_cols, x: str):
-        super().__init__(order_cols)
-        self.x = x
 
-    def start(self) -> tuple:
-        return 0, 0
+def running_max_subarray(stream: DataFrame, x: str, order_cols: Sequence[str], key_cols: Sequence[str]) -> DataFrame:
+    """C4 on a stream, ``h = max(0, h + x)``, ``m = max(m, h)``: appends ``max_ending_here`` and ``max_subarray`` per key."""
 
-    def advance(self, old: tuple, frame: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
+    def advance(old, frame):
         h, m = old
-        total = np.cumsum(frame[self.x].to_numpy(dtype=np.int64)) + h
+        total = np.cumsum(frame[x].to_numpy(dtype=np.int64)) + h
         ending = total - np.minimum(np.minimum.accumulate(total), 0)
         best = np.maximum(np.maximum.accumulate(ending), m)
         return (int(ending[-1]), int(best[-1])), frame.assign(max_ending_here=ending, max_subarray=best)
 
+    return _applied(stream, key_cols, order_cols, "h bigint, m bigint", (0, 0), advance,
+                    max_ending_here=T.LongType(), max_subarray=T.LongType())
 
-class Rls(_Running):
-    """theta = 1 / (1 + sum x^2), w = (w0 + sum xy) theta."""
-
-    state = "xx double, xy double"
-
-    def __init__(self, order_cols, x: str, y: str, w0: float):
-        super().__init__(order_cols)
-        self.x, self.y, self.w0 = x, y, w0
 
-    def start(self) -> tuple:
-        return 0.0, 0.0
+def rls(stream: DataFrame, x: str, y: str, order_cols: Sequence[str], key_cols: Sequence[str], w0: float = 0.0) -> DataFrame:
+    """C7 on a stream, theta = 1 / (1 + sum x^2), w = (w0 + sum xy) theta: appends ``theta, weight, prediction`` per key."""
 
-    def advance(self, old: tuple, frame: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
-        x, y = frame[self.x].to_numpy(dtype=float), frame[self.y].to_numpy(dtype=float)
-        xx, xy = old[0] + np.cumsum(x * x), old[1] + np.cumsum(x * y)
+    def advance(old, frame):
+        xs, ys = frame[x].to_numpy(dtype=float), frame[y].to_numpy(dtype=float)
+        xx, xy = old[0] + np.cumsum(xs * xs), old[1] + np.cumsum(xs * ys)
         theta = 1.0 / (1.0 + xx)
-        weight = (self.w0 + xy) * theta
-        return (float(xx[-1]), float(xy[-1])), frame.assign(theta=theta, weight=weight, prediction=weight * x)
-
-
-def _applied(stream: DataFrame, keys: Sequence[str], processor: _Running, **more: T.DataType) -> DataFrame:
-    schema = T.StructType([*stream.schema.fields, *[T.StructField(n, t) for n, t in more.items()]])
-    return stream.groupBy(*keys).transformWithStateInPandas(
-        processor, outputStructType=schema, outputMode="Append", timeMode="None")
-
+        weight = (w0 + xy) * theta
+        return (float(xx[-1]), float(xy[-1])), frame.assign(theta=theta, weight=weight, prediction=weight * xs)
 
-def running_max_subarray(stream: DataFrame, x: str, order_cols: Sequence[str], key_cols: Sequence[str]) -> DataFrame:
-    """C4 on a stream: appends ``max_ending_here`` and ``max_subarray`` per key."""
-    return _applied(stream, key_cols, Kadane(order_cols, x), max_ending_here=T.LongType(), max_subarray=T.LongType())
-
-
-def rls(stream: DataFrame, x: str, y: str, order_cols: Sequence[str], key_cols: Sequence[str], w0: float = 0.0) -> DataFrame:
-    """C7 on a stream: appends ``theta, weight, prediction`` per key."""
-    return _applied(stream, key_cols, Rls(order_cols, x, y, w0), theta=T.DoubleType(), weight=T.DoubleType(), prediction=T.DoubleType())
+    return _applied(stream, key_cols, order_cols, "xx double, xy double", (0.0, 0.0), advance,
+                    theta=T.DoubleType(), weight=T.DoubleType(), prediction=T.DoubleType())

@@ -73,3 +73,36 @@ def test_pairs_of_two_streams_of_unequal_rates(spark, tmp_path):
             run(spark.createDataFrame(batch, schema), epoch)  # a replayed epoch
     got = sorted((r.pos, r.x.v, r.y.v) for r in run.output().collect())
     assert got == [(k, float(k), 100.0 + k) for k in range(min(nx, ny))]
+
+
+def test_keyed_stream_in_a_session_that_sets_nothing(tmp_path):
+    """No state store provider is set, and Spark's workers do not have this package on their path."""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+sys.path.insert(0, {root!r})
+from driftwood.streaming import keyed
+rows = [(k % 3 if k % 3 else None, k, (-1) ** k * k) for k in range(30)]
+spark.createDataFrame(rows, "k long, seq long, x long").write.parquet({str(tmp_path / "in")!r})
+stream = spark.readStream.schema("k long, seq long, x long").parquet({str(tmp_path / "in")!r})
+out = keyed.running_max_subarray(stream, "x", ["seq"], ["k"])
+out.writeStream.format("parquet").option("path", {str(tmp_path / "out")!r}).option(
+    "checkpointLocation", {str(tmp_path / "ckpt")!r}).trigger(availableNow=True).start().awaitTermination()
+print("ROWS", sorted((r.seq, r.max_ending_here, r.max_subarray) for r in spark.read.parquet({str(tmp_path / "out")!r}).collect()))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path, env=env, timeout=180)
+    want = []
+    for key in range(3):
+        h = m = 0
+        for k in range(key, 30, 3):
+            h = max(0, h + (-1) ** k * k)
+            m = max(m, h)
+            want.append((k, h, m))
+    assert f"ROWS {sorted(want)}" in done.stdout, done.stderr[-2000:]
