@@ -19,6 +19,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftwood.plans.parallelism import spread
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -181,15 +183,19 @@ def map_reduce(m, fn: Callable[[Column, Column], Column], zero: float = 0.0) ->
     return F.aggregate(F.map_values(_c(m)), F.lit(float(zero)), fn)
 
 
-def word_counts(df: DataFrame, id_col: str, text_col: str, name: str = "tf") -> DataFrame:
+def word_counts(df: DataFrame, id_col: str, text_col: str, name: str = "tf", dealt: bool = False) -> DataFrame:
     """Text vectors: ``(id, map<word, count>)`` of space-separated tokens.
 
     One shuffle on the id: rows are hash-partitioned by id, tokens are
-    exploded after the shuffle and both groupings reuse that partitioning.
+    exploded after the shuffle and both groupings reuse that partitioning.  The partitions
+    grow with the input's bytes, so a task's hash table does not; ``dealt``: the rows are
+    partitioned by id already.
     Whole texts are used; an empty or null text has an empty map.
     """
+    rows = df.select(id_col, text_col)
+    rows = rows if dealt else spread(rows, id_col)
     words = F.filter(F.split(F.col(text_col), " "), lambda w: w != "")
-    toks = df.select(id_col, text_col).repartition(id_col).select(id_col, F.explode_outer(words).alias("_w"))
+    toks = rows.select(id_col, F.explode_outer(words).alias("_w"))
     counts = toks.groupBy(id_col, "_w").agg(F.count(F.lit(1)).cast("double").alias("_n"))
     entry = F.when(F.col("_w").isNotNull(), F.struct(F.col("_w").alias("key"), F.col("_n").alias("value")))
     return counts.groupBy(id_col).agg(F.map_from_entries(F.collect_list(entry)).alias(name))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from driftwood.functions import stats as S
 from driftwood.plans import scan
+from driftwood.plans.parallelism import input_bytes, spread
 from driftwood.session import written
 
 #: Pairs of feature and class that are broadcast for scoring, and the most frequent ones features of a larger model (one map of classes each).
@@ -120,9 +121,11 @@ def _with_params(ent: DataFrame, delta: DataFrame, model: NBModel) -> DataFrame:
     met = ent.join(F.broadcast(first), "feature", "left")
     # entries that are served (or null) go to the second join under spread keys that meet nothing
     done = F.col("_hot").isNotNull() | F.col("feature").isNull()
-    spread = met.withColumn("_salt", F.when(done, F.pmod(F.monotonically_increasing_id(), F.lit(4096)) + 1).otherwise(F.lit(0)))
+    salted = met.withColumn("_salt", F.when(done, F.pmod(F.monotonically_increasing_id(), F.lit(4096)) + 1).otherwise(F.lit(0)))
     rest = delta.withColumn("_salt", F.lit(0).cast("bigint"))
-    return spread.join(rest, ["feature", "_salt"], "left").withColumn("dm", F.coalesce("_hot", "dm")).drop("_hot", "_salt")
+    size = input_bytes(ent)
+    salted, rest = spread(salted, "feature", "_salt", size=size), spread(rest, "feature", "_salt", size=size)
+    return salted.join(rest, ["feature", "_salt"], "left").withColumn("dm", F.coalesce("_hot", "dm")).drop("_hot", "_salt")
 
 
 def nb_predict(model: NBModel, df: DataFrame, id_cols: Sequence[str], features,
