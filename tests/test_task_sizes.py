@@ -22,3 +22,30 @@ def test_a_line_is_taken_apart_once_and_a_repeated_index_keeps_its_first(spark):
     assert (b.a0, b.a3, b.a4, b.label) == (5.0, 7.0, 0.0, 1.0) and (c.a3, c.a4, c.label) == (1.0, None, 0.0)
     assert (d.a0, d.a1, d.a2, d.label) == (1.0, 2.0, None, None) and set(e) == {0.0}
     assert sorted(map(tuple, lines.select(*arff.arff_row_columns(F.col("value"), spec)).collect()), key=str) == sorted(map(tuple, out.collect()), key=str)
+
+
+def test_word_counts_get_partitions_by_the_bytes_of_the_input(spark, tmp_path, monkeypatch):
+    texts = [(k % 40 if k % 9 else None, f"a b a w{k}" if k % 5 else None) for k in range(120)]
+    spark.createDataFrame(texts, "id long, text string").write.parquet(f"{tmp_path}/t")
+    docs = spark.read.parquet(f"{tmp_path}/t")
+    few = {(r.id, frozenset(r.tf.items())) for r in vec.word_counts(docs, "id", "text").collect()}
+    monkeypatch.setattr(parallelism, "BYTES_PER_PARTITION", 200)
+    n = -(-parallelism.input_bytes(docs) // 200)
+    many = vec.word_counts(docs, "id", "text")
+    assert n > 4 and many.rdd.getNumPartitions() == n
+    assert {(r.id, frozenset(r.tf.items())) for r in many.collect()} == few and len(few) == 41
+
+
+def test_rare_features_meet_their_parameters_in_partitions_by_size(spark, tmp_path, monkeypatch):
+    rows = [(k, k % 2, {f"w{k % 17}": 2.0, f"v{k}": 1.0}) for k in range(60)]
+    spark.createDataFrame(rows, "id long, label int, tf map<string,double>").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    model = bayes.nb_train(df, "tf")
+    want = sorted(bayes.nb_predict(model, df, ["id"], "tf").collect())
+    monkeypatch.setattr(bayes, "BROADCAST_FEATURES", 3)
+    monkeypatch.setattr(bayes, "HOT_FEATURES", 5)
+    monkeypatch.setattr(parallelism, "BYTES_PER_PARTITION", 300)
+    n = -(-parallelism.input_bytes(df) // 300)
+    got = bayes.nb_predict(model, df, ["id"], "tf")
+    assert "RepartitionByExpression [feature#" in _plan(got) and f", {n}" in _plan(got)
+    assert sorted(got.collect()) == want
