@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftwood.plans import scan
+from driftwood.plans.parallelism import input_bytes, spread
 from driftwood.plans.scan import BUCKET, _as_list, _join_carry
 
 
@@ -183,11 +184,17 @@ def ftl_sums(base, bank: _Bank, order_cols, key_cols, bucket_opts):
     One bucketed pass: sums inside a bucket use the in-bucket previous x; the
     first row of each bucket is corrected with the previous bucket's last x.
     """
-    base, _ = scan.add_range_bucket(base, order_cols, key_cols=key_cols, **bucket_opts)
+    size = input_bytes(base)
+    base, nb = scan.add_range_bucket(base, order_cols, key_cols=key_cols, **bucket_opts)
     g = [*key_cols, BUCKET]
     wl = Window.partitionBy(*g).orderBy(*order_cols)
-    local = base.withColumns({"_px": F.lag("_x", 1).over(wl), "_first": F.row_number().over(wl) == 1})
+    local = spread(base, *g, size=size).withColumns({"_px": F.lag("_x", 1).over(wl), "_first": F.row_number().over(wl) == 1})
     local = local.withColumn("_e", F.when(F.col("_first"), bank.zeros()).otherwise(bank.losses(F.col("_px"), F.col("_y"))))
+    if nb == 1:  # nothing is carried but a key's first pair, its x_0 = 0
+        local = local.withColumn("_fy", F.first("_y").over(wl))
+        rows = local.sortWithinPartitions(*g, *order_cols).drop("_px", BUCKET)
+        summed = _running_arrays(rows, "_e", "_first", "_l", bank.size).drop("_e", "_first")
+        return summed.withColumn("_S", _added(bank.losses(F.lit(0.0), F.col("_fy")), F.col("_l"))).drop("_fy", "_l")
     okey = F.struct(*[F.col(c) for c in order_cols])
     # bucket totals are plain sums of the per-row losses (hash aggregate)
     summ = _summed(local, g, "_e", bank.size, F.min_by("_y", okey).alias("_fy"), F.max_by("_x", okey).alias("_lx"))

@@ -49,3 +49,14 @@ def test_rare_features_meet_their_parameters_in_partitions_by_size(spark, tmp_pa
     got = bayes.nb_predict(model, df, ["id"], "tf")
     assert "RepartitionByExpression [feature#" in _plan(got) and f", {n}" in _plan(got)
     assert sorted(got.collect()) == want
+
+
+def test_keys_without_a_hot_one_carry_nothing(spark):
+    rows = [(k % 7 if k % 7 else None, k, float(k % 5), float(3 * (k % 5) + k % 2)) for k in range(200)]
+    df = spark.createDataFrame(rows, "k long, seq long, x double, y double")
+    whole = ordered.follow_the_leader(df, "x", "y", ["seq"], ["k"])
+    cut = ordered.follow_the_leader(df, "x", "y", ["seq"], ["k"], rows_per_bucket=5, min_buckets=40)
+    assert "Join" not in _plan(whole) and "Join" in _plan(cut)
+    assert sorted(whole.drop("k").collect()) == sorted(cut.drop("k").collect())
+    whole = ordered.rls_weights(df, "x", "y", ["seq"], ["k"])
+    assert "Join" not in _plan(whole)
