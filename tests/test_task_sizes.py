@@ -60,3 +60,17 @@ def test_keys_without_a_hot_one_carry_nothing(spark):
     assert sorted(whole.drop("k").collect()) == sorted(cut.drop("k").collect())
     whole = ordered.rls_weights(df, "x", "y", ["seq"], ["k"])
     assert "Join" not in _plan(whole)
+
+
+def test_poisson_weights_draw_one_uniform_a_row(spark):
+    from driftwood.functions.stats import uniform_from_text
+
+    df = spark.range(300)
+    for lam in (1.0, 40.0):
+        got = ensemble.poisson_weights(df, lam, ["id"], seed=3)
+        assert _plan(got).count("md5(") == 1 and "lambda" not in _plan(got)
+        table = ensemble.poisson_cdf_table(lam)
+        u = {r.id: r.u for r in df.select("id", uniform_from_text("id", seed=3).alias("u")).collect()}
+        assert {r.id: r.weight for r in got.collect()} == {k: sum(c < v for c in table) for k, v in u.items()}
+    nulls = spark.createDataFrame([(None,), (0.5,), (float("nan"),)], "u double")
+    assert [r.w for r in nulls.select(ensemble.poisson_weight(F.col("u"), 1.0).alias("w")).collect()] == [0, 1, len(ensemble.poisson_cdf_table(1.0))]
