@@ -122,7 +122,8 @@ def _with_params(ent: DataFrame, delta: DataFrame, model: NBModel) -> DataFrame:
     # entries that are served (or null) go to the second join under spread keys that meet nothing
     done = F.col("_hot").isNotNull() | F.col("feature").isNull()
     salted = met.withColumn("_salt", F.when(done, F.pmod(F.monotonically_increasing_id(), F.lit(4096)) + 1).otherwise(F.lit(0)))
-    rest = delta.withColumn("_salt", F.lit(0).cast("bigint"))
+    # 0, but not a literal: the optimizer would take that out of the keys and deal by feature alone
+    rest = delta.withColumn("_salt", F.pmod(F.xxhash64("feature"), F.lit(1)))
     size = input_bytes(ent)
     salted, rest = spread(salted, "feature", "_salt", size=size), spread(rest, "feature", "_salt", size=size)
     return salted.join(rest, ["feature", "_salt"], "left").withColumn("dm", F.coalesce("_hot", "dm")).drop("_hot", "_salt")

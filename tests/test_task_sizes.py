@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from driftwood.functions import vectors as vec
@@ -48,6 +50,8 @@ def test_rare_features_meet_their_parameters_in_partitions_by_size(spark, tmp_pa
     n = -(-parallelism.input_bytes(df) // 300)
     got = bayes.nb_predict(model, df, ["id"], "tf")
     assert "RepartitionByExpression [feature#" in _plan(got) and f", {n}" in _plan(got)
+    # both keys are joined on, so the rows stay as they were dealt
+    assert re.search(r"Join LeftOuter, \(\(feature#\d+ = feature#\d+\) AND \(_salt#\w+ = _salt#\w+\)\)", _plan(got))
     assert sorted(got.collect()) == want
 
 
