@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from driftwood.operators import ordered
 from driftwood.plans import scan
+from driftwood.session import written
 
 _PRE, _VI = "_pre", "_vi"
 
@@ -34,6 +35,20 @@ def _last_per_key(df: DataFrame, key_cols, order_cols, cols) -> DataFrame:
     return df.groupBy(*key_cols).agg(*[F.max_by(c, okey).alias(c) for c in cols])
 
 
+def _with_state(out: DataFrame, batch: DataFrame, key_cols, order_cols, cols) -> DataFrame:
+    """``out`` with ``cols`` of each key's last row of the batch in ``_state``, null elsewhere."""
+    okey = F.struct(*[F.col(c) for c in order_cols])
+    last = batch.groupBy(*key_cols).agg(F.max(okey).alias("_last"))
+    met = scan.null_safe_join(out, last, key_cols) if key_cols else out.join(F.broadcast(last))
+    return met.withColumn("_state", F.when(okey == F.col("_last"), F.struct(*cols))).drop("_last")
+
+
+def _state_of(out: DataFrame, key_cols, order_cols) -> DataFrame:
+    """The states in an epoch's written output, one row per key."""
+    rows = _last_per_key(out.where(F.col("_state").isNotNull()), key_cols, order_cols, ["_state"])
+    return rows.select(*key_cols, "_state.*")
+
+
 def _keep_old(state: DataFrame | None, new: DataFrame, key_cols) -> DataFrame:
     """The batch's keys replace their old rows; a global state stays if the batch was empty."""
     if state is None:
@@ -73,11 +88,10 @@ def kadane_step(x: str, order_cols: Sequence[str], key_cols: Sequence[str] = (),
             rows = real.unionByName(v1).unionByName(v2)
         out = ordered.running_max_subarray(rows, "x", full_order, key_cols,
                                            best_name="m", here_name="h", **bucket_opts)
-        out = out.filter(F.col(_PRE) == 1)
-        new = _last_per_key(out, key_cols, order_cols, ["h", "m"])
+        out = _with_state(out.filter(F.col(_PRE) == 1), batch, key_cols, order_cols, ["h", "m"])
         result = out.select(*_cols(key_cols, order_cols), "x", F.col("h").alias("max_ending_here"),
-                            F.col("m").alias("max_subarray"))
-        return result, _keep_old(state, new, key_cols)
+                            F.col("m").alias("max_subarray"), "_state")
+        return result, lambda done: _keep_old(state, _state_of(done, key_cols, order_cols), key_cols)
 
     return step
 
@@ -106,10 +120,9 @@ def rls_step(x: str, y: str, order_cols: Sequence[str], key_cols: Sequence[str]
         theta = F.lit(1.0) / (F.lit(1.0) + F.col("_sxx"))
         weight = (F.lit(w0) + F.col("_sxy")) * theta
         out = s.select(*_cols(key_cols, order_cols), theta.alias("theta"), weight.alias("weight"),
-                       (weight * F.col("_xx")).alias("prediction"), "_sxx", "_sxy")
-        new = _last_per_key(out, key_cols, order_cols, ["_sxx", "_sxy"]).select(
-            *key_cols, F.col("_sxx").alias("sxx"), F.col("_sxy").alias("sxy"))
-        return out.drop("_sxx", "_sxy"), _keep_old(state, new, key_cols)
+                       (weight * F.col("_xx")).alias("prediction"), F.col("_sxx").alias("sxx"), F.col("_sxy").alias("sxy"))
+        out = _with_state(out, batch, key_cols, order_cols, ["sxx", "sxy"]).drop("sxx", "sxy")
+        return out, lambda done: _keep_old(state, _state_of(done, key_cols, order_cols), key_cols)
 
     return step
 
@@ -145,21 +158,24 @@ def ftl_step(x: str, y: str, order_cols: Sequence[str], key_cols: Sequence[str]
             moved = F.zip_with(ordered._added(F.col("_S"), F.col("_K")), own, lambda a, b: a - b)
             sums = sums.withColumn("_S", F.when(F.col("_K").isNotNull(), moved).otherwise(F.col("_S"))).drop("_K")
         idx, pred = bank.leader(F.col("_S"), F.col("_x"))
-        out = sums.select(*_cols(key_cols, order_cols), "_x", "_S", idx.alias("leader"), pred.alias("prediction"))
-        new = _last_per_key(out, key_cols, order_cols, ["_x", "_S"]).select(
-            *key_cols, F.col("_x").alias("last_x"), F.col("_S").alias("S"))
-        return out.select(*_cols(key_cols, order_cols), "leader", "prediction"), _keep_old(state, new, key_cols)
+        out = sums.select(*_cols(key_cols, order_cols), F.col("_x").alias("last_x"), F.col("_S").alias("S"),
+                          idx.alias("leader"), pred.alias("prediction"))
+        out = _with_state(out, batch, key_cols, order_cols, ["last_x", "S"]).drop("last_x", "S")
+        return out, lambda done: _keep_old(state, _state_of(done, key_cols, order_cols), key_cols)
 
     return step
 
 
-def zip_step(side: str, left: str, right: str, order_cols: Sequence[str], **bucket_opts):
+def zip_step(side: str, left: str, right: str, order_cols: Sequence[str], append: bool = False, **bucket_opts):
     """B3 on a stream: the i-th row of one side meets the i-th row of the other, whatever their rates.
 
     ``side`` says whether a row belongs to ``left`` or ``right``; each side comes in order of ``order_cols`` over
     the epochs.  Output ``pos`` and the two rows as structs ``x`` and ``y``.  The state is what waits
     for its partner, with its position, and one row per side with the number of rows so far; positions come
-    from the two-level scan and pairs from a join on them, so no task sees a whole stream."""
+    from the two-level scan and pairs from a join on them, so no task sees a whole stream.
+
+    ``append`` (with ``StatefulBatches(..., append_state=True)``): an epoch adds its own rows to the state and reads
+    those earlier ones whose partners came, by position; what waits is not written again."""
     order_cols = list(order_cols)
 
     def step(batch: DataFrame, state: DataFrame | None, epoch: int):
@@ -168,7 +184,8 @@ def zip_step(side: str, left: str, right: str, order_cols: Sequence[str], **buck
         row = F.struct(*[F.col(f"`{c}`") for c in payload])
         counts = {left: 0, right: 0}
         if state is not None:  # one row per side
-            counts |= {r[side]: r.pos for r in state.where("row is null").collect()}
+            marks = state.where("row is null").groupBy(side).agg(F.max("pos").alias("pos"))
+            counts |= {r[side]: r.pos for r in marks.collect()}
         new = {}
         parts = []
         for s in (left, right):
@@ -177,15 +194,16 @@ def zip_step(side: str, left: str, right: str, order_cols: Sequence[str], **buck
             placed = scan.row_position(own, order_cols, name="_pos", **bucket_opts) if new[s] > counts[s] else own.withColumn(
                 "_pos", F.lit(0).cast("bigint"))
             parts.append(placed.select(F.lit(s).alias(side), (F.col("_pos") + counts[s]).alias("pos"), row.alias("row")))
-        rows = parts[0].unionByName(parts[1])
-        if state is not None:
-            rows = rows.unionByName(state.where("row is not null"))
+        rows = arrived = written(parts[0].unionByName(parts[1]), "zip-rows")  # pairs and state read them
         paired = min(new.values())
+        if state is not None:
+            rows = rows.unionByName(state.where(F.col("row").isNotNull() & (F.col("pos") >= min(counts.values()))))
         both = rows.where(F.col("pos") < paired)
         x = both.where(F.col(side) == left).select("pos", F.col("row").alias("x"))
         y = both.where(F.col(side) == right).select("pos", F.col("row").alias("y"))
         marks = spark.createDataFrame([(s, n) for s, n in new.items()], f"{side} string, pos long").withColumn(
             "row", F.lit(None).cast(rows.schema["row"].dataType))
-        return x.join(y, "pos"), rows.where(F.col("pos") >= paired).unionByName(marks)
+        kept = arrived if append else rows.where(F.col("pos") >= paired)
+        return x.join(y, "pos"), kept.unionByName(marks)
 
     return step
