@@ -39,7 +39,7 @@ def nb_step(id_cols: Sequence[str], features, label: str = "label", smoothing: f
             none = F.lit(None).cast(batch.schema[label].dataType).alias("prediction")
             return batch.select(*id_cols, none), nb_state(new)
         old = nb_model(state)
-        return bayes.nb_predict(old, batch, id_cols, features, smoothing, num_features), nb_state(bayes.nb_merge(old, new))
+        return bayes.nb_predict(old, batch, id_cols, features, smoothing, num_features, stored=True), nb_state(bayes.nb_merge(old, new))
 
     return step
 
