@@ -13,11 +13,14 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftwood.functions import vectors as vec
+from driftwood.session import written
 
 LOSSES = ("squared", "hinge", "logistic", "perceptron")
 
@@ -38,12 +41,14 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _weights(w: Sequence[float]) -> Column:
+def _weights(w: Sequence[float] | Column) -> Column:
+    if isinstance(w, Column):
+        return w
     return F.array(*[F.lit(float(x)) for x in w])
 
 
-def linear_score(features, weights: Sequence[float]) -> Column:
-    """dot(w, [x, 1]); the bias sits at index len(x)."""
+def linear_score(features, weights: Sequence[float] | Column) -> Column:
+    """dot(w, [x, 1]); the bias sits at index len(x).  ``weights``: numbers or an array Column."""
     return vec.vec_dot(_weights(weights), vec.append_bias(features))
 
 
@@ -204,3 +209,50 @@ def linear_train(df: DataFrame, features: str, label: str, num_features: int,
         if any(math.isnan(x) for x in w):
             break
     return w
+
+
+def squared_moments(df: DataFrame, group: str, features: str, label: str, num_features: int) -> DataFrame:
+    """Per group ``n``, ``xx`` (the sum of x x', row by row) and ``xy`` (the sum of y x) of x with its bias: of these the I5 gradient of the
+    squared loss is xy - xx w at any weights w.  The arrays are dense, without nulls and ``num_features`` long."""
+    width = num_features + 1
+
+    def moments(t: pa.Table) -> pa.Table:
+        x = t["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, width)
+        y = t["y"].to_numpy()
+        return pa.table({"g": pa.array([t["g"][0].as_py()], pa.int64()), "n": pa.array([t.num_rows], pa.int64()),
+                         "xx": pa.array([(x.T @ x).ravel()], pa.list_(pa.float64())), "xy": pa.array([x.T @ y], pa.list_(pa.float64()))})
+
+    rows = df.select(F.col(group).cast("long").alias("g"), vec.append_bias(features).alias("x"), _c(label).cast("double").alias("y"))
+    return rows.groupBy("g").applyInArrow(moments, "g long, n long, xx array<double>, xy array<double>").withColumnRenamed("g", group)
+
+
+def linear_train_epochs(df: DataFrame, epoch: str, features: str, label: str, num_features: int, loss: str | Loss = "squared", steps: int = 1,
+                        learning_rate: float = 0.1, reg: Regularizer = "zero", reg_param: float = 0.0,
+                        init: Sequence[float] | None = None) -> list[tuple[int, list[float]]]:
+    """I8 over epochs (column ``epoch``) in their order, ``steps`` steps each: (epoch, the weights after it) of each that has rows.
+
+    The gradient of the squared loss is linear in the weights, so one job gives all epochs' moments (``squared_moments``) and
+    the steps follow one another on the driver, an epoch's moments at a time.  Other losses, maps and vectors with gaps
+    take ``linear_train`` epoch by epoch.
+    """
+    w, out = list(init) if init is not None else [0.0] * (num_features + 1), []
+    dense = not isinstance(df.schema[features].dataType, T.MapType) and loss == "squared"
+    if dense:
+        df = df.filter(F.col(features).isNotNull())  # a row without a vector adds nothing
+        odd = (F.size(features) != num_features) | F.exists(features, lambda v: v.isNull()) | F.col(label).isNull()
+        dense = df.filter(odd).isEmpty()
+    if not dense:
+        for (e,) in sorted(df.select(epoch).distinct().collect()):
+            w = linear_train(df.filter(F.col(epoch) == e), features, label, num_features, loss, steps, learning_rate, reg, reg_param, w)
+            out.append((int(e), w))
+        return out
+    moments = written(squared_moments(df, epoch, features, label, num_features).orderBy(epoch), "linear-moments")
+    for r in moments.orderBy(epoch).toLocalIterator(prefetchPartitions=True):
+        xx, xy = np.reshape(r["xx"], (num_features + 1, -1)), np.asarray(r["xy"])
+        for _ in range(int(steps)):
+            g = xy - xx @ np.asarray(w)
+            w = [float(wi + learning_rate * (gi / r["n"] + reg_param * regularize_py(wi, reg))) for wi, gi in zip(w, g)]
+            if any(math.isnan(v) for v in w):
+                break
+        out.append((int(r[epoch]), w))
+    return out
